@@ -2,66 +2,59 @@
 
 ``percentile(c, q)`` in Spark merges one map of every distinct value in a single
 final task. Here the exact order statistics are found in a distributed way:
+``(key, value) -> count`` with map-side combine (a hot value collapses early),
+then ``rows_before`` (range-partitioned running counts) gives every distinct
+value its rank interval, and the values covering the wanted ranks are reduced to
+one row per key.
 
-1. ``(key, value) -> count`` with map-side combine (a hot value collapses early);
-2. range-partition the distinct values, running count inside each range;
-3. per-range totals (one row per range) give the global offsets;
-4. the rows whose cumulative interval covers the wanted ranks are kept and
-   reduced to one row per key.
-
-Only one row per (range, key) and one row per key ever meet in a single task.
 The interpolation equals ``percentile`` / DuckDB ``quantile_cont``:
 ``v[floor(p)] + (v[ceil(p)] - v[floor(p)]) * (p - floor(p))`` with ``p = q * (n - 1)``.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .ranking import rows_before
+
 
-def _stacked(df: DataFrame, cols: list[str]) -> DataFrame:
+def _stacked(df: DataFrame, cols: list[str], key: str = "k") -> DataFrame:
     parts = F.explode(F.array(*[
-        F.struct(F.lit(c).alias("k"), F.col(c).cast("double").alias("v")) for c in cols]))
-    return df.select(parts.alias("kv")).select("kv.k", "kv.v").where(F.col("v").isNotNull())
+        F.struct(F.lit(c).alias(key), F.col(c).cast("double").alias("v")) for c in cols]))
+    return df.select(parts.alias("kv")).select(f"kv.{key}", "kv.v").where(
+        F.col("v").isNotNull())
 
 
-def exact_quantiles(df: DataFrame, cols: list[str] | str, qs: list[float],
-                    num_ranges: int | None = None) -> DataFrame:
-    """One row per column: ``(k, q0, q1, ...)`` exact interpolated quantiles."""
-    cols = [cols] if isinstance(cols, str) else list(cols)
-    spark = df.sparkSession
-    p = num_ranges or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    vc = _stacked(df, cols).groupBy("k", "v").agg(F.count(F.lit(1)).alias("c"))
-    ranged = vc.repartitionByRange(p, "k", "v").withColumn("pid", F.spark_partition_id())
-    local = ranged.withColumn(
-        "cum", F.sum("c").over(Window.partitionBy("pid", "k").orderBy("v")
-                               .rowsBetween(Window.unboundedPreceding, Window.currentRow)))
-    per_range = local.groupBy("k", "pid").agg(F.sum("c").alias("pc"))
-    offsets = (per_range
-               .withColumn("off", F.coalesce(F.sum("pc").over(
-                   Window.partitionBy("k").orderBy("pid")
-                   .rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
-               .withColumn("n", F.sum("pc").over(Window.partitionBy("k")))
-               .select("k", "pid", "off", "n"))
-    g = local.join(F.broadcast(offsets), ["k", "pid"]).select(
-        "k", "v", (F.col("off") + F.col("cum") - F.col("c")).alias("lo"),
-        (F.col("off") + F.col("cum")).alias("hi"), "n")
+def grouped_exact_quantiles(df: DataFrame, keys: list[str], value: str, qs: list[float],
+                            bounded_groups: bool = True) -> DataFrame:
+    """Exact interpolated quantiles of ``value`` per group: ``(*keys, q0, q1, ...)``."""
+    vc = (df.where(F.col(value).isNotNull()).groupBy(*keys, F.col(value).cast("double")
+                                                      .alias("v"))
+          .agg(F.count(F.lit(1)).alias("c")))
+    g = rows_before(vc, keys, "v", "c", bounded_groups=bounded_groups)
     aggs = []
     for i, q in enumerate(qs):
-        pos = F.lit(float(q)) * (F.col("n") - 1)
+        pos = F.lit(float(q)) * (F.col("_group_total") - 1)
+        lo, hi = F.col("_before"), F.col("_before") + F.col("c")
         for side, rank in (("a", F.floor(pos)), ("b", F.ceil(pos))):
-            hit = (F.col("lo") <= rank) & (rank < F.col("hi"))
-            aggs.append(F.max(F.when(hit, F.col("v"))).alias(f"_{side}{i}"))
+            aggs.append(F.max(F.when((lo <= rank) & (rank < hi), F.col("v")))
+                        .alias(f"_{side}{i}"))
         aggs.append(F.max(pos - F.floor(pos)).alias(f"_f{i}"))
-    red = g.groupBy("k").agg(*aggs)
-    out = [F.col("k")]
+    red = g.groupBy(*keys).agg(*aggs)
+    out = [F.col(k) for k in keys]
     for i in range(len(qs)):
         a, b, f = F.col(f"_a{i}"), F.col(f"_b{i}"), F.col(f"_f{i}")
         out.append((a + (b - a) * f).alias(f"q{i}"))
     return red.select(*out)
 
 
+def exact_quantiles(df: DataFrame, cols: list[str] | str, qs: list[float]) -> DataFrame:
+    """One row per column: ``(k, q0, q1, ...)`` exact interpolated quantiles."""
+    cols = [cols] if isinstance(cols, str) else list(cols)
+    return grouped_exact_quantiles(_stacked(df, cols), ["k"], "v", qs)
+
+
 def approx_quantiles(df: DataFrame, cols: list[str] | str, qs: list[float],
                      accuracy: int = 10000) -> DataFrame:
     """Mergeable-sketch variant (rank error <= n / accuracy); no interpolation."""

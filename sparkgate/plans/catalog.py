@@ -219,3 +219,266 @@ def risk_score(spark, sf):
 def risk_decision(spark, sf):
     s = D.risk_scores(platform_rows(spark, sf))
     return s.groupBy("decision", "risk_label").agg(F.count(F.lit(1)).alias("n_rows"))
+
+
+# ---------------------------------------------------------------- model preparation
+from ..operators import fsm as FSM  # noqa: E402
+from ..operators import metrics as M  # noqa: E402
+from ..operators import ml_prep as ML  # noqa: E402
+from ..operators import ml_split as SP  # noqa: E402
+from ..operators import verify as V  # noqa: E402
+
+# Variant names of image / audio samples.
+IMAGE_VARIANTS = ["", "_gray", "_flip", "_rotate"]
+AUDIO_VARIANTS = ["", "_pitch", "_stretch", "_noise"]
+
+
+def customers_split(spark, sf) -> DataFrame:
+    return SP.stratified_holdout(customers(spark, sf), "product_category", "customer_id")
+
+
+@query
+def class_weights(spark, sf):
+    """A9 on the training part of the stratified holdout."""
+    train = customers_split(spark, sf).where(F.col("split") == "train")
+    return round_doubles(ML.class_weights(train, "product_category"))
+
+
+@query
+def scaler_stats(spark, sf):
+    """Per-dimension mean and population std of the face vectors."""
+    return round_doubles(ML.scaler_stats(R.samples(spark, sf), "face"))
+
+
+@query
+def one_hot_platform(spark, sf):
+    """M1/M4: alphabetical index and one-hot slot (last slot dropped) of main_platform."""
+    o = ML.one_hot(customers(spark, sf), "main_platform", "platform")
+    return o.select("customer_id", "main_platform",
+                    F.col("platform_index").cast("int").alias("platform_index"),
+                    "platform_active")
+
+
+@query
+def impute_median_mode(spark, sf):
+    """M2/M3 fitted on the customer table."""
+    st = ML.impute_stats(customers(spark, sf),
+                         ["engagement_score", "purchase_interest_score", "average_engagement",
+                          "platform_count"], ["review_sentiment", "main_platform"])
+    return round_doubles(st)
+
+
+@query
+def stratified_holdout(spark, sf):
+    return customers_split(spark, sf).select("customer_id", "product_category", "split")
+
+
+@query
+def stratified_folds(spark, sf):
+    f = SP.stratified_folds(customers(spark, sf), "product_category", "customer_id", k=2)
+    return f.select("customer_id", "product_category", "fold")
+
+
+def sample_folds(spark, sf) -> DataFrame:
+    return SP.group_folds(R.samples(spark, sf), "person", "group_id", k=3)
+
+
+@query
+def group_folds(spark, sf):
+    return sample_folds(spark, sf).select("vec_id", "group_id", "person", "fold")
+
+
+@query
+def split_leakage(spark, sf):
+    """Q7: groups of each held-out fold also present in training folds (must be 0)."""
+    return SP.leaked_groups(sample_folds(spark, sf), "group_id")
+
+
+@query
+def missing_classes(spark, sf):
+    """Classes of the customer table absent from the holdout part."""
+    s = customers_split(spark, sf)
+    allc = s.select("product_category").distinct()
+    test = s.where(F.col("split") == "test").select("product_category").distinct()
+    return allc.join(test, "product_category", "left_anti")
+
+
+@query
+def variants_union(spark, sf):
+    """Original + augmented variant rows with their names."""
+    s = R.samples(spark, sf).select("vec_id", "person")
+    v = F.explode(F.array(*[F.struct(F.lit(i).alias("variant_no"), F.lit(x).alias("suffix"))
+                            for i, x in enumerate(IMAGE_VARIANTS)]))
+    e = s.select("vec_id", "person", v.alias("v")).select("vec_id", "person", "v.*")
+    return e.select("vec_id", "person", F.col("variant_no").cast("int").alias("variant_no"),
+                    F.concat(F.lit("sample"), F.col("vec_id").cast("string"), F.col("suffix"),
+                             F.lit(".jpg")).alias("image_name"))
+
+
+# ---------------------------------------------------------------- metrics
+def labels(spark) -> DataFrame:
+    return M.label_table(spark, R.SCORE_CLASSES)
+
+
+@query
+def metrics_macro(spark, sf):
+    return round_doubles(M.macro_metrics(R.predictions(spark, sf), labels(spark)))
+
+
+@query
+def metrics_weighted(spark, sf):
+    return round_doubles(M.weighted_metrics(R.predictions(spark, sf), labels(spark)))
+
+
+@query
+def class_report(spark, sf):
+    return round_doubles(M.class_report(R.predictions(spark, sf), labels(spark)))
+
+
+@query
+def confusion_dense(spark, sf):
+    return M.confusion_dense(R.predictions(spark, sf), R.SCORE_CLASSES)
+
+
+@query
+def log_loss(spark, sf):
+    return round_doubles(M.log_loss(R.predictions(spark, sf), R.SCORE_CLASSES))
+
+
+@query
+def roc_auc_ovr(spark, sf):
+    per = M.roc_auc_ovr(R.predictions(spark, sf), R.SCORE_CLASSES)
+    macro = M.roc_auc_macro(per).select(F.lit("macro avg").alias("label"),
+                                        F.lit(None).cast("bigint").alias("n_pos"),
+                                        F.lit(None).cast("bigint").alias("n_neg"),
+                                        F.col("roc_auc_macro").alias("auc"))
+    return round_doubles(per.unionByName(macro))
+
+
+@query
+def fold_summary(spark, sf):
+    """A10 over stratified 2-fold assignment of the scored rows."""
+    p = SP.stratified_folds(R.predictions(spark, sf), "y_true", "row_id", k=2)
+    return round_doubles(M.fold_summary(M.fold_metrics(p)))
+
+
+# ---------------------------------------------------------------- verification
+def scaled_samples(spark, sf, modality: str) -> DataFrame:
+    s = R.samples(spark, sf)
+    mean, std = ML.scaler_arrays(ML.scaler_stats(s, modality))
+    return ML.apply_scaler(s, modality, mean, std, "x")
+
+
+def fitted_profile(scaled: DataFrame):
+    return V.load_profile(V.class_profile(scaled, "person", "x"), "person")
+
+
+@query
+def class_profile(spark, sf):
+    """Centroids of the scaled face vectors, one row per (class, position)."""
+    long = V.class_centroids_long(scaled_samples(spark, sf, "face"), "person", "x")
+    return round_doubles(long.select("person", F.col("pos").cast("int").alias("pos"), "value"))
+
+
+@query
+def intra_class_max(spark, sf):
+    sc = scaled_samples(spark, sf, "face")
+    c = V.centroid_arrays(V.class_centroids_long(sc, "person", "x"), "person")
+    return round_doubles(V.intra_class_max(sc, "person", "x", c))
+
+
+def face_gate(spark, sf) -> DataFrame:
+    sc = scaled_samples(spark, sf, "face")
+    return V.open_set_gate(sc, "x", fitted_profile(sc))
+
+
+@query
+def open_set_gate(spark, sf):
+    g = face_gate(spark, sf)
+    return round_doubles(g.select("vec_id", "predicted", "confidence", "distance", "person",
+                                  "reject_reason"))
+
+
+@query
+def rejection_counts(spark, sf):
+    """Rejected at the confidence gate alone and at confidence + distance."""
+    g = V.confidence_label(face_gate(spark, sf))
+    return g.agg(
+        F.count_if(F.col("gated_label") == V.UNKNOWN_LABEL).alias("n_rejected_confidence"),
+        F.count_if(F.col("person").isNull()).alias("n_rejected_open_set"),
+        F.count(F.lit(1)).alias("n_rows"))
+
+
+def decisions(spark, sf) -> DataFrame:
+    """V5 over the attempts table; the voice gate only runs for attempts whose face
+    passed (short-circuit)."""
+    att = R.attempts(spark, sf)
+    fg = face_gate(spark, sf).select(F.col("vec_id").alias("face_vec"), "person", "confidence")
+    face = att.join(fg, "face_vec").select("attempt_id", "person", "confidence")
+    passed = face.where(F.col("person").isNotNull()).select("attempt_id")
+    vs = scaled_samples(spark, sf, "voice")
+    vprof = fitted_profile(vs)
+    vin = (att.join(passed, "attempt_id", "left_semi")
+           .join(vs.select(F.col("vec_id").alias("voice_vec"), "x"), "voice_vec"))
+    voice = V.open_set_gate(vin, "x", vprof).select("attempt_id", "person", "confidence")
+    ident = R.identity_map(spark, sf, customers(spark, sf))
+    return D.attempt_decisions(face, voice, ident)
+
+
+@query
+def attempt_decisions(spark, sf):
+    return round_doubles(decisions(spark, sf))
+
+
+@query
+def denial_audit(spark, sf):
+    return D.denial_audit(decisions(spark, sf))
+
+
+def decisions_with_customer(spark, sf) -> DataFrame:
+    c = customers(spark, sf).select("customer_id", "product_category", "last_purchase")
+    return decisions(spark, sf).join(c, "customer_id", "left")
+
+
+@query
+def attempt_trace(spark, sf):
+    return D.attempt_trace(decisions_with_customer(spark, sf), "product_category")
+
+
+@query
+def granted_lookup(spark, sf):
+    """P20 batch form: customer rows of the granted attempts (semi-join on the key)."""
+    g = decisions(spark, sf).where("granted").select("customer_id")
+    hit, _ = D.semi_by_keys(customers(spark, sf), g, "customer_id")
+    return round_doubles(hit.select("customer_id", "product_category", "total_spent",
+                                    "purchase_count", "main_platform"))
+
+
+@query
+def display_rows(spark, sf):
+    d = decisions_with_customer(spark, sf).withColumn(
+        "_product", F.when(F.col("granted"), F.col("product_category")))
+    out = D.display_rows(d, "_product", "face_confidence", "granted", "last_purchase")
+    return out.select("attempt_id", "recommended_product", "confidence_percent",
+                      "authentication_status", "formatted_timestamp", "valid")
+
+
+# ---------------------------------------------------------------- state machine
+def fsm_sessions(spark, sf) -> DataFrame:
+    return FSM.replay(R.fsm_events(spark, sf), ["user_id", "day"], ["ts", "event_id"])
+
+
+@query
+def fsm_replay(spark, sf):
+    return fsm_sessions(spark, sf)
+
+
+@query
+def fsm_illegal_events(spark, sf):
+    s = fsm_sessions(spark, sf)
+    return s.where(F.col("n_illegal") > 0).select("user_id", "day", "final_state", "n_illegal")
+
+
+@query
+def fsm_allowed_events(spark, sf):
+    return FSM.allowed_events(fsm_sessions(spark, sf).select("user_id", "day", "final_state"))

@@ -274,3 +274,321 @@ SELECT customer_id, src_ord, round(risk_score, 6) AS risk_score, decision, risk_
 sql("risk_decision", _RISK + """
 SELECT decision, risk_label, count(*) AS n_rows FROM risk2 GROUP BY 1, 2
 """)
+
+
+def sql_rec(name: str, body: str) -> None:
+    ORACLE[name] = with_roles(_half_even_6(body), recursive=True)
+
+
+# ---------------------------------------------------------------- model preparation
+_SPLIT = """
+, cls AS (SELECT product_category, count(*) AS n_class FROM customer_tbl GROUP BY 1),
+tot AS (SELECT sum(n_class) AS n,
+               CAST(ceil(CAST(0.2 AS DOUBLE) * sum(n_class)) AS BIGINT) AS n_test FROM cls),
+q AS (SELECT c.product_category, c.n_class, (t.n_test * c.n_class) // t.n AS fl,
+             (t.n_test * c.n_class) % t.n AS rem, t.n_test FROM cls c, tot t),
+q2 AS (SELECT *, row_number() OVER (ORDER BY rem DESC, product_category) AS ord,
+              n_test - sum(fl) OVER () AS seats FROM q),
+sizes AS (SELECT product_category, fl + CASE WHEN ord <= seats THEN 1 ELSE 0 END AS n_test FROM q2),
+ranked AS (
+  SELECT customer_id, product_category,
+         row_number() OVER (PARTITION BY product_category
+                            ORDER BY md5('42' || customer_id), customer_id) - 1 AS rk
+  FROM customer_tbl),
+split AS (
+  SELECT r.customer_id, r.product_category,
+         CASE WHEN r.rk < s.n_test THEN 'test' ELSE 'train' END AS split
+  FROM ranked r JOIN sizes s ON r.product_category = s.product_category)
+"""
+
+sql("class_weights", _SPLIT + """
+SELECT product_category, n_class,
+       round(sum(n_class) OVER () / (count(*) OVER () * n_class), 6) AS weight
+FROM (SELECT product_category, count(*) AS n_class FROM split WHERE split = 'train' GROUP BY 1)
+""")
+
+sql("scaler_stats", """
+SELECT CAST(pos AS INTEGER) AS pos, round(mean, 6) AS mean, round(std, 6) AS std FROM face_stats
+""")
+
+sql("one_hot_platform", """
+, vals AS (SELECT main_platform, dense_rank() OVER (ORDER BY main_platform) - 1 AS idx
+           FROM (SELECT DISTINCT main_platform FROM customer_tbl))
+SELECT c.customer_id, c.main_platform, CAST(v.idx AS INTEGER) AS platform_index,
+       CAST(v.idx AS INTEGER) AS platform_active
+FROM customer_tbl c JOIN vals v ON c.main_platform = v.main_platform
+""")
+
+sql("impute_median_mode", """
+, modes AS (
+  SELECT feature, v FROM (
+    SELECT feature, v, row_number() OVER (PARTITION BY feature ORDER BY n DESC, v) AS rn
+    FROM (SELECT 'review_sentiment' AS feature, review_sentiment AS v, count(*) AS n
+          FROM customer_tbl WHERE review_sentiment IS NOT NULL GROUP BY 2
+          UNION ALL
+          SELECT 'main_platform', main_platform, count(*) FROM customer_tbl
+          WHERE main_platform IS NOT NULL GROUP BY 2))
+  WHERE rn = 1)
+SELECT 'engagement_score' AS feature, 'median' AS statistic,
+       round(quantile_cont(engagement_score, 0.5), 6) AS value_num, CAST(NULL AS VARCHAR) AS value_str
+FROM customer_tbl
+UNION ALL SELECT 'purchase_interest_score', 'median', round(quantile_cont(purchase_interest_score, 0.5), 6), NULL
+FROM customer_tbl
+UNION ALL SELECT 'average_engagement', 'median', round(quantile_cont(average_engagement, 0.5), 6), NULL
+FROM customer_tbl
+UNION ALL SELECT 'platform_count', 'median', round(quantile_cont(CAST(platform_count AS DOUBLE), 0.5), 6), NULL
+FROM customer_tbl
+UNION ALL SELECT feature, 'most_frequent', NULL, v FROM modes
+""")
+
+sql("stratified_holdout", _SPLIT + """
+SELECT customer_id, product_category, split FROM split
+""")
+
+sql("stratified_folds", """
+SELECT customer_id, product_category,
+       CAST((row_number() OVER (PARTITION BY product_category
+                                ORDER BY md5('42' || customer_id), customer_id) - 1) % 2 AS INTEGER)
+         AS fold
+FROM customer_tbl
+""")
+
+_GROUP_FOLDS = """
+, grp AS (
+  SELECT group_id, person FROM (
+    SELECT group_id, person, row_number() OVER (PARTITION BY group_id ORDER BY n DESC, person) AS rn
+    FROM (SELECT group_id, person, count(*) AS n FROM samples GROUP BY 1, 2))
+  WHERE rn = 1),
+gr AS (
+  SELECT group_id, person,
+         (row_number() OVER (PARTITION BY person ORDER BY md5('42' || group_id), group_id) - 1) % 3
+           AS fold
+  FROM grp),
+gf AS (SELECT s.vec_id, s.group_id, s.person, CAST(g.fold AS INTEGER) AS fold
+       FROM samples s LEFT JOIN gr g ON s.group_id = g.group_id)
+"""
+sql("group_folds", _GROUP_FOLDS + "SELECT vec_id, group_id, person, fold FROM gf")
+
+sql("split_leakage", _GROUP_FOLDS + """
+SELECT fold, count(*) FILTER (WHERE nf > 1) AS n_leaked FROM (
+  SELECT group_id, fold, count(*) OVER (PARTITION BY group_id) AS nf
+  FROM (SELECT DISTINCT group_id, fold FROM gf))
+GROUP BY fold
+""")
+
+sql("missing_classes", _SPLIT + """
+SELECT DISTINCT product_category FROM split
+EXCEPT SELECT DISTINCT product_category FROM split WHERE split = 'test'
+""")
+
+sql("variants_union", """
+SELECT s.vec_id, s.person, CAST(v.variant_no AS INTEGER) AS variant_no,
+       'sample' || CAST(s.vec_id AS VARCHAR) || v.suffix || '.jpg' AS image_name
+FROM samples s CROSS JOIN (VALUES (0, ''), (1, '_gray'), (2, '_flip'), (3, '_rotate'))
+  v(variant_no, suffix)
+""")
+
+# ---------------------------------------------------------------- metrics
+sql("metrics_macro", """
+SELECT round(CAST(sum(tp) AS DOUBLE) / sum(support), 6) AS accuracy,
+       round(avg(precision), 6) AS precision_macro, round(avg(recall), 6) AS recall_macro,
+       round(avg(f1_score), 6) AS f1_macro, CAST(sum(support) AS BIGINT) AS n_rows
+FROM pm
+""")
+
+sql("metrics_weighted", """
+SELECT round(sum(precision * support) / sum(support), 6) AS precision_weighted,
+       round(sum(recall * support) / sum(support), 6) AS recall_weighted,
+       round(sum(f1_score * support) / sum(support), 6) AS f1_weighted
+FROM pm
+""")
+
+sql("class_report", """
+SELECT label, round(precision, 6) AS precision, round(recall, 6) AS recall,
+       round(f1_score, 6) AS f1_score, support FROM pm
+UNION ALL
+SELECT 'macro avg', round(avg(precision), 6), round(avg(recall), 6), round(avg(f1_score), 6),
+       CAST(sum(support) AS BIGINT) FROM pm
+UNION ALL
+SELECT 'weighted avg', round(sum(precision * support) / sum(support), 6),
+       round(sum(recall * support) / sum(support), 6),
+       round(sum(f1_score * support) / sum(support), 6), CAST(sum(support) AS BIGINT) FROM pm
+""")
+
+sql("confusion_dense", """
+SELECT a.label AS y_true, b.label AS y_pred, CAST(coalesce(cc.n, 0) AS BIGINT) AS n
+FROM lab a CROSS JOIN lab b LEFT JOIN cc ON cc.y_true = a.label AND cc.y_pred = b.label
+""")
+
+sql("log_loss", """
+SELECT round(avg(-ln(greatest(least(p, 1 - 2.220446049250313e-16), 2.220446049250313e-16))), 6)
+         AS log_loss,
+       CAST(NULL AS VARCHAR) AS undefined_reason, count(*) AS n_rows
+FROM (SELECT proba[list_position(['1-URGENT', '2-HIGH', '3-MEDIUM', '4-NOT SPECIFIED', '5-LOW'],
+                                 y_true)] AS p FROM pred)
+""")
+
+sql("roc_auc_ovr", """
+, lp AS (
+  SELECT p.y_true, l.label, p.proba[l.i] / list_sum(p.proba) AS score
+  FROM pred p CROSS JOIN (SELECT label, row_number() OVER (ORDER BY label) AS i FROM lab) l),
+rk AS (
+  SELECT label, score, y_true = label AS pos,
+         rank() OVER (PARTITION BY label ORDER BY score)
+           + (count(*) OVER (PARTITION BY label, score) - 1) / 2.0 AS midrank
+  FROM lp),
+per AS (
+  SELECT label, CAST(sum(CASE WHEN pos THEN 1 ELSE 0 END) AS BIGINT) AS n_pos,
+         CAST(count(*) - sum(CASE WHEN pos THEN 1 ELSE 0 END) AS BIGINT) AS n_neg,
+         sum(CASE WHEN pos THEN midrank ELSE 0 END) AS r_pos
+  FROM rk GROUP BY label),
+auc AS (
+  SELECT label, n_pos, n_neg,
+         CASE WHEN n_pos > 0 AND n_neg > 0
+              THEN (r_pos - n_pos * (n_pos + 1) / 2.0) / (n_pos * n_neg) END AS auc
+  FROM per)
+SELECT label, n_pos, n_neg, round(auc, 6) AS auc FROM auc
+UNION ALL SELECT 'macro avg', NULL, NULL, round(avg(auc), 6) FROM auc
+""")
+
+sql("fold_summary", """
+, pf AS (
+  SELECT *, CAST((row_number() OVER (PARTITION BY y_true
+                                     ORDER BY md5('42' || CAST(row_id AS VARCHAR)),
+                                              CAST(row_id AS VARCHAR)) - 1) % 2 AS INTEGER) AS fold
+  FROM pred),
+fcc AS (SELECT fold, y_true, y_pred, count(*) AS n FROM pf GROUP BY 1, 2, 3),
+flab AS (SELECT DISTINCT fold, y_true AS label FROM fcc UNION SELECT DISTINCT fold, y_pred FROM fcc),
+fpc AS (
+  SELECT l.fold, l.label,
+         (SELECT coalesce(sum(n), 0) FROM fcc WHERE fold = l.fold AND y_true = l.label AND y_pred = l.label) AS tp,
+         (SELECT coalesce(sum(n), 0) FROM fcc WHERE fold = l.fold AND y_true = l.label) AS support,
+         (SELECT coalesce(sum(n), 0) FROM fcc WHERE fold = l.fold AND y_pred = l.label) AS predicted
+  FROM flab l),
+fm AS (
+  SELECT fold, CAST(sum(tp) AS DOUBLE) / sum(support) AS accuracy,
+         avg(CASE WHEN support + predicted > 0
+                  THEN CAST(2 * tp AS DOUBLE) / CAST(support + predicted AS DOUBLE) ELSE 0.0 END) AS f1_macro
+  FROM fpc GROUP BY fold),
+lng AS (SELECT 'accuracy' AS metric, fold, accuracy AS value FROM fm
+        UNION ALL SELECT 'f1_macro', fold, f1_macro FROM fm)
+SELECT metric, fold, 'value' AS stat, round(value, 6) AS value FROM lng
+UNION ALL SELECT metric, CAST(NULL AS INTEGER), 'mean', round(avg(value), 6) FROM lng GROUP BY metric
+UNION ALL SELECT metric, CAST(NULL AS INTEGER), 'std', round(stddev_pop(value), 6) FROM lng GROUP BY metric
+""")
+
+# ---------------------------------------------------------------- verification
+sql("class_profile", """
+SELECT person, CAST(pos AS INTEGER) AS pos, round(c, 6) AS value FROM face_centroid
+""")
+
+sql("intra_class_max", """
+SELECT person, round(maxd, 6) AS max_intra_class_distance FROM face_maxd
+""")
+
+sql("open_set_gate", """
+SELECT vec_id, predicted, round(confidence, 6) AS confidence, round(distance, 6) AS distance,
+       CASE WHEN reject_reason IS NULL THEN predicted END AS person, reject_reason
+FROM face_gate
+""")
+
+sql("rejection_counts", """
+SELECT count(*) FILTER (WHERE confidence < 0.6) AS n_rejected_confidence,
+       count(*) FILTER (WHERE reject_reason IS NOT NULL) AS n_rejected_open_set,
+       count(*) AS n_rows
+FROM face_gate
+""")
+
+sql("attempt_decisions", """
+SELECT attempt_id, face_person, round(face_confidence, 6) AS face_confidence, voice_person,
+       round(voice_confidence, 6) AS voice_confidence, customer_id, outcome, granted
+FROM decisions
+""")
+
+sql("denial_audit", """
+SELECT outcome, count(*) AS attempts, count(*) FILTER (WHERE NOT granted) AS denied,
+       bool_and(NOT granted) AS all_denied
+FROM decisions GROUP BY outcome
+""")
+
+sql("attempt_trace", """
+, dc AS (SELECT d.*, c.product_category FROM decisions d
+         LEFT JOIN customer_tbl c ON c.customer_id = d.customer_id),
+st AS (
+  SELECT attempt_id,
+         CASE outcome
+           WHEN 'DENIED_FACE' THEN ['Start', 'Submit Face', 'Verify Face -> fail', 'Access Denied']
+           WHEN 'DENIED_VOICE' THEN ['Start', 'Submit Face', 'Verify Face -> pass', 'Submit Voice',
+                                     'Verify Voice -> fail', 'Access Denied']
+           WHEN 'DENIED_MISMATCH' THEN ['Start', 'Submit Face', 'Verify Face -> pass', 'Submit Voice',
+                                        'Verify Voice -> pass', 'Identity Check -> fail', 'Access Denied']
+           WHEN 'NO_CUSTOMER' THEN ['Start', 'Submit Face', 'Verify Face -> pass', 'Submit Voice',
+                                    'Verify Voice -> pass', 'Customer Link -> missing', 'Access Denied']
+           ELSE ['Start', 'Submit Face', 'Verify Face -> pass', 'Submit Voice', 'Verify Voice -> pass',
+                 'Run Product Recommendation',
+                 'Display Recommendation -> ' || coalesce(product_category, 'unknown')]
+         END AS steps
+  FROM dc)
+SELECT attempt_id, CAST(generate_subscripts(steps, 1) AS INTEGER) AS step_no, unnest(steps) AS step
+FROM st
+""")
+
+sql("granted_lookup", """
+SELECT customer_id, product_category, round(total_spent, 6) AS total_spent, purchase_count,
+       main_platform
+FROM customer_tbl WHERE customer_id IN (SELECT customer_id FROM decisions WHERE granted)
+""")
+
+sql("display_rows", """
+SELECT d.attempt_id, CASE WHEN d.granted THEN c.product_category END AS recommended_product,
+       CASE WHEN d.face_confidence BETWEEN 0 AND 1
+            THEN CAST(CAST(round_even(d.face_confidence * 100, 0) AS BIGINT) AS VARCHAR) || '%' END
+         AS confidence_percent,
+       CASE WHEN d.granted THEN 'Authenticated' ELSE 'Access Denied' END AS authentication_status,
+       strftime(c.last_purchase, '%Y-%m-%d %H:%M:%S') AS formatted_timestamp,
+       coalesce(d.face_confidence BETWEEN 0 AND 1, false) AS valid
+FROM decisions d LEFT JOIN customer_tbl c ON c.customer_id = d.customer_id
+""")
+
+# ---------------------------------------------------------------- state machine
+_FSM = """
+, ev AS (
+  SELECT user_id, day, event,
+         row_number() OVER (PARTITION BY user_id, day ORDER BY ts, event_id) AS rn
+  FROM fsm_ev),
+walk AS (
+  SELECT user_id, day, CAST(0 AS BIGINT) AS rn, 'IDLE' AS state, 'IDLE' AS hist,
+         CAST(NULL AS VARCHAR) AS prev_state, 0 AS n_tr
+  FROM (SELECT DISTINCT user_id, day FROM ev)
+  UNION ALL
+  SELECT w.user_id, w.day, e.rn, coalesce(t.nxt, w.state),
+         CASE WHEN t.nxt IS NULL THEN w.hist ELSE w.hist || '>' || t.nxt END,
+         CASE WHEN t.nxt IS NULL THEN w.prev_state ELSE w.state END,
+         w.n_tr + CASE WHEN t.nxt IS NULL THEN 0 ELSE 1 END
+  FROM walk w JOIN ev e ON e.user_id = w.user_id AND e.day = w.day AND e.rn = w.rn + 1
+       LEFT JOIN trans t ON t.state = w.state AND t.event = e.event),
+fin AS (
+  SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY user_id, day ORDER BY rn DESC) AS k
+                 FROM walk) WHERE k = 1),
+sess AS (
+  SELECT f.user_id, f.day, f.state AS final_state, f.rn AS n_events,
+         CAST(f.n_tr AS BIGINT) AS n_transitions, CAST(f.rn - f.n_tr AS BIGINT) AS n_illegal,
+         f.state IN ('ACCESS_DENIED', 'COMPLETED') AS is_terminal,
+         f.state = 'COMPLETED' AS granted,
+         CASE WHEN f.state = 'COMPLETED' THEN 'complete'
+              WHEN f.state = 'ACCESS_DENIED' THEN coalesce(
+                CASE f.prev_state WHEN 'FACE_VERIFICATION' THEN 'face'
+                     WHEN 'VOICE_VERIFICATION' THEN 'voice'
+                     WHEN 'RECOMMENDATION' THEN 'recommendation' END, 'face') END AS stage,
+         f.hist AS history
+  FROM fin f)
+"""
+sql_rec("fsm_replay", _FSM + "SELECT * FROM sess")
+sql_rec("fsm_illegal_events", _FSM + """
+SELECT user_id, day, final_state, n_illegal FROM sess WHERE n_illegal > 0
+""")
+sql_rec("fsm_allowed_events", _FSM + """
+SELECT s.final_state, s.user_id, s.day, t.event AS allowed_event,
+       s.final_state IN ('ACCESS_DENIED', 'COMPLETED') AS is_terminal
+FROM sess s LEFT JOIN trans t ON t.state = s.final_state
+""")

@@ -122,6 +122,133 @@ customer_tbl AS (
 """
 
 
-def with_roles(body: str) -> str:
+def with_roles(body: str, recursive: bool = False) -> str:
     """Prefix a query body with the role CTEs (DuckDB inlines only those referenced)."""
-    return "WITH " + ROLE_CTES.strip() + "\n" + body
+    head = "WITH RECURSIVE " if recursive else "WITH "
+    return head + ROLE_CTES.strip() + ",\n" + SAMPLE_CTES.strip() + "\n" + body
+
+
+def _modality(name: str, offset: int, dims: int = 32) -> str:
+    """Long form, scaler, centroids, distances and gate of one sample modality."""
+    return f"""
+{name}_long AS (
+  SELECT s.vec_id, s.person, r.pos, CAST(s.emb[r.pos + {offset + 1}] AS DOUBLE) AS x
+  FROM samples s CROSS JOIN range(0, {dims}) r(pos)),
+{name}_stats AS (
+  SELECT pos, avg(x) AS mean,
+         CASE WHEN stddev_pop(x) = 0 THEN 1.0 ELSE stddev_pop(x) END AS std
+  FROM {name}_long GROUP BY pos),
+{name}_scaled AS (
+  SELECT l.vec_id, l.person, l.pos, (l.x - s.mean) / s.std AS x
+  FROM {name}_long l JOIN {name}_stats s ON l.pos = s.pos),
+{name}_centroid AS (
+  SELECT person, pos, avg(x) AS c FROM {name}_scaled GROUP BY person, pos),
+{name}_maxd AS (
+  SELECT person, max(d) AS maxd FROM (
+    SELECT s.vec_id, s.person, sqrt(sum((s.x - c.c) * (s.x - c.c))) AS d
+    FROM {name}_scaled s JOIN {name}_centroid c ON s.person = c.person AND s.pos = c.pos
+    GROUP BY s.vec_id, s.person)
+  GROUP BY person),
+{name}_d2 AS (
+  SELECT s.vec_id, c.person AS cls, sum((s.x - c.c) * (s.x - c.c)) AS d2
+  FROM {name}_scaled s JOIN {name}_centroid c ON s.pos = c.pos GROUP BY s.vec_id, c.person),
+{name}_soft AS (
+  SELECT vec_id, cls, d2, exp(min(d2) OVER (PARTITION BY vec_id) - d2) AS e FROM {name}_d2),
+{name}_prob AS (
+  SELECT vec_id, cls, d2, e / sum(e) OVER (PARTITION BY vec_id) AS p FROM {name}_soft),
+{name}_gate AS (
+  SELECT k.vec_id, k.cls AS predicted, k.p AS confidence, sqrt(k.d2) AS distance,
+         CASE WHEN k.p < 0.6 THEN 'low_confidence'
+              WHEN sqrt(k.d2) > m.maxd * 1.5 THEN 'outside_class_radius' END AS reject_reason
+  FROM (SELECT *, row_number() OVER (PARTITION BY vec_id ORDER BY p DESC, cls) AS rn
+        FROM {name}_prob) k
+  JOIN {name}_maxd m ON m.person = k.cls
+  WHERE k.rn = 1)"""
+
+
+SAMPLE_CTES = r"""
+samples AS (
+  SELECT vec_id, CAST(label AS VARCHAR) AS person,
+         CAST(label AS VARCHAR) || '_' || CAST(vec_id % 5 AS VARCHAR) AS group_id,
+         embedding AS emb
+  FROM embeddings),
+""" + _modality("face", 0) + ",\n" + _modality("voice", 32) + r""",
+attempts AS (
+  SELECT vec_id AS attempt_id, vec_id AS face_vec, person AS claimed_person,
+         (vec_id * 7 + 3) % (SELECT count(*) FROM samples) AS voice_vec
+  FROM samples),
+ident AS (
+  SELECT DISTINCT person, 'a' || CAST(CAST(person AS BIGINT) * 17 AS VARCHAR) AS customer_id
+  FROM samples
+  WHERE 'a' || CAST(CAST(person AS BIGINT) * 17 AS VARCHAR) IN (SELECT customer_id FROM soc)),
+face_res AS (
+  SELECT a.attempt_id, CASE WHEN g.reject_reason IS NULL THEN g.predicted END AS person,
+         g.confidence
+  FROM attempts a JOIN face_gate g ON g.vec_id = a.face_vec),
+voice_res AS (
+  SELECT a.attempt_id, CASE WHEN g.reject_reason IS NULL THEN g.predicted END AS person,
+         g.confidence
+  FROM attempts a JOIN voice_gate g ON g.vec_id = a.voice_vec),
+dec0 AS (
+  SELECT f.attempt_id, f.person AS face_person, f.confidence AS face_confidence,
+         CASE WHEN f.person IS NOT NULL THEN v.person END AS voice_person,
+         CASE WHEN f.person IS NOT NULL THEN v.confidence END AS voice_confidence,
+         i.customer_id AS linked,
+         CASE WHEN f.person IS NULL THEN 'DENIED_FACE'
+              WHEN v.person IS NULL THEN 'DENIED_VOICE'
+              WHEN f.person <> v.person THEN 'DENIED_MISMATCH'
+              WHEN i.customer_id IS NULL THEN 'NO_CUSTOMER'
+              ELSE 'GRANTED' END AS outcome
+  FROM face_res f LEFT JOIN voice_res v ON f.attempt_id = v.attempt_id
+       LEFT JOIN ident i ON i.person = f.person),
+decisions AS (
+  SELECT attempt_id, face_person, face_confidence, voice_person, voice_confidence,
+         CASE WHEN outcome IN ('NO_CUSTOMER', 'GRANTED') THEN linked END AS customer_id,
+         outcome, outcome = 'GRANTED' AS granted
+  FROM dec0),
+scored AS (
+  SELECT o_orderkey AS row_id, o_orderpriority AS y_true,
+         [r0 / tot, r1 / tot, r2 / tot, r3 / tot, r4 / tot] AS proba
+  FROM (SELECT *, r0 + r1 + r2 + r3 + r4 AS tot FROM (
+    SELECT o_orderkey, o_orderpriority,
+           CAST((o_orderkey * 3) % 97 + 1 AS DOUBLE) AS r0,
+           CAST((o_orderkey * 4) % 97 + 1 AS DOUBLE) AS r1,
+           CAST((o_orderkey * 5) % 97 + 1 AS DOUBLE) AS r2,
+           CAST((o_orderkey * 6) % 97 + 1 AS DOUBLE) AS r3,
+           CAST((o_orderkey * 7) % 97 + 1 AS DOUBLE) AS r4
+    FROM orders))),
+pred AS (
+  SELECT row_id, y_true, proba,
+         ['1-URGENT', '2-HIGH', '3-MEDIUM', '4-NOT SPECIFIED', '5-LOW'][
+           list_position(proba, list_max(proba))] AS y_pred
+  FROM scored),
+lab(label) AS (VALUES ('1-URGENT'), ('2-HIGH'), ('3-MEDIUM'), ('4-NOT SPECIFIED'), ('5-LOW')),
+cc AS (SELECT y_true, y_pred, count(*) AS n FROM pred GROUP BY 1, 2),
+pc AS (
+  SELECT l.label,
+         (SELECT coalesce(sum(n), 0) FROM cc WHERE y_true = l.label AND y_pred = l.label) AS tp,
+         (SELECT coalesce(sum(n), 0) FROM cc WHERE y_true = l.label) AS support,
+         (SELECT coalesce(sum(n), 0) FROM cc WHERE y_pred = l.label) AS predicted
+  FROM lab l),
+pm AS (
+  SELECT label, CAST(tp AS BIGINT) AS tp, CAST(support AS BIGINT) AS support,
+         CAST(predicted AS BIGINT) AS predicted,
+         CASE WHEN predicted > 0 THEN CAST(tp AS DOUBLE) / CAST(predicted AS DOUBLE) ELSE 0.0 END AS precision,
+         CASE WHEN support > 0 THEN CAST(tp AS DOUBLE) / CAST(support AS DOUBLE) ELSE 0.0 END AS recall,
+         CASE WHEN support + predicted > 0
+              THEN CAST(2 * tp AS DOUBLE) / CAST(support + predicted AS DOUBLE) ELSE 0.0 END AS f1_score
+  FROM pc),
+fsm_ev AS (
+  SELECT user_id, CAST(ts AS DATE) AS day, ts, event_id,
+         CASE event_type WHEN 'signup' THEN 'START' WHEN 'view' THEN 'VERIFICATION_PASSED'
+              WHEN 'error' THEN 'VERIFICATION_FAILED' WHEN 'purchase' THEN 'RECOMMENDATION_READY'
+              WHEN 'click' THEN 'CLICK' ELSE upper(event_type) END AS event
+  FROM events),
+trans(state, event, nxt) AS (VALUES
+  ('IDLE', 'START', 'FACE_VERIFICATION'),
+  ('FACE_VERIFICATION', 'VERIFICATION_PASSED', 'VOICE_VERIFICATION'),
+  ('FACE_VERIFICATION', 'VERIFICATION_FAILED', 'ACCESS_DENIED'),
+  ('VOICE_VERIFICATION', 'VERIFICATION_PASSED', 'RECOMMENDATION'),
+  ('VOICE_VERIFICATION', 'VERIFICATION_FAILED', 'ACCESS_DENIED'),
+  ('RECOMMENDATION', 'RECOMMENDATION_READY', 'COMPLETED'))
+"""
