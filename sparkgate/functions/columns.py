@@ -16,9 +16,13 @@ def _c(c) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
+# Fixed value: the whitespace set removed by ``str.strip()`` for ASCII text.
+WHITESPACE = " \t\n\r\x0b\x0c"
+
+
 def strip_lower(c) -> Column:
-    """``str(x).strip().lower()``: trims every kind of leading/trailing whitespace."""
-    return F.lower(F.regexp_replace(_c(c).cast("string"), r"^\s+|\s+$", ""))
+    """``str(x).strip().lower()``: trims every ASCII whitespace kind, not only spaces."""
+    return F.lower(F.trim(_c(c).cast("string"), F.lit(WHITESPACE)))
 
 
 def normalize_key(c) -> Column:

@@ -47,7 +47,7 @@ def clean_profiles(raw: DataFrame, exact: bool = True) -> DataFrame:
     """Normalise -> distinct -> fill: categoricals ``unknown``, numerics with the median
     of the deduplicated table (P6). The medians are two scalars (bounded)."""
     d = distinct_keep_first(normalize_profiles(raw))
-    med = quantile_values(d, ["engagement_score", "purchase_interest_score"], [0.5], exact)
+    med = median_fill_values(d, ["engagement_score", "purchase_interest_score"], exact)
     return d.select(
         "customer_id",
         normalize_category("social_media_platform").alias("social_media_platform"),
@@ -60,6 +60,15 @@ def clean_profiles(raw: DataFrame, exact: bool = True) -> DataFrame:
         "src_ord")
 
 
+def median_fill_values(df: DataFrame, cols: list[str], exact: bool = True) -> dict:
+    """P6 medians, computed only for columns that have a NULL to fill (one cheap
+    counting pass first; the order-statistic job runs only when needed)."""
+    counts = df.agg(*[F.count_if(F.col(c).isNull()).alias(c) for c in cols]).first()
+    need = [c for c in cols if counts[c]]
+    med = quantile_values(df, need, [0.5], exact) if need else {}
+    return {c: med.get(c, [None]) for c in cols}
+
+
 def normalize_transactions(raw: DataFrame) -> DataFrame:
     """Key normalised, then T1 on raw values, then P3/P4 coercion and category lower."""
     keyed = raw.withColumn("customer_id", normalize_key("customer_id"))

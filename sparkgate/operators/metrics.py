@@ -126,8 +126,10 @@ def roc_auc_ovr(pred: DataFrame, labels: list[str], y="y_true", proba="proba") -
     mask = F.array(*[F.lit(x in pres) for x in labels])
     tot = F.aggregate(F.zip_with(F.col("_pr"), mask, lambda v, m: F.when(m, v).otherwise(0.0)),
                       F.lit(0.0), lambda a, b: a + b)
-    rows = with_row.select("_y", F.posexplode(F.zip_with(
-        F.col("_pr"), mask, lambda v, m: F.when(m, v / tot))).alias("_i", "score"))
+    with_row = with_row.withColumn("_tot", F.array_repeat(tot, F.size("_pr")))
+    cut = F.zip_with(F.zip_with(F.col("_pr"), mask, lambda v, m: F.when(m, v)), F.col("_tot"),
+                     lambda v, t: v / t)
+    rows = with_row.select("_y", F.posexplode(cut).alias("_i", "score"))
     rows = rows.where(F.col("score").isNotNull()).withColumn(
         "label", F.element_at(lab, (F.col("_i") + 1).cast("int")))
     vc = rows.groupBy("label", "score").agg(

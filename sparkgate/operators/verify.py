@@ -67,13 +67,21 @@ def profile_literal(profile: list[tuple[str, list[float], float]]) -> Column:
                      for name, c, m in profile])
 
 
-def distance_scores(vec: Column, prof: Column) -> Column:
-    """Default scorer: softmax of the negative squared distances to the centroids."""
-    d2 = F.transform(prof, lambda p: sq_distance(vec, p["centroid"]))
-    m = F.array_min(d2)
-    e = F.transform(d2, lambda v: F.exp(m - v))
-    s = F.aggregate(e, F.lit(0.0), lambda a, b: a + b)
-    return F.transform(e, lambda v: v / s)
+def _broadcast_scalar(arr: Column, scalar: Column) -> Column:
+    """Pair every element with a per-row scalar outside the lambda (a scalar referenced
+    inside a lambda body would be re-evaluated for every element)."""
+    return F.array_repeat(scalar, F.size(arr))
+
+
+def sq_distances(vec: Column, prof: Column) -> Column:
+    """Squared distance of ``vec`` to every centroid of the profile."""
+    return F.transform(prof, lambda p: sq_distance(vec, p["centroid"]))
+
+
+def softmax_neg(d2: Column) -> Column:
+    """Softmax of the negative squared distances (shifted by the minimum)."""
+    e = F.zip_with(d2, _broadcast_scalar(d2, F.array_min(d2)), lambda v, m: F.exp(m - v))
+    return e
 
 
 def open_set_gate(df: DataFrame, vec_col: str, profile: list[tuple[str, list[float], float]],
@@ -82,27 +90,35 @@ def open_set_gate(df: DataFrame, vec_col: str, profile: list[tuple[str, list[flo
     """V4 = W4 -> V1 -> V3: adds ``predicted`` (argmax class), ``confidence``,
     ``distance``, ``person`` (NULL when rejected) and ``reject_reason``.
 
-    ``proba`` may come from any model (pluggable scorer, U2); by default the
-    distance softmax is used. Confidence >= threshold passes; a distance strictly
-    greater than max_dist x margin rejects."""
+    ``proba`` may come from any model (pluggable scorer, U2); by default the softmax
+    of the negative squared distances is used. Confidence >= threshold passes; a
+    distance strictly greater than max_dist x margin rejects. Each intermediate
+    array is its own column so no lambda re-evaluates another array."""
     prof = profile_literal(profile)
-    p = proba if proba is not None else distance_scores(F.col(vec_col), prof)
-    out = df.withColumn("_p", p).withColumn("_i", argmax("_p"))
-    pick = F.element_at(prof, F.col("_i") + 1)
-    out = (out.withColumn("predicted", pick["label"])
+    out = df.withColumn("_d2", sq_distances(F.col(vec_col), prof))
+    if proba is None:
+        out = out.withColumn("_e", softmax_neg(F.col("_d2")))
+        out = out.withColumn("_s", F.aggregate("_e", F.lit(0.0), lambda a, b: a + b))
+        out = out.withColumn("_p", F.zip_with("_e", _broadcast_scalar(F.col("_e"), F.col("_s")),
+                                              lambda v, s: v / s))
+    else:
+        out = out.withColumn("_p", proba)
+    out = out.withColumn("_i", argmax("_p"))
+    out = out.withColumn("_pick", F.element_at(prof, F.col("_i") + 1))
+    out = (out.withColumn("predicted", F.col("_pick")["label"])
               .withColumn("confidence", F.element_at("_p", F.col("_i") + 1))
-              .withColumn("distance", l2_distance(F.col(vec_col), pick["centroid"]))
-              .withColumn("_allowed", pick["max_dist"] * F.lit(float(margin))))
+              .withColumn("distance", F.sqrt(F.element_at("_d2", F.col("_i") + 1)))
+              .withColumn("_allowed", F.col("_pick")["max_dist"] * F.lit(float(margin))))
     missing = F.col(vec_col).isNull()
     low = F.col("confidence") < F.lit(float(threshold))
     far = (F.col("distance") > F.col("_allowed")) if use_distance else F.lit(False)
     reason = (F.when(missing, F.lit(REASON_NO_SAMPLE)).when(low, F.lit(REASON_LOW_CONFIDENCE))
               .when(far, F.lit(REASON_TOO_FAR)))
     return (out.withColumn("reject_reason", reason)
-               .withColumn("person", F.when(reason.isNull(), F.col("predicted")))
+               .withColumn("person", F.when(F.col("reject_reason").isNull(), F.col("predicted")))
                .withColumn("confidence", F.when(missing, F.lit(0.0))
                            .otherwise(F.col("confidence")))
-               .drop("_p", "_i", "_allowed"))
+               .drop("_d2", "_e", "_s", "_p", "_i", "_pick", "_allowed"))
 
 
 def confidence_label(df: DataFrame, threshold: float = UNKNOWN_THRESHOLD) -> DataFrame:

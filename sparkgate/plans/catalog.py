@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, FloatType
 
-from ..functions.columns import stable_round
+from ..functions.columns import normalize_key, stable_round
 from ..operators import clean as C
 from ..operators import features as FE
 from ..operators import quality as Q
@@ -421,7 +421,10 @@ def decisions(spark, sf) -> DataFrame:
     vin = (att.join(passed, "attempt_id", "left_semi")
            .join(vs.select(F.col("vec_id").alias("voice_vec"), "x"), "voice_vec"))
     voice = V.open_set_gate(vin, "x", vprof).select("attempt_id", "person", "confidence")
-    ident = R.identity_map(spark, sf, customers(spark, sf))
+    # the customer keys of the feature table are the normalised profile keys
+    keys = R.profiles_raw(spark, sf).select(
+        normalize_key("customer_id").alias("customer_id")).distinct()
+    ident = R.identity_map(spark, sf, keys)
     return D.attempt_decisions(face, voice, ident)
 
 
