@@ -18,6 +18,7 @@ from ..operators import clean as C
 from ..operators import features as FE
 from ..operators import quality as Q
 from ..operators import decide as D
+from ..session import checkpoint_dir
 from . import roles as R
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
@@ -485,3 +486,108 @@ def fsm_illegal_events(spark, sf):
 @query
 def fsm_allowed_events(spark, sf):
     return FSM.allowed_events(fsm_sessions(spark, sf).select("user_id", "day", "final_state"))
+
+
+# ---------------------------------------------------------------- model training (rows-only)
+from ..operators import ml_train as MT  # noqa: E402
+
+PRODUCT_NUMERIC = ["engagement_score", "purchase_interest_score", "average_engagement",
+                   "platform_count"]
+PRODUCT_CATEGORICAL = ["review_sentiment", "main_platform"]
+
+
+def product_model(spark, sf):
+    """M7 fitted on the training part of the stratified holdout (leaky columns dropped)."""
+    # iterative fitting re-reads its input many times: cut the lineage once with a
+    # reliable checkpoint in the shared checkpoint folder
+    checkpoint_dir(spark)
+    s = customers_split(spark, sf)
+    feats = C.drop_if_present(s, ML.TRANSACTION_LEAK_COLS).checkpoint(eager=True)
+    lm = MT.label_indexer(feats, "product_category")
+    train = feats.where(F.col("split") == "train")
+    test = feats.where(F.col("split") == "test")
+    train, test = MT.fill_most_frequent(train, [train, test], PRODUCT_CATEGORICAL)
+    model = MT.fit_product_model(train, "product_category", PRODUCT_NUMERIC,
+                                 PRODUCT_CATEGORICAL, lm)
+    return model, lm, train, test
+
+
+@query
+def train_rf_category(spark, sf):
+    """Holdout predictions of the product-category forest."""
+    model, lm, _, test = product_model(spark, sf)
+    p = MT.predict_labels(model, test, lm.labels)
+    return round_doubles(p.select("customer_id", "product_category", "predicted", "confidence"))
+
+
+@query
+def feature_importance(spark, sf):
+    """Named forest importances, descending."""
+    model, _, _, _ = product_model(spark, sf)
+    return round_doubles(MT.feature_importances(model, spark))
+
+
+def identity_frame(spark, sf) -> DataFrame:
+    checkpoint_dir(spark)
+    return SP.group_folds(scaled_samples(spark, sf, "face"), "person", "group_id", k=3) \
+        .checkpoint(eager=True)
+
+
+@query
+def train_lr_identity(spark, sf):
+    """M8 + M11 + M12: grouped 3-fold cross-validation of the identity model."""
+    df = identity_frame(spark, sf)
+    lm = MT.label_indexer(df, "person")
+
+    def fit(train):
+        return MT.fit_identity_model(train, "x", "person", lm)
+
+    def predict(model, part):
+        return MT.predict_labels(model, part.withColumn(
+            "features", MT.array_to_vector("x")), lm.labels)
+    per = MT.cross_validate(df, "fold", fit, predict, "person")
+    return round_doubles(per)
+
+
+@query
+def open_set_identify_lr(spark, sf):
+    """M14 + V4: refit on all rows, gate LR probabilities with the distance rule."""
+    checkpoint_dir(spark)
+    df = scaled_samples(spark, sf, "face").checkpoint(eager=True)
+    lm = MT.label_indexer(df, "person")
+    model = MT.fit_identity_model(df, "x", "person", lm)
+    prof = fitted_profile(df)
+    order = [p[0] for p in prof]
+    if order != list(lm.labels):
+        raise ValueError("label order of the model and the profile differ")
+    scored = model.transform(df.withColumn("features", MT.array_to_vector("x")))
+    g = V.open_set_gate(scored, "x", prof, proba=MT.vector_to_array("probability"))
+    return round_doubles(g.select("vec_id", "predicted", "confidence", "distance", "person",
+                                  "reject_reason"))
+
+
+@query
+def recommend_granted(spark, sf):
+    """V6: product category predicted for the customers of granted attempts only."""
+    model, lm, _, _ = product_model(spark, sf)
+    granted = decisions(spark, sf).where("granted").select("attempt_id", "customer_id")
+    feats = C.drop_if_present(customers(spark, sf), ML.TRANSACTION_LEAK_COLS)
+    rows = granted.join(feats, "customer_id", "left")
+    p = MT.predict_labels(model, rows, lm.labels)
+    return round_doubles(p.select("attempt_id", "customer_id", "predicted", "confidence"))
+
+
+# ---------------------------------------------------------------- streaming (rows-only)
+from ..streaming import fsm_stream as FS  # noqa: E402
+
+
+@query
+def fsm_stream(spark, sf):
+    """The state machine as a stateful stream over the events table; the final
+    state per session (last output row) equals ``fsm_replay``."""
+    out = FS.run_events_stream(spark, sf)
+    last = out.groupBy("user_id", "day").agg(
+        F.max_by(F.struct("to_state", "n_events"), F.col("n_events")).alias("r"),
+        F.count_if(~F.col("legal")).alias("n_illegal"))
+    return last.select("user_id", "day", F.col("r.to_state").alias("final_state"),
+                       F.col("r.n_events").alias("n_events"), "n_illegal")
