@@ -117,3 +117,38 @@ def min_class_check(df: DataFrame, label: str, minimum: int = 2) -> DataFrame:
         F.lit(f"min_{minimum}_classes").alias("check"),
         (F.col("observed") >= minimum).alias("passed"),
         F.col("observed").cast("bigint").alias("observed"))
+
+
+# Fixed values of sample triage (Q10): supported extensions, file-header magic
+# numbers (hex) and the user-safe messages.
+IMAGE_EXTENSIONS = ["png", "jpg", "jpeg", "gif", "bmp"]
+AUDIO_EXTENSIONS = ["wav"]
+IMAGE_MAGIC_HEX = ["89504E47", "FFD8FF", "474946383761", "474946383961", "424D", "52494646"]
+AUDIO_MAGIC_HEX = ["52494646"]
+TRIAGE_MESSAGES = {
+    "missing": "The requested file could not be found.",
+    "invalid_path": "The file path provided is not valid.",
+    "unsupported_format": "That file format is not supported.",
+    "corrupted": "The file appears to be corrupted and could not be read.",
+}
+
+
+def triage_samples(df: DataFrame, path_col: str, content_col: str, kind: str = "image"
+                   ) -> DataFrame:
+    """Q10: classify each submitted sample as ok / invalid_path / missing /
+    unsupported_format / corrupted (header magic), with the user-safe message.
+    ``content`` NULL means the file does not exist."""
+    exts = IMAGE_EXTENSIONS if kind == "image" else AUDIO_EXTENSIONS
+    magic = IMAGE_MAGIC_HEX if kind == "image" else AUDIO_MAGIC_HEX
+    p = F.col(path_col)
+    ext = F.lower(F.regexp_extract(p, r"\.([^./]+)$", 1))
+    head = F.upper(F.hex(F.substring(F.col(content_col), 1, 8)))
+    bad_path = p.isNull() | (F.trim(p) == "") | p.endswith("/")
+    known_header = F.lit(False)
+    for m in magic:
+        known_header = known_header | head.startswith(m)
+    status = (F.when(bad_path, "invalid_path").when(F.col(content_col).isNull(), "missing")
+              .when(~ext.isin(*exts), "unsupported_format")
+              .when(~known_header, "corrupted").otherwise("ok"))
+    msg = F.create_map(*[x for k, v in TRIAGE_MESSAGES.items() for x in (F.lit(k), F.lit(v))])
+    return df.withColumn("status", status).withColumn("message", F.element_at(msg, status))

@@ -591,3 +591,48 @@ def fsm_stream(spark, sf):
         F.count_if(~F.col("legal")).alias("n_illegal"))
     return last.select("user_id", "day", F.col("r.to_state").alias("final_state"),
                        F.col("r.n_events").alias("n_events"), "n_illegal")
+
+
+# ---------------------------------------------------------------- media and triage
+from ..operators import media as MD  # noqa: E402
+
+
+@query
+def sample_triage(spark, sf):
+    """Q10 over the page table taken as submitted samples: path from the URL (query
+    and fragment removed), content = page bytes."""
+    pg = R.read_table(spark, sf, "pages").select(
+        "page_id", F.regexp_replace("url", r"[?#].*$", "").alias("path"),
+        F.encode("html", "UTF-8").alias("content"))
+    return Q.triage_samples(pg, "path", "content").select("page_id", "path", "status",
+                                                          "message")
+
+
+@query
+def media_audio_features(spark, sf):
+    """A clip per voice sample synthesised in Spark from its vector, four
+    variants each, 17 features per variant."""
+    s = R.samples(spark, sf)
+    clips = s.select(F.col("vec_id").cast("string").alias("clip_id"), "person",
+                     F.concat(F.lit("phrase"), (F.col("vec_id") % 5).cast("string"))
+                     .alias("phrase"), F.lit(MD.SAMPLE_RATE).alias("sr"),
+                     MD.tone_clips(s, "voice").alias("samples"))
+    return round_doubles(MD.audio_feature_table(clips))
+
+
+@query
+def media_image_variants(spark, sf):
+    """An 8x8 BGR image per sample built in Spark from its vector, four
+    variants (with checksums), and the first orientation where the stand-in encoder
+    finds a face."""
+    e = R.read_table(spark, sf, "embeddings").select(
+        F.col("vec_id").cast("string").alias("image_id"),
+        F.col("label").cast("string").alias("person"), F.lit("neutral").alias("emotion"),
+        F.transform("embedding", lambda v: v.cast("double") * 4).alias("_v"))
+    imgs = MD.grid_images(e, "_v").drop("_v")
+    var = MD.image_variant_table(imgs)
+    found, _ = MD.first_encoding(MD.orientation_candidates(imgs), MD.brightness_encoder)
+    return var.join(found.select("image_id", F.col("rotation").alias("face_rotation")),
+                    "image_id", "left").select(
+        "image_id", "person", "variant", "height", "width", "nChannels",
+        F.md5("data").alias("checksum"), "face_rotation")

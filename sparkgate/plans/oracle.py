@@ -592,3 +592,30 @@ SELECT s.final_state, s.user_id, s.day, t.event AS allowed_event,
        s.final_state IN ('ACCESS_DENIED', 'COMPLETED') AS is_terminal
 FROM sess s LEFT JOIN trans t ON t.state = s.final_state
 """)
+
+sql("sample_triage", """
+, pg AS (SELECT page_id, regexp_replace(url, '[?#].*$', '') AS path, html FROM pages),
+t AS (
+  SELECT page_id, path,
+         lower(regexp_extract(path, '\\.([^./]+)$', 1)) AS ext,
+         upper(hex(encode(substr(html, 1, 8)))) AS head, html
+  FROM pg)
+SELECT page_id, path,
+       CASE WHEN path IS NULL OR trim(path) = '' OR ends_with(path, '/') THEN 'invalid_path'
+            WHEN html IS NULL THEN 'missing'
+            WHEN ext NOT IN ('png', 'jpg', 'jpeg', 'gif', 'bmp') THEN 'unsupported_format'
+            WHEN NOT (starts_with(head, '89504E47') OR starts_with(head, 'FFD8FF')
+                      OR starts_with(head, '474946383761') OR starts_with(head, '474946383961')
+                      OR starts_with(head, '424D') OR starts_with(head, '52494646')) THEN 'corrupted'
+            ELSE 'ok' END AS status,
+       CASE WHEN path IS NULL OR trim(path) = '' OR ends_with(path, '/')
+              THEN 'The file path provided is not valid.'
+            WHEN html IS NULL THEN 'The requested file could not be found.'
+            WHEN ext NOT IN ('png', 'jpg', 'jpeg', 'gif', 'bmp') THEN 'That file format is not supported.'
+            WHEN NOT (starts_with(head, '89504E47') OR starts_with(head, 'FFD8FF')
+                      OR starts_with(head, '474946383761') OR starts_with(head, '474946383961')
+                      OR starts_with(head, '424D') OR starts_with(head, '52494646'))
+              THEN 'The file appears to be corrupted and could not be read.'
+            ELSE NULL END AS message
+FROM t
+""")
