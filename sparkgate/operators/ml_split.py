@@ -2,7 +2,7 @@
 M11 (stratified group k-fold), Q7 (disjointness).
 
 Membership is decided by the rank of ``md5(seed || id)`` inside each class,
-computed with ``rows_before`` (range-partitioned), so a class holding a large
+computed with ``rows_before`` (bucketed by sketch cut points), so a class holding a large
 share of the rows is never sorted in a single task.
 """
 
@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .ranking import rows_before
+from .ranking import hex_order_proxy, rows_before
 
 SEED = "42"
 
@@ -43,8 +43,8 @@ def holdout_sizes(df: DataFrame, label: str, test_frac: float = 0.2) -> DataFram
 def class_rank(df: DataFrame, label: str, id_col: str, seed: str = SEED) -> DataFrame:
     """0-based rank of md5(seed || id) within the class (ties broken by id)."""
     h = df.withColumn("_h", _hash(id_col, seed)).withColumn("_tie", F.col(id_col).cast("string"))
-    return rows_before(h, [label], ["_h", "_tie"]).withColumnRenamed("_before", "_rank").drop(
-        "_h", "_tie", "_group_total")
+    r = rows_before(h, [label], ["_h", "_tie"], order_proxy=hex_order_proxy("_h"))
+    return r.withColumnRenamed("_before", "_rank").drop("_h", "_tie", "_group_total")
 
 
 def stratified_holdout(df: DataFrame, label: str, id_col: str, test_frac: float = 0.2,

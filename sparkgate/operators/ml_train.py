@@ -116,10 +116,12 @@ def _vector_names(model: PipelineModel, col: str, n: int) -> list[str]:
 
 
 def logistic_regression(sum_weights: float, c: float = LR_C) -> LogisticRegression:
-    """M8: L2 with the regularisation of C on weighted rows: regParam = 1 / (C * sum w)."""
+    """M8: L2 with the regularisation of C on weighted rows: regParam = 1 / (C * sum w).
+    Binomial for two classes, multinomial otherwise (a multinomial fit of two classes
+    would penalise both coefficient vectors, i.e. half the intended strength)."""
     return LogisticRegression(featuresCol="features", labelCol="label", weightCol="weight",
                               maxIter=LR_MAX_ITER, tol=LR_TOL, regParam=1.0 / (c * sum_weights),
-                              elasticNetParam=0.0, standardization=False, family="multinomial")
+                              elasticNetParam=0.0, standardization=False, family="auto")
 
 
 def fit_identity_model(train: DataFrame, vec_col: str, label: str, label_model=None):

@@ -3,7 +3,7 @@
 ``percentile(c, q)`` in Spark merges one map of every distinct value in a single
 final task. Here the exact order statistics are found in a distributed way:
 ``(key, value) -> count`` with map-side combine (a hot value collapses early),
-then ``rows_before`` (range-partitioned running counts) gives every distinct
+then ``rows_before`` (bucketed running counts) gives every distinct
 value its rank interval, and the values covering the wanted ranks are reduced to
 one row per key.
 
@@ -26,13 +26,13 @@ def _stacked(df: DataFrame, cols: list[str], key: str = "k") -> DataFrame:
         F.col("v").isNotNull())
 
 
-def grouped_exact_quantiles(df: DataFrame, keys: list[str], value: str, qs: list[float],
-                            bounded_groups: bool = True) -> DataFrame:
+def grouped_exact_quantiles(df: DataFrame, keys: list[str], value: str,
+                            qs: list[float]) -> DataFrame:
     """Exact interpolated quantiles of ``value`` per group: ``(*keys, q0, q1, ...)``."""
     vc = (df.where(F.col(value).isNotNull()).groupBy(*keys, F.col(value).cast("double")
                                                       .alias("v"))
           .agg(F.count(F.lit(1)).alias("c")))
-    g = rows_before(vc, keys, "v", "c", bounded_groups=bounded_groups)
+    g = rows_before(vc, keys, "v", "c")
     aggs = []
     for i, q in enumerate(qs):
         pos = F.lit(float(q)) * (F.col("_group_total") - 1)

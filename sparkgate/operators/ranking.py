@@ -5,50 +5,67 @@ rows of the same group with a strictly smaller position in ``value`` order, plus
 ``_group_total``. It is the building block for exact quantiles, per-class
 stratified sampling, round-robin fold assignment and mid-ranks.
 
-Plan: range-partition on (keys, value) (sampled bounds split a hot group over many
-ranges) and checkpoint that layout once, a running sum inside each (range, group),
-per-(group, range) totals and their prefix sums, joined back. Only one row per (group, range) is ever gathered;
-that table is broadcast when the number of groups is known to be bounded
-(classes, column names).
-
-Values must be unique within a group (pre-aggregate repeated values into a
-weight, or add a unique tie-breaker to ``value``).
+Plan:
+
+1. per group, ``percentile_approx`` of a numeric order proxy gives ``B - 1`` cut
+   points (one mergeable-sketch pass; bounded result: groups x B values);
+2. every row gets ``bucket = #cut points < proxy`` — a pure function of the row, so
+   every consumer sees the same layout (no sampling-dependent partition ids, no
+   materialisation) and a hot group is spread over B buckets;
+3. per-(group, bucket) totals and their prefix sums (a groups x B table, broadcast)
+   plus a running sum inside each (group, bucket) give the global rank.
+
+Groups must be bounded (classes, column names). Values must be unique within a group
+(pre-aggregate repeated values into a weight, or add a unique tie-breaker).
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..session import checkpoint_dir
+MAX_BUCKETS = 512
+MAX_GROUPS = 10_000
 
 
 def rows_before(df: DataFrame, keys: list[str], value: list[str] | str,
-                weight: str | None = None, num_ranges: int | None = None,
-                bounded_groups: bool = True) -> DataFrame:
+                weight: str | None = None, num_buckets: int | None = None,
+                order_proxy: Column | None = None) -> DataFrame:
     values = [value] if isinstance(value, str) else list(value)
     spark = df.sparkSession
-    p = num_ranges or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    b = num_buckets or min(int(spark.conf.get("spark.sql.shuffle.partitions")), MAX_BUCKETS)
+    b = max(1, b)
+    proxy = order_proxy if order_proxy is not None else F.col(values[0])
     w = F.col(weight) if weight else F.lit(1)
-    # The range bounds come from sampling, so every consumer must see the same
-    # partitioning: it is materialised once with a reliable checkpoint (shared
-    # checkpoint folder, survives executor loss; never a local checkpoint).
-    checkpoint_dir(spark)
-    ranged = (df.withColumn("_w", w.cast("bigint"))
-              .repartitionByRange(p, *keys, *values)
-              .withColumn("_pid", F.spark_partition_id())
-              .checkpoint(eager=True))
-    run = Window.partitionBy("_pid", *keys).orderBy(*values).rowsBetween(
+    base = df.withColumn("_w", w.cast("bigint")).withColumn("_o", proxy)
+    gkey = F.to_json(F.struct(*keys)) if len(keys) > 1 else F.col(keys[0]).cast("string")
+    base = base.withColumn("_g", gkey)
+    if b > 1:
+        qs = [i / b for i in range(1, b)]
+        cuts = base.groupBy("_g").agg(F.percentile_approx("_o", qs).alias("_c")).collect()
+        if len(cuts) > MAX_GROUPS:
+            raise ValueError(f"rows_before needs a bounded number of groups ({len(cuts)})")
+        m = F.create_map(*[x for r in cuts if r["_g"] is not None
+                           for x in (F.lit(r["_g"]), F.array(*[F.lit(c) for c in r["_c"]]))])
+        base = base.withColumn("_cuts", F.element_at(m, F.col("_g")))
+        base = base.withColumn("_bucket", F.coalesce(F.size(F.filter(
+            "_cuts", lambda c: c < F.col("_o"))), F.lit(0))).drop("_cuts")
+    else:
+        base = base.withColumn("_bucket", F.lit(0))
+    run = Window.partitionBy(*keys, "_bucket").orderBy(*values).rowsBetween(
         Window.unboundedPreceding, Window.currentRow)
-    local = ranged.withColumn("_cum", F.sum("_w").over(run))
-    per = local.groupBy(*keys, "_pid").agg(F.sum("_w").alias("_pc"))
+    local = base.withColumn("_cum", F.sum("_w").over(run))
+    per = base.groupBy(*keys, "_bucket").agg(F.sum("_w").alias("_pc"))
     off = (per.withColumn("_off", F.coalesce(F.sum("_pc").over(
-        Window.partitionBy(*keys).orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)),
-        F.lit(0)))
+        Window.partitionBy(*keys).orderBy("_bucket")
+        .rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
         .withColumn("_group_total", F.sum("_pc").over(Window.partitionBy(*keys)))
-        .select(*keys, "_pid", "_off", "_group_total"))
-    if bounded_groups:
-        off = F.broadcast(off)
-    j = local.join(off, [*keys, "_pid"])
+        .select(*keys, "_bucket", "_off", "_group_total"))
+    j = local.join(F.broadcast(off), [*keys, "_bucket"])
     return j.withColumn("_before", F.col("_off") + F.col("_cum") - F.col("_w")).drop(
-        "_pid", "_cum", "_off", "_w")
+        "_bucket", "_cum", "_off", "_w", "_o", "_g")
+
+
+def hex_order_proxy(col: str) -> Column:
+    """Numeric proxy of a lowercase hex string's order: its first 15 digits (60 bits)."""
+    return F.conv(F.substring(F.col(col), 1, 15), 16, 10).cast("bigint")
