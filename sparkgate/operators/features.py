@@ -198,3 +198,25 @@ def proxy_metrics(df: DataFrame, eng: str = "avg_engagement_score",
     return (df.withColumn("likes", round_half_even(e * 12, 0).cast("bigint"))
               .withColumn("comments", round_half_even(e * 3, 0).cast("bigint"))
               .withColumn("followers", round_half_even(e * 40 + n * 100, 0).cast("bigint")))
+
+
+def value_count_aggregate(df: DataFrame, key: str, value: str, fn, out_type: str = "string",
+                          ord_col: str = "src_ord", out: str = "result") -> DataFrame:
+    """A user aggregate written as a pandas lambda over the *value counts* of a group
+    (a Series: index = value in first-seen order, values = counts, sorted by count
+    descending with first-seen order kept on ties — what ``value_counts`` returns).
+
+    Rows are reduced to (key, value) -> (count, first ordinal) with map-side combine
+    first, so the lambda sees one row per distinct value, never the group's rows.
+    """
+    import pandas as pd
+
+    c = (df.where(F.col(value).isNotNull()).groupBy(key, value)
+         .agg(F.count(F.lit(1)).alias("_n"), F.min(ord_col).alias("_o")))
+
+    def run(pdf: pd.DataFrame) -> pd.DataFrame:
+        pdf = pdf.sort_values(["_n", "_o"], ascending=[False, True], kind="stable")
+        counts = pd.Series(pdf["_n"].to_numpy(), index=pdf[value].to_numpy())
+        return pd.DataFrame({key: [pdf[key].iloc[0]], out: [fn(counts)]})
+    return c.groupBy(key).applyInPandas(
+        run, f"{key} {df.schema[key].dataType.simpleString()}, {out} {out_type}")

@@ -152,3 +152,35 @@ def triage_samples(df: DataFrame, path_col: str, content_col: str, kind: str = "
               .when(~known_header, "corrupted").otherwise("ok"))
     msg = F.create_map(*[x for k, v in TRIAGE_MESSAGES.items() for x in (F.lit(k), F.lit(v))])
     return df.withColumn("status", status).withColumn("message", F.element_at(msg, status))
+
+
+def distinct_counts(df: DataFrame, cols: list[str], approx: bool = False,
+                    rsd: float = 0.01) -> DataFrame:
+    """Distinct values per column (exact, or HyperLogLog++ with relative error
+    ``rsd`` — a mergeable sketch, no shuffle of the values)."""
+    fn = (lambda c: F.approx_count_distinct(c, rsd)) if approx else F.countDistinct
+    return df.agg(F.count(F.lit(1)).alias("rows"), *[fn(c).alias(c) for c in cols])
+
+
+def model_input_checks(df: DataFrame, label: str, features: list[str], banned,
+                       minimum_classes: int = 2) -> DataFrame:
+    """Q3 + Q8 + Q9 before training: required features present, no leaky column among
+    the features, at least ``minimum_classes`` classes, no NULL in the features."""
+    spark = df.sparkSession
+    missing = [c for c in features if c not in df.columns]
+    leaks = banned_columns_present(features, banned)
+    schema_rows = spark.createDataFrame(
+        [("required_features_present", not missing, len(missing)),
+         ("no_leaky_features", not leaks, len(leaks))], FINDINGS_SCHEMA)
+    present = [c for c in features if c in df.columns]
+    nulls = reduce(lambda a, b: a + b, [F.count_if(F.col(c).isNull()) for c in present]) \
+        if present else F.lit(0)
+    data_rows = df.agg(F.countDistinct(label).alias("_k"), nulls.alias("_nulls")).select(
+        F.explode(F.array(
+            F.struct(F.lit(f"min_{minimum_classes}_classes").alias("check"),
+                     (F.col("_k") >= minimum_classes).alias("passed"),
+                     F.col("_k").cast("bigint").alias("observed")),
+            F.struct(F.lit("features_not_null").alias("check"), (F.col("_nulls") == 0)
+                     .alias("passed"), F.col("_nulls").cast("bigint").alias("observed"))))
+        .alias("r")).select("r.*")
+    return schema_rows.unionByName(data_rows)

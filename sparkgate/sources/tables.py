@@ -142,3 +142,16 @@ def metrics_table(spark: SparkSession, run: str, split: str, values: dict) -> Da
     """Tidy metric rows ``(run, split, metric, value)``."""
     rows = [(run, split, k, None if v is None else float(v)) for k, v in values.items()]
     return spark.createDataFrame(rows, "run string, split string, metric string, value double")
+
+
+def preview(df: DataFrame, want: list[str], prefix: str | None = None, first_n: int = 5,
+            key: str | None = None, value: str | None = None) -> DataFrame:
+    """The wanted columns that exist, plus the first ``first_n`` columns of a prefix
+    family, optionally for one key value (case-insensitive)."""
+    cols = [c for c in want if c in df.columns]
+    if prefix:
+        cols += [c for c in df.columns if c.startswith(prefix) and c not in cols][:first_n]
+    out = df
+    if key is not None and value is not None:
+        out = out.where(F.lower(F.trim(F.col(key).cast("string"))) == str(value).strip().lower())
+    return out.select(*cols)

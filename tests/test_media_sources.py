@@ -161,3 +161,26 @@ def test_model_persist_round_trip(spark):
     back = PipelineModel.load(os.path.join(d, "m"))
     assert back.stages[0].labels == ["a", "b"]
     assert [r["i"] for r in back.transform(df).orderBy("c").collect()] == [0.0, 1.0]
+
+
+def test_preview_and_fallback_source(spark):
+    df = spark.createDataFrame([(" A1 ", "x", 1.0, 2.0, 3.0), ("a2", "y", 4.0, 5.0, 6.0)],
+                               "customer_id string, name string, Feature1 double, "
+                               "Feature2 double, Feature3 double")
+    p = T.preview(df, ["customer_id", "missing"], prefix="Feature", first_n=2,
+                  key="customer_id", value="a1")
+    assert p.columns == ["customer_id", "Feature1", "Feature2"] and p.count() == 1
+    d = tempfile.mkdtemp(prefix="sparkgate-fallback-")
+    df.write.parquet(os.path.join(d, "platform"))
+    got = T.first_available(spark, os.path.join(d, "customer"), os.path.join(d, "platform"),
+                            spark.read.parquet, lambda x: x.dropDuplicates(["name"]))
+    assert got.count() == 2
+
+
+def test_distinct_counts_exact_and_sketch(spark):
+    from sparkgate.operators import quality as Q
+    df = spark.range(5000).selectExpr("id % 37 AS a", "id AS b")
+    e = Q.distinct_counts(df, ["a", "b"]).first()
+    s = Q.distinct_counts(df, ["a", "b"], approx=True).first()
+    assert e["a"] == 37 and e["b"] == 5000 and e["rows"] == 5000
+    assert abs(s["b"] - 5000) / 5000 < 0.05
