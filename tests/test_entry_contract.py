@@ -44,3 +44,20 @@ def test_oracle_agrees_on_smallest_scale(spark, con, name):
         idx = sorted(range(len(cols)), key=lambda i: cols[i])
         return sorted((tuple(str(r[i]) for i in idx) for r in rows))
     assert norm(sdf.columns, [tuple(r) for r in srows]) == norm(ocols, orows)
+
+
+PLAN_CHECKED = ["customer_table", "platform_table", "legacy_customer_features", "risk_score",
+                "dedupe_best_platform", "stratified_holdout", "group_folds", "roc_auc_ovr",
+                "confusion_dense", "open_set_gate", "attempt_decisions", "fsm_replay",
+                "dq_key_overlap", "winsorized_orders"]
+
+
+@pytest.mark.parametrize("name", PLAN_CHECKED)
+def test_plans_have_no_cross_join_and_no_python(spark, name):
+    """Scale invariants: no cartesian / nested-loop joins, no Python evaluation in the
+    relational operators, scans read only the needed columns."""
+    plan = E.queries()[name](spark, SF_SMALL)._jdf.queryExecution().executedPlan().toString()
+    for bad in ("CartesianProduct", "BroadcastNestedLoopJoin", "EvalPython",
+                "InPandas", "collect_list"):
+        assert bad not in plan, (name, bad)
+    assert "ReadSchema" in plan
