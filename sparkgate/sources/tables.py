@@ -155,3 +155,23 @@ def preview(df: DataFrame, want: list[str], prefix: str | None = None, first_n:
     if key is not None and value is not None:
         out = out.where(F.lower(F.trim(F.col(key).cast("string"))) == str(value).strip().lower())
     return out.select(*cols)
+
+
+class ModelNotAvailableError(FileNotFoundError):
+    """A persisted model directory is missing or unreadable."""
+
+
+def save_model(model, path: str) -> None:
+    """Persist a fitted ``PipelineModel`` (labels live in its indexer stages)."""
+    model.write().overwrite().save(path)
+
+
+def load_model(spark: SparkSession, path: str):
+    """Load a ``PipelineModel``; a missing or corrupt directory is a typed error."""
+    from pyspark.ml import PipelineModel
+    if not _exists(spark, path):
+        raise ModelNotAvailableError(f"model not available: {path}")
+    try:
+        return PipelineModel.load(path)
+    except Exception as e:  # noqa: BLE001 - re-raised as the typed error
+        raise ModelNotAvailableError(f"model not readable: {path} ({e})") from e

@@ -151,14 +151,19 @@ def test_feature_prefix_selection(spark):
 
 
 def test_model_persist_round_trip(spark):
-    from pyspark.ml import Pipeline, PipelineModel
+    from pyspark.ml import Pipeline
     from pyspark.ml.feature import StringIndexer
     d = tempfile.mkdtemp(prefix="sparkgate-model-")
     df = spark.createDataFrame([("b",), ("a",)], "c string")
     m = Pipeline(stages=[StringIndexer(inputCol="c", outputCol="i",
                                        stringOrderType="alphabetAsc")]).fit(df)
-    m.write().overwrite().save(os.path.join(d, "m"))
-    back = PipelineModel.load(os.path.join(d, "m"))
+    T.save_model(m, os.path.join(d, "m"))
+    back = T.load_model(spark, os.path.join(d, "m"))
+    with pytest.raises(T.ModelNotAvailableError):
+        T.load_model(spark, os.path.join(d, "absent"))
+    os.makedirs(os.path.join(d, "broken"))
+    with pytest.raises(T.ModelNotAvailableError):
+        T.load_model(spark, os.path.join(d, "broken"))
     assert back.stages[0].labels == ["a", "b"]
     assert [r["i"] for r in back.transform(df).orderBy("c").collect()] == [0.0, 1.0]
 
