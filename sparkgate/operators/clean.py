@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from ..functions.columns import (normalize_category, normalize_key, strip_lower, to_double,
                                  to_timestamp_ntz)
+from ..session import materialize
 from .quantiles import quantile_values
 
 PROFILE_COLS = ["customer_id", "social_media_platform", "engagement_score",
@@ -46,7 +47,7 @@ def normalize_profiles(raw: DataFrame) -> DataFrame:
 def clean_profiles(raw: DataFrame, exact: bool = True) -> DataFrame:
     """Normalise -> distinct -> fill: categoricals ``unknown``, numerics with the median
     of the deduplicated table (P6). The medians are two scalars (bounded)."""
-    d = distinct_keep_first(normalize_profiles(raw))
+    d = materialize(distinct_keep_first(normalize_profiles(raw)), "profiles-dedup")
     med = median_fill_values(d, ["engagement_score", "purchase_interest_score"], exact)
     return d.select(
         "customer_id",
@@ -117,8 +118,9 @@ def winsorize(df: DataFrame, col: str, lo: float, hi: float,
 
 
 def clean_transactions(raw: DataFrame, exact: bool = True) -> DataFrame:
-    """Distinct -> coerce -> filter -> winsorize on the survivors only."""
-    v = valid_transactions(raw)
+    """Distinct -> coerce -> filter -> winsorize on the survivors only. The survivors are
+    written once; the two order-statistic passes then read only ``amount``."""
+    v = materialize(valid_transactions(raw), "transactions-valid")
     lo, hi = winsor_bounds(v, "amount", exact=exact)
     return winsorize(v, "amount", lo, hi)
 

@@ -11,7 +11,7 @@ import os
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 _SEMANTIC_CONF = {
     "spark.sql.session.timeZone": "UTC",
@@ -70,3 +70,14 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh path under the shared checkpoint folder for intermediate tables."""
     base = checkpoint_dir(spark)
     return os.path.join(base, f"{name}-{uuid.uuid4().hex[:12]}")
+
+
+def materialize(df: DataFrame, name: str) -> DataFrame:
+    """Write ``df`` once as a Parquet table in the shared checkpoint folder and read it
+    back: later passes (order statistics, counts, the main query) scan only the columns
+    they need instead of recomputing the upstream shuffle, and the lineage is cut
+    (survives executor loss)."""
+    spark = df.sparkSession
+    path = scratch_path(spark, name)
+    df.write.mode("overwrite").parquet(path)
+    return spark.read.parquet(path)

@@ -37,8 +37,11 @@ def _transition_fn(transitions=fsm.TRANSITIONS, initial: str = fsm.IDLE):
         if state.hasTimedOut:
             state.remove()
             return
+        frames = [p for p in pdfs if len(p)]
+        if not frames:
+            return
         cur, n, bad, hist = state.get if state.exists else (initial, 0, 0, initial)
-        batch = pd.concat(list(pdfs), ignore_index=True).sort_values(["ts", "event_id"])
+        batch = pd.concat(frames, ignore_index=True).sort_values(["ts", "event_id"])
         out = []
         for r in batch.itertuples(index=False):
             nxt = None if cur in terminal else table.get((cur, r.event))
