@@ -220,3 +220,12 @@ def value_count_aggregate(df: DataFrame, key: str, value: str, fn, out_type: str
         return pd.DataFrame({key: [pdf[key].iloc[0]], out: [fn(counts)]})
     return c.groupBy(key).applyInPandas(
         run, f"{key} {df.schema[key].dataType.simpleString()}, {out} {out_type}")
+
+
+def legacy_join_grain(profiles: DataFrame, tx: DataFrame) -> DataFrame:
+    """J4 grain without emitting pairs: rows per customer on each side and the number
+    of rows the legacy many-to-many inner join would produce (their product)."""
+    p = profiles.groupBy("customer_id").agg(F.count(F.lit(1)).alias("n_profile_rows"))
+    t = tx.groupBy("customer_id").agg(F.count(F.lit(1)).alias("n_transactions"))
+    return p.join(t, "customer_id", "inner").withColumn(
+        "n_pairs", F.col("n_profile_rows") * F.col("n_transactions"))

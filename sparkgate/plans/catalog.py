@@ -193,6 +193,13 @@ def customer_table(spark, sf):
     return round_doubles(customers(spark, sf))
 
 
+@query
+def legacy_row_join(spark, sf):
+    """J4 re-aimed: the grain of the legacy many-to-many join per customer (pairs are
+    counted, never emitted)."""
+    return FE.legacy_join_grain(profiles_clean(spark, sf), tx_valid(spark, sf))
+
+
 @query
 def legacy_customer_features(spark, sf):
     return round_doubles(FE.legacy_customer_features(profiles_clean(spark, sf),

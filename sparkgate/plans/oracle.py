@@ -641,3 +641,12 @@ FROM profiles_clean
 sql("mode_category_user_lambda", """
 SELECT customer_id, product_category FROM tx_mode
 """)
+
+sql("legacy_row_join", """
+SELECT p.customer_id, (SELECT count(*) FROM profiles_clean x WHERE x.customer_id = p.customer_id)
+         AS n_profile_rows,
+       (SELECT count(*) FROM tx_valid y WHERE y.customer_id = p.customer_id) AS n_transactions,
+       count(*) AS n_pairs
+FROM profiles_clean p JOIN tx_valid t ON p.customer_id = t.customer_id
+GROUP BY p.customer_id
+""")

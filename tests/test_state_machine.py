@@ -96,3 +96,16 @@ def test_replay_matches_sequential_fold(spark):
         assert got[sid]["final_state"] == state, sid
         assert got[sid]["history"] == ">".join(hist), sid
         assert got[sid]["n_illegal"] == bad, sid
+
+
+def test_stream_equals_batch_replay(spark):
+    """The stateful stream ends every session in the same state as the replay."""
+    import __spark_entry__ as E
+    from tests.conftest import SF_SMALL
+    s = E.queries()["fsm_stream"](spark, SF_SMALL)
+    b = E.queries()["fsm_replay"](spark, SF_SMALL)
+    j = s.alias("s").join(b.alias("b"), ["user_id", "day"], "full")
+    bad = j.where("s.final_state IS NULL OR b.final_state IS NULL OR "
+                  "s.final_state != b.final_state OR s.n_illegal != b.n_illegal OR "
+                  "s.n_events != b.n_events")
+    assert bad.count() == 0 and b.count() > 0
