@@ -137,7 +137,9 @@ def audio_feature_table(clips: DataFrame) -> DataFrame:
             rows = []
             for r in pdf.itertuples(index=False):
                 y = np.asarray(r.samples, dtype=np.float64)
-                for suffix, wav in audio_variants(y, int(r.noise_seed)).items():
+                variants = audio_variants(y, int(r.noise_seed))
+                for suffix in AUDIO_VARIANTS:
+                    wav = variants[suffix]
                     feats = audio_features(wav, int(r.sr))
                     rows.append({"clip_id": r.clip_id, "person": r.person, "phrase": r.phrase,
                                  "variant": f"{r.phrase}{suffix}", **feats})
@@ -190,7 +192,9 @@ def image_variant_table(images: DataFrame) -> DataFrame:
             for r in pdf.itertuples(index=False):
                 img = np.frombuffer(r.data, dtype=np.uint8).reshape(r.height, r.width,
                                                                     r.nChannels)
-                for suffix, v in image_variant_arrays(img).items():
+                variants = image_variant_arrays(img)
+                for suffix in IMAGE_VARIANTS:
+                    v = variants[suffix]
                     v = np.ascontiguousarray(v)
                     rows.append((r.image_id, r.person, r.emotion, f"{r.emotion}{suffix}",
                                  v.shape[0], v.shape[1], v.shape[2], v.tobytes()))

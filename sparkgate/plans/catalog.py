@@ -16,10 +16,18 @@ from pyspark.sql.types import DoubleType, FloatType
 
 from ..functions.columns import normalize_key, stable_round
 from ..operators import clean as C
+from ..operators import decide as D
 from ..operators import features as FE
+from ..operators import fsm as FSM
+from ..operators import media as MD
+from ..operators import metrics as M
+from ..operators import ml_prep as ML
+from ..operators import ml_split as SP
+from ..operators import ml_train as MT
 from ..operators import quality as Q
-from ..operators import decide as D
+from ..operators import verify as V
 from ..session import checkpoint_dir
+from ..streaming import fsm_stream as FS
 from . import roles as R
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
@@ -242,15 +250,7 @@ def risk_decision(spark, sf):
 
 
 # ---------------------------------------------------------------- model preparation
-from ..operators import fsm as FSM  # noqa: E402
-from ..operators import metrics as M  # noqa: E402
-from ..operators import ml_prep as ML  # noqa: E402
-from ..operators import ml_split as SP  # noqa: E402
-from ..operators import verify as V  # noqa: E402
 
-# Variant names of image / audio samples.
-IMAGE_VARIANTS = ["", "_gray", "_flip", "_rotate"]
-AUDIO_VARIANTS = ["", "_pitch", "_stretch", "_noise"]
 
 
 def customers_split(spark, sf) -> DataFrame:
@@ -328,7 +328,7 @@ def variants_union(spark, sf):
     """Original + augmented variant rows with their names."""
     s = R.samples(spark, sf).select("vec_id", "person")
     v = F.explode(F.array(*[F.struct(F.lit(i).alias("variant_no"), F.lit(x).alias("suffix"))
-                            for i, x in enumerate(IMAGE_VARIANTS)]))
+                            for i, x in enumerate(MD.IMAGE_VARIANTS)]))
     e = s.select("vec_id", "person", v.alias("v")).select("vec_id", "person", "v.*")
     return e.select("vec_id", "person", F.col("variant_no").cast("int").alias("variant_no"),
                     F.concat(F.lit("sample"), F.col("vec_id").cast("string"), F.col("suffix"),
@@ -513,7 +513,6 @@ def fsm_allowed_events(spark, sf):
 
 
 # ---------------------------------------------------------------- model training (rows-only)
-from ..operators import ml_train as MT  # noqa: E402
 
 PRODUCT_NUMERIC = ["engagement_score", "purchase_interest_score", "average_engagement",
                    "platform_count"]
@@ -602,7 +601,6 @@ def recommend_granted(spark, sf):
 
 
 # ---------------------------------------------------------------- streaming (rows-only)
-from ..streaming import fsm_stream as FS  # noqa: E402
 
 
 @query
@@ -618,7 +616,6 @@ def fsm_stream(spark, sf):
 
 
 # ---------------------------------------------------------------- media and triage
-from ..operators import media as MD  # noqa: E402
 
 
 @query
