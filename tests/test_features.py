@@ -133,3 +133,17 @@ def test_legacy_features_equal_pairwise_join(spark):
     assert (got["platform_count"] == want["platform_count"]).all()
     assert np.allclose(got["total_spent"], want["total_spent"], atol=0.006)
     assert np.allclose(got["avg_engagement_score"], want["avg_engagement_score"], atol=0.006)
+
+
+def test_rows_before_spreads_a_hot_group(spark):
+    """Scale property: a group holding 90 % of the rows is split over the buckets, so
+    no task ranks the whole group."""
+    rng = np.random.default_rng(9)
+    g = np.where(rng.random(20000) < 0.9, "hot", rng.choice(["a", "b"], 20000))
+    df = spark.createDataFrame(pd.DataFrame({"g": g, "v": rng.permutation(20000)}))
+    out = RK.rows_before(df, ["g"], "v", num_buckets=8, keep_bucket=True)
+    hot = out.where("g = 'hot'").groupBy("_bucket").count().toPandas()
+    assert len(hot) == 8
+    assert hot["count"].max() <= 0.2 * hot["count"].sum()
+    ranks = out.where("g = 'hot'").select("_before").toPandas()["_before"]
+    assert sorted(ranks) == list(range(len(ranks)))
