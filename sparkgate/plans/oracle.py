@@ -200,7 +200,7 @@ agg AS (
          CAST(round_even(CAST(sum(CAST(amount AS DECIMAL(38,9))) / count(*) AS DECIMAL(38,9)), 2)
               AS DOUBLE) AS average_spent,
          CAST(round_even(sum(CAST(amount AS DECIMAL(38,9))), 2) AS DOUBLE) AS total_spent,
-         sum(CAST(is_fraud AS BIGINT)) AS fraud_count,
+         CAST(sum(CAST(is_fraud AS BIGINT)) AS BIGINT) AS fraud_count,
          CAST(round_even(CAST(sum(CAST(engagement_score AS DECIMAL(38,9))) / count(*)
               AS DECIMAL(38,9)), 2) AS DOUBLE) AS avg_engagement_score,
          CAST(round_even(CAST(sum(CAST(purchase_interest_score AS DECIMAL(38,9))) / count(*)
