@@ -119,3 +119,27 @@ def test_log_loss_clips(spark):
                                "y_true string, proba array<double>")
     r = M.log_loss(df, ["a", "b"]).first()
     assert abs(r["log_loss"] - (-np.log(1 - M.LOG_LOSS_EPS) - np.log(M.LOG_LOSS_EPS)) / 2) < 1e-9
+
+
+def test_gate_is_monotone_in_threshold_and_margin(spark):
+    """Invariant: a higher threshold never accepts more, a wider margin never rejects more."""
+    from hypothesis import given, settings
+    from hypothesis import strategies as st
+
+    rng = np.random.default_rng(4)
+    pts = rng.normal(0, 1, (60, 3))
+    df = spark.createDataFrame([(i, p.tolist()) for i, p in enumerate(pts)],
+                               "id long, x array<double>").cache()
+    prof = [("a", [0.0, 0.0, 0.0], 1.5), ("b", [1.0, 1.0, 0.0], 1.2), ("c", [-1.0, 0.5, 1.0], 1.0)]
+
+    def accepted(t, m):
+        g = V.open_set_gate(df, "x", prof, threshold=t, margin=m)
+        return {r["id"] for r in g.where("person IS NOT NULL").select("id").collect()}
+
+    @settings(max_examples=8, deadline=None)
+    @given(st.floats(0.3, 0.9), st.floats(0.0, 0.3), st.floats(0.5, 2.0), st.floats(0.0, 1.0))
+    def check(t, dt_, m, dm):
+        assert accepted(t + dt_, m) <= accepted(t, m)
+        assert accepted(t, m) <= accepted(t, m + dm)
+    check()
+    df.unpersist()
