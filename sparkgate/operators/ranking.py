@@ -7,11 +7,13 @@ stratified sampling, round-robin fold assignment and mid-ranks.
 
 Plan:
 
-1. per group, ``percentile_approx`` of a numeric order proxy gives ``B - 1`` cut
-   points (one mergeable-sketch pass; bounded result: groups x B values);
-2. every row gets ``bucket = #cut points < proxy`` — a pure function of the row, so
-   every consumer sees the same layout (no sampling-dependent partition ids, no
-   materialisation) and a hot group is spread over B buckets;
+1. per group, ``percentile_approx`` of a numeric order proxy gives 63 coarse cut points
+   plus min / max (one mergeable-sketch pass; bounded result: groups x 65 values);
+2. every row gets a bucket from its value: the coarse segment (number of cut points
+   below it), refined into equal-width sub-buckets by linear interpolation. It is a
+   pure, monotone function of the row, so every consumer and every retried task sees
+   the same layout (nothing is materialised), and a hot group is spread over up to
+   8192 buckets at about 64 comparisons per row;
 3. per-(group, bucket) totals and their prefix sums (a groups x B table, broadcast)
    plus a running sum inside each (group, bucket) give the global rank.
 
@@ -24,10 +26,26 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-MAX_BUCKETS = 512
+MAX_BUCKETS = 8192          # buckets per group (fine level)
+COARSE_CUTS = 64            # sketch cut points per group (coarse level)
+MAX_OFFSET_ROWS = 1_000_000  # groups x buckets rows in the broadcast offsets table
 MAX_GROUPS = 10_000
 
 
+def _bucket_expr(coarse: Column, lo_hi: Column, sub: int) -> Column:
+    """Monotone bucket of ``_o``: coarse segment = number of cut points below the value
+    (about 64 comparisons), then ``sub`` equal-width sub-buckets inside the segment by
+    linear interpolation. Equal values always share a bucket."""
+    o = F.col("_o").cast("double")
+    seg = F.size(F.filter(coarse, lambda c: c < o))
+    lo = F.element_at(lo_hi, 2 * seg + 1)
+    hi = F.element_at(lo_hi, 2 * seg + 2)
+    width = hi - lo
+    frac = F.when(width > 0, (o - lo) / width).otherwise(F.lit(0.0))
+    inner = F.least(F.greatest(F.floor(frac * sub), F.lit(0)), F.lit(sub - 1))
+    return (seg * sub + inner).cast("int")
+
+
 def rows_before(df: DataFrame, keys: list[str], value: list[str] | str,
                 weight: str | None = None, num_buckets: int | None = None,
                 order_proxy: Column | None = None, keep_bucket: bool = False) -> DataFrame:
@@ -41,15 +59,35 @@ def rows_before(df: DataFrame, keys: list[str], value: list[str] | str,
     gkey = F.to_json(F.struct(*keys)) if len(keys) > 1 else F.col(keys[0]).cast("string")
     base = base.withColumn("_g", gkey)
     if b > 1:
-        qs = [i / b for i in range(1, b)]
-        cuts = base.groupBy("_g").agg(F.percentile_approx("_o", qs).alias("_c")).collect()
+        k = min(b, COARSE_CUTS)
+        qs = [i / k for i in range(1, k)]
+        o = F.col("_o").cast("double")
+        cuts = base.groupBy("_g").agg(
+            F.percentile_approx(o, qs).alias("_c") if qs else F.array().alias("_c"),
+            F.min(o).alias("_mn"), F.max(o).alias("_mx")).collect()
         if len(cuts) > MAX_GROUPS:
             raise ValueError(f"rows_before needs a bounded number of groups ({len(cuts)})")
-        m = F.create_map(*[x for r in cuts if r["_g"] is not None
-                           for x in (F.lit(r["_g"]), F.array(*[F.lit(c) for c in r["_c"]]))])
-        base = base.withColumn("_cuts", F.element_at(m, F.col("_g")))
-        base = base.withColumn("_bucket", F.coalesce(F.size(F.filter(
-            "_cuts", lambda c: c < F.col("_o"))), F.lit(0))).drop("_cuts")
+        # fine buckets per coarse segment, keeping groups x buckets bounded
+        b = max(1, min(b, MAX_OFFSET_ROWS // max(1, len(cuts))))
+        sub = max(1, b // k)
+        coarse_m, bounds_m = [], []
+        for r in cuts:
+            if r["_g"] is None or r["_mn"] is None:
+                continue
+            c = [float(x) for x in (r["_c"] or [])]
+            edges = [float(r["_mn"])] + c + [float(r["_mx"])]
+            pairs = [x for i in range(len(edges) - 1) for x in (edges[i], edges[i + 1])]
+            coarse_m += [F.lit(r["_g"]), F.array(*[F.lit(x) for x in c]) if c
+                         else F.array().cast("array<double>")]
+            bounds_m += [F.lit(r["_g"]), F.array(*[F.lit(x) for x in pairs])]
+        if coarse_m:
+            base = (base.withColumn("_cuts", F.element_at(F.create_map(*coarse_m), F.col("_g")))
+                        .withColumn("_edges", F.element_at(F.create_map(*bounds_m), F.col("_g"))))
+            base = base.withColumn("_bucket", F.coalesce(
+                _bucket_expr(F.col("_cuts"), F.col("_edges"), sub), F.lit(0))).drop(
+                "_cuts", "_edges")
+        else:
+            base = base.withColumn("_bucket", F.lit(0))
     else:
         base = base.withColumn("_bucket", F.lit(0))
     run = Window.partitionBy(*keys, "_bucket").orderBy(*values).rowsBetween(

@@ -84,12 +84,15 @@ def test_exact_quantiles_match_numpy(spark, skewed):
     assert np.allclose(got, want, rtol=0, atol=1e-9)
 
 
-def test_rows_before_is_rank_within_group(spark):
+@pytest.mark.parametrize("buckets", [None, 1, 7, 1000])
+def test_rows_before_is_rank_within_group(spark, buckets):
     rng = np.random.default_rng(5)
+    v = np.concatenate([rng.exponential(1.0, 2000), rng.normal(50, 1, 1000)])  # skewed
     pdf = pd.DataFrame({"g": rng.choice(["a", "b", "c"], 3000, p=[0.7, 0.2, 0.1]),
-                        "v": rng.permutation(3000)})
+                        "v": rng.permutation(v)})
     df = spark.createDataFrame(pdf)
-    got = RK.rows_before(df, ["g"], "v").toPandas().set_index("v")["_before"]
+    got = RK.rows_before(df, ["g"], "v", num_buckets=buckets).toPandas() \
+        .set_index("v")["_before"]
     want = pdf.groupby("g")["v"].rank(method="first").astype(int) - 1
     want.index = pdf["v"]
     assert (got.sort_index() == want.sort_index()).all()
