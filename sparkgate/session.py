@@ -81,3 +81,11 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     path = scratch_path(spark, name)
     df.write.mode("overwrite").parquet(path)
     return spark.read.parquet(path)
+
+
+def shuffle_partitions_for(input_bytes: int, target_bytes: int = 256 * 1024 * 1024,
+                           minimum: int = 8, maximum: int = 100_000) -> int:
+    """Spill-aware starting point for ``spark.sql.shuffle.partitions``: about
+    ``target_bytes`` of shuffle input per task; AQE then coalesces small partitions and
+    splits skewed join partitions at runtime."""
+    return max(minimum, min(maximum, -(-int(input_bytes) // int(target_bytes))))
