@@ -184,3 +184,17 @@ def model_input_checks(df: DataFrame, label: str, features: list[str], banned,
                      .alias("passed"), F.col("_nulls").cast("bigint").alias("observed"))))
         .alias("r")).select("r.*")
     return schema_rows.unionByName(data_rows)
+
+
+class ExpectationError(AssertionError):
+    """One or more expectations failed (all failures are listed)."""
+
+
+def assert_expectations(findings: DataFrame) -> DataFrame:
+    """Q3 optional raise: fail with every failed check listed; the findings table has
+    one row per check (bounded), so it is safe to bring to the driver."""
+    failed = [f"{r['check']} (observed {r['observed']})"
+              for r in findings.where(~F.col("passed")).collect()]
+    if failed:
+        raise ExpectationError("failed expectations: " + "; ".join(failed))
+    return findings

@@ -150,3 +150,28 @@ def test_rows_before_spreads_a_hot_group(spark):
     assert hot["count"].max() <= 0.2 * hot["count"].sum()
     ranks = out.where("g = 'hot'").select("_before").toPandas()["_before"]
     assert sorted(ranks) == list(range(len(ranks)))
+
+
+def test_small_column_helpers(spark):
+    from sparkgate.functions.columns import bool_text, sentiment_ordinal
+    df = spark.createDataFrame([("TRUE",), ("0",), ("yes",), (None,)], "b string")
+    assert [r[0] for r in df.select(bool_text("b")).collect()] == [True, False, False, False]
+    s = spark.createDataFrame([(" Negative ",), ("POSITIVE",), ("meh",)], "s string")
+    assert [r[0] for r in s.select(sentiment_ordinal("s")).collect()] == [0, 2, 1]
+    r = C.rename_if_present(df, {"b": "flag", "nope": "x"})
+    assert r.columns == ["flag"]
+    mixed = spark.createDataFrame([("a", 1.0, 2, True)], "s string, d double, i int, f boolean")
+    assert C.split_by_type(mixed) == (["s"], ["d", "i"])
+
+
+def test_assert_expectations_lists_every_failure(spark):
+    from sparkgate.operators import quality as Q
+    df = spark.createDataFrame([(None, -1.0), ("a1", 2.0)], "customer_id string, amount double")
+    findings = Q.expectations([
+        Q.expect_zero(df, "ids_not_null", F.col("customer_id").isNull()),
+        Q.expect_zero(df, "amount_positive", F.col("amount") <= 0),
+        Q.expect_unique(df, "unique_ids", "customer_id")])
+    with pytest.raises(Q.ExpectationError) as e:
+        Q.assert_expectations(findings)
+    assert "ids_not_null" in str(e.value) and "amount_positive" in str(e.value)
+    assert "unique_ids" not in str(e.value)
