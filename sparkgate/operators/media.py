@@ -11,6 +11,8 @@ bit-identical.
 
 from __future__ import annotations
 
+from functools import lru_cache
+
 import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame
@@ -56,8 +58,10 @@ def _mel_to_hz(m):
     return np.where(m >= min_log_mel, 1000.0 * np.exp(logstep * (m - min_log_mel)), f_sp * m)
 
 
+@lru_cache(maxsize=8)
 def mel_filters(sr: int = SAMPLE_RATE, n_fft: int = N_FFT, n_mels: int = N_MELS) -> np.ndarray:
-    """Slaney-scale, Slaney-normalised triangular filters (n_mels x bins)."""
+    """Slaney-scale, Slaney-normalised triangular filters (n_mels x bins), built once per
+    worker process and sample rate."""
     fft_f = np.linspace(0, sr / 2, 1 + n_fft // 2)
     mel_f = _mel_to_hz(np.linspace(_hz_to_mel(0.0), _hz_to_mel(sr / 2), n_mels + 2))
     fdiff = np.diff(mel_f)
@@ -68,13 +72,23 @@ def mel_filters(sr: int = SAMPLE_RATE, n_fft: int = N_FFT, n_mels: int = N_MELS)
     return w * (2.0 / (mel_f[2:n_mels + 2] - mel_f[:n_mels]))[:, None]
 
 
-def _dct_ortho(x: np.ndarray, n_out: int) -> np.ndarray:
-    n = x.shape[0]
+@lru_cache(maxsize=4)
+def _hann(n: int) -> np.ndarray:
+    """Periodic Hann window."""
+    return np.hanning(n + 1)[:-1]
+
+
+@lru_cache(maxsize=8)
+def _dct_matrix(n: int, n_out: int) -> np.ndarray:
     k = np.arange(n_out)[:, None]
     basis = np.cos(np.pi * k * (2 * np.arange(n)[None, :] + 1) / (2 * n))
     scale = np.full((n_out, 1), np.sqrt(2.0 / n))
     scale[0, 0] = np.sqrt(1.0 / n)
-    return (scale * basis) @ x
+    return scale * basis
+
+
+def _dct_ortho(x: np.ndarray, n_out: int) -> np.ndarray:
+    return _dct_matrix(x.shape[0], n_out) @ x
 
 
 def audio_features(y: np.ndarray, sr: int = SAMPLE_RATE) -> dict[str, float]:
@@ -83,7 +97,7 @@ def audio_features(y: np.ndarray, sr: int = SAMPLE_RATE) -> dict[str, float]:
     if y.size == 0:
         raise ValueError("empty audio clip")
     fr = _frames(y)
-    win = np.hanning(N_FFT + 1)[:-1]
+    win = _hann(N_FFT)
     mag = np.abs(np.fft.rfft(fr * win, axis=1)).T            # bins x frames
     power = mag ** 2
     mel = mel_filters(sr) @ power

@@ -633,7 +633,9 @@ def sample_triage(spark, sf):
 def media_audio_features(spark, sf):
     """A clip per voice sample synthesised in Spark from its vector, four
     variants each, 17 features per variant."""
-    s = R.samples(spark, sf)
+    # spread the (small) sample rows before the heavy per-clip work: a round-robin
+    # shuffle of 64-float rows, no key, so no skew
+    s = R.samples(spark, sf).repartition(int(spark.conf.get("spark.sql.shuffle.partitions")))
     clips = s.select(F.col("vec_id").cast("string").alias("clip_id"), "person",
                      F.concat(F.lit("phrase"), (F.col("vec_id") % 5).cast("string"))
                      .alias("phrase"), F.lit(MD.SAMPLE_RATE).alias("sr"),
