@@ -29,6 +29,7 @@ DENIED_FACE = "DENIED_FACE"
 DENIED_VOICE = "DENIED_VOICE"
 DENIED_MISMATCH = "DENIED_MISMATCH"
 NO_CUSTOMER = "NO_CUSTOMER"
+DENIED_CLAIM = "DENIED_CLAIM"
 STATUS_AUTHENTICATED = "Authenticated"
 STATUS_DENIED = "Access Denied"
 DISPLAY_TS_FORMAT = "yyyy-MM-dd HH:mm:ss"
@@ -91,18 +92,22 @@ def semi_by_keys(df: DataFrame, keys: DataFrame, key: str) -> tuple[DataFrame, D
     return hit, miss
 
 
-def attempt_decisions(face: DataFrame, voice: DataFrame, ident: DataFrame) -> DataFrame:
+def attempt_decisions(face: DataFrame, voice: DataFrame, ident: DataFrame,
+                      claims: DataFrame | None = None) -> DataFrame:
     """V5 over whole tables. ``face``/``voice``: (attempt_id, person, confidence) where
     person NULL means rejected. ``ident``: (person, customer_id).
 
-    Short-circuit order: face -> voice -> identity agreement -> customer link.
-    Later-stage columns are NULL after a denial (the stage never ran).
+    Short-circuit order: face -> voice -> identity agreement -> (optional) claimed
+    identity -> customer link. ``claims`` (attempt_id, claimed_person) adds the claim
+    check as an extra predicate. Later-stage columns are NULL after a denial.
     """
     f = face.select("attempt_id", F.col("person").alias("face_person"),
                     F.col("confidence").alias("face_confidence"))
     v = voice.select("attempt_id", F.col("person").alias("voice_person"),
                      F.col("confidence").alias("voice_confidence"))
     j = f.join(v, "attempt_id", "full")
+    if claims is not None:
+        j = j.join(claims.select("attempt_id", "claimed_person"), "attempt_id", "left")
     # The identity map is a people dimension; AQE broadcasts it when its measured
     # size is under the threshold and keeps a shuffle join otherwise.
     j = j.join(ident.select(F.col("person").alias("face_person"), "customer_id"),
@@ -110,8 +115,10 @@ def attempt_decisions(face: DataFrame, voice: DataFrame, ident: DataFrame) -> Da
     fp, vp = F.col("face_person"), F.col("voice_person")
     outcome = (F.when(fp.isNull(), F.lit(DENIED_FACE))
                .when(vp.isNull(), F.lit(DENIED_VOICE))
-               .when(~fp.eqNullSafe(vp), F.lit(DENIED_MISMATCH))
-               .when(F.col("customer_id").isNull(), F.lit(NO_CUSTOMER))
+               .when(~fp.eqNullSafe(vp), F.lit(DENIED_MISMATCH)))
+    if claims is not None:
+        outcome = outcome.when(~fp.eqNullSafe(F.col("claimed_person")), F.lit(DENIED_CLAIM))
+    outcome = (outcome.when(F.col("customer_id").isNull(), F.lit(NO_CUSTOMER))
                .otherwise(F.lit(GRANTED)))
     voice_ran = fp.isNotNull()
     return j.select(

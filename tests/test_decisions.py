@@ -143,3 +143,16 @@ def test_gate_is_monotone_in_threshold_and_margin(spark):
         assert accepted(t, m) <= accepted(t, m + dm)
     check()
     df.unpersist()
+
+
+def test_claimed_identity_is_an_optional_predicate(spark):
+    face = spark.createDataFrame([(1, "p1", .9), (2, "p1", .9)], RES)
+    voice = spark.createDataFrame([(1, "p1", .9), (2, "p1", .9)], RES)
+    ident = spark.createDataFrame([("p1", "a178")], "person string, customer_id string")
+    claims = spark.createDataFrame([(1, "p1"), (2, "p2")], "attempt_id long, claimed_person string")
+    out = {r["attempt_id"]: r["outcome"]
+           for r in D.attempt_decisions(face, voice, ident, claims).collect()}
+    assert out == {1: "GRANTED", 2: "DENIED_CLAIM"}
+    plain = {r["attempt_id"]: r["outcome"]
+             for r in D.attempt_decisions(face, voice, ident).collect()}
+    assert plain == {1: "GRANTED", 2: "GRANTED"}
