@@ -67,10 +67,9 @@ def attempts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Face sample i with voice sample (7 i + 3) mod n; claimed person = label of i."""
     s = samples(spark, sf_dir)
     n = s.count()  # one scalar
-    face = s.select(F.col("vec_id").alias("attempt_id"), F.col("vec_id").alias("face_vec"),
-                    F.col("person").alias("claimed_person"),
-                    ((F.col("vec_id") * 7 + 3) % F.lit(n)).alias("voice_vec"))
-    return face
+    voice = ((F.col("vec_id") * 7 + 3) % F.lit(n)) if n else F.lit(None).cast("bigint")
+    return s.select(F.col("vec_id").alias("attempt_id"), F.col("vec_id").alias("face_vec"),
+                    F.col("person").alias("claimed_person"), voice.alias("voice_vec"))
 
 
 def identity_map(spark: SparkSession, sf_dir: str, customers: DataFrame) -> DataFrame:

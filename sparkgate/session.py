@@ -80,7 +80,7 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     spark = df.sparkSession
     path = scratch_path(spark, name)
     df.write.mode("overwrite").parquet(path)
-    return spark.read.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)   # schema given: empty inputs read too
 
 
 def shuffle_partitions_for(input_bytes: int, target_bytes: int = 256 * 1024 * 1024,

@@ -175,3 +175,13 @@ def test_assert_expectations_lists_every_failure(spark):
         Q.assert_expectations(findings)
     assert "ids_not_null" in str(e.value) and "amount_positive" in str(e.value)
     assert "unique_ids" not in str(e.value)
+
+
+def test_cleaning_empty_inputs(spark):
+    """Empty tables flow through the materialised cleaning steps (no schema inference)."""
+    prof = spark.createDataFrame([], "customer_id string, social_media_platform string, "
+                                     "engagement_score string, purchase_interest_score string, "
+                                     "review_sentiment string, src_ord long")
+    assert C.clean_profiles(prof).count() == 0
+    tx = spark.createDataFrame([], TX_SCHEMA)
+    assert C.clean_transactions(tx).count() == 0
