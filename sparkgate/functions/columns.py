@@ -10,16 +10,13 @@ SENTIMENT_ORDINAL = {"negative": 0, "neutral": 1, "positive": 2}
 SENTIMENT_DEFAULT = 1
 BOOL_TEXT = {"true": True, "1": True, "false": False, "0": False}
 SECONDS_PER_DAY = 86400
+WHITESPACE = " \t\n\r\x0b\x0c"     # what str.strip() removes from ASCII text
 
 
 def _c(c) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
-# Fixed value: the whitespace set removed by ``str.strip()`` for ASCII text.
-WHITESPACE = " \t\n\r\x0b\x0c"
-
-
 def strip_lower(c) -> Column:
     """``str(x).strip().lower()``: trims every ASCII whitespace kind, not only spaces."""
     return F.lower(F.trim(_c(c).cast("string"), F.lit(WHITESPACE)))
@@ -37,17 +34,19 @@ def normalize_category(c, missing: str = "unknown") -> Column:
 
 def to_double(c) -> Column:
     """Numeric coercion, bad text and NaN -> NULL."""
-    d = F.expr(f"try_cast({_sql(c)} as double)") if isinstance(c, str) else c.try_cast("double")
+    d = _c(c).try_cast("double")
     return F.when(F.isnan(d), F.lit(None).cast("double")).otherwise(d)
 
 
 def to_timestamp_ntz(c, fmt: str | None = None) -> Column:
-    """Timestamp coercion, bad text -> NULL (NTZ kept as is)."""
+    """Timestamp coercion, bad text -> NULL (NTZ values kept as they are); with
+    ``fmt`` the pattern is tried first."""
     col = _c(c)
-    return F.when(col.isNull(), F.lit(None).cast("timestamp_ntz")).otherwise(
-        F.coalesce(col.try_cast("timestamp_ntz"),
-                   F.try_to_timestamp(col.cast("string"), F.lit(fmt)).cast("timestamp_ntz")
-                   if fmt else col.try_cast("timestamp_ntz")))
+    parsed = col.try_cast("timestamp_ntz")
+    if fmt:
+        parsed = F.coalesce(
+            F.try_to_timestamp(col.cast("string"), F.lit(fmt)).cast("timestamp_ntz"), parsed)
+    return parsed
 
 
 def bool_text(c) -> Column:
@@ -97,6 +96,3 @@ def stable_round(c, digits: int = 6) -> Column:
     return F.when(bad, x).otherwise(
         F.bround(x.cast("decimal(38,9)"), digits).cast("double"))
 
-
-def _sql(name: str) -> str:
-    return f"`{name}`"
