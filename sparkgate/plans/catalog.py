@@ -550,6 +550,26 @@ def feature_importance(spark, sf):
     return round_doubles(MT.feature_importances(model, spark))
 
 
+@query
+def cv_rf_category(spark, sf):
+    """M10 + M12: stratified 2-fold cross-validation of the product forest (accuracy and
+    macro F1 over the labels present in each fold)."""
+    checkpoint_dir(spark)
+    f = SP.stratified_folds(customers(spark, sf), "product_category", "customer_id", k=2)
+    feats = C.drop_if_present(f, ML.TRANSACTION_LEAK_COLS).checkpoint(eager=True)
+    lm = MT.label_indexer(feats, "product_category")
+
+    def fit(train):
+        tr, = MT.fill_most_frequent(train, [train], PRODUCT_CATEGORICAL)
+        return MT.fit_product_model(tr, "product_category", PRODUCT_NUMERIC,
+                                    PRODUCT_CATEGORICAL, lm)
+
+    def predict(model, part):
+        return MT.predict_labels(model, part, lm.labels)
+    return round_doubles(M.fold_summary(MT.cross_validate(feats, "fold", fit, predict,
+                                                          "product_category")))
+
+
 def identity_frame(spark, sf) -> DataFrame:
     checkpoint_dir(spark)
     return SP.group_folds(scaled_samples(spark, sf, "face"), "person", "group_id", k=3) \
