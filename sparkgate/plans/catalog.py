@@ -550,6 +550,28 @@ def feature_importance(spark, sf):
     return round_doubles(MT.feature_importances(model, spark))
 
 
+@query
+def eval_rf_category(spark, sf):
+    """S11 + E1-E6 on the forest's holdout: one tidy (metric, value) table — macro and
+    weighted metrics over all model classes, log loss, OvR ROC-AUC over present classes."""
+    model, lm, _, test = product_model(spark, sf)
+    labels = list(lm.labels)
+    p = MT.predict_labels(model, test, labels).select(
+        F.col("product_category").alias("y_true"), F.col("predicted").alias("y_pred"),
+        "proba").checkpoint(eager=True)
+    lt = M.label_table(spark, labels)
+    parts = [M.macro_metrics(p, lt).drop("n_rows"), M.weighted_metrics(p, lt),
+             M.log_loss(p, labels).select("log_loss"),
+             M.roc_auc_macro(M.roc_auc_ovr(p, labels)).select("roc_auc_macro")]
+    tidy = None
+    for part in parts:
+        rows = part.select(F.explode(F.array(*[
+            F.struct(F.lit(c).alias("metric"), F.col(c).cast("double").alias("value"))
+            for c in part.columns])).alias("r")).select("r.*")
+        tidy = rows if tidy is None else tidy.unionByName(rows)
+    return round_doubles(tidy)
+
+
 @query
 def cv_rf_category(spark, sf):
     """M10 + M12: stratified 2-fold cross-validation of the product forest (accuracy and
