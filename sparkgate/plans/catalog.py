@@ -592,16 +592,14 @@ def cv_rf_category(spark, sf):
                                                           "product_category")))
 
 
-def identity_frame(spark, sf) -> DataFrame:
+def identity_frame(spark, sf, modality: str = "face", k: int = 3) -> DataFrame:
     checkpoint_dir(spark)
-    return SP.group_folds(scaled_samples(spark, sf, "face"), "person", "group_id", k=3) \
+    return SP.group_folds(scaled_samples(spark, sf, modality), "person", "group_id", k=k) \
         .checkpoint(eager=True)
 
 
-@query
-def train_lr_identity(spark, sf):
-    """M8 + M11 + M12: grouped 3-fold cross-validation of the identity model."""
-    df = identity_frame(spark, sf)
+def identity_cv(spark, sf, modality: str, k: int) -> DataFrame:
+    df = identity_frame(spark, sf, modality, k)
     lm = MT.label_indexer(df, "person")
 
     def fit(train):
@@ -610,8 +608,19 @@ def train_lr_identity(spark, sf):
     def predict(model, part):
         return MT.predict_labels(model, part.withColumn(
             "features", MT.array_to_vector("x")), lm.labels)
-    per = MT.cross_validate(df, "fold", fit, predict, "person")
-    return round_doubles(per)
+    return round_doubles(MT.cross_validate(df, "fold", fit, predict, "person"))
+
+
+@query
+def train_lr_identity(spark, sf):
+    """M8 + M11 + M12: grouped 3-fold cross-validation of the face identity model."""
+    return identity_cv(spark, sf, "face", 3)
+
+
+@query
+def train_lr_voice(spark, sf):
+    """M8 + M11 + M12: grouped 2-fold cross-validation of the voice identity model."""
+    return identity_cv(spark, sf, "voice", 2)
 
 
 @query
