@@ -667,3 +667,8 @@ UNION ALL SELECT 'spend_non_negative', count(*) FILTER (WHERE total_spent < 0) =
                  CAST(count(*) FILTER (WHERE total_spent < 0) AS BIGINT) FROM customer_tbl
 UNION ALL SELECT 'row_count', true, CAST(count(*) AS BIGINT) FROM customer_tbl
 """)
+
+# The stream's last state per session equals the sequential fold of the events.
+sql_rec("fsm_stream", _FSM + """
+SELECT user_id, day, final_state, n_events, n_illegal FROM sess
+""")
