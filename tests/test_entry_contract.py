@@ -61,3 +61,25 @@ def test_plans_have_no_cross_join_and_no_python(spark, name):
                 "InPandas", "collect_list"):
         assert bad not in plan, (name, bad)
     assert "ReadSchema" in plan
+
+
+def test_coverage_map_matches_registry():
+    """COVERAGE.md names only registered queries, mentions every one, and every query it
+    marks as oracle-checked has an oracle."""
+    import os
+    import re
+    path = os.path.join(os.path.dirname(os.path.dirname(__file__)), "COVERAGE.md")
+    q, o = set(E.queries()), set(E.oracle_sql())
+    mentioned = set()
+    for line in open(path):
+        if not line.startswith("| ") or line.startswith("| ID"):
+            continue
+        cols = [c.strip() for c in line.strip().strip("|").split("|")]
+        if len(cols) < 4:
+            continue
+        names = re.findall(r"`([a-z_0-9]+)`", cols[2])
+        assert set(names) <= q, names
+        mentioned |= set(names)
+        if "oracle" in cols[3]:
+            assert any(n in o for n in names), cols[0]
+    assert mentioned == q
