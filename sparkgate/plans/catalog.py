@@ -10,6 +10,7 @@ from __future__ import annotations
 from collections.abc import Callable
 from concurrent.futures import ThreadPoolExecutor
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, FloatType
@@ -59,7 +60,9 @@ def in_parallel(*thunks):
     winsor bounds, fitted profiles); Spark schedules jobs from several driver threads
     side by side."""
     with ThreadPoolExecutor(max_workers=len(thunks)) as pool:
-        futures = [pool.submit(t) for t in thunks]
+        # inherit the caller's local properties (job group, scheduler pool), so the
+        # jobs can be cancelled and scheduled together with the calling query
+        futures = [pool.submit(inheritable_thread_target(t)) for t in thunks]
         return [f.result() for f in futures]
 
 
