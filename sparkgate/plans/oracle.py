@@ -672,3 +672,54 @@ UNION ALL SELECT 'row_count', true, CAST(count(*) AS BIGINT) FROM customer_tbl
 sql_rec("fsm_stream", _FSM + """
 SELECT user_id, day, final_state, n_events, n_illegal FROM sess
 """)
+
+# Images built from the embedding (8x8, BGR interleaved, channel G / R read the vector
+# shifted by 1 / 2), four variants as byte lists, MD5 of the bytes, and the first
+# orientation (0, 90, 180, 270 clockwise) whose top half is brighter than its bottom.
+sql("media_image_variants", """
+, img AS (
+  SELECT CAST(vec_id AS VARCHAR) AS image_id, CAST(label AS VARCHAR) AS person,
+         [least(255, greatest(0, CAST(trunc((CAST(e AS DOUBLE) * 4 + 1.0) * 127.5) AS INTEGER)))
+          for e in embedding] AS px
+  FROM embeddings),
+pix AS (
+  SELECT image_id, person, px,
+         [CAST(least(255, greatest(0, round_even(
+             CAST(0.114 AS DOUBLE) * CAST(px[p + 1] AS DOUBLE)
+             + CAST(0.587 AS DOUBLE) * CAST(px[((p + 1) % 64) + 1] AS DOUBLE)
+             + CAST(0.299 AS DOUBLE) * CAST(px[((p + 2) % 64) + 1] AS DOUBLE), 0))) AS INTEGER)
+          for p in range(64)] AS gray,
+         list_sum([px[p + 1] + px[((p + 1) % 64) + 1] + px[((p + 2) % 64) + 1]
+                   for p in range(64) if p < 32]) AS top,
+         list_sum([px[p + 1] + px[((p + 1) % 64) + 1] + px[((p + 2) % 64) + 1]
+                   for p in range(64) if p >= 32]) AS bottom,
+         list_sum([px[p + 1] + px[((p + 1) % 64) + 1] + px[((p + 2) % 64) + 1]
+                   for p in range(64) if p % 8 < 4]) AS lft,
+         list_sum([px[p + 1] + px[((p + 1) % 64) + 1] + px[((p + 2) % 64) + 1]
+                   for p in range(64) if p % 8 >= 4]) AS rgt
+  FROM img),
+var AS (
+  SELECT image_id, person, '' AS suffix,
+         flatten([[px[p + 1], px[((p + 1) % 64) + 1], px[((p + 2) % 64) + 1]]
+                  for p in range(64)]) AS bytes, top, bottom, lft, rgt FROM pix
+  UNION ALL
+  SELECT image_id, person, '_gray',
+         flatten([[gray[p + 1], gray[p + 1], gray[p + 1]] for p in range(64)]),
+         top, bottom, lft, rgt FROM pix
+  UNION ALL
+  SELECT image_id, person, '_flip',
+         flatten([[px[q + 1], px[((q + 1) % 64) + 1], px[((q + 2) % 64) + 1]]
+                  for q in [(p // 8) * 8 + (7 - p % 8) for p in range(64)]]),
+         top, bottom, lft, rgt FROM pix
+  UNION ALL
+  SELECT image_id, person, '_rotate',
+         flatten([[px[q + 1], px[((q + 1) % 64) + 1], px[((q + 2) % 64) + 1]]
+                  for q in [(7 - p % 8) * 8 + p // 8 for p in range(64)]]),
+         top, bottom, lft, rgt FROM pix)
+SELECT image_id, person, 'neutral' || suffix AS variant, CAST(8 AS INTEGER) AS height,
+       CAST(8 AS INTEGER) AS width, CAST(3 AS INTEGER) AS nChannels,
+       md5(from_hex(array_to_string([lpad(hex(b), 2, '0') for b in bytes], ''))) AS checksum,
+       CAST(CASE WHEN top > bottom THEN 0 WHEN lft > rgt THEN 90 WHEN bottom > top THEN 180
+                 WHEN rgt > lft THEN 270 END AS INTEGER) AS face_rotation
+FROM var
+""")
