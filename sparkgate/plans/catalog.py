@@ -59,10 +59,13 @@ def in_parallel(*thunks):
     """Build independent inputs concurrently: each may run small eager jobs (medians,
     winsor bounds, fitted profiles); Spark schedules jobs from several driver threads
     side by side."""
+    session = SparkSession.getActiveSession()
+    wrap = inheritable_thread_target(session) if session is not None \
+        else inheritable_thread_target
     with ThreadPoolExecutor(max_workers=len(thunks)) as pool:
-        # inherit the caller's local properties (job group, scheduler pool), so the
-        # jobs can be cancelled and scheduled together with the calling query
-        futures = [pool.submit(inheritable_thread_target(t)) for t in thunks]
+        # inherit the caller's local properties and session tags (job group, scheduler
+        # pool), so the jobs are cancelled and scheduled together with the calling query
+        futures = [pool.submit(wrap(t)) for t in thunks]
         return [f.result() for f in futures]
 
 
@@ -754,11 +757,12 @@ def risk_first_row(spark, sf):
 def export_readback(spark, sf):
     """S8 + S9: write the customer table (CSV with header, overwrite) to the shared
     checkpoint folder, read it back and check columns, spend, key and row count."""
-    from ..session import scratch_path
+    from ..session import register_cleanup, scratch_path
+    from ..sources.tables import readback_checks, write_table
     cu = customers(spark, sf)
     path = scratch_path(spark, "customer-export")
-    from ..sources.tables import readback_checks, write_table
     write_table(cu, path, fmt="csv")
+    register_cleanup(spark, path)
     n = cu.select("customer_id").distinct().count()   # one scalar
     return readback_checks(spark, path, cu.columns, "customer_id", fmt="csv",
                            expected_rows=n)

@@ -72,6 +72,16 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return os.path.join(base, f"{name}-{uuid.uuid4().hex[:12]}")
 
 
+def register_cleanup(spark: SparkSession, path: str) -> None:
+    """Delete a written scratch table when the application's file system closes (JVM
+    exit), so DataFrames read from it stay valid for the whole session."""
+    try:
+        p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+        p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).deleteOnExit(p)
+    except Exception:  # noqa: BLE001 - cleanup is best effort
+        pass
+
+
 def materialize(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` once as a Parquet table in the shared checkpoint folder and read it
     back: later passes (order statistics, counts, the main query) scan only the columns
@@ -80,6 +90,7 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     spark = df.sparkSession
     path = scratch_path(spark, name)
     df.write.mode("overwrite").parquet(path)
+    register_cleanup(spark, path)
     return spark.read.schema(df.schema).parquet(path)   # schema given: empty inputs read too
 
 

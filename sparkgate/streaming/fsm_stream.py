@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming.state import GroupStateTimeout
 
 from ..operators import fsm
-from ..session import checkpoint_dir
+from ..session import checkpoint_dir, register_cleanup
 
 OUTPUT_SCHEMA = ("user_id long, day date, ts timestamp_ntz, event_id long, event string, "
                  "from_state string, to_state string, legal boolean, n_events long")
@@ -90,4 +90,5 @@ def run_events_stream(spark: SparkSession, sf_dir: str, max_files: int = 1) -> D
          .option("checkpointLocation", os.path.join(base, "state"))
          .outputMode("append").trigger(availableNow=True).start())
     q.awaitTermination()
+    register_cleanup(spark, base)
     return spark.read.schema(OUTPUT_SCHEMA).parquet(os.path.join(base, "out"))
