@@ -53,13 +53,16 @@ def apply_semantics(spark: SparkSession) -> None:
 def checkpoint_dir(spark: SparkSession) -> str:
     """The shared checkpoint folder named by the cluster.
 
-    Reads ``spark.checkpoint.dir`` from the session. Only when it is unset (local
-    runs, tests) a scratch folder is created and registered.
+    Reads ``spark.checkpoint.dir`` from the session. Only a local-mode session (tests,
+    single-machine runs) may fall back to a scratch folder of its own; on a cluster an
+    unset setting is an error, since a machine-local folder is not shared.
     """
     d = spark.conf.get("spark.checkpoint.dir", None)
     if not d:
         d = spark.sparkContext.getCheckpointDir()
     if not d:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder shared by the cluster")
         d = tempfile.mkdtemp(prefix="sparkgate-ckpt-")
         spark.conf.set("spark.checkpoint.dir", d)
     spark.sparkContext.setCheckpointDir(d)
