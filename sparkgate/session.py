@@ -65,7 +65,9 @@ def checkpoint_dir(spark: SparkSession) -> str:
             raise ValueError("set spark.checkpoint.dir to a folder shared by the cluster")
         d = tempfile.mkdtemp(prefix="sparkgate-ckpt-")
         spark.conf.set("spark.checkpoint.dir", d)
-    spark.sparkContext.setCheckpointDir(d)
+    current = spark.sparkContext.getCheckpointDir() or ""
+    if d.rstrip("/").split(":", 1)[-1] not in current:
+        spark.sparkContext.setCheckpointDir(d)   # creates one application subfolder
     return d
 
 
