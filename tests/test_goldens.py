@@ -115,3 +115,54 @@ def test_g18_sample_header_triage(spark):
     got = {r["path"]: r["status"] for r in Q.triage_samples(df, "path", "content").collect()}
     assert got == {"face.png": "ok", "corrupt.png": "corrupted", "ghost_face.png": "missing",
                    "notes.txt": "unsupported_format", "": "invalid_path"}
+
+
+# Two stored customers (their transactions are not touched by the published
+# winsor bounds 158.8241 / 24007.2252, so the customer table on these rows alone
+# must reproduce the stored modeling rows).
+TX_ROWS = [
+    ("T0245", "A178", "2025-01-21 18:06:00", "19899.83", "Finance", False),
+    ("T0246", "A178", "2025-02-24 15:38:00", "878.78", "Wholesale", False),
+    ("T0247", "A178", "2025-02-02 09:17:00", "2071.57", "Fuel", False),
+    ("T0248", "A178", "2025-02-21 04:21:00", "3018.97", "Travel", False),
+    ("T0249", "A178", "2025-01-13 20:14:00", "2801.41", "Groceries", False),
+    ("T0250", "A178", "2025-01-11 09:27:00", "449.18", "Travel", False),
+    ("T0285", "A190", "2025-03-31 10:02:00", "21396.18", "Other", True),
+    ("T0286", "A190", "2025-03-27 02:34:00", "1167.58", "Health", False),
+    ("T0287", "A190", "2025-02-14 12:29:00", "8406.82", "Finance", False),
+    ("T0288", "A190", "2025-02-22 11:07:00", "12614.65", "Finance", True),
+    ("T0289", "A190", "2025-01-10 19:51:00", "716.57", "Fuel", False),
+    ("T0290", "A190", "2025-02-06 10:25:00", "1287.42", "Wholesale", False),
+]
+PROFILE_ROWS = [("A178", "LinkedIn", "74", "4.9", "Positive"),
+                ("A190", "Twitter", "82", "4.8", "Neutral"),
+                ("A178", "LinkedIn", "53", "1.5", "Neutral"),
+                ("A178", "TikTok", "68", "3.5", "Negative")]
+
+
+def test_g4_g5_customer_rows(spark):
+    import datetime as dt
+
+    from sparkgate.operators import clean as CL
+    from sparkgate.operators import features as FE
+    tx = spark.createDataFrame(
+        [(t, c, ts, a, cat, f, i) for i, (t, c, ts, a, cat, f) in enumerate(TX_ROWS)],
+        "transaction_id string, customer_id string, timestamp string, amount string, "
+        "category string, is_fraud boolean, src_ord long")
+    prof = spark.createDataFrame(
+        [(*r, i) for i, r in enumerate(PROFILE_ROWS)],
+        "customer_id string, social_media_platform string, engagement_score string, "
+        "purchase_interest_score string, review_sentiment string, src_ord long")
+    tf = FE.transaction_features(CL.valid_transactions(tx))
+    out = {r["customer_id"]: r for r in FE.customer_table(CL.clean_profiles(prof), tf).collect()}
+    a, b = out["a178"], out["a190"]
+    assert round(a["total_spent"], 2) == 29119.74 and a["purchase_count"] == 6
+    assert round(a["average_spent"], 2) == 4853.29 and a["fraud_rate"] == 0.0
+    assert a["product_category"] == "travel" and a["days_since_last_purchase"] == 35
+    assert a["last_purchase"] == dt.datetime(2025, 2, 24, 15, 38)
+    assert a["engagement_score"] == 65.0 and abs(a["purchase_interest_score"] - 3.3) < 1e-12
+    assert a["platform_count"] == 2 and a["main_platform"] == "linkedin"
+    assert a["review_sentiment"] == "positive"          # three-way tie, first seen
+    assert round(b["total_spent"], 2) == 45589.22 and abs(b["average_spent"] - 7598.2033) < 1e-4
+    assert abs(b["fraud_rate"] - 1 / 3) < 1e-12 and b["product_category"] == "finance"
+    assert b["days_since_last_purchase"] == 0 and b["main_platform"] == "twitter"
