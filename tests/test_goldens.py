@@ -166,3 +166,16 @@ def test_g4_g5_customer_rows(spark):
     assert round(b["total_spent"], 2) == 45589.22 and abs(b["average_spent"] - 7598.2033) < 1e-4
     assert abs(b["fraud_rate"] - 1 / 3) < 1e-12 and b["product_category"] == "finance"
     assert b["days_since_last_purchase"] == 0 and b["main_platform"] == "twitter"
+
+
+def test_g13_voice_novelty_profile(spark):
+    """Population-std scaling on all 16 rows, class centroids, max intra-class distance."""
+    from sparkgate.operators import verify as V
+    rows = [(i, p, v) for i, (p, _, v) in enumerate(VOICE)]
+    df = spark.createDataFrame(rows, "id long, person string, x array<double>")
+    mean, std = ML.scaler_arrays(ML.scaler_stats(df, "x"))
+    scaled = ML.apply_scaler(df, "x", mean, std, "xs")
+    prof = {r["person"]: r["max_intra_class_distance"]
+            for r in V.class_profile(scaled, "person", "xs").collect()}
+    assert round(prof["person1"], 5) == 4.93836
+    assert round(prof["person2"], 5) == 4.21652
