@@ -189,3 +189,28 @@ def test_distinct_counts_exact_and_sketch(spark):
     s = Q.distinct_counts(df, ["a", "b"], approx=True).first()
     assert e["a"] == 37 and e["b"] == 5000 and e["rows"] == 5000
     assert abs(s["b"] - 5000) / 5000 < 0.05
+
+
+def test_checkpoint_folder_must_be_shared_on_a_cluster():
+    """No machine-local fallback unless the session runs in local mode."""
+    from sparkgate.session import checkpoint_dir
+
+    class _Conf:
+        def get(self, key, default=None):
+            return default
+
+        def set(self, key, value):
+            raise AssertionError("must not set a local folder on a cluster")
+
+    class _Ctx:
+        master = "yarn"
+
+        def getCheckpointDir(self):
+            return None
+
+    class _Session:
+        conf = _Conf()
+        sparkContext = _Ctx()
+
+    with pytest.raises(ValueError):
+        checkpoint_dir(_Session())
