@@ -256,9 +256,6 @@ def risk_decision(spark, sf):
 
 
 # ---------------------------------------------------------------- model preparation
-
-
-
 def customers_split(spark, sf) -> DataFrame:
     return SP.stratified_holdout(customers(spark, sf), "product_category", "customer_id")
 
@@ -278,7 +275,8 @@ def scaler_stats(spark, sf):
 
 @query
 def one_hot_platform(spark, sf):
-    """M1/M4: alphabetical index and one-hot slot (last slot dropped) of main_platform."""
+    """M1/M4: alphabetical index and one-hot slot of main_platform (the dropped slot is
+    the unknown index, so every known value has a live slot)."""
     o = ML.one_hot(customers(spark, sf), "main_platform", "platform")
     return o.select("customer_id", "main_platform",
                     F.col("platform_index").cast("int").alias("platform_index"),
