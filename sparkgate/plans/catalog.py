@@ -102,6 +102,12 @@ def dq_profile_events(spark, sf):
     return Q.profile_table(R.profiles_raw(spark, sf).drop("src_ord"), "customer_id")
 
 
+@query
+def dq_profile_transactions(spark, sf):
+    """Q1 on the raw transaction table."""
+    return Q.profile_table(R.transactions_raw(spark, sf).drop("src_ord"), "customer_id")
+
+
 @query
 def dq_distribution(spark, sf):
     """Q2: platform value counts after normalisation."""

@@ -723,3 +723,29 @@ SELECT image_id, person, 'neutral' || suffix AS variant, CAST(8 AS INTEGER) AS h
                  WHEN rgt > lft THEN 270 END AS INTEGER) AS face_rotation
 FROM var
 """)
+
+sql("dq_profile_transactions", """
+, g AS (SELECT transaction_id, customer_id, ts, amount, category, is_fraud, count(*) AS m
+        FROM tx_raw GROUP BY ALL),
+a AS (SELECT sum(m) AS rows, count(*) AS distinct_rows,
+             sum(CASE WHEN customer_id IS NOT NULL THEN m END) AS id_rows,
+             count(DISTINCT customer_id) AS unique_ids,
+             sum(CASE WHEN transaction_id IS NULL THEN m ELSE 0 END) AS n1,
+             sum(CASE WHEN customer_id IS NULL THEN m ELSE 0 END) AS n2,
+             sum(CASE WHEN ts IS NULL THEN m ELSE 0 END) AS n3,
+             sum(CASE WHEN amount IS NULL THEN m ELSE 0 END) AS n4,
+             sum(CASE WHEN category IS NULL THEN m ELSE 0 END) AS n5,
+             sum(CASE WHEN is_fraud IS NULL THEN m ELSE 0 END) AS n6
+      FROM g)
+SELECT 'rows' AS metric, CAST(rows AS BIGINT) AS value FROM a
+UNION ALL SELECT 'columns', 6 FROM a
+UNION ALL SELECT 'duplicate_rows', CAST(rows - distinct_rows AS BIGINT) FROM a
+UNION ALL SELECT 'duplicate_ids', CAST(coalesce(id_rows, 0) - unique_ids AS BIGINT) FROM a
+UNION ALL SELECT 'unique_ids', CAST(unique_ids AS BIGINT) FROM a
+UNION ALL SELECT 'null_transaction_id', CAST(n1 AS BIGINT) FROM a
+UNION ALL SELECT 'null_customer_id', CAST(n2 AS BIGINT) FROM a
+UNION ALL SELECT 'null_timestamp', CAST(n3 AS BIGINT) FROM a
+UNION ALL SELECT 'null_amount', CAST(n4 AS BIGINT) FROM a
+UNION ALL SELECT 'null_category', CAST(n5 AS BIGINT) FROM a
+UNION ALL SELECT 'null_is_fraud', CAST(n6 AS BIGINT) FROM a
+""")
