@@ -114,6 +114,12 @@ def dq_distribution(spark, sf):
     return Q.value_counts(profiles_clean(spark, sf), "social_media_platform")
 
 
+@query
+def dq_category_distribution(spark, sf):
+    """Q2: transaction category value counts after normalisation (the model target)."""
+    return Q.value_counts(tx_valid(spark, sf), "category")
+
+
 @query
 def dq_expectations(spark, sf):
     """Q3/Q4 expectations as rows (check, passed, observed)."""

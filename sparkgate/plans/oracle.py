@@ -749,3 +749,7 @@ UNION ALL SELECT 'null_amount', CAST(n4 AS BIGINT) FROM a
 UNION ALL SELECT 'null_category', CAST(n5 AS BIGINT) FROM a
 UNION ALL SELECT 'null_is_fraud', CAST(n6 AS BIGINT) FROM a
 """)
+
+sql("dq_category_distribution", """
+SELECT category, count(*) AS n_rows FROM tx_valid GROUP BY 1
+""")
