@@ -1,45 +1,40 @@
 """Byte-level BPE encoding and decoding.
 
-Method: ranked merges are folded over the byte arrays of distinct words with Spark's
-higher-order functions, and the ranks are a literal in the plan. Everything happens in one
-stage without a shuffle:
+Method: ranked merges are folded over the byte arrays of distinct words, with the rank map
+as a constant that every task holds; decoding concatenates the binary pieces of the ids.
+One narrow stage without a shuffle: a task cuts its texts into pre-tokens, folds the merges
+once for each distinct word it meets, and joins the ids of the words text by text.
 
-1. a Python pass cuts the texts of a partition into pre-tokens, gives every distinct word
-   of the partition a number and writes each text as an array of numbers;
-2. the JVM folds the merges over the new distinct words of each block (``merge_word``);
-3. a second Python pass puts the ids of the words together again, text by text.
+The fold is a Python function inside the tasks. The same fold as Spark higher-order
+functions over a literal map gave the same ids but took 177 microseconds a word (README).
 
-The number of words a partition has bounds the memory of its task. Words longer than
-``LONG_WORD`` bytes would cost the square of their length in the fold, so the second pass
-merges them with a heap (``merge_long``), to the same result.
+A Python worker keeps the ids of at most two generations of ``WORDS_KEPT`` distinct words,
+which bounds its memory and changes no result. The rank map (some 50,000 pieces, a fixed
+vocabulary that does not grow with the data) is broadcast.
 
 Nulls, ties and odd rows: a null text is the empty text, which has no tokens and decodes
 to the empty string; a null id stays null; every input row gives one output row, repeated
-rows included; other columns of the input are ignored. An unpaired rank tie can't occur:
-ranks are unique, and of equal pairs the leftmost merges first.
+rows included; other columns of the input are ignored. Ranks are unique, and of equal pairs
+the leftmost merges first. A word of any length is merged whole, in n log n steps.
 """
 
 from __future__ import annotations
 
 import base64
 import heapq
-import json
 from collections.abc import Callable, Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from sparkgate.llm.common import id_text
 
-#: Buckets of the literal rank map: Spark searches a map from its start, so each is short.
-RANK_BUCKETS = 32_768
-#: Words with more bytes than this are merged with a heap.
-LONG_WORD = 192
-#: Text in a block; a block is one row between the passes.
-BLOCK_CHARS = 4_000_000
-NO_RANK = 2_147_483_647
+#: Distinct words in a generation of the words of which a Python worker keeps the ids.
+WORDS_KEPT = 300_000
+#: Up to so many bytes, looking through all pairs in each step beats a heap.
+SHORT_WORD = 48
 
 
 def read_ranks(path: str) -> dict[bytes, int]:
@@ -48,64 +43,26 @@ def read_ranks(path: str) -> dict[bytes, int]:
         return {base64.b64decode(a): int(b) for a, b in (x.split() for x in f if x.strip())}
 
 
-def _bucket(piece: Column) -> Column:
-    return (F.crc32(F.encode(piece, "ISO-8859-1")) % RANK_BUCKETS + 1).cast("int")
-
-
-def rank_literal(ranks: dict[bytes, int]) -> Column:
-    """The rank map as a literal: an array of small maps from piece to rank, by CRC.
-
-    Pieces are strings with one character for each byte. Constant folding parses the JSON
-    once, when the plan is made.
-    """
-    import zlib
-    maps: list[dict[str, int]] = [{} for _ in range(RANK_BUCKETS)]
-    for piece, rank in ranks.items():
-        maps[zlib.crc32(piece) % RANK_BUCKETS][piece.decode("latin-1")] = rank
-    return F.from_json(F.lit(json.dumps(maps)), "array<map<string,int>>")
-
-
-def merge_word(word: Column, ranks: Column) -> Column:
-    """Ids of one word (a string with one character for each byte).
-
-    The state of the fold is the list of pieces and, beside it, the rank of each piece
-    joined to the next one. A step joins the leftmost pair of the lowest rank and looks up
-    the two ranks that this changes.
-    """
-    def rank(piece: Column) -> Column:
-        return F.coalesce(F.try_element_at(F.element_at(ranks, _bucket(piece)), piece),
-                          F.lit(NO_RANK))
-
-    def step(acc: Column, _: Column) -> Column:
-        low = F.array_min(acc["ranks"])
-
-        def joined(i: Column) -> Column:
-            p, r = acc["pieces"], acc["ranks"]
-            piece = F.concat(F.element_at(p, i), F.element_at(p, i + 1))
-            left = F.when(i > 1, F.array(rank(F.concat(F.get(p, i - 2), piece)))
-                          ).otherwise(F.slice(r, 1, 0))
-            right = F.when(i + 1 < F.size(p), rank(F.concat(piece, F.get(p, i + 1)))
-                           ).otherwise(F.lit(NO_RANK))
-            return F.struct(
-                F.concat(F.slice(p, 1, i - 1), F.array(piece),
-                         F.slice(p, i + 2, F.size(p))).alias("pieces"),
-                F.concat(F.slice(r, 1, F.greatest(i - 2, F.lit(0))), left, F.array(right),
-                         F.slice(r, i + 2, F.size(r))).alias("ranks"))
-        at = F.array_position(acc["ranks"], low).cast("int")
-        return F.when(low == NO_RANK, acc).otherwise(
-            F.element_at(F.transform(F.array(at), joined), 1))
-
-    def fold(pieces: Column) -> Column:
-        n = F.size(pieces)
-        first = F.transform(pieces, lambda p, i: F.when(
-            i + 1 < n, rank(F.concat(p, F.get(pieces, i + 1)))).otherwise(F.lit(NO_RANK)))
-        start = F.struct(pieces.alias("pieces"), first.alias("ranks"))
-        return F.aggregate(F.sequence(F.lit(1), n), start, step,
-                           lambda acc: F.transform(acc["pieces"], rank))
-    return F.element_at(F.transform(F.array(F.split(word, "")), fold), 1)
-
-
-def merge_long(word: bytes, ranks: dict[bytes, int]) -> list[int]:
+def merge(word: bytes, ranks: dict[bytes, int]) -> list[int]:
+    """Ids of a word: fold the leftmost pair of the lowest rank until no pair has a rank."""
+    if (whole := ranks.get(word)) is not None:
+        return [whole]
+    if len(word) > SHORT_WORD:
+        return _merge_long(word, ranks)
+    cuts = list(range(len(word) + 1))   # piece i is word[cuts[i]:cuts[i + 1]]
+    none = len(ranks)
+    of = [ranks.get(word[i:i + 2], none) for i in range(len(word) - 1)]
+    while of and (low := min(of)) < none:
+        i = of.index(low)
+        del cuts[i + 1], of[i]
+        if i:
+            of[i - 1] = ranks.get(word[cuts[i - 1]:cuts[i + 1]], none)
+        if i < len(of):
+            of[i] = ranks.get(word[cuts[i]:cuts[i + 2]], none)
+    return [ranks[word[a:b]] for a, b in zip(cuts, cuts[1:])]
+
+
+def _merge_long(word: bytes, ranks: dict[bytes, int]) -> list[int]:
     """The same merges with a heap of pairs and a linked list of pieces."""
     n = len(word)
     end, after, before = list(range(1, n + 1)), list(range(1, n + 1)), list(range(-1, n - 1))
@@ -129,57 +86,43 @@ def merge_long(word: bytes, ranks: dict[bytes, int]) -> list[int]:
     return [ranks[word[i:end[i]]] for i in range(n) if live[i]]
 
 
-def _number_words(pattern: str) -> Callable[[Iterator[pd.DataFrame]], Iterator[pd.DataFrame]]:
-    """First pass: blocks of texts as word numbers, with the words a block is first to have."""
-    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        import regex
-        words_of = regex.compile(pattern).findall
-        numbers: dict[str, int] = {}
-        number = numbers.__getitem__
-        block: list[tuple[int | None, bytes]] = []
-        seen = size = 0
-
-        def row() -> pd.DataFrame:
-            new = list(numbers)[seen:] if seen else list(numbers)
-            raw = [w.encode() for w in new]
-            return pd.DataFrame({
-                "ids": [[i for i, _ in block]], "texts": [[b for _, b in block]],
-                "words": [[w.decode("latin-1") if len(w) <= LONG_WORD else "" for w in raw]],
-                "long": [[w for w in raw if len(w) > LONG_WORD]]})
-        for frame in frames:
-            for i, text in zip(frame["doc_id"], frame["text"]):
-                found = words_of(text)
-                for w in set(found):
-                    numbers.setdefault(w, len(numbers))
-                coded = np.fromiter(map(number, found), np.uint32, len(found)).tobytes()
-                block.append((None if pd.isna(i) else int(i), coded))
-                size += len(text)
-                if size >= BLOCK_CHARS:
-                    yield row()
-                    block, seen, size = [], len(numbers), 0
-        if block:
-            yield row()
-    return run
+class _Ids(dict):
+    """Ids of words as little-endian unsigned 32-bit integers, made when first asked for.
+
+    When full, the words become the old generation, from which those in use come back.
+    """
+
+    def __init__(self, ranks: dict[bytes, int]):
+        super().__init__()
+        self.ranks, self.old = ranks, {}
 
+    def __missing__(self, word: str) -> bytes:
+        if (ids := self.old.get(word)) is None:
+            ids = np.array(merge(word.encode(), self.ranks), "<u4").tobytes()
+        if len(self) >= WORDS_KEPT:
+            self.old = dict(self)
+            self.clear()
+        self[word] = ids
+        return ids
 
-def _gather(long_ranks) -> Callable[[Iterator[pd.DataFrame]], Iterator[pd.DataFrame]]:
-    """Second pass: the ids of each text, little-endian unsigned 32-bit integers in a row."""
+
+#: One entry for each vocabulary that a Python worker has used; the tasks it runs share it.
+_IDS: dict[int, _Ids] = {}
+
+
+def _encoder(held, key: int, pattern: str) -> Callable[[Iterator[pd.DataFrame]], Iterator[pd.DataFrame]]:
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        coded: list[bytes] = []
+        import regex
+        from sparkgate.llm import bpe
+        words_of = regex.compile(pattern).findall
+        if key not in bpe._IDS:
+            bpe._IDS.clear()
+            bpe._IDS[key] = bpe._Ids(held.value)
+        ids_of = bpe._IDS[key].__getitem__
         for frame in frames:
-            for ids, texts, merged, long in zip(frame["ids"], frame["texts"], frame["merged"],
-                                                frame["long"]):
-                rest = iter(long)
-                for word in merged:
-                    if len(word) == 0:
-                        word = merge_long(next(rest), long_ranks.value)
-                    coded.append(np.asarray(word, "<u4").tobytes())
-                out = [b"".join(map(coded.__getitem__, np.frombuffer(t, np.uint32).tolist()))
-                       for t in texts]
-                yield pd.DataFrame({
-                    "doc_id": pd.array([None if pd.isna(i) else int(i) for i in ids],
-                                       dtype="Int64"),
-                    "n_tokens": np.array([len(x) // 4 for x in out], np.int64), "ids": out})
+            out = [b"".join(map(ids_of, words_of(text))) for text in frame["text"]]
+            yield pd.DataFrame({"doc_id": frame["doc_id"], "n_tokens": [len(x) // 4 for x in out],
+                                "ids": out})
     return run
 
 
@@ -189,16 +132,9 @@ def encode(docs: DataFrame, ranks: dict[bytes, int], pattern: str, id_col: str =
 
     ``ids`` is binary, a little-endian unsigned 32-bit integer for each token.
     """
-    spark = docs.sparkSession
-    blocks = id_text(docs, id_col, text_col).mapInPandas(
-        _number_words(pattern),
-        "ids array<bigint>, texts array<binary>, words array<string>, long array<binary>")
-    literal = rank_literal(ranks)
-    merged = blocks.select("ids", "texts", "long", F.transform(
-        "words", lambda w: F.when(w == "", F.slice(F.array(F.lit(0)), 1, 0))
-        .otherwise(merge_word(w, literal))).alias("merged"))
-    return merged.mapInPandas(_gather(spark.sparkContext.broadcast(ranks)),
-                              "doc_id bigint, n_tokens bigint, ids binary")
+    held = docs.sparkSession.sparkContext.broadcast(ranks)
+    return id_text(docs, id_col, text_col).mapInPandas(
+        _encoder(held, hash(frozenset(ranks.items())), pattern), "doc_id bigint, n_tokens bigint, ids binary")
 
 
 def decode(coded: DataFrame, ranks: dict[bytes, int]) -> DataFrame:
