@@ -17,7 +17,7 @@ def id_text(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Da
                      F.coalesce(F.col(text_col), F.lit("")).alias("text"))
 
 
-def bound(value: Column, name: str, body) -> Column:
+def bound(value: Column, body) -> Column:
     """``body(value)`` with ``value`` evaluated once per row.
 
     ``value`` becomes a lambda variable, so the optimizer can't copy its expression into
