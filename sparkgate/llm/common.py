@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -24,3 +27,15 @@ def bound(value: Column, body) -> Column:
     every place (such as an inner lambda) that reads it.
     """
     return F.element_at(F.transform(F.array(value), body), 1)
+
+
+def slices(frames: Iterator[pd.DataFrame], column: str, size: int = 4_000_000) -> Iterator[pd.DataFrame]:
+    """The frames cut so that ``column`` holds at most ``size`` characters or bytes in each
+    (one row may hold more), which bounds what a task makes of one at a time."""
+    for frame in frames:
+        at = frame[column].str.len().cumsum().to_numpy() // size if len(frame) else []
+        lo = 0
+        for hi in [*(i for i in range(1, len(frame)) if at[i] != at[i - 1]), len(frame)]:
+            if hi > lo:
+                yield frame.iloc[lo:hi]
+            lo = hi

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sparkgate.llm import bpe, chat, rules
+from sparkgate.llm import bpe, chat, rules, tokencount
 from sparkgate.llm.common import table
 from sparkgate.llm.oracle import ORACLE  # noqa: F401  (registered with the queries)
 
@@ -45,8 +45,16 @@ def op9_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
         "base_failed", "kept", "n_lines", "n_exclamations", "failed")
 
 
+def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pre-tokens and unigram tokens of every document."""
+    import public_tokenizers
+    cost = tokencount.costs(bpe.read_ranks(public_tokenizers.path(BPE_VOCABULARY)))
+    return tokencount.count_tokens(table(spark, sf_dir, "documents"), cost, public_tokenizers.PATTERN)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_chat": op1_chat,
     "op6_bpe": op6_bpe,
     "op9_rules": op9_rules,
+    "op10_token_counts": op10_token_counts,
 }
