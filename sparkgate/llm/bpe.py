@@ -29,10 +29,10 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from sparkgate.llm.common import id_text
+from sparkgate.llm.common import id_text, slices
 
 #: Distinct words in a generation of the words of which a Python worker keeps the ids.
-WORDS_KEPT = 300_000
+WORDS_KEPT = 150_000
 #: Up to so many bytes, looking through all pairs in each step beats a heap.
 SHORT_WORD = 48
 
@@ -119,9 +119,9 @@ def _encoder(held, key: int, pattern: str) -> Callable[[Iterator[pd.DataFrame]],
             bpe._IDS.clear()
             bpe._IDS[key] = bpe._Ids(held.value)
         ids_of = bpe._IDS[key].__getitem__
-        for frame in frames:
+        for frame in slices(frames, "text"):
             out = [b"".join(map(ids_of, words_of(text))) for text in frame["text"]]
-            yield pd.DataFrame({"doc_id": frame["doc_id"], "n_tokens": [len(x) // 4 for x in out],
+            yield pd.DataFrame({"doc_id": frame["doc_id"].to_numpy(), "n_tokens": [len(x) // 4 for x in out],
                                 "ids": out})
     return run
 
@@ -143,7 +143,7 @@ def decode(coded: DataFrame, ranks: dict[bytes, int]) -> DataFrame:
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         piece = pieces_of.value.__getitem__
-        for frame in frames:
+        for frame in slices(frames, "ids"):
             yield frame.assign(decoded=[
                 b"".join(map(piece, np.frombuffer(x, "<u4").tolist())) for x in frame["ids"]])
     return coded.mapInPandas(run, "doc_id bigint, n_tokens bigint, ids binary, decoded binary")
