@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sparkgate.llm import bpe, chat, rules, tokencount
+from sparkgate.llm import bpe, chat, html_extract, rules, tokencount
 from sparkgate.llm.common import table
 from sparkgate.llm.oracle import ORACLE  # noqa: F401  (registered with the queries)
 
@@ -30,6 +30,11 @@ def op1_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat.digests(chat.read_back(chat.render(chat.fold(events))))
 
 
+def op3_html(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The main text of every page."""
+    return html_extract.extract(table(spark, sf_dir, "pages"), html_extract.train())
+
+
 def op6_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Ids and decoded bytes of every document, as counts and digests."""
     import public_tokenizers
@@ -54,6 +59,7 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_chat": op1_chat,
+    "op3_html": op3_html,
     "op6_bpe": op6_bpe,
     "op9_rules": op9_rules,
     "op10_token_counts": op10_token_counts,
