@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sparkgate.llm import bpe, chat, html_extract, rules, tokencount
+from sparkgate.llm import bpe, chat, html_extract, quality, rules, tokencount
 from sparkgate.llm.common import table
 from sparkgate.llm.oracle import ORACLE  # noqa: F401  (registered with the queries)
 
@@ -35,6 +35,15 @@ def op3_html(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html_extract.extract(table(spark, sf_dir, "pages"), html_extract.train())
 
 
+def op5_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Probability that a document is good, and the verdict, for every document."""
+    docs = table(spark, sf_dir, "documents")
+    model = quality.fit(docs, table(spark, sf_dir, "labels"))
+    return quality.classify(docs, model).select(
+        "doc_id", F.round("evidence", 6).alias("evidence"), "quality_score",
+        F.col("quality_kept").alias("kept"))
+
+
 def op6_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Ids and decoded bytes of every document, as counts and digests."""
     import public_tokenizers
@@ -60,6 +69,7 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_chat": op1_chat,
     "op3_html": op3_html,
+    "op5_quality": op5_quality,
     "op6_bpe": op6_bpe,
     "op9_rules": op9_rules,
     "op10_token_counts": op10_token_counts,
