@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sparkgate.llm import bpe, chat, html_extract, quality, rules, tokencount
+from sparkgate.llm import bpe, chat, decontaminate, html_extract, quality, rules, tokencount
 from sparkgate.llm.common import table
 from sparkgate.llm.oracle import ORACLE  # noqa: F401  (registered with the queries)
 
@@ -30,6 +30,11 @@ def op1_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat.digests(chat.read_back(chat.render(chat.fold(events))))
 
 
+def op2_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The benchmark items that documents hold, edits included."""
+    return decontaminate.hits(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def op3_html(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The main text of every page."""
     return html_extract.extract(table(spark, sf_dir, "pages"), html_extract.train())
@@ -68,6 +73,7 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_chat": op1_chat,
+    "op2_decontaminate": op2_decontaminate,
     "op3_html": op3_html,
     "op5_quality": op5_quality,
     "op6_bpe": op6_bpe,
