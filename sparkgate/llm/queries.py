@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sparkgate.llm import bpe, chat, decontaminate, html_extract, quality, rules, tokencount
+from sparkgate.llm import bpe, chat, dart_minhash, decontaminate, html_extract, quality, rules, tokencount
 from sparkgate.llm.common import table
 from sparkgate.llm.oracle import ORACLE  # noqa: F401  (registered with the queries)
 
@@ -57,6 +57,11 @@ def op6_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.digests(bpe.decode(coded, ranks))
 
 
+def op8_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The near-duplicate class of every document, named by its smallest id."""
+    return dart_minhash.classes(table(spark, sf_dir, "documents")).select("doc_id", "class_id")
+
+
 def op9_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The ledger of every document under the newest policy."""
     return rules.apply_policy(rules.ledger(table(spark, sf_dir, "documents")), "v2").select(
@@ -77,6 +82,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_html": op3_html,
     "op5_quality": op5_quality,
     "op6_bpe": op6_bpe,
+    "op8_near_duplicates": op8_near_duplicates,
     "op9_rules": op9_rules,
     "op10_token_counts": op10_token_counts,
 }
