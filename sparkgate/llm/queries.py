@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sparkgate.llm import bpe, chat, dart_minhash, decontaminate, html_extract, quality, rules, tokencount
+from sparkgate.llm import bpe, chat, dart_minhash, decontaminate, html_extract, pii, quality, rules, tokencount
 from sparkgate.llm.common import table
 from sparkgate.llm.oracle import ORACLE  # noqa: F401  (registered with the queries)
 
@@ -57,6 +57,16 @@ def op6_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.digests(bpe.decode(coded, ranks))
 
 
+#: Key of the surrogates in the registered query; a real run takes its own secret.
+PII_KEY = b"registered query"
+
+
+def op7_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document with surrogates for personal data and secrets."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return pii.pseudonymize(docs, PII_KEY, count_col="n_replaced")
+
+
 def op8_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The near-duplicate class of every document, named by its smallest id."""
     return dart_minhash.classes(table(spark, sf_dir, "documents")).select("doc_id", "class_id")
@@ -82,6 +92,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_html": op3_html,
     "op5_quality": op5_quality,
     "op6_bpe": op6_bpe,
+    "op7_pii": op7_pii,
     "op8_near_duplicates": op8_near_duplicates,
     "op9_rules": op9_rules,
     "op10_token_counts": op10_token_counts,
