@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from sparkgate.llm import bpe, chat, dart_minhash, decontaminate, html_extract, pii, quality, rules, tokencount
+from sparkgate.llm import bpe, chat, dart_minhash, decontaminate, html_extract, pii, quality, rules, suffix_dedup, tokencount
 from sparkgate.llm.common import table
 from sparkgate.llm.oracle import ORACLE  # noqa: F401  (registered with the queries)
 
@@ -38,6 +38,11 @@ def op3_html(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html_extract.extract(table(spark, sf_dir, "pages"), html_extract.train())
 
 
+def op4_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document without the bytes of 100-byte strings that also start earlier."""
+    return suffix_dedup.digests(suffix_dedup.remove_repeats(table(spark, sf_dir, "documents")))
+
+
 def op5_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Probability that a document is good, and the verdict, for every document."""
     docs = table(spark, sf_dir, "documents")
@@ -84,6 +89,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_chat": op1_chat,
     "op2_decontaminate": op2_decontaminate,
     "op3_html": op3_html,
+    "op4_suffix_dedup": op4_suffix_dedup,
     "op5_quality": op5_quality,
     "op6_bpe": op6_bpe,
     "op7_pii": op7_pii,
