@@ -4,7 +4,10 @@ Method: a test item may occur with up to e edits, a tenth of its length. It is c
 pieces, so at least one piece of any such occurrence is unchanged. One Aho-Corasick automaton
 finds all exact piece hits in a whole text; each hit names a window in which the item would
 lie, and Myers' bit-parallel algorithm gives the lowest edit distance of the item to any part
-of the window. Hits whose windows overlap are verified once.
+of the window. Hits whose windows overlap are verified once. Before that, the pigeonhole rule
+is held against growing parts of the item around the hit: if n pieces in a row occur with at
+most n - 1 edits, so does one of their halves with its share, so a hit whose pair, then four
+and so on of pieces don't occur is dropped early, and no occurrence is lost.
 
 Items and texts are compared in lower case with runs of white space as one space.
 
@@ -74,19 +77,38 @@ def distance(masks: dict[str, int], m: int, text: str) -> tuple[int, int]:
     return best
 
 
+def growing(cuts: list[int], piece: int) -> list[tuple[int, int]]:
+    """The halves, quarters and so on of the pieces that hold one piece, smallest first."""
+    low, high, out = 0, len(cuts) - 1, []
+    while high - low > 1:
+        out.append((low, high))
+        middle = (low + high) // 2
+        low, high = (low, middle) if piece < middle else (middle, high)
+    return out[:0:-1]
+
+
 class Finder:
     """Test items, ready to be looked for in texts."""
 
     def __init__(self, items: list[tuple[int | None, str]]):
         import ahocorasick
         self.items = []
-        places: dict[str, list[tuple[int, int]]] = {}
+        places: dict[str, list[tuple[int, int, list]]] = {}
         for item_id, text in items:
             if not (item := normal(text)):
                 continue
             errors = math.floor(ERROR_RATE * len(item))
-            for at, piece in pieces(item, errors):
-                places.setdefault(piece, []).append((len(self.items), at))
+            cut = pieces(item, errors)
+            cuts = [at for at, _ in cut] + [len(item)]
+            parts: dict[tuple[int, int], tuple] = {}
+            for i, (at, piece) in enumerate(cut):
+                around = []
+                for low, high in growing(cuts, i):
+                    if (low, high) not in parts:
+                        parts[low, high] = (cuts[low], cuts[high] - cuts[low], high - low - 1,
+                                            letters(item[cuts[low]:cuts[high]]))
+                    around.append(parts[low, high])
+                places.setdefault(piece, []).append((len(self.items), at, around))
             self.items.append((item_id, len(item), errors, letters(item)))
         self.machine = ahocorasick.Automaton()
         for piece, where in places.items():
@@ -94,15 +116,27 @@ class Finder:
         if places:
             self.machine.make_automaton()
 
+    @staticmethod
+    def _occurs(text: str, item_at: int, part: tuple) -> bool:
+        """Whether a part of an item occurs near where it would be, with its share of edits."""
+        offset, m, errors, masks = part
+        start = item_at + offset - errors
+        return distance(masks, m, text[max(0, start):start + m + 2 * errors])[0] <= errors
+
     def hits(self, text: str | None) -> list[dict]:
         if not self.items or not (text := normal(text)):
             return []
         windows: dict[int, list[list[int]]] = {}
         for last, (size, where) in self.machine.iter(text):
-            for item, at in where:
+            for item, at, around in where:
                 _, m, errors, _ = self.items[item]
                 start = last + 1 - size - at - errors
                 end = start + m + 2 * errors
+                mine = windows.get(item)
+                if mine and mine[-1][0] <= start and end <= mine[-1][1]:
+                    continue
+                if not all(self._occurs(text, last + 1 - size - at, part) for part in around):
+                    continue
                 mine = windows.setdefault(item, [])
                 if mine and start <= mine[-1][1] and end >= mine[-1][0]:
                     mine[-1] = [min(start, mine[-1][0]), max(end, mine[-1][1])]
