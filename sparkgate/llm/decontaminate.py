@@ -28,14 +28,13 @@ import math
 from collections.abc import Iterator
 
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 #: Edits allowed for each character of an item.
 ERROR_RATE = 0.1
 #: Characters of test items that a pass over the texts looks for.
 BLOCK_CHARS = 4_000_000
-HIT = "array<struct<item_id: bigint, n_errors: int, end: int>>"
 
 
 def normal(text: str | None) -> str:
@@ -164,35 +163,48 @@ def _blocks(items: DataFrame, id_col: str, text_col: str) -> list[DataFrame]:
     return [rows.where(F.pmod(F.xxhash64("item_id", "text"), F.lit(n)) == k) for k in range(n)]
 
 
-def _hits_of(block: DataFrame, text: Column) -> Column:
-    """The hits of one block's items in a text column."""
-    spark = block.sparkSession
-    held = spark.sparkContext.broadcast(sorted(((r.item_id, r.text) for r in block.collect()),
-                                               key=lambda r: (r[0] is not None, r[0] or 0, r[1] or "")))
-
-    @F.pandas_udf(HIT)
-    def find(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        finder = Finder(held.value)
-        for texts in batches:
-            yield pd.Series([finder.hits(t) for t in texts])
-    return find(text)
+def _held(block: DataFrame):
+    """The items of one block, for the tasks."""
+    rows = ((r.item_id, r.text) for r in block.collect())
+    return block.sparkSession.sparkContext.broadcast(
+        sorted(rows, key=lambda r: (r[0] is not None, r[0] or 0, r[1] or "")))
 
 
 def hits(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col: str = "text",
          item_id_col: str = "item_id", item_text_col: str = "text") -> DataFrame:
     """``doc_id, item_id, n_errors, end``: the items that texts hold, with the fewest edits
     and the end of that occurrence in the text as compared."""
-    rows = docs.select(F.col(id_col).cast("bigint").alias("doc_id"), F.col(text_col).alias("text"))
+    rows = docs.select(F.col(id_col).cast("bigint").cast("string").alias("doc_id"), F.col(text_col).alias("text"))
     found = None
     for block in _blocks(items, item_id_col, item_text_col):
-        one = rows.select("doc_id", _hits_of(block, F.col("text")).alias("h")).select("doc_id", F.inline("h"))
+        one = rows.mapInPandas(_finding(_held(block)), "doc_id string, item_id string, n_errors int, end int")
         found = one if found is None else found.unionByName(one)
-    return found
+    return found.withColumns({c: F.col(c).cast("bigint") for c in ("doc_id", "item_id")})
+
+
+def _finding(held):
+    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        finder = Finder(held.value)
+        for frame in frames:
+            rows = [(i, None if h["item_id"] is None else str(h["item_id"]), h["n_errors"], h["end"])
+                    for i, text in zip(frame["doc_id"], frame["text"]) for h in finder.hits(text)]
+            if rows:
+                yield pd.DataFrame(rows, columns=["doc_id", "item_id", "n_errors", "end"])
+    return run
 
 
 def clean(docs: DataFrame, items: DataFrame, text_col: str = "text", item_id_col: str = "item_id",
           item_text_col: str = "text") -> DataFrame:
     """The rows of ``docs`` whose text holds no item, whole."""
     for block in _blocks(items, item_id_col, item_text_col):
-        docs = docs.where(F.size(_hits_of(block, docs[text_col])) == 0)
+        docs = docs.where(_is_clean(_held(block))(docs[text_col]))
     return docs
+
+
+def _is_clean(held):
+    @F.pandas_udf("boolean")
+    def check(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        finder = Finder(held.value)
+        for texts in batches:
+            yield pd.Series([not finder.hits(t) for t in texts], dtype=bool)
+    return check
