@@ -29,7 +29,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from sparkgate.llm.common import id_text, slices
+from sparkgate.llm.common import id_text, map_rows, slices
 
 #: Distinct words in a generation of the words of which a Python worker keeps the ids.
 WORDS_KEPT = 150_000
@@ -133,8 +133,8 @@ def encode(docs: DataFrame, ranks: dict[bytes, int], pattern: str, id_col: str =
     ``ids`` is binary, a little-endian unsigned 32-bit integer for each token.
     """
     held = docs.sparkSession.sparkContext.broadcast(ranks)
-    return id_text(docs, id_col, text_col).mapInPandas(
-        _encoder(held, hash(frozenset(ranks.items())), pattern), "doc_id bigint, n_tokens bigint, ids binary")
+    return map_rows(
+        id_text(docs, id_col, text_col), _encoder(held, hash(frozenset(ranks.items())), pattern), "doc_id bigint, n_tokens bigint, ids binary")
 
 
 def decode(coded: DataFrame, ranks: dict[bytes, int]) -> DataFrame:
@@ -146,7 +146,7 @@ def decode(coded: DataFrame, ranks: dict[bytes, int]) -> DataFrame:
         for frame in slices(frames, "ids"):
             yield frame.assign(decoded=[
                 b"".join(map(piece, np.frombuffer(x, "<u4").tolist())) for x in frame["ids"]])
-    return coded.mapInPandas(run, "doc_id bigint, n_tokens bigint, ids binary, decoded binary")
+    return map_rows(coded, run, "doc_id bigint, n_tokens bigint, ids binary, decoded binary")
 
 
 def digests(decoded: DataFrame) -> DataFrame:

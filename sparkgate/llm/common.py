@@ -39,3 +39,13 @@ def slices(frames: Iterator[pd.DataFrame], column: str, size: int = 4_000_000) -
             if hi > lo:
                 yield frame.iloc[lo:hi]
             lo = hi
+
+
+def map_rows(rows: DataFrame, fn, schema: str) -> DataFrame:
+    """``mapInPandas`` with ids as strings on the way: pandas would turn nullable integers into
+    floats, which lose the last digits of large ids."""
+    ids = [c for c, kind in rows.dtypes if kind == "bigint" and c.endswith("_id")]
+    for c in ids:
+        schema = schema.replace(f"{c} bigint", f"{c} string")
+    out = rows.withColumns({c: F.col(c).cast("string") for c in ids}).mapInPandas(fn, schema)
+    return out.withColumns({c: F.col(c).cast("bigint") for c in ids if c in out.columns})

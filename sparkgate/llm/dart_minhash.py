@@ -40,7 +40,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import BinaryType, DoubleType
 
-from sparkgate.llm.common import slices
+from sparkgate.llm.common import map_rows, slices
 from sparkgate.session import materialize
 
 WORDS = 5
@@ -189,6 +189,10 @@ def _similar(a: pd.Series, b: pd.Series) -> pd.Series:
     return pd.Series([similarity(x, y) for x, y in zip(a, b)], dtype=float)
 
 
+#: Called once for each row: the optimizer copies deterministic functions into filters.
+_own_node = F.pandas_udf(lambda t: pd.Series([_digest(_words(x or "")) for x in t]), BinaryType()).asNondeterministic()
+
+
 def components(links: DataFrame) -> DataFrame:
     """``node, root`` of every linked node; the root is the smallest node of its component.
 
@@ -218,9 +222,8 @@ def _texts(docs: DataFrame, nodes: DataFrame) -> DataFrame:
     if nodes.count() <= NODES_BROADCAST:
         wanted = F.broadcast(wanted)
     found = docs.join(wanted, docs["doc_id"].eqNullSafe(wanted["_id"])).select("node", "text")
-    own = F.pandas_udf(lambda t: pd.Series([_digest(_words(x)) for x in t]), BinaryType())
     # ids may repeat: only the text that has the node's words
-    right = found.where(own("text") == F.col("node"))
+    right = found.where(_own_node("text") == F.col("node"))
     return right.mapInPandas(_sets, "node binary, packed binary").dropDuplicates(["node"])
 
 
@@ -243,7 +246,7 @@ def classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
     digest and the class's smallest doc_id."""
     docs = docs.select(F.col(id_col).cast("bigint").alias("doc_id"),
                        F.coalesce(F.col(text_col), F.lit("")).alias("text"))
-    rows = materialize(docs.mapInPandas(_sketch, "doc_id bigint, node binary, bands array<bigint>"), "dart-rows")
+    rows = materialize(map_rows(docs, _sketch, "doc_id bigint, node binary, bands array<bigint>"), "dart-rows")
     nodes = materialize(rows.groupBy("node").agg(F.min("doc_id").alias("doc_id"), F.first("bands").alias("bands")),
                         "dart-nodes")
     members = nodes.select("node", F.explode("bands").alias("bucket"))
@@ -296,8 +299,7 @@ def first_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     first = classes(docs, id_col, text_col).where(F.col("doc_id").eqNullSafe(F.col("class_id"))) \
         .select(F.col("doc_id").alias("_id"), F.col("node").alias("_node"), F.col("root").alias("_root"))
     first = materialize(first.dropDuplicates(["_id", "_root"]), "dart-first")
-    own = F.pandas_udf(lambda t: pd.Series([_digest(_words(x or "")) for x in t]), BinaryType())
     row = docs.select(F.struct(*[docs[c] for c in docs.columns]).alias("row"),
-                      docs[id_col].cast("bigint").alias("_own"), own(docs[text_col]).alias("_digest"))
+                      docs[id_col].cast("bigint").alias("_own"), _own_node(docs[text_col]).alias("_digest"))
     kept = row.join(first, row["_own"].eqNullSafe(first["_id"]) & (row["_digest"] == first["_node"]))
     return kept.dropDuplicates(["_id", "_root"]).select("row.*")

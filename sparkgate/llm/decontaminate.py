@@ -31,6 +31,8 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from sparkgate.llm.common import map_rows
+
 #: Edits allowed for each character of an item.
 ERROR_RATE = 0.1
 #: Characters of test items that a pass over the texts looks for.
@@ -174,12 +176,12 @@ def hits(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col: st
          item_id_col: str = "item_id", item_text_col: str = "text") -> DataFrame:
     """``doc_id, item_id, n_errors, end``: the items that texts hold, with the fewest edits
     and the end of that occurrence in the text as compared."""
-    rows = docs.select(F.col(id_col).cast("bigint").cast("string").alias("doc_id"), F.col(text_col).alias("text"))
+    rows = docs.select(F.col(id_col).cast("bigint").alias("doc_id"), F.col(text_col).alias("text"))
     found = None
     for block in _blocks(items, item_id_col, item_text_col):
-        one = rows.mapInPandas(_finding(_held(block)), "doc_id string, item_id string, n_errors int, end int")
+        one = map_rows(rows, _finding(_held(block)), "doc_id bigint, item_id string, n_errors int, end int")
         found = one if found is None else found.unionByName(one)
-    return found.withColumns({c: F.col(c).cast("bigint") for c in ("doc_id", "item_id")})
+    return found.withColumn("item_id", F.col("item_id").cast("bigint"))
 
 
 def _finding(held):

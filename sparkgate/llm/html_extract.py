@@ -32,7 +32,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from sparkgate.llm.common import slices
+from sparkgate.llm.common import map_rows, slices
 
 INLINE = frozenset("a abbr acronym b bdi bdo big br cite code data del dfn em font i img input ins kbd mark "
                    "nobr q rp rt ruby s samp small span strike strong sub sup time tt u var wbr".split())
@@ -238,4 +238,4 @@ def extract(pages: DataFrame, model: Model, id_col: str = "page_id", url_col: st
                                 "text": texts, "n_chars": np.array([len(t) for t in texts], np.int64)})
     rows = pages.select(F.col(id_col).cast("bigint").alias("page_id"), F.col(url_col).alias("url"),
                         F.coalesce(F.col(html_col), F.lit("")).alias("html"))
-    return rows.mapInPandas(run, "page_id bigint, url string, text string, n_chars bigint")
+    return map_rows(rows, run, "page_id bigint, url string, text string, n_chars bigint")

@@ -28,7 +28,7 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 
-from sparkgate.llm.common import id_text, slices
+from sparkgate.llm.common import id_text, map_rows, slices
 
 WORDS_KEPT = 200_000
 #: Texts whose words are inserted in one trie.
@@ -120,6 +120,6 @@ def count_tokens(docs: DataFrame, cost: dict[bytes, int], pattern: str, id_col:
                  text_col: str = "text") -> DataFrame:
     """``doc_id, n_pretokens, n_tokens``: counts of pre-tokens and of unigram tokens."""
     held = docs.sparkSession.sparkContext.broadcast(cost)
-    return id_text(docs, id_col, text_col).mapInPandas(
-        _counter(held, hash(frozenset(cost.items())), pattern),
+    return map_rows(
+        id_text(docs, id_col, text_col), _counter(held, hash(frozenset(cost.items())), pattern),
         "doc_id bigint, n_pretokens bigint, n_tokens bigint")
