@@ -110,8 +110,11 @@ def attempt_decisions(face: DataFrame, voice: DataFrame, ident: DataFrame,
         j = j.join(claims.select("attempt_id", "claimed_person"), "attempt_id", "left")
     # The identity map is a people dimension; AQE broadcasts it when its measured
     # size is under the threshold and keeps a shuffle join otherwise.
-    j = j.join(ident.select(F.col("person").alias("face_person"), "customer_id"),
-               "face_person", "left")
+    # Rejected faces have no person; they bypass the join, where their NULL keys would meet.
+    link = ident.select(F.col("person").alias("face_person"), "customer_id")
+    known = F.col("face_person").isNotNull()
+    j = j.where(known).join(link, "face_person", "left").unionByName(
+        j.where(~known).withColumn("customer_id", F.lit(None).cast(link.schema["customer_id"].dataType)))
     fp, vp = F.col("face_person"), F.col("voice_person")
     outcome = (F.when(fp.isNull(), F.lit(DENIED_FACE))
                .when(vp.isNull(), F.lit(DENIED_VOICE))
@@ -130,6 +133,23 @@ def attempt_decisions(face: DataFrame, voice: DataFrame, ident: DataFrame,
         (outcome == F.lit(GRANTED)).alias("granted"))
 
 
+def attempt_samples(attempts: DataFrame, gate: DataFrame, vec_col: str) -> DataFrame:
+    """``attempt_id, person, confidence`` of every attempt: one whose sample has no row is
+    rejected with confidence 0."""
+    g = gate.select(F.col("vec_id").alias(vec_col), "person", "confidence")
+    return attempts.join(g, vec_col, "left").select(
+        "attempt_id", "person", F.coalesce("confidence", F.lit(0.0)).alias("confidence"))
+
+
+def with_customer(decisions: DataFrame, customers: DataFrame) -> DataFrame:
+    """Decisions with the customer's columns. Only those with a customer are joined: the NULL
+    keys of the others would all meet in one task."""
+    known = F.col("customer_id").isNotNull()
+    joined = decisions.where(known).join(customers, "customer_id", "left")
+    none = [F.lit(None).cast(f.dataType).alias(f.name) for f in customers.schema if f.name != "customer_id"]
+    return joined.unionByName(decisions.where(~known).select("*", *none))
+
+
 def denial_audit(decisions: DataFrame) -> DataFrame:
     """Attempts and denials by outcome, with the all-denied flag per outcome."""
     return decisions.groupBy("outcome").agg(

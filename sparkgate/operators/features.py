@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.columns import elapsed_days, round_half_even, sentiment_ordinal
+from ..session import materialize
 
 # Reference day of the recency feature and post-join defaults.
 REFERENCE_DAY = "2025-04-01 00:00:00"
@@ -94,7 +95,10 @@ def platform_table(profiles: DataFrame, tx_features: DataFrame,
     soc = social_aggregates(profiles).drop("average_purchase_interest")
     main = mode_first_seen(profiles, "customer_id", "social_media_platform",
                            out="main_platform")
-    cust = soc.join(main, "customer_id", "left").join(tx_features, "customer_id", "left")
+    # written once (a row per customer): joined as a plain table, a hot customer's profile
+    # rows can be split by skew-join handling, which a chain of joins on the right prevents
+    cust = materialize(soc.join(main, "customer_id", "left").join(tx_features, "customer_id", "left"),
+                       "customer-aggregate")
     joined = profiles.join(cust, "customer_id", "left").withColumn(
         "_tx_matched", F.col("total_spent").isNotNull())
     out = fill_tx_defaults(joined).select(*PLATFORM_COLUMNS, "src_ord", "_tx_matched")

@@ -4,8 +4,10 @@ Replay without collecting sessions: for an acyclic transition table, the next
 transition of a session is the *first* later event that is legal from its current
 state. Each round is a join of the events with the sessions' current
 (state, position) plus a grouped ``min_by`` (map-side combined), so a session
-holding a large share of the events is reduced in parallel (and AQE splits it in
-the join). The number of rounds is the longest path of the table (4 here).
+holding a large share of the events is reduced before the shuffle. The number of
+rounds is the longest path of the table (4 here); each ends by writing the sessions'
+state (a row per session) to the shared folder, so that the plan of a round does not
+hold the rounds before it.
 Events that did not move the machine are the illegal ones (the reference raises
 on them; the state stays unchanged).
 """
@@ -15,6 +17,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..session import materialize
+
 # States, events and the transition table of the workflow.
 IDLE = "IDLE"
 FACE_VERIFICATION = "FACE_VERIFICATION"
@@ -67,7 +71,7 @@ def replay(events: DataFrame, session: list[str], order: list[str], event_col: s
     t = F.broadcast(transition_table(spark, transitions))  # fixed 6-row table
     ev = events.select(*session, F.struct(*order).alias("_o"),
                        F.col(event_col).alias("event"))
-    totals = ev.groupBy(*session).agg(F.count(F.lit(1)).alias("n_events"))
+    totals = materialize(ev.groupBy(*session).agg(F.count(F.lit(1)).alias("n_events")), "fsm-totals")
     cur = totals.select(*session, F.lit(initial).alias("state"),
                         F.lit(None).cast(ev.schema["_o"].dataType).alias("_pos"),
                         F.array(F.lit(initial)).alias("history"))
@@ -81,14 +85,14 @@ def replay(events: DataFrame, session: list[str], order: list[str], event_col: s
         step = c.groupBy(*session).agg(
             F.min_by(F.col("next_state"), F.col("_o")).alias("_next"),
             F.min("_o").alias("_at"))
-        cur = (cur.join(step, session, "left").select(
+        cur = materialize(cur.join(step, session, "left").select(
             *session,
             F.coalesce("_next", "state").alias("state"),
             F.when(F.col("_next").isNotNull(), F.col("_at")).otherwise(F.col("_pos"))
             .alias("_pos"),
             F.when(F.col("_next").isNotNull(),
                    F.concat("history", F.array(F.col("_next")))).otherwise(F.col("history"))
-            .alias("history")))
+            .alias("history")), "fsm-round")
     out = cur.join(totals, session)
     n_tr = F.size("history") - 1
     stage_map = F.create_map(*[x for k, v in FAIL_STAGE.items() for x in (F.lit(k), F.lit(v))])

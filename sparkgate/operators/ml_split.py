@@ -3,7 +3,8 @@ M11 (stratified group k-fold), Q7 (disjointness).
 
 Membership is decided by the rank of ``md5(seed || id)`` inside each class,
 computed with ``rows_before`` (bucketed by sketch cut points), so a class holding a large
-share of the rows is never sorted in a single task.
+share of the rows is never sorted in a single task. Rows without a label are kept: they are
+a class of their own.
 """
 
 from __future__ import annotations
@@ -11,7 +12,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .ranking import hex_order_proxy, rows_before
+from .ranking import hex_order_proxy, join_by_keys, rows_before
 
 SEED = "42"
 
@@ -51,7 +52,7 @@ def stratified_holdout(df: DataFrame, label: str, id_col: str, test_frac: float
                        seed: str = SEED) -> DataFrame:
     """M9: adds ``split`` in {train, test}."""
     sizes = holdout_sizes(df, label, test_frac).select(label, "n_test")
-    r = class_rank(df, label, id_col, seed).join(F.broadcast(sizes), label)
+    r = join_by_keys(class_rank(df, label, id_col, seed), sizes, [label])
     return r.withColumn("split", F.when(F.col("_rank") < F.col("n_test"), "test")
                         .otherwise("train")).drop("_rank", "n_test")
 

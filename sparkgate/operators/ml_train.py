@@ -6,21 +6,24 @@ driver over a handful of fold ids (bounded) against one fold-tagged DataFrame.
 
 from __future__ import annotations
 
+from dataclasses import dataclass
+
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import LogisticRegression, RandomForestClassifier
-from pyspark.ml.feature import (Imputer, IndexToString, OneHotEncoder, StringIndexer,
+from pyspark.ml.feature import (IndexToString, OneHotEncoder, SQLTransformer, StringIndexer,
                                 VectorAssembler)
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import metrics as M
-from .ml_prep import with_class_weights
+from .ml_prep import apply_scaler, scaler_arrays, scaler_stats, with_class_weights
+from .quantiles import quantile_values
 
 # Fixed values of the reference models.
 RF_TREES = 200
 RF_SEED = 42
-RF_MAX_DEPTH = 16
+RF_MAX_DEPTH = 30   # no limit in the rules of the model; the deepest that Spark's trees go
 LR_MAX_ITER = 2000
 LR_TOL = 1e-9
 LR_C = 1.0
@@ -31,27 +34,37 @@ def label_indexer(df: DataFrame, label: str):
     return StringIndexer(inputCol=label, outputCol="label", stringOrderType="alphabetAsc").fit(df)
 
 
-def fill_most_frequent(train: DataFrame, apply_to: list[DataFrame], cols: list[str]):
-    """M3 fitted on ``train`` (ties -> smallest), applied to every frame given."""
-    if not cols:
-        return apply_to
-    st = train.select(F.explode(F.array(*[
-        F.struct(F.lit(c).alias("f"), F.col(c).cast("string").alias("v")) for c in cols]))
-        .alias("kv")).select("kv.*").where(F.col("v").isNotNull())
-    c = st.groupBy("f", "v").agg(F.count(F.lit(1)).alias("n"))
-    best = {r["f"]: r["v"] for r in c.groupBy("f").agg(
-        F.min_by("v", F.struct(-F.col("n"), F.col("v"))).alias("v")).collect()}
-    return [d.fillna({k: v for k, v in best.items() if v is not None}) for d in apply_to]
+def fit_fill(train: DataFrame, numeric: list[str], categorical: list[str]) -> dict:
+    """M2 + M3 fitted on the training part: interpolated medians of the numeric columns and
+    most frequent values of the others (ties -> smallest). One value per column."""
+    fill = {c: v[0] for c, v in quantile_values(train, numeric, [0.5]).items()} if numeric else {}
+    if categorical:
+        st = train.select(F.explode(F.array(*[
+            F.struct(F.lit(c).alias("f"), F.col(c).cast("string").alias("v")) for c in categorical]))
+            .alias("kv")).select("kv.*").where(F.col("v").isNotNull())
+        c = st.groupBy("f", "v").agg(F.count(F.lit(1)).alias("n"))
+        fill |= {r["f"]: r["v"] for r in c.groupBy("f").agg(
+            F.min_by("v", F.struct(-F.col("n"), F.col("v"))).alias("v")).collect()}
+    return fill
+
+
+def apply_fill(df: DataFrame, fill: dict) -> DataFrame:
+    """The fitted values in place of NULLs, in training and in scored rows alike."""
+    out = {}
+    for c, v in fill.items():
+        if v is not None:
+            out[c] = F.coalesce(F.col(c).cast("double") if isinstance(v, float) else F.col(c), F.lit(v))
+    return df.withColumns(out) if out else df
 
 
 def feature_stages(numeric: list[str], categorical: list[str]):
-    """M2 + M4 + M5: median imputer, keep-unknown indexers, one-hot (unknown slot
-    dropped), assembler with numeric columns first."""
+    """M4 + M5 on filled columns: keep-unknown indexers, one-hot (unknown slot dropped),
+    assembler with numeric columns first."""
     stages = []
     num_out = [f"num__{c}" for c in numeric]
     if numeric:
-        stages.append(Imputer(inputCols=numeric, outputCols=num_out, strategy="median",
-                              relativeError=0.0))
+        stages.append(SQLTransformer(statement="SELECT *, " + ", ".join(
+            f"CAST(`{c}` AS DOUBLE) AS `num__{c}`" for c in numeric) + " FROM __THIS__"))
     cat_idx = [f"{c}__idx" for c in categorical]
     cat_vec = [f"cat__{c}" for c in categorical]
     if categorical:
@@ -132,6 +145,29 @@ def fit_identity_model(train: DataFrame, vec_col: str, label: str, label_model=N
     return Pipeline(stages=[lm, logistic_regression(sw)]).fit(w)
 
 
+@dataclass
+class ScaledIdentityModel:
+    """M6 + M8: a scaler and a classifier fitted on the same rows."""
+
+    mean: list[float]
+    std: list[float]
+    model: PipelineModel
+
+    def scaled(self, df: DataFrame, vec_col: str) -> DataFrame:
+        return apply_scaler(df, vec_col, self.mean, self.std, "x")
+
+    def predict(self, df: DataFrame, vec_col: str, labels: list[str]) -> DataFrame:
+        return predict_labels(self.model, self.scaled(df, vec_col).withColumn(
+            "features", array_to_vector("x")), labels)
+
+
+def fit_scaled_identity(train: DataFrame, vec_col: str, label: str, label_model=None) -> ScaledIdentityModel:
+    """The scaler sees the training rows only, so no test fold shapes its own scaling."""
+    mean, std = scaler_arrays(scaler_stats(train, vec_col))
+    scaled = apply_scaler(train, vec_col, mean, std, "x")
+    return ScaledIdentityModel(mean, std, fit_identity_model(scaled, "x", label, label_model))
+
+
 def cross_validate(df: DataFrame, fold_col: str, fit, predict, label: str) -> DataFrame:
     """For each fold id, fit on the others and score it; per-fold accuracy and macro
     F1 over the labels present in that fold (E3)."""

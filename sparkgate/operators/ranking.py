@@ -7,87 +7,74 @@ stratified sampling, round-robin fold assignment and mid-ranks.
 
 Plan:
 
-1. per group, ``percentile_approx`` of a numeric order proxy gives 63 coarse cut points
-   plus min / max (one mergeable-sketch pass; bounded result: groups x 65 values);
-2. every row gets a bucket from its value: the coarse segment (number of cut points
-   below it), refined into equal-width sub-buckets by linear interpolation. It is a
-   pure, monotone function of the row, so every consumer and every retried task sees
-   the same layout (nothing is materialised), and a hot group is spread over up to
-   8192 buckets at about 64 comparisons per row;
-3. per-(group, bucket) totals and their prefix sums (a groups x B table, broadcast)
-   plus a running sum inside each (group, bucket) give the global rank.
-
-Groups must be bounded (classes, column names). Values must be unique within a group
-(pre-aggregate repeated values into a weight, or add a unique tie-breaker).
+1. per group, one ``percentile_approx`` pass of a numeric order proxy gives a cut point for
+   every bucket, so buckets are even whatever the distribution; the cut points are a small
+   table (a row per group) written once;
+2. every row gets a bucket from its value in two steps (the coarse segment, then the cut
+   points inside it: about twice the square root of the number of buckets comparisons). It is
+   a pure, monotone function of the row, so every consumer and every retried task sees the
+   same layout, and a hot group is spread over all buckets;
+3. per-(group, bucket) totals and their prefix sums plus a running sum inside each
+   (group, bucket) give the global rank.
+
+The two small tables are broadcast up to ``MAX_OFFSET_ROWS`` groups x buckets (the groups are
+counted) and joined by shuffle beyond. A NULL key is a group of its own.
+Values must be unique within a group (pre-aggregate repeated values into a weight, or add a unique tie-breaker).
 """
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-MAX_BUCKETS = 8192          # buckets per group (fine level)
-COARSE_CUTS = 64            # sketch cut points per group (coarse level)
-MAX_OFFSET_ROWS = 1_000_000  # groups x buckets rows in the broadcast offsets table
-MAX_GROUPS = 10_000
+from ..session import materialize
+
+MAX_BUCKETS = 8192          # buckets per group
+MAX_OFFSET_ROWS = 1_000_000  # groups x buckets rows up to which the small tables are broadcast
+
+
+def join_by_keys(left: DataFrame, right: DataFrame, keys: list[str], how: str = "inner",
+                 small: bool = False) -> DataFrame:
+    """Join in which NULL keys meet; the keys of ``left`` stay, those of ``right`` go."""
+    r = right.withColumnsRenamed({k: f"_r_{k}" for k in keys})
+    on = None
+    for k in keys:
+        same = F.col(k).eqNullSafe(F.col(f"_r_{k}"))
+        on = same if on is None else on & same
+    return left.join(F.broadcast(r) if small else r, on, how).drop(*[f"_r_{k}" for k in keys])
 
 
-def _bucket_expr(coarse: Column, lo_hi: Column, sub: int) -> Column:
-    """Monotone bucket of ``_o``: coarse segment = number of cut points below the value
-    (about 64 comparisons), then ``sub`` equal-width sub-buckets inside the segment by
-    linear interpolation. Equal values always share a bucket."""
-    o = F.col("_o").cast("double")
-    seg = F.size(F.filter(coarse, lambda c: c < o))
-    lo = F.element_at(lo_hi, 2 * seg + 1)
-    hi = F.element_at(lo_hi, 2 * seg + 2)
-    width = hi - lo
-    frac = F.when(width > 0, (o - lo) / width).otherwise(F.lit(0.0))
-    inner = F.least(F.greatest(F.floor(frac * sub), F.lit(0)), F.lit(sub - 1))
-    return (seg * sub + inner).cast("int")
+def _cut_points(base: DataFrame, keys: list[str], side: int) -> DataFrame:
+    """Per group: ``_coarse``, every ``side``-th cut point, and ``_fine``, those between."""
+    n = side * side
+    cuts = base.groupBy(*keys).agg(F.percentile_approx(
+        "_o", [i / n for i in range(1, n)], max(10_000, 20 * n)).alias("_c"))
+    fine = F.transform(F.sequence(F.lit(0), F.lit(side - 1)),
+                       lambda i: F.slice("_c", i * side + 1, side - 1))
+    coarse = F.transform(F.sequence(F.lit(1), F.lit(side - 1)), lambda i: F.get("_c", i * side - 1))
+    return materialize(cuts.select(*keys, coarse.alias("_coarse"), fine.alias("_fine")), "rank-cuts")
 
 
 def rows_before(df: DataFrame, keys: list[str], value: list[str] | str,
                 weight: str | None = None, num_buckets: int | None = None,
                 order_proxy: Column | None = None, keep_bucket: bool = False) -> DataFrame:
     values = [value] if isinstance(value, str) else list(value)
-    spark = df.sparkSession
-    b = num_buckets or min(int(spark.conf.get("spark.sql.shuffle.partitions")), MAX_BUCKETS)
-    b = max(1, b)
+    b = num_buckets or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    side = math.isqrt(max(1, min(b, MAX_BUCKETS)) - 1) + 1
     proxy = order_proxy if order_proxy is not None else F.col(values[0])
     w = F.col(weight) if weight else F.lit(1)
-    base = df.withColumn("_w", w.cast("bigint")).withColumn("_o", proxy)
-    gkey = F.to_json(F.struct(*keys)) if len(keys) > 1 else F.col(keys[0]).cast("string")
-    base = base.withColumn("_g", gkey)
-    if b > 1:
-        k = min(b, COARSE_CUTS)
-        qs = [i / k for i in range(1, k)]
-        o = F.col("_o").cast("double")
-        cuts = base.groupBy("_g").agg(
-            F.percentile_approx(o, qs).alias("_c") if qs else F.array().alias("_c"),
-            F.min(o).alias("_mn"), F.max(o).alias("_mx")).collect()
-        if len(cuts) > MAX_GROUPS:
-            raise ValueError(f"rows_before needs a bounded number of groups ({len(cuts)})")
-        # fine buckets per coarse segment, keeping groups x buckets bounded
-        b = max(1, min(b, MAX_OFFSET_ROWS // max(1, len(cuts))))
-        sub = max(1, b // k)
-        coarse_m, bounds_m = [], []
-        for r in cuts:
-            if r["_g"] is None or r["_mn"] is None:
-                continue
-            c = [float(x) for x in (r["_c"] or [])]
-            edges = [float(r["_mn"])] + c + [float(r["_mx"])]
-            pairs = [x for i in range(len(edges) - 1) for x in (edges[i], edges[i + 1])]
-            coarse_m += [F.lit(r["_g"]), F.array(*[F.lit(x) for x in c]) if c
-                         else F.array().cast("array<double>")]
-            bounds_m += [F.lit(r["_g"]), F.array(*[F.lit(x) for x in pairs])]
-        if coarse_m:
-            base = (base.withColumn("_cuts", F.element_at(F.create_map(*coarse_m), F.col("_g")))
-                        .withColumn("_edges", F.element_at(F.create_map(*bounds_m), F.col("_g"))))
-            base = base.withColumn("_bucket", F.coalesce(
-                _bucket_expr(F.col("_cuts"), F.col("_edges"), sub), F.lit(0))).drop(
-                "_cuts", "_edges")
-        else:
-            base = base.withColumn("_bucket", F.lit(0))
+    base = df.withColumn("_w", w.cast("bigint")).withColumn("_o", proxy.cast("double"))
+    small = True
+    if side > 1:
+        cuts = _cut_points(base, keys, side)
+        small = cuts.count() * side * side <= MAX_OFFSET_ROWS
+        base = join_by_keys(base, cuts, keys, small=small)
+        below = lambda c: F.size(F.filter(c, lambda x: x < F.col("_o")))
+        base = base.withColumn("_seg", F.coalesce(below(F.col("_coarse")), F.lit(0)))
+        base = base.withColumn("_bucket", F.col("_seg") * side + F.coalesce(
+            below(F.element_at("_fine", F.col("_seg") + 1)), F.lit(0))).drop("_seg", "_coarse", "_fine")
     else:
         base = base.withColumn("_bucket", F.lit(0))
     run = Window.partitionBy(*keys, "_bucket").orderBy(*values).rowsBetween(
@@ -99,9 +86,9 @@ def rows_before(df: DataFrame, keys: list[str], value: list[str] | str,
         .rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
         .withColumn("_group_total", F.sum("_pc").over(Window.partitionBy(*keys)))
         .select(*keys, "_bucket", "_off", "_group_total"))
-    j = local.join(F.broadcast(off), [*keys, "_bucket"])
+    j = join_by_keys(local, off, [*keys, "_bucket"], small=small)
     out = j.withColumn("_before", F.col("_off") + F.col("_cum") - F.col("_w")).drop(
-        "_cum", "_off", "_w", "_o", "_g")
+        "_cum", "_off", "_w", "_o")
     return out if keep_bucket else out.drop("_bucket")
 
 

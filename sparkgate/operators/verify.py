@@ -51,11 +51,11 @@ def class_profile(df: DataFrame, label: str, vec_col: str) -> DataFrame:
 
 
 def load_profile(profile: DataFrame, label: str) -> list[tuple[str, list[float], float]]:
-    """Bring the fitted profile to the driver (bounded; checked)."""
-    rows = profile.collect()
-    cells = sum(len(r["centroid"]) for r in rows)
+    """Bring the fitted profile to the driver (measured before it is collected)."""
+    cells = profile.agg(F.sum(F.size("centroid")).alias("n")).first()["n"] or 0
     if cells > MAX_PROFILE_CELLS:
         raise ValueError(f"class profile too large to ship as a model ({cells} cells)")
+    rows = profile.collect()
     return sorted(((str(r[label]), list(r["centroid"]), float(r["max_intra_class_distance"]))
                    for r in rows), key=lambda t: t[0])
 

@@ -187,13 +187,13 @@ def rfm_customer(spark, sf):
 
 @query
 def recency_days(spark, sf):
-    r = FE.rfm(tx_clean(spark, sf), R.ROLE_REFERENCE_DAY)
+    r = FE.rfm(tx_valid(spark, sf), R.ROLE_REFERENCE_DAY)   # clipping amounts moves no date
     return r.select("customer_id", "last_purchase", "days_since_last_purchase")
 
 
 @query
 def mode_category_first_seen(spark, sf):
-    return FE.mode_first_seen(tx_clean(spark, sf), "customer_id", "category",
+    return FE.mode_first_seen(tx_valid(spark, sf), "customer_id", "category",
                               out="product_category")
 
 
@@ -250,7 +250,7 @@ def topk_customers(spark, sf):
 
 @query
 def distinct_customers(spark, sf):
-    return platform_rows(spark, sf).select("customer_id").distinct()
+    return R.profiles_raw(spark, sf).select(normalize_key("customer_id").alias("customer_id")).distinct()
 
 
 # ---------------------------------------------------------------- risk
@@ -456,10 +456,8 @@ def decisions(spark, sf) -> DataFrame:
         return V.open_set_gate(sc, "x", fitted_profile(sc))
     att, fgate, vgate = in_parallel(lambda: R.attempts(spark, sf), lambda: gate("face"),
                                     lambda: gate("voice"))
-    fg = fgate.select(F.col("vec_id").alias("face_vec"), "person", "confidence")
-    face = att.join(fg, "face_vec").select("attempt_id", "person", "confidence")
-    vg = vgate.select(F.col("vec_id").alias("voice_vec"), "person", "confidence")
-    voice = att.join(vg, "voice_vec").select("attempt_id", "person", "confidence")
+    face, voice = (D.attempt_samples(att, g, vec) for g, vec in (
+        (fgate, "face_vec"), (vgate, "voice_vec")))
     # the customer keys of the feature table are the normalised profile keys
     keys = R.profiles_raw(spark, sf).select(
         normalize_key("customer_id").alias("customer_id")).distinct()
@@ -479,8 +477,7 @@ def denial_audit(spark, sf):
 
 def decisions_with_customer(spark, sf) -> DataFrame:
     cu, dec = in_parallel(lambda: customers(spark, sf), lambda: decisions(spark, sf))
-    c = cu.select("customer_id", "product_category", "last_purchase")
-    return dec.join(c, "customer_id", "left")
+    return D.with_customer(dec, cu.select("customer_id", "product_category", "last_purchase"))
 
 
 @query
@@ -545,10 +542,11 @@ def product_model(spark, sf):
     lm = MT.label_indexer(feats, "product_category")
     train = feats.where(F.col("split") == "train")
     test = feats.where(F.col("split") == "test")
-    train, test = MT.fill_most_frequent(train, [train, test], PRODUCT_CATEGORICAL)
+    fill = MT.fit_fill(train, PRODUCT_NUMERIC, PRODUCT_CATEGORICAL)
+    train, test = MT.apply_fill(train, fill), MT.apply_fill(test, fill)
     model = MT.fit_product_model(train, "product_category", PRODUCT_NUMERIC,
                                  PRODUCT_CATEGORICAL, lm)
-    return model, lm, train, test
+    return model, lm, fill, test
 
 
 @query
@@ -598,32 +596,28 @@ def cv_rf_category(spark, sf):
     lm = MT.label_indexer(feats, "product_category")
 
     def fit(train):
-        tr, = MT.fill_most_frequent(train, [train], PRODUCT_CATEGORICAL)
-        return MT.fit_product_model(tr, "product_category", PRODUCT_NUMERIC,
-                                    PRODUCT_CATEGORICAL, lm)
+        fill = MT.fit_fill(train, PRODUCT_NUMERIC, PRODUCT_CATEGORICAL)
+        return fill, MT.fit_product_model(MT.apply_fill(train, fill), "product_category",
+                                          PRODUCT_NUMERIC, PRODUCT_CATEGORICAL, lm)
 
-    def predict(model, part):
-        return MT.predict_labels(model, part, lm.labels)
+    def predict(fitted, part):
+        fill, model = fitted
+        return MT.predict_labels(model, MT.apply_fill(part, fill), lm.labels)
     return round_doubles(M.fold_summary(MT.cross_validate(feats, "fold", fit, predict,
                                                           "product_category")))
 
 
-def identity_frame(spark, sf, modality: str = "face", k: int = 3) -> DataFrame:
-    checkpoint_dir(spark)
-    return SP.group_folds(scaled_samples(spark, sf, modality), "person", "group_id", k=k) \
-        .checkpoint(eager=True)
-
-
 def identity_cv(spark, sf, modality: str, k: int) -> DataFrame:
-    df = identity_frame(spark, sf, modality, k)
+    """Folds of raw vectors; each fold's scaler and classifier see its training rows only."""
+    checkpoint_dir(spark)
+    df = SP.group_folds(R.samples(spark, sf), "person", "group_id", k=k).checkpoint(eager=True)
     lm = MT.label_indexer(df, "person")
 
     def fit(train):
-        return MT.fit_identity_model(train, "x", "person", lm)
+        return MT.fit_scaled_identity(train, modality, "person", lm)
 
     def predict(model, part):
-        return MT.predict_labels(model, part.withColumn(
-            "features", MT.array_to_vector("x")), lm.labels)
+        return model.predict(part, modality, lm.labels)
     return round_doubles(MT.cross_validate(df, "fold", fit, predict, "person"))
 
 
@@ -658,13 +652,18 @@ def open_set_identify_lr(spark, sf):
 
 @query
 def recommend_granted(spark, sf):
-    """V6: product category predicted for the customers of granted attempts only."""
-    model, lm, _, _ = product_model(spark, sf)
+    """V6: product category predicted for the customers of granted attempts only; a customer
+    without a feature row gets a reason instead of a prediction."""
+    model, lm, fill, _ = product_model(spark, sf)
     granted = decisions(spark, sf).where("granted").select("attempt_id", "customer_id")
     feats = C.drop_if_present(customers(spark, sf), ML.TRANSACTION_LEAK_COLS)
-    rows = granted.join(feats, "customer_id", "left")
-    p = MT.predict_labels(model, rows, lm.labels)
-    return round_doubles(p.select("attempt_id", "customer_id", "predicted", "confidence"))
+    p = MT.predict_labels(model, MT.apply_fill(granted.join(feats, "customer_id"), fill), lm.labels)
+    missing = granted.join(feats.select("customer_id"), "customer_id", "left_anti").select(
+        "attempt_id", "customer_id", F.lit(None).cast("string").alias("predicted"),
+        F.lit(None).cast("double").alias("confidence"), F.lit("no_customer_features").alias("reason"))
+    return round_doubles(p.select(
+        "attempt_id", "customer_id", "predicted", "confidence",
+        F.lit(None).cast("string").alias("reason")).unionByName(missing))
 
 
 # ---------------------------------------------------------------- streaming (rows-only)
@@ -749,7 +748,7 @@ def distinct_counts(spark, sf):
 def mode_category_user_lambda(spark, sf):
     """The first-seen mode written as a user lambda over value counts (same answer
     as ``mode_category_first_seen``)."""
-    return FE.value_count_aggregate(tx_clean(spark, sf), "customer_id", "category",
+    return FE.value_count_aggregate(tx_valid(spark, sf), "customer_id", "category",
                                     lambda vc: vc.index[0], out="product_category")
 
 

@@ -44,10 +44,14 @@ def build_session(master: str | None = None, shuffle_partitions: int | None = No
 def apply_semantics(spark: SparkSession) -> None:
     """Pin the runtime settings the operators rely on (safe on a shared session)."""
     for k, v in _SEMANTIC_CONF.items():
-        try:
-            spark.conf.set(k, v)
-        except Exception:  # static conf on an already-running session
-            pass
+        spark.conf.set(k, v)
+
+
+def _plain_path(uri: str) -> str:
+    """A folder's path without an empty authority or trailing slashes: ``file:///a/`` and
+    ``file:/a`` are the same folder as ``/a`` is on the default file system."""
+    scheme, colon, rest = uri.rpartition("file:")
+    return "/" + rest.strip("/") if colon and not scheme else uri.rstrip("/")
 
 
 def checkpoint_dir(spark: SparkSession) -> str:
@@ -66,8 +70,9 @@ def checkpoint_dir(spark: SparkSession) -> str:
         d = tempfile.mkdtemp(prefix="sparkgate-ckpt-")
         spark.conf.set("spark.checkpoint.dir", d)
     current = spark.sparkContext.getCheckpointDir() or ""
-    if d.rstrip("/").split(":", 1)[-1] not in current:
-        spark.sparkContext.setCheckpointDir(d)   # creates one application subfolder
+    # the context uses one subfolder of the folder it was given
+    if _plain_path(os.path.dirname(current)) != _plain_path(d):
+        spark.sparkContext.setCheckpointDir(d)
     return d
 
 
@@ -97,11 +102,3 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     df.write.mode("overwrite").parquet(path)
     register_cleanup(spark, path)
     return spark.read.schema(df.schema).parquet(path)   # schema given: empty inputs read too
-
-
-def shuffle_partitions_for(input_bytes: int, target_bytes: int = 256 * 1024 * 1024,
-                           minimum: int = 8, maximum: int = 100_000) -> int:
-    """Spill-aware starting point for ``spark.sql.shuffle.partitions``: about
-    ``target_bytes`` of shuffle input per task; AQE then coalesces small partitions and
-    splits skewed join partitions at runtime."""
-    return max(minimum, min(maximum, -(-int(input_bytes) // int(target_bytes))))

@@ -1,16 +1,23 @@
 """The authentication state machine over a live event stream.
 
-``groupBy(session).applyInPandasWithState`` keeps one small state per session
-(current state, counters, history). Every event yields one output row (the
-transition taken, or an illegal event). A session that reached a terminal state
-keeps refusing events until its event-time timeout, then its state is dropped, so
-the result equals the batch replay on the same events while state stays bounded.
-Events are ordered by (ts, event_id) inside each micro-batch; the watermark bounds
-lateness across micro-batches.
+``groupBy(session).applyInPandasWithState`` keeps one small state per session (current
+state, counters, history, events that wait). Every event yields one output row (the
+transition taken, or an illegal event). The events of a session are applied in the order of
+(ts, event_id), across micro-batches too: an event waits in the state until the watermark
+has passed it, and is then applied with all that came before it, however late they arrived
+within the watermark. A session that reached a terminal state keeps refusing events until its
+event-time timeout, then its state is dropped, so the result equals the batch replay on the
+same events while state stays bounded.
+
+A bounded replay (``run_events_stream``) reads its whole table in one micro-batch, in which
+nothing is late, and applies every event at once. A session's events of one micro-batch meet
+in one task (three columns of them), as the state of a session does.
 """
 
 from __future__ import annotations
 
+import bisect
+import json
 import os
 import uuid
 
@@ -24,68 +31,76 @@ from ..session import checkpoint_dir, register_cleanup
 
 OUTPUT_SCHEMA = ("user_id long, day date, ts timestamp_ntz, event_id long, event string, "
                  "from_state string, to_state string, legal boolean, n_events long")
-STATE_SCHEMA = "state string, n_events long, n_illegal long, history string"
+STATE_SCHEMA = "state string, n_events long, n_illegal long, history string, waiting string"
 WATERMARK = "10 minutes"
 SESSION_TIMEOUT_MS = 24 * 3600 * 1000   # keep a session one day past its last event
 
 
-def _transition_fn(transitions=fsm.TRANSITIONS, initial: str = fsm.IDLE):
+def _transition_fn(bounded: bool, transitions=fsm.TRANSITIONS, initial: str = fsm.IDLE):
     table = {(s, e): t for s, e, t in transitions}
     terminal = set(fsm.TERMINAL_STATES)
 
     def step(key, pdfs, state):
+        cur, n, bad, hist, held = state.get if state.exists else (initial, 0, 0, initial, "[]")
+        waiting = [tuple(x) for x in json.loads(held)]
+        passed = state.getCurrentWatermarkMs()
         if state.hasTimedOut:
-            state.remove()
-            return
-        frames = [p for p in pdfs if len(p)]
-        if not frames:
-            return
-        cur, n, bad, hist = state.get if state.exists else (initial, 0, 0, initial)
-        batch = pd.concat(frames, ignore_index=True).sort_values(["ts", "event_id"])
+            if not waiting:
+                state.remove()
+                return
+        else:
+            for p in pdfs:
+                waiting += zip(p["ts"].astype("datetime64[us]").astype("int64").tolist(),
+                               p["event_id"].tolist(), p["event"].tolist())
+        waiting.sort()
+        # all events of the bounded replay are here; else those that the watermark has passed
+        ready = len(waiting) if bounded else bisect.bisect_left(waiting, (passed * 1000,))
         out = []
-        for r in batch.itertuples(index=False):
-            nxt = None if cur in terminal else table.get((cur, r.event))
+        for us, event_id, event in waiting[:ready]:
+            nxt = None if cur in terminal else table.get((cur, event))
             n += 1
+            out.append((*key, pd.Timestamp(us, unit="us"), event_id, event, cur, nxt or cur, nxt is not None, n))
             if nxt is None:
                 bad += 1
-                out.append((r.user_id, r.day, r.ts, r.event_id, r.event, cur, cur, False, n))
             else:
-                out.append((r.user_id, r.day, r.ts, r.event_id, r.event, cur, nxt, True, n))
                 cur, hist = nxt, hist + ">" + nxt
-        state.update((cur, int(n), int(bad), hist))
-        last_ms = int(pd.Timestamp(batch["ts"].max()).value // 1_000_000)
-        state.setTimeoutTimestamp(max(last_ms + SESSION_TIMEOUT_MS,
-                                      state.getCurrentWatermarkMs() + 1))
-        yield pd.DataFrame(out, columns=["user_id", "day", "ts", "event_id", "event",
-                                         "from_state", "to_state", "legal", "n_events"])
+        last = waiting[-1][0] // 1000 if waiting else passed
+        waiting = waiting[ready:]
+        state.update((cur, int(n), int(bad), hist, json.dumps(waiting)))
+        wake = waiting[0][0] // 1000 + 1 if waiting else last + SESSION_TIMEOUT_MS
+        state.setTimeoutTimestamp(max(wake, passed + 1))
+        if out:
+            yield pd.DataFrame(out, columns=["user_id", "day", "ts", "event_id", "event",
+                                             "from_state", "to_state", "legal", "n_events"])
     return step
 
 
-def transitions_stream(events: DataFrame) -> DataFrame:
+def transitions_stream(events: DataFrame, lateness: str = WATERMARK, bounded: bool = False) -> DataFrame:
     """Streaming (or batch) events ``(user_id, day, ts, event_id, event)`` -> one row per
-    event with the transition it caused."""
+    event with the transition it caused. ``bounded``: all events come in one micro-batch."""
     # the watermark needs an instant type; the session time zone is UTC, so the
     # NTZ wall-clock value maps to the same instant
     return (events.withColumn("event_time", F.col("ts").cast("timestamp"))
-            .withWatermark("event_time", WATERMARK)
+            .withWatermark("event_time", lateness)
             .groupBy("user_id", "day")
-            .applyInPandasWithState(_transition_fn(), OUTPUT_SCHEMA, STATE_SCHEMA, "append",
+            .applyInPandasWithState(_transition_fn(bounded), OUTPUT_SCHEMA, STATE_SCHEMA, "append",
                                     GroupStateTimeout.EventTimeTimeout))
 
 
-def run_events_stream(spark: SparkSession, sf_dir: str, max_files: int = 1) -> DataFrame:
-    """Drive the stream over the ``events`` table to completion (available-now trigger),
-    sinking to Parquet under the shared checkpoint folder; return the sink table."""
+def run_events_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Drive the stream over the ``events`` table (one file or a folder of them) to completion
+    in one micro-batch, sinking to Parquet under the shared checkpoint folder; return the
+    sink table."""
     from ..plans.roles import FSM_EVENT_OF
     base = os.path.join(checkpoint_dir(spark), f"fsm-stream-{uuid.uuid4().hex[:12]}")
-    src = spark.read.parquet(os.path.join(sf_dir, "events.parquet"))
+    path = os.path.join(sf_dir, "events.parquet")
     m = F.create_map(*[x for k, v in FSM_EVENT_OF.items() for x in (F.lit(k), F.lit(v))])
-    stream = (spark.readStream.schema(src.schema).option("maxFilesPerTrigger", max_files)
-              .option("pathGlobFilter", "events.parquet").parquet(sf_dir))
+    # as a pattern, a path may name one file as well as a folder of files
+    stream = spark.readStream.schema(spark.read.parquet(path).schema).parquet(path[:-1] + "[t]")
     ev = stream.select(
         "user_id", F.to_date("ts").alias("day"), "ts", "event_id",
         F.coalesce(F.element_at(m, F.col("event_type")), F.upper("event_type")).alias("event"))
-    q = (transitions_stream(ev).writeStream.format("parquet")
+    q = (transitions_stream(ev, bounded=True).writeStream.format("parquet")
          .option("path", os.path.join(base, "out"))
          .option("checkpointLocation", os.path.join(base, "state"))
          .outputMode("append").trigger(availableNow=True).start())

@@ -109,3 +109,73 @@ def test_stream_equals_batch_replay(spark):
                   "s.final_state != b.final_state OR s.n_illegal != b.n_illegal OR "
                   "s.n_events != b.n_events")
     assert bad.count() == 0 and b.count() > 0
+
+
+def _live_events(spark):
+    import __spark_entry__  # noqa: F401
+    from sparkgate.plans.roles import fsm_events
+    from tests.conftest import SF_SMALL
+    return fsm_events(spark, SF_SMALL), SF_SMALL
+
+
+def _stored(spark, tmp_path, parts, newest_first=False):
+    """The events table as one file or as a folder of several, with chosen file times."""
+    import os
+    import shutil
+    _, sf = _live_events(spark)
+    folder = tmp_path / f"t{parts}{newest_first}"
+    folder.mkdir()
+    src = f"{sf}/events.parquet"
+    if parts == 1:
+        shutil.copy(src, folder / "events.parquet")
+        return str(folder)
+    spark.read.parquet(src).repartitionByRange(parts, "ts").write.parquet(str(folder / "events.parquet"))
+    files = sorted(f for f in os.listdir(folder / "events.parquet") if f.endswith(".parquet"))
+    for i, f in enumerate(files):
+        t = 1_700_000_000 + (-i if newest_first else i) * 1000
+        os.utime(folder / "events.parquet" / f, (t, t))
+    return str(folder)
+
+
+def test_stream_reads_every_file_in_any_order(spark, tmp_path):
+    import __spark_entry__ as E
+    from tests.conftest import SF_SMALL
+    cols = ["user_id", "day", "final_state", "n_events", "n_illegal"]
+    want = sorted(map(str, E.queries()["fsm_replay"](spark, SF_SMALL).select(cols).collect()))
+    for parts, newest in ((1, False), (4, False), (4, True)):
+        got = E.queries()["fsm_stream"](spark, _stored(spark, tmp_path, parts, newest)).select(cols)
+        assert sorted(map(str, got.collect())) == want, (parts, newest)
+
+
+def test_live_stream_orders_events_across_micro_batches(spark, tmp_path):
+    """Files come newest first, one in a micro-batch: events wait for the watermark."""
+    import datetime as dt
+
+    from sparkgate.streaming.fsm_stream import OUTPUT_SCHEMA, transitions_stream
+    day, base = dt.date(2025, 1, 1), dt.datetime(2025, 1, 1)
+    seq = ["START", "CLICK", "VERIFICATION_PASSED", "VERIFICATION_PASSED", "START", "RECOMMENDATION_READY", "CLICK"]
+    batches = [[(1, day, base + dt.timedelta(minutes=i), i, e)] for i, e in reversed(list(enumerate(seq)))]
+    batches.append([(2, day, base + dt.timedelta(days=9), 99, "START")])   # moves the watermark on
+    import os
+    schema = "user_id long, day date, ts timestamp_ntz, event_id long, event string"
+    for k, rows in enumerate(batches):
+        path = tmp_path / f"b{k}"
+        spark.createDataFrame(rows, schema).coalesce(1).write.parquet(str(path))
+        part = next(f for f in os.listdir(path) if f.endswith(".parquet"))
+        (tmp_path / "in").mkdir(exist_ok=True)
+        os.rename(path / part, tmp_path / "in" / f"{k}.parquet")
+        os.utime(tmp_path / "in" / f"{k}.parquet", (1_700_000_000 + k * 1000,) * 2)
+    stream = spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(str(tmp_path / "in"))
+    q = (transitions_stream(stream, lateness="1 day").writeStream.format("parquet")
+         .option("path", str(tmp_path / "out")).option("checkpointLocation", str(tmp_path / "state"))
+         .outputMode("append").trigger(availableNow=True).start())
+    q.awaitTermination()
+    got = spark.read.schema(OUTPUT_SCHEMA).parquet(str(tmp_path / "out")).where("user_id = 1").orderBy("n_events").collect()
+    assert [r.event for r in got] == seq
+    assert got[-1].to_state == "COMPLETED" and [r.legal for r in got].count(False) == 3
+
+
+def test_replay_plan_does_not_grow_with_rounds(spark):
+    out = fsm.replay(_events(spark, {"a": ["START"]}), ["sid"], ["ts", "ord"])
+    plan = out._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Join") <= 2
