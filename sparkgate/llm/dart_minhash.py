@@ -50,7 +50,7 @@ COORDINATES = BANDS * ROWS
 #: Nodes of which the ids are broadcast to fetch their texts; beyond, a shuffle join does.
 NODES_BROADCAST = 500_000
 #: Later rounds at most; each ends earlier if the round before joined nothing.
-LATER_ROUNDS = 3
+LATER_ROUNDS = 2
 
 _SEED = np.uint64(0x9E3779B97F4A7C15)
 _ODD = np.uint64(0xD6E8FEB86659FD93)
@@ -194,26 +194,27 @@ _own_node = F.pandas_udf(lambda t: pd.Series([_digest(_words(x or "")) for x in
 
 
 def components(links: DataFrame) -> DataFrame:
-    """``node, root`` of every linked node; the root is the smallest node of its component.
+    """``node, root`` of every linked node but the roots; the root is the smallest node of its
+    component.
 
     ``links`` has ``u > v``. A round moves links toward smaller nodes (large star), then joins
-    the smaller neighbours of each node (small star); it ends when nothing changes.
+    the smaller neighbours of each node (small star); it ends when every node hangs on a node
+    that hangs on none.
     """
-    mark = lambda e: tuple(e.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first())
-    edges = materialize(links.select("u", "v").distinct(), "dart-links")
-    seen = mark(edges)
+    edges = links
     while True:
-        both = edges.union(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
+        both = edges.select("u", "v").union(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
         low = materialize(both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m")), "dart-low")
         large = materialize(both.join(low, "u").where("v > u").select(
-            F.col("v").alias("u"), F.col("m").alias("v")).distinct(), "dart-large")
+            F.col("v").alias("u"), F.col("m").alias("v")), "dart-large")
         low = materialize(large.groupBy("u").agg(F.min("v").alias("m")), "dart-low")
         small = large.join(low, "u").where("v != m").select(F.col("v").alias("u"), F.col("m").alias("v"))
         edges = materialize(small.union(low.select("u", F.col("m").alias("v"))).distinct(), "dart-links")
-        now = mark(edges)
-        if now == seen:
+        ends = edges.select(F.col("u").alias("x"), F.lit(1).alias("child")).union(edges.select("v", F.lit(0)))
+        deep = ends.groupBy("x").agg(F.sum("child").alias("up"), F.min("child").alias("least")).where(
+            "up > 1 OR up = 1 AND least = 0")
+        if not deep.take(1):
             return edges.select(F.col("u").alias("node"), F.col("v").alias("root"))
-        seen = now
 
 
 def _texts(docs: DataFrame, nodes: DataFrame) -> DataFrame:
@@ -227,18 +228,23 @@ def _texts(docs: DataFrame, nodes: DataFrame) -> DataFrame:
     return right.mapInPandas(_sets, "node binary, packed binary").dropDuplicates(["node"])
 
 
-def _tested(pairs: DataFrame, docs: DataFrame, nodes: DataFrame) -> DataFrame:
+def _pair(node: Column, doc_id: Column, other: Column, other_id: Column) -> list[Column]:
+    """A pair in order, with a document of each node."""
+    up = node > other
+    return [F.when(up, node).otherwise(other).alias("u"), F.when(up, other).otherwise(node).alias("v"),
+            F.when(up, doc_id).otherwise(other_id).alias("u_id"), F.when(up, other_id).otherwise(doc_id).alias("v_id")]
+
+
+def _similar_pairs(pairs: DataFrame, docs: DataFrame) -> DataFrame:
     """The pairs ``u, v`` that are similar."""
-    asked = materialize(pairs.select(F.col("u").alias("node")).union(pairs.select("v")).distinct()
-                        .join(nodes, "node"), "dart-asked")
+    pairs = materialize(pairs.dropDuplicates(["u", "v"]), "dart-pairs")
+    asked = materialize(pairs.select(F.col("u").alias("node"), F.col("u_id").alias("doc_id")).union(
+        pairs.select("v", "v_id")).dropDuplicates(["node"]), "dart-asked")
     sets = materialize(_texts(docs, asked), "dart-sets")
     a = sets.select(F.col("node").alias("u"), F.col("packed").alias("a"))
     b = sets.select(F.col("node").alias("v"), F.col("packed").alias("b"))
-    return pairs.join(a, "u").join(b, "v").where(_similar("a", "b") >= SIMILAR).select("u", "v")
-
-
-def _ordered(a: Column, b: Column) -> list[Column]:
-    return [F.greatest(a, b).alias("u"), F.least(a, b).alias("v")]
+    tested = pairs.select("u", "v").join(a, "u").join(b, "v")
+    return materialize(tested.where(_similar("a", "b") >= SIMILAR).select("u", "v"), "dart-similar")
 
 
 def classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -249,49 +255,45 @@ def classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
     rows = materialize(map_rows(docs, _sketch, "doc_id bigint, node binary, bands array<bigint>"), "dart-rows")
     nodes = materialize(rows.groupBy("node").agg(F.min("doc_id").alias("doc_id"), F.first("bands").alias("bands")),
                         "dart-nodes")
-    members = nodes.select("node", F.explode("bands").alias("bucket"))
-    shared = materialize(members.groupBy("bucket").agg(F.min("node").alias("leader"), F.count("*").alias("n"))
-                         .where("n > 1").drop("n"), "dart-leaders")
+    members = nodes.select("node", "doc_id", F.explode("bands").alias("bucket"))
+    shared = materialize(members.groupBy("bucket").agg(
+        F.min(F.struct("node", "doc_id")).alias("leader"), F.count("*").alias("n")).where("n > 1").drop("n"),
+        "dart-leaders")
     members = materialize(members.join(shared, "bucket"), "dart-members")
-    pairs = materialize(members.where("node != leader").select(*_ordered(F.col("node"), F.col("leader")))
-                        .distinct(), "dart-pairs")
-    ids = nodes.select("node", "doc_id")
-    links = materialize(_tested(pairs, docs, ids), "dart-similar")
+    at = F.col("leader")
+    pairs = members.where(F.col("node") != at["node"]).select(
+        *_pair(F.col("node"), F.col("doc_id"), at["node"], at["doc_id"]))
+    links = _similar_pairs(pairs, docs)
+    roots = components(links)
     for turn in range(LATER_ROUNDS):
-        roots = components(links)
-        pairs, tried = _across(members, roots, pairs, turn)
-        if not tried:
-            break
-        found = materialize(_tested(pairs.where("fresh"), docs, ids), "dart-similar")
-        pairs = pairs.drop("fresh")
-        links = materialize(links.union(found), "dart-similar")
+        found = _similar_pairs(_across(members, roots, turn), docs)
         if not found.take(1):
             break
-    roots = components(links)
+        roots = components(roots.select(F.col("node").alias("u"), F.col("root").alias("v")).union(found))
     rooted = materialize(rows.select("doc_id", "node").join(roots, "node", "left").select(
         "doc_id", "node", F.coalesce("root", "node").alias("root")), "dart-rooted")
     smallest = materialize(rooted.groupBy("root").agg(F.min("doc_id").alias("class_id")), "dart-classes")
     return rooted.join(smallest, "root").select("doc_id", "node", "root", "class_id")
 
 
-def _across(members: DataFrame, roots: DataFrame, tried: DataFrame, turn: int) -> tuple[DataFrame, int]:
-    """New pairs of members and leaders of other classes in a bucket, with all pairs tried.
+def _across(members: DataFrame, roots: DataFrame, turn: int) -> DataFrame:
+    """Pairs of members and leaders of another class in their bucket.
 
     The leaders are members of the bucket's first and last class, others in each turn.
     """
-    placed = materialize(members.select("bucket", "node").join(roots, "node", "left").select(
-        "bucket", "node", F.coalesce("root", "node").alias("root")), "dart-placed")
-    order = F.xxhash64("node", F.lit(turn))
-    ends = materialize(placed.groupBy("bucket").agg(
-        F.min("root").alias("r1"), F.max("root").alias("r2"),
-        F.min(F.struct("root", order.alias("o"), "node"))["node"].alias("l1"),
-        F.max(F.struct("root", order.alias("o"), "node"))["node"].alias("l2")).where("r1 != r2"), "dart-ends")
+    placed = materialize(members.select("bucket", "node", "doc_id").join(roots, "node", "left").select(
+        "bucket", "node", "doc_id", F.coalesce("root", "node").alias("root")), "dart-placed")
+    one = F.struct("root", F.xxhash64("node", F.lit(turn)).alias("o"), "node", "doc_id")
+    ends = materialize(placed.groupBy("bucket").agg(F.min(one).alias("low"), F.max(one).alias("high")).where(
+        "low.root != high.root"), "dart-ends")
     met = placed.join(ends, "bucket")
-    new = met.where("root != r1").select(*_ordered(F.col("node"), F.col("l1"))).union(
-        met.where("root != r2").select(*_ordered(F.col("node"), F.col("l2")))).distinct()
-    fresh = new.join(tried.select("u", "v"), ["u", "v"], "left_anti").withColumn("fresh", F.lit(True))
-    every = materialize(tried.select("u", "v").withColumn("fresh", F.lit(False)).unionByName(fresh), "dart-pairs")
-    return every, every.where("fresh").count()
+    pairs = None
+    for end in ("low", "high"):
+        leader = F.col(end)
+        some = met.where(F.col("root") != leader["root"]).select(
+            *_pair(F.col("node"), F.col("doc_id"), leader["node"], leader["doc_id"]))
+        pairs = some if pairs is None else pairs.union(some)
+    return pairs
 
 
 def first_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
