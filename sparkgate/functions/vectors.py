@@ -29,8 +29,3 @@ def standardize(x, mean, std) -> Column:
 def argmax(p) -> Column:
     """0-based index of the largest value, first index wins ties."""
     return (F.array_position(_c(p), F.array_max(_c(p))) - 1).cast("int")
-
-
-def slice_dims(c, start: int, length: int) -> Column:
-    """1-based slice, cast to double."""
-    return F.transform(F.slice(_c(c), start, length), lambda v: v.cast("double"))

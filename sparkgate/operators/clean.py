@@ -10,11 +10,6 @@ from ..functions.columns import (normalize_category, normalize_key, strip_lower,
 from ..session import materialize
 from .quantiles import quantile_values
 
-PROFILE_COLS = ["customer_id", "social_media_platform", "engagement_score",
-                "purchase_interest_score", "review_sentiment"]
-TX_COLS = ["transaction_id", "customer_id", "timestamp", "amount", "currency", "merchant",
-           "category", "channel", "device_type", "location", "status", "is_fraud"]
-
 
 def distinct_keep_first(df: DataFrame, ord_col: str = "src_ord") -> DataFrame:
     """Whole-row distinct (NULLs equal) keeping the first source ordinal.

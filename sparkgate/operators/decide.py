@@ -34,6 +34,18 @@ STATUS_AUTHENTICATED = "Authenticated"
 STATUS_DENIED = "Access Denied"
 DISPLAY_TS_FORMAT = "yyyy-MM-dd HH:mm:ss"
 
+# The steps of an attempt's trace.
+STEP_START = "Start"
+STEP_FACE = "Submit Face"
+STEP_FACE_RESULT = "Verify Face -> "
+STEP_VOICE = "Submit Voice"
+STEP_VOICE_RESULT = "Verify Voice -> "
+STEP_MISMATCH = "Identity Check -> fail"
+STEP_NO_CUSTOMER = "Customer Link -> missing"
+STEP_RECOMMEND = "Run Product Recommendation"
+STEP_DISPLAY = "Display Recommendation -> "
+STEP_DENIED = "Access Denied"
+
 
 def sentiment_value(df: DataFrame) -> Column:
     """0-2 sentiment: numeric average if present, else the text mapped, else 1."""
@@ -164,18 +176,18 @@ def attempt_trace(decisions: DataFrame, rec_col: str | None = None) -> DataFrame
     face_pass = o != F.lit(DENIED_FACE)
     voice_pass = ~o.isin(DENIED_FACE, DENIED_VOICE)
     steps = F.array(
-        F.lit("Start"), F.lit("Submit Face"),
-        F.concat(F.lit("Verify Face -> "), F.when(face_pass, "pass").otherwise("fail")),
-        F.when(face_pass, F.lit("Submit Voice")),
-        F.when(face_pass, F.concat(F.lit("Verify Voice -> "),
+        F.lit(STEP_START), F.lit(STEP_FACE),
+        F.concat(F.lit(STEP_FACE_RESULT), F.when(face_pass, "pass").otherwise("fail")),
+        F.when(face_pass, F.lit(STEP_VOICE)),
+        F.when(face_pass, F.concat(F.lit(STEP_VOICE_RESULT),
                                    F.when(voice_pass, "pass").otherwise("fail"))),
-        F.when(o == F.lit(DENIED_MISMATCH), F.lit("Identity Check -> fail")),
-        F.when(o == F.lit(NO_CUSTOMER), F.lit("Customer Link -> missing")),
-        F.when(o == F.lit(GRANTED), F.lit("Run Product Recommendation")),
+        F.when(o == F.lit(DENIED_MISMATCH), F.lit(STEP_MISMATCH)),
+        F.when(o == F.lit(NO_CUSTOMER), F.lit(STEP_NO_CUSTOMER)),
+        F.when(o == F.lit(GRANTED), F.lit(STEP_RECOMMEND)),
         F.when(o == F.lit(GRANTED), F.concat(
-            F.lit("Display Recommendation -> "),
+            F.lit(STEP_DISPLAY),
             F.coalesce(F.col(rec_col), F.lit("unknown")) if rec_col else F.lit("unknown"))),
-        F.when(o != F.lit(GRANTED), F.lit("Access Denied")))
+        F.when(o != F.lit(GRANTED), F.lit(STEP_DENIED)))
     kept = F.filter(steps, lambda x: x.isNotNull())
     return decisions.select("attempt_id", F.posexplode(kept).alias("step_no", "step")).select(
         "attempt_id", (F.col("step_no") + 1).cast("int").alias("step_no"), "step")

@@ -188,10 +188,3 @@ def fold_summary(per_fold: DataFrame, fold_col: str = "fold",
         F.struct(F.lit("std").alias("stat"), F.col("std").alias("value")))).alias("r")) \
         .select("metric", "fold", "r.stat", "r.value")
     return vals.unionByName(stats)
-
-
-def rejection_count(gated: DataFrame, person_col: str = "person") -> DataFrame:
-    """Rows rejected (no person) at the gate."""
-    return gated.agg(F.count_if(F.col(person_col).isNull()).alias("n_rejected"),
-                     F.count(F.lit(1)).alias("n_rows"))
-

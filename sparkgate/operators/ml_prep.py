@@ -12,8 +12,8 @@ from .features import mode_smallest
 from .quantiles import grouped_exact_quantiles
 
 # The columns a recommendation model must never see (same-source leaks).
-TRANSACTION_LEAK_COLS = ["total_spent", "average_spent", "purchase_count", "last_purchase",
-                         "fraud_rate", "days_since_last_purchase"]
+TRANSACTION_LEAK_COLS = ["total_spent", "average_spent", "purchase_count",
+                         "days_since_last_purchase", "fraud_rate", "last_purchase"]
 PRODUCT_FEATURES = ["engagement_score", "purchase_interest_score", "review_sentiment",
                     "average_engagement", "platform_count", "main_platform"]
 
@@ -94,11 +94,3 @@ def impute_stats(df: DataFrame, numeric: list[str], categorical: list[str]) -> D
         "feature", F.lit("most_frequent").alias("statistic"),
         F.lit(None).cast("double").alias("value_num"), "value_str")
     return med.unionByName(mode)
-
-
-def impute(df: DataFrame, stats: DataFrame) -> DataFrame:
-    """Apply M2/M3 fitted values (a bounded per-feature table) with ``coalesce``."""
-    vals = {r["feature"]: (r["value_num"] if r["statistic"] == "median" else r["value_str"])
-            for r in stats.collect()}
-    return df.select(*[F.coalesce(F.col(c), F.lit(vals[c])).alias(c) if c in vals
-                       else F.col(c) for c in df.columns])

@@ -123,8 +123,8 @@ def min_class_check(df: DataFrame, label: str, minimum: int = 2) -> DataFrame:
 # numbers (hex) and the user-safe messages.
 IMAGE_EXTENSIONS = ["png", "jpg", "jpeg", "gif", "bmp"]
 AUDIO_EXTENSIONS = ["wav"]
-IMAGE_MAGIC_HEX = ["89504E47", "FFD8FF", "474946383761", "474946383961", "424D", "52494646"]
-AUDIO_MAGIC_HEX = ["52494646"]
+IMAGE_MAGIC = [b"\x89PNG", b"\xff\xd8\xff", b"GIF87a", b"GIF89a", b"BM", b"RIFF"]
+AUDIO_MAGIC = [b"RIFF"]
 TRIAGE_MESSAGES = {
     "missing": "The requested file could not be found.",
     "invalid_path": "The file path provided is not valid.",
@@ -139,14 +139,14 @@ def triage_samples(df: DataFrame, path_col: str, content_col: str, kind: str = "
     unsupported_format / corrupted (header magic), with the user-safe message.
     ``content`` NULL means the file does not exist."""
     exts = IMAGE_EXTENSIONS if kind == "image" else AUDIO_EXTENSIONS
-    magic = IMAGE_MAGIC_HEX if kind == "image" else AUDIO_MAGIC_HEX
+    magic = IMAGE_MAGIC if kind == "image" else AUDIO_MAGIC
     p = F.col(path_col)
     ext = F.lower(F.regexp_extract(p, r"\.([^./]+)$", 1))
-    head = F.upper(F.hex(F.substring(F.col(content_col), 1, 8)))
+    head = F.substring(F.col(content_col).cast("binary"), 1, 8)
     bad_path = p.isNull() | (F.trim(p) == "") | p.endswith("/")
     known_header = F.lit(False)
     for m in magic:
-        known_header = known_header | head.startswith(m)
+        known_header = known_header | F.startswith(head, F.lit(m))
     status = (F.when(bad_path, "invalid_path").when(F.col(content_col).isNull(), "missing")
               .when(~ext.isin(*exts), "unsupported_format")
               .when(~known_header, "corrupted").otherwise("ok"))

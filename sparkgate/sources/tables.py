@@ -60,12 +60,6 @@ def load_csv(spark: SparkSession, path: str, required=(), name: str = "table",
     return df
 
 
-def with_source_order(df: DataFrame, col: str = "src_ord") -> DataFrame:
-    """First-seen ordinal for file sources without an id (unique, increasing per file
-    split; stable for a given input layout)."""
-    return df.withColumn(col, F.monotonically_increasing_id())
-
-
 def first_available(spark: SparkSession, primary: str, fallback: str, reader, dedupe):
     """S3: prefer the primary source, else read the fallback and reduce it with ``dedupe``."""
     if _exists(spark, primary):

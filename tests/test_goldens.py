@@ -9,7 +9,7 @@ from sparkgate.operators import ml_split as SP
 from sparkgate.operators import ml_train as MT
 from sparkgate.operators import quality as Q
 
-# Class counts of the product target and the published holdout supports.
+# Fixed values. G9/G10: class counts of the product target and the published holdout supports.
 CLASS_COUNTS = {"other": 15, "finance": 14, "retail": 9, "transport": 9, "clothing": 7,
                 "ecommerce": 6, "fuel": 5, "health": 5, "food": 5, "groceries": 4,
                 "wholesale": 3, "travel": 2}
@@ -17,7 +17,7 @@ HOLDOUT_SUPPORT = {"clothing": 1, "ecommerce": 1, "finance": 3, "food": 1, "fuel
                    "groceries": 1, "health": 1, "other": 3, "retail": 2, "transport": 2,
                    "travel": 0, "wholesale": 1}
 
-# The published 12 x 12 holdout confusion matrix, non-zero cells (true, pred, n).
+# Fixed values. G11: the published 12 x 12 holdout confusion matrix, non-zero cells (true, pred, n).
 CONFUSION = [("clothing", "fuel", 1), ("ecommerce", "fuel", 1), ("finance", "clothing", 1),
              ("finance", "finance", 2), ("food", "transport", 1), ("fuel", "travel", 1),
              ("groceries", "finance", 1), ("health", "retail", 1), ("other", "finance", 1),
@@ -56,7 +56,7 @@ def test_g11_metrics_from_published_confusion_matrix(spark):
     assert dense.count() == 144 and dense.agg(F.sum("n")).first()[0] == 17
 
 
-# The stored voice feature table (2 people x 2 phrases x 4 variants, 17 features).
+# Fixed values. G12: the stored voice feature table (2 people x 2 phrases x 4 variants, 17 features).
 VOICE = [
     ("person1", "yes_approve", [-375.7064208984375, 33.39509582519531, 14.419486045837402, 17.470977783203125, 19.713220596313477, 9.317575454711914, -8.588242530822754, 4.1154351234436035, -9.244050025939941, 2.966827392578125, -1.3041285276412964, -0.8321992754936218, 1.417453646659851, 7332.622327302632, 3934.5414064755028, 0.03049115464091301, 0.25454872532894735]),  # noqa: E501
     ("person1", "yes_approve", [-414.5008239746094, 32.7546501159668, 18.860166549682617, 19.42900848388672, 15.398733139038086, -8.86959171295166, -5.419291019439697, -1.2469056844711304, -3.038248062133789, 5.023007392883301, -3.158034324645996, 7.680695056915283, -1.8094210624694824, 7782.930715460527, 4137.144191704737, 0.0191852655261755, 0.2859015213815789]),  # noqa: E501
@@ -117,7 +117,7 @@ def test_g18_sample_header_triage(spark):
                    "notes.txt": "unsupported_format", "": "invalid_path"}
 
 
-# Two stored customers (their transactions are not touched by the published
+# Fixed values. G4/G5: two stored customers (their transactions are not touched by the published
 # winsor bounds 158.8241 / 24007.2252, so the customer table on these rows alone
 # must reproduce the stored modeling rows).
 TX_ROWS = [
