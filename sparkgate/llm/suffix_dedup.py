@@ -18,6 +18,8 @@ neighbours, from which equal strings are read off. Two things keep the exchange
 * Only anchors whose ``K`` bytes occur elsewhere are sent at all; a first exchange of hashes
   finds them. It may name too many (equal hashes), never too few: the result is exact.
 
+What is sent is compressed by column in the tasks.
+
 Scale: a task sends each hash once, and of suffixes with equal bytes all around only the
 earliest (the others repeat it and are settled on the spot). So a text in a third of all rows
 is sent at most once by each task. Should the suffixes of one ``K``-byte string with different
@@ -39,6 +41,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import zstandard
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -58,7 +61,7 @@ SUFFIX_BUCKET = 60_000
 RUN = 200_000
 #: Text of which anchors are found at once (places fit in 24 bits).
 PART = 1 << 23
-BROADCAST_BYTES = 64_000_000
+BROADCAST_BYTES = 8_000_000
 
 #: Stands for a null id.
 NO_ID = -(1 << 63)
@@ -115,20 +118,19 @@ def anchors(text: bytes) -> tuple[np.ndarray, np.ndarray]:
     return at[first], h[first]
 
 
-def _spans_by_row(ids: np.ndarray, copies: np.ndarray, values: np.ndarray) -> Iterator[tuple[int, int, bytes]]:
-    """The ``values`` (rows of an integer array) of each input row, as one binary."""
-    if not len(ids):
-        return
-    order = np.lexsort((copies, ids))
-    ids, copies, values = ids[order], copies[order], values[order]
-    cut = np.flatnonzero((np.diff(ids) != 0) | (np.diff(copies) != 0)) + 1
-    for a, b in zip([0, *cut], [*cut, len(ids)]):
-        yield int(ids[a]), int(copies[a]), values[a:b].tobytes()
+def _packed(values: np.ndarray) -> bytes:
+    return zstandard.compress(np.ascontiguousarray(values).tobytes(), 1)
+
+
+def _unpacked(column: pd.Series, kind) -> list[np.ndarray]:
+    return [np.frombuffer(zstandard.decompress(x), kind) if x else np.zeros(0, kind) for x in column]
 
 
 # --- first exchange: which anchors occur elsewhere -------------------------------------------
 
 HASHES = "bucket int, known boolean, hash binary, n binary, id binary, copy binary, place binary"
+#: Bytes of a hash that are sent; the bucket tells more of it.
+SENT = 6
 
 
 def _hash_rows(n_buckets: int):
@@ -159,36 +161,46 @@ def _hash_rows(n_buckets: int):
             for part in np.split(rows, cut):
                 if len(part):
                     yield pd.DataFrame({
-                        "bucket": [int(bucket[part[0]])], "known": [known], "hash": [h[part].tobytes()],
-                        "n": [n[of[part]].astype(np.uint32).tobytes()], "id": [id_[part].tobytes()],
-                        "copy": [copy[part].tobytes()], "place": [at[part].tobytes()]})
+                        "bucket": [int(bucket[part[0]])], "known": [known],
+                        "hash": [(h[part] // np.uint64(n_buckets)).view(np.uint8).reshape(-1, 8)[:, :SENT].tobytes()],
+                        "n": [_packed(n[of[part]].astype(np.uint32))],
+                        "id": [_packed(np.diff(id_[part], prepend=0))], "copy": [_packed(copy[part])],
+                        "place": [_packed(np.diff(at[part].astype(np.int64), prepend=0))]})
     return run
 
 
 def _candidates(rows: pd.DataFrame, limit: int) -> pd.DataFrame:
-    """The places of a bucket whose hash occurs elsewhere, by input row; hot ones marked."""
-    def joined(name: str, kind) -> tuple[np.ndarray, np.ndarray]:
-        return tuple(np.frombuffer(b"".join(rows.loc[rows["known"] == k, name]), kind) for k in (False, True))
-    h, known_h = joined("hash", np.uint64)
-    n = joined("n", np.uint32)[0]
-    distinct, of = np.unique(h, return_inverse=True)
+    """The places of a bucket whose hash occurs elsewhere, one in a row; hot ones are odd."""
+    first, known = rows[~rows["known"]], rows[rows["known"]]
+
+    def hashes_of(some: pd.DataFrame) -> np.ndarray:
+        short = np.frombuffer(b"".join(some["hash"]), np.uint8).reshape(-1, SENT)
+        out = np.zeros((len(short), 8), np.uint8)
+        out[:, :SENT] = short
+        return out.view(np.uint64).ravel()
+
+    def joined(some: pd.DataFrame, name: str, kind, step: bool = False) -> np.ndarray:
+        parts = _unpacked(some[name], kind)
+        return np.concatenate([np.zeros(0, kind), *((np.cumsum(p) for p in parts) if step else parts)])
+    n = joined(first, "n", np.uint32)
+    distinct, of = np.unique(hashes_of(first), return_inverse=True)
     tasks = np.bincount(of, minlength=len(distinct))
     total = np.bincount(of, weights=n, minlength=len(distinct))
     mine = (tasks[of] > 1) & (n == 1)           # those with n > 1 come as known
-    here = np.searchsorted(distinct, known_h)
+    here = np.searchsorted(distinct, hashes_of(known))
     hot = np.concatenate([total[of[mine]] > limit, total[here] > limit])
-    pick = lambda name, kind: np.concatenate([joined(name, kind)[0][mine], joined(name, kind)[1]])
-    value = pick("place", np.uint32).astype(np.int64) * 2 + hot
-    out = list(_spans_by_row(pick("id", np.int64), pick("copy", np.int32), value))
-    return pd.DataFrame({"id": np.array([x[0] for x in out], np.int64),
-                         "copy": np.array([x[1] for x in out], np.int32), "places": [x[2] for x in out]})
+    pick = lambda name, kind, step: np.concatenate([
+        joined(first, name, kind, step)[mine], joined(known, name, kind, step)])
+    return pd.DataFrame({"id": pick("id", np.int64, True), "copy": pick("copy", np.int32, False),
+                         "place": pick("place", np.int64, True) * 2 + hot})
 
 
 # --- second exchange: front-coded runs of suffixes -------------------------------------------
 
 RUNS = ("bucket int, lcp binary, tails binary, before binary, n_before binary, n_after binary, "
-        "id binary, copy binary, place binary, spans array<struct<id: bigint, copy: int, spans: binary>>")
-SPANS = "id bigint, copy int, spans binary"
+        "id binary, copy binary, place binary, spans binary")
+#: A span as one number: its start, then its length, which is below 256.
+SPAN = 256
 
 
 def front_coded(rows: np.ndarray) -> tuple[np.ndarray, bytes]:
@@ -215,6 +227,10 @@ def _covered(place: np.ndarray, n_before: np.ndarray, n_after: np.ndarray) -> tu
     return least <= n_before, np.stack([place - n_before, place - least + LENGTH], 1)
 
 
+def _coded(spans: np.ndarray) -> np.ndarray:
+    return spans[:, 0] * SPAN + spans[:, 1] - spans[:, 0]
+
+
 def _run_rows(n_buckets: int):
     def one_run(mats: list[np.ndarray], meta: list[tuple], windows: bool) -> Iterator[dict]:
         mat = np.concatenate(mats)
@@ -230,8 +246,7 @@ def _run_rows(n_buckets: int):
                                & (n_before[1:] == n_before[:-1]) & (n_after[1:] == n_after[:-1])])
         any_, cover = _covered(place, n_before, n_after)
         settled = same & any_
-        spans = [dict(zip(("id", "copy", "spans"), x))
-                 for x in _spans_by_row(id_[settled], copy[settled], cover[settled])]
+        spans = np.stack([id_[settled], copy[settled].astype(np.int64), _coded(cover[settled])], 1)
         keep = np.flatnonzero(~same & any_)
         turned, id_, copy, place, n_before, n_after = (x[keep] for x in (turned, id_, copy, place, n_before, n_after))
         size = LENGTH if windows else K
@@ -243,13 +258,13 @@ def _run_rows(n_buckets: int):
         for part in np.split(by, np.flatnonzero(np.diff(bucket[by])) + 1):
             if len(part):
                 lcp, tails = front_coded(turned[part, :LENGTH])
-                yield {"bucket": int(bucket[part[0]]) + (n_buckets if windows else 0), "lcp": lcp.tobytes(),
-                       "tails": tails, "before": turned[part, LENGTH:].tobytes(),
-                       "n_before": n_before[part].astype(np.uint8).tobytes(),
-                       "n_after": n_after[part].astype(np.uint8).tobytes(), "id": id_[part].tobytes(),
-                       "copy": copy[part].tobytes(), "place": place[part].tobytes(), "spans": []}
-        if spans:
-            yield {"bucket": int(spans[0]["id"] % n_buckets), "spans": spans} | {
+                yield {"bucket": int(bucket[part[0]]) + (n_buckets if windows else 0), "lcp": _packed(lcp),
+                       "tails": zstandard.compress(tails, 1), "before": _packed(turned[part, LENGTH:]),
+                       "n_before": _packed(n_before[part].astype(np.uint8)),
+                       "n_after": _packed(n_after[part].astype(np.uint8)), "id": _packed(id_[part]),
+                       "copy": _packed(copy[part]), "place": _packed(place[part]), "spans": b""}
+        if len(spans):
+            yield {"bucket": int(spans[0, 0] % n_buckets), "spans": _packed(spans)} | {
                 k: b"" for k in ("lcp", "tails", "before", "n_before", "n_after", "id", "copy", "place")}
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -274,12 +289,11 @@ def _run_rows(n_buckets: int):
         def flush(windows: bool) -> Iterator[pd.DataFrame]:
             mats, meta = kinds[windows]
             for row in one_run(mats, meta, windows) if mats else ():
-                yield pd.DataFrame({k: pd.Series([v], dtype=object if k != "bucket" else "int32")
-                                    for k, v in row.items()})
+                yield pd.DataFrame({k: [v] for k, v in row.items()})
             kinds[windows], size[windows] = ([], []), 0
         for frame in frames:
             for i, c, text, places in zip(frame["id"], frame["copy"], frame["text"], frame["places"]):
-                value = np.unique(np.frombuffer(b"".join(places), np.int64))
+                value = np.unique(np.asarray(places, np.int64))
                 at, hot = value >> 1, (value & 1).astype(bool)
                 yield from add(False, i, c, text, at[~hot])
                 if hot.any():   # every string through a hot anchor, as a suffix of its own
@@ -356,12 +370,12 @@ def merge(runs: list[tuple[np.ndarray, list[bytes]]]) -> tuple[list[int], list[i
 
 def _repeats(rows: pd.DataFrame) -> pd.DataFrame:
     """The spans of a bucket's suffixes that repeat earlier strings."""
-    out: list[tuple[int, int, bytes]] = [
-        (s["id"], s["copy"], s["spans"]) for spans in rows["spans"] for s in spans]
+    out = [x.reshape(-1, 3) for x in _unpacked(rows["spans"], np.int64)]
     rows = rows[rows["lcp"].str.len() > 0]
     if len(rows):
-        array = lambda name, kind: [np.frombuffer(x, kind) for x in rows[name]]
-        runs = [(lcp, decoded(lcp, tails)) for lcp, tails in zip(array("lcp", np.uint8), rows["tails"])]
+        array = lambda name, kind: _unpacked(rows[name], kind)
+        runs = [(lcp, decoded(lcp, zstandard.decompress(tails)))
+                for lcp, tails in zip(array("lcp", np.uint8), rows["tails"])]
         turn, lcp = merge(runs)
         start = np.concatenate([[0], np.cumsum([len(s) for _, s in runs])[:-1]])
         turn = np.array(turn)
@@ -374,9 +388,9 @@ def _repeats(rows: pd.DataFrame) -> pd.DataFrame:
         n_before, n_after = pick("n_before", np.uint8).astype(int), pick("n_after", np.uint8).astype(int)
         before = np.concatenate([x.reshape(-1, BEFORE) for x in array("before", np.uint8)])[sorted_]
         found, spans = equal_strings(np.array(lcp), before, n_before, n_after, id_, copy, place)
-        out += _spans_by_row(id_[found], copy[found], spans)
-    return pd.DataFrame({"id": np.array([x[0] for x in out], np.int64),
-                         "copy": np.array([x[1] for x in out], np.int32), "spans": [x[2] for x in out]})
+        out.append(np.stack([id_[found], copy[found].astype(np.int64), _coded(spans)], 1))
+    every = np.concatenate(out)
+    return pd.DataFrame({"id": every[:, 0], "copy": every[:, 1].astype(np.int32), "span": every[:, 2]})
 
 
 def equal_strings(lcp: np.ndarray, before: np.ndarray, n_before: np.ndarray, n_after: np.ndarray, id_: np.ndarray,
@@ -413,8 +427,8 @@ def _cut(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             removed = spans = 0
             kept = text
             if parts is not None and len(parts):
-                span = np.frombuffer(b"".join(parts), np.int64).reshape(-1, 2)
-                span = span[np.lexsort((span[:, 1], span[:, 0]))]
+                coded = np.sort(np.asarray(parts, np.int64))   # by start, then length
+                span = np.stack([coded // SPAN, coded // SPAN + coded % SPAN], 1)
                 reach = np.maximum.accumulate(span[:, 1])
                 new = np.concatenate([[True], span[1:, 0] > reach[:-1]])
                 a, b = span[new, 0], reach[np.concatenate([np.flatnonzero(new)[1:] - 1, [len(span) - 1]])]
@@ -436,14 +450,13 @@ def _keyed(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
 
 
 def _with(rows: DataFrame, found: DataFrame, column: str, how: str) -> DataFrame:
-    """``rows`` joined with a table that has a list of binaries for some of them."""
-    size = found.agg(F.sum(F.aggregate(column, F.lit(0), lambda a, x: a + F.length(x))
-                           + F.lit(64)).alias("n")).first().n or 0
+    """``rows`` joined with a table that has a list of numbers for some of them."""
+    size = found.agg(F.sum(8 * F.size(column) + 64).alias("n")).first().n or 0
     return rows.join(F.broadcast(found) if size <= BROADCAST_BYTES else found, ["id", "copy"], how)
 
 
-def _by_row(found: DataFrame, column: str) -> DataFrame:
-    return found.groupBy("id", "copy").agg(F.collect_list(column).alias(column))
+def _by_row(found: DataFrame, column: str, name: str) -> DataFrame:
+    return found.groupBy("id", "copy").agg(F.collect_list(column).alias(name))
 
 
 def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", hot: int = HOT) -> DataFrame:
@@ -452,11 +465,12 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     size = rows.agg(F.sum(F.length("text")).alias("n")).first().n or 0
     first = rows.select("id", "copy", "text").mapInPandas(_hash_rows(1 + size // HASH_BUCKET_BYTES), HASHES)
     places = materialize(_by_row(first.groupBy("bucket").applyInPandas(
-        lambda group: _candidates(group, hot), "id bigint, copy int, places binary"), "places"), "suffix-places")
-    n = places.agg(F.sum(F.aggregate("places", F.lit(0), lambda a, x: a + F.length(x)) / 8).alias("n")).first().n or 0
+        lambda group: _candidates(group, hot), "id bigint, copy int, place bigint"), "place", "places"), "suffix-places")
+    n = places.agg(F.sum(F.size("places")).alias("n")).first().n or 0
     runs = _with(rows.select("id", "copy", "text"), places, "places", "inner").mapInPandas(
         _run_rows(1 + int(n) // SUFFIX_BUCKET), RUNS)
-    spans = materialize(_by_row(runs.groupBy("bucket").applyInPandas(_repeats, SPANS), "spans"), "suffix-spans")
+    spans = materialize(_by_row(runs.groupBy("bucket").applyInPandas(
+        _repeats, "id bigint, copy int, span bigint"), "span", "spans"), "suffix-spans")
     cut = _with(rows, spans, "spans", "left").select("id", "text", "spans").mapInPandas(
         _cut, "id bigint, n_bytes bigint, n_removed bigint, n_spans bigint, kept binary")
     return cut.select(F.nullif("id", F.lit(NO_ID)).alias("doc_id"), "n_bytes", "n_removed", "n_spans", "kept")
