@@ -686,11 +686,16 @@ def fsm_stream(spark, sf):
 
 @query
 def sample_triage(spark, sf):
-    """Q10 over the page table taken as submitted samples: path from the URL (query
-    and fragment removed), content = page bytes."""
+    """Q10 over the page table taken as submitted samples: path from the URL (query and
+    fragment removed), content = page bytes. Some are named as images: one in five with an
+    image's first bytes, one in five without, one in five with no content."""
+    page, kind = F.encode("html", "UTF-8"), F.col("page_id") % 5
+    path = F.regexp_replace("url", r"[?#].*$", "")
     pg = R.read_table(spark, sf, "pages").select(
-        "page_id", F.regexp_replace("url", r"[?#].*$", "").alias("path"),
-        F.encode("html", "UTF-8").alias("content"))
+        "page_id",
+        F.concat(path, F.when(kind == 0, "/a.png").when(kind == 1, "/a.jpg").when(kind == 2, "/a.gif")
+                 .otherwise("")).alias("path"),
+        F.when(kind == 0, F.concat(F.lit(b"\x89PNG"), page)).when(kind != 2, page).alias("content"))
     return Q.triage_samples(pg, "path", "content").select("page_id", "path", "status",
                                                           "message")
 

@@ -594,11 +594,14 @@ FROM sess s LEFT JOIN trans t ON t.state = s.final_state
 """)
 
 sql("sample_triage", """
-, pg AS (SELECT page_id, regexp_replace(url, '[?#].*$', '') AS path, html FROM pages),
+, pg AS (
+  SELECT page_id, regexp_replace(url, '[?#].*$', '')
+           || CASE page_id % 5 WHEN 0 THEN '/a.png' WHEN 1 THEN '/a.jpg' WHEN 2 THEN '/a.gif' ELSE '' END AS path,
+         CASE WHEN page_id % 5 <> 2 THEN html END AS html FROM pages),
 t AS (
   SELECT page_id, path,
          lower(regexp_extract(path, '\\.([^./]+)$', 1)) AS ext,
-         upper(hex(encode(substr(html, 1, 8)))) AS head, html
+         CASE WHEN page_id % 5 = 0 THEN '89504E47' ELSE upper(hex(encode(substr(html, 1, 8)))) END AS head, html
   FROM pg)
 SELECT page_id, path,
        CASE WHEN path IS NULL OR trim(path) = '' OR ends_with(path, '/') THEN 'invalid_path'

@@ -9,8 +9,9 @@ ROLE_CTES = r"""
 profiles_raw AS (
   SELECT ' A' || CAST(user_id AS VARCHAR) || ' ' AS customer_id,
          upper(event_type) AS social_media_platform,
-         value / 5 AS engagement_score,
-         1 + (TRY_CAST(json_extract_string(props, '$.k') AS BIGINT) % 41) / 10 AS purchase_interest_score,
+         CASE WHEN event_id % 101 <> 0 THEN value / 5 END AS engagement_score,
+         CASE WHEN event_id % 103 <> 0 THEN
+           1 + (TRY_CAST(json_extract_string(props, '$.k') AS BIGINT) % 41) / 10 END AS purchase_interest_score,
          CASE event_id % 3 WHEN 0 THEN 'Positive' WHEN 1 THEN 'Neutral' ELSE 'Negative' END
            AS review_sentiment,
          event_id AS src_ord
@@ -36,7 +37,9 @@ profiles_clean AS (
   FROM profiles_dedup),
 tx_raw AS (
   SELECT o_orderkey AS transaction_id, 'a' || CAST(o_custkey AS VARCHAR) AS customer_id,
-         o_orderdate AS ts, o_totalprice AS amount, o_orderpriority AS category,
+         CASE WHEN o_orderkey % 83 <> 0 THEN o_orderdate END AS ts,
+         CASE WHEN o_orderkey % 97 = 0 THEN -o_totalprice WHEN o_orderkey % 89 <> 0 THEN o_totalprice END AS amount,
+         o_orderpriority AS category,
          o_orderstatus = 'F' AS is_fraud, o_orderkey AS src_ord
   FROM orders),
 tx_norm AS (

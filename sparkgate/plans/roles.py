@@ -16,6 +16,9 @@ SENTIMENTS = ["Positive", "Neutral", "Negative"]          # by event_id % 3
 FSM_EVENT_OF = {"signup": "START", "view": "VERIFICATION_PASSED",
                 "error": "VERIFICATION_FAILED", "purchase": "RECOMMENDATION_READY",
                 "click": "CLICK"}
+# every so many rows lack a value or hold a bad one, so that fills and rejects have work
+NO_SCORE, NO_INTEREST = 101, 103
+NO_DATE, NO_AMOUNT, NEGATIVE_AMOUNT = 83, 89, 97
 FACE_DIMS = (1, 32)     # 1-based start, length
 VOICE_DIMS = (33, 32)
 GROUP_VARIANTS = 5      # group = label || '_' || (vec_id % 5)
@@ -31,8 +34,9 @@ def profiles_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ev.select(
         F.concat(F.lit(" A"), F.col("user_id").cast("string"), F.lit(" ")).alias("customer_id"),
         F.upper("event_type").alias("social_media_platform"),
-        (F.col("value") / 5).alias("engagement_score"),
-        (F.lit(1) + (k % 41) / 10).alias("purchase_interest_score"),
+        F.when(F.col("event_id") % NO_SCORE != 0, F.col("value") / 5).alias("engagement_score"),
+        F.when(F.col("event_id") % NO_INTEREST != 0, F.lit(1) + (k % 41) / 10)
+        .alias("purchase_interest_score"),
         sent.alias("review_sentiment"),
         F.col("event_id").alias("src_ord"))
 
@@ -42,8 +46,9 @@ def transactions_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
     return o.select(
         F.col("o_orderkey").alias("transaction_id"),
         F.concat(F.lit("a"), F.col("o_custkey").cast("string")).alias("customer_id"),
-        F.col("o_orderdate").alias("timestamp"),
-        F.col("o_totalprice").alias("amount"),
+        F.when(F.col("o_orderkey") % NO_DATE != 0, F.col("o_orderdate")).alias("timestamp"),
+        F.when(F.col("o_orderkey") % NEGATIVE_AMOUNT == 0, -F.col("o_totalprice"))
+        .when(F.col("o_orderkey") % NO_AMOUNT != 0, F.col("o_totalprice")).alias("amount"),
         F.col("o_orderpriority").alias("category"),
         (F.col("o_orderstatus") == "F").alias("is_fraud"),
         F.col("o_orderkey").alias("src_ord"))
