@@ -133,8 +133,9 @@ def encode(docs: DataFrame, ranks: dict[bytes, int], pattern: str, id_col: str =
     ``ids`` is binary, a little-endian unsigned 32-bit integer for each token.
     """
     held = docs.sparkSession.sparkContext.broadcast(ranks)
-    return map_rows(
-        id_text(docs, id_col, text_col), _encoder(held, hash(frozenset(ranks.items())), pattern), "doc_id bigint, n_tokens bigint, ids binary")
+    return map_rows(id_text(docs, id_col, text_col),
+                    _encoder(held, hash(frozenset(ranks.items())), pattern),
+                    "doc_id bigint, n_tokens bigint, ids binary")
 
 
 def decode(coded: DataFrame, ranks: dict[bytes, int]) -> DataFrame:

@@ -36,7 +36,6 @@ one output row; an empty table gives no rows; other columns are ignored.
 
 from __future__ import annotations
 
-import hashlib
 from collections.abc import Iterator
 
 import numpy as np
