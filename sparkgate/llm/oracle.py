@@ -47,7 +47,7 @@ failing AS (
     + 2 * (100 * n_repeat_words > 20 * n_words)::BIGINT
     + 4 * (10 * n_symbols > n_words)::BIGINT
     + 8 * (2 * n_exclamations > n_words)::BIGINT
-    + 16 * (100 * n_dup_lines > 30 * n_lines)::BIGINT
+    + 16 * (n_dup_lines >= 3 AND 100 * n_dup_lines > 30 * n_lines)::BIGINT
     + 32 * (word_chars < 2 * n_words)::BIGINT
     + 64 * (word_chars > 15 * n_words)::BIGINT AS failed FROM measured)
 SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words,

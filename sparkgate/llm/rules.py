@@ -29,7 +29,7 @@ RULES: dict[str, str] = {
     "repeated_windows": "100 * n_repeat_words > 20 * n_words",
     "symbols": "10 * n_symbols > n_words",
     "exclamations": "2 * n_exclamations > n_words",
-    "repeated_lines": "100 * n_dup_lines > 30 * n_lines",
+    "repeated_lines": "n_dup_lines >= 3 AND 100 * n_dup_lines > 30 * n_lines",
     "short_words": "word_chars < 2 * n_words",
     "long_words": "word_chars > 15 * n_words",
 }
