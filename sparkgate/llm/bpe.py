@@ -32,7 +32,7 @@ from pyspark.sql import functions as F
 from sparkgate.llm.common import id_text, map_rows, slices
 
 #: Distinct words in a generation of the words of which a Python worker keeps the ids.
-WORDS_KEPT = 150_000
+WORDS_KEPT = 100_000
 #: Up to so many bytes, looking through all pairs in each step beats a heap.
 SHORT_WORD = 48
 

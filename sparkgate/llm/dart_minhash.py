@@ -49,6 +49,8 @@ BANDS, ROWS = 24, 5
 COORDINATES = BANDS * ROWS
 #: Nodes of which the ids are broadcast to fetch their texts; beyond, a shuffle join does.
 NODES_BROADCAST = 500_000
+#: Elements and darts of documents whose signatures are made at once.
+BATCH = 300_000
 #: Later rounds at most; each ends earlier if the round before joined nothing.
 LATER_ROUNDS = 2
 
@@ -82,7 +84,26 @@ def shingles(words: list[str]) -> tuple[np.ndarray, np.ndarray]:
 
 
 def signatures(sets: list[tuple[np.ndarray, np.ndarray]]) -> np.ndarray:
-    """Signatures of non-empty weighted sets, a row for each."""
+    """Signatures of non-empty weighted sets, a row for each.
+
+    Sets of like size go together, in batches of ``BATCH`` elements and darts, which bounds
+    the memory; a set's signature depends on it alone.
+    """
+    sig = np.zeros((len(sets), COORDINATES), np.uint64)
+    sizes = np.array([len(e) for e, _ in sets])
+    batch, cost = [], 0
+    for i in np.argsort(sizes, kind="stable"):
+        batch.append(i)
+        cost += sizes[i] + 10 * COORDINATES
+        if cost >= BATCH:
+            sig[batch] = _signatures([sets[j] for j in batch])
+            batch, cost = [], 0
+    if batch:
+        sig[batch] = _signatures([sets[j] for j in batch])
+    return sig
+
+
+def _signatures(sets: list[tuple[np.ndarray, np.ndarray]]) -> np.ndarray:
     k = COORDINATES
     sig = np.zeros((len(sets), k), np.uint64)
     total = np.array([w.sum() for _, w in sets], float)
