@@ -14,6 +14,18 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+#: Rows of an Arrow batch between Spark and Python.
+BATCH_ROWS = 2_000
+
+
+def short_batches(spark: SparkSession) -> None:
+    """Keep Arrow batches short: a row holds a whole text, and Spark's 10,000 rows of them are
+    held several times over by each Python worker and its task."""
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if not 0 < int(spark.conf.get(key)) <= BATCH_ROWS:
+        spark.conf.set(key, BATCH_ROWS)
+
+
 def id_text(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Only the id and the text (null text: empty), so that extra columns can't clash."""
     return df.select(F.col(id_col).cast("bigint").alias("doc_id"),
@@ -44,6 +56,7 @@ def slices(frames: Iterator[pd.DataFrame], column: str, size: int = 4_000_000) -
 def map_rows(rows: DataFrame, fn, schema: str) -> DataFrame:
     """``mapInPandas`` with ids as strings on the way: pandas would turn nullable integers into
     floats, which lose the last digits of large ids."""
+    short_batches(rows.sparkSession)
     ids = [c for c, kind in rows.dtypes if kind == "bigint" and c.endswith("_id")]
     for c in ids:
         schema = schema.replace(f"{c} bigint", f"{c} string")

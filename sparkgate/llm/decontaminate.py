@@ -31,7 +31,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from sparkgate.llm.common import map_rows
+from sparkgate.llm.common import map_rows, short_batches
 
 #: Edits allowed for each character of an item.
 ERROR_RATE = 0.1
@@ -198,6 +198,7 @@ def _finding(held):
 def clean(docs: DataFrame, items: DataFrame, text_col: str = "text", item_id_col: str = "item_id",
           item_text_col: str = "text") -> DataFrame:
     """The rows of ``docs`` whose text holds no item, whole."""
+    short_batches(docs.sparkSession)
     for block in _blocks(items, item_id_col, item_text_col):
         docs = docs.where(_is_clean(_held(block))(docs[text_col]))
     return docs

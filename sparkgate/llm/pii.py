@@ -31,7 +31,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType
 
-from sparkgate.llm.common import slices
+from sparkgate.llm.common import short_batches, slices
 from sparkgate.session import materialize
 
 #: Texts with entities of which the replacements are broadcast.
@@ -210,6 +210,7 @@ def _find(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
 
 def find(docs: DataFrame, text_col: str = "text") -> DataFrame:
     """``digest, found``: the entities of each different text that has any."""
+    short_batches(docs.sparkSession)
     texts = docs.select(F.coalesce(docs[text_col], F.lit("")).alias("text"))
     return texts.mapInPandas(_find, FOUND).dropDuplicates(["digest"])
 

@@ -44,6 +44,7 @@ import zstandard
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from sparkgate.llm.common import short_batches
 from sparkgate.session import materialize
 
 LENGTH = 100
@@ -460,6 +461,7 @@ def _by_row(found: DataFrame, column: str, name: str) -> DataFrame:
 
 def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", hot: int = HOT) -> DataFrame:
     """``doc_id, n_bytes, n_removed, n_spans, kept`` of every row; ``kept`` are the bytes left."""
+    short_batches(docs.sparkSession)
     rows = _keyed(docs, id_col, text_col)
     size = rows.agg(F.sum(F.length("text")).alias("n")).first().n or 0
     first = rows.select("id", "copy", "text").mapInPandas(_hash_rows(1 + size // HASH_BUCKET_BYTES), HASHES)
