@@ -8,8 +8,8 @@ once for each distinct word it meets, and joins the ids of the words text by tex
 The fold is a Python function inside the tasks. The same fold as Spark higher-order
 functions over a literal map gave the same ids but took 177 microseconds a word (README).
 
-A Python worker keeps the ids of at most two generations of ``WORDS_KEPT`` distinct words,
-which bounds its memory and changes no result. The rank map (some 50,000 pieces, a fixed
+A task keeps the ids of at most two generations of ``WORDS_KEPT`` distinct words, which bounds
+its memory and changes no result; nothing stays in the Python worker after it. The rank map (some 50,000 pieces, a fixed
 vocabulary that does not grow with the data) is broadcast.
 
 Nulls, ties and odd rows: a null text is the empty text, which has no tokens and decodes
@@ -31,7 +31,7 @@ from pyspark.sql import functions as F
 
 from sparkgate.llm.common import id_text, map_rows, slices
 
-#: Distinct words in a generation of the words of which a Python worker keeps the ids.
+#: Distinct words in a generation of the words of which a task keeps the ids.
 WORDS_KEPT = 100_000
 #: Up to so many bytes, looking through all pairs in each step beats a heap.
 SHORT_WORD = 48
@@ -106,19 +106,11 @@ class _Ids(dict):
         return ids
 
 
-#: One entry for each vocabulary that a Python worker has used; the tasks it runs share it.
-_IDS: dict[int, _Ids] = {}
-
-
-def _encoder(held, key: int, pattern: str) -> Callable[[Iterator[pd.DataFrame]], Iterator[pd.DataFrame]]:
+def _encoder(held, pattern: str) -> Callable[[Iterator[pd.DataFrame]], Iterator[pd.DataFrame]]:
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         import regex
-        from sparkgate.llm import bpe
         words_of = regex.compile(pattern).findall
-        if key not in bpe._IDS:
-            bpe._IDS.clear()
-            bpe._IDS[key] = bpe._Ids(held.value)
-        ids_of = bpe._IDS[key].__getitem__
+        ids_of = _Ids(held.value).__getitem__
         for frame in slices(frames, "text"):
             out = [b"".join(map(ids_of, words_of(text))) for text in frame["text"]]
             yield pd.DataFrame({"doc_id": frame["doc_id"].to_numpy(), "n_tokens": [len(x) // 4 for x in out],
@@ -134,7 +126,7 @@ def encode(docs: DataFrame, ranks: dict[bytes, int], pattern: str, id_col: str =
     """
     held = docs.sparkSession.sparkContext.broadcast(ranks)
     return map_rows(id_text(docs, id_col, text_col),
-                    _encoder(held, hash(frozenset(ranks.items())), pattern),
+                    _encoder(held, pattern),
                     "doc_id bigint, n_tokens bigint, ids binary")
 
 
