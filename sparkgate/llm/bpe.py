@@ -9,8 +9,8 @@ The fold is a Python function inside the tasks. The same fold as Spark higher-or
 functions over a literal map gave the same ids but took 177 microseconds a word (README).
 
 A task keeps the ids of at most two generations of ``WORDS_KEPT`` distinct words, which bounds
-its memory and changes no result; nothing stays in the Python worker after it. The rank map (some 50,000 pieces, a fixed
-vocabulary that does not grow with the data) is broadcast.
+its memory and changes no result; nothing stays in the Python worker after it. The rank map
+(some 50,000 pieces, a fixed vocabulary that does not grow with the data) is broadcast.
 
 Nulls, ties and odd rows: a null text is the empty text, which has no tokens and decodes
 to the empty string; a null id stays null; every input row gives one output row, repeated
