@@ -9,16 +9,24 @@ weighted Jaccard similarity. Only the ranks that fill all coordinates are thrown
 k ln k + 3k darts a document, doubled where a coordinate stays empty), whatever its length.
 
 Banded joining: documents that agree in all rows of a band meet in a bucket. A bucket tests
-its members against its leader, not against each other. Later rounds test members against
-leaders of other classes in the bucket until a round joins nothing more. A test computes the
-exact weighted Jaccard similarity; links of at least ``SIMILAR`` join classes (connected
-components by alternating large and small stars).
+its members against its leader, then members against leaders of other classes in the bucket,
+which joins most classes by few tests. Where a bucket still holds several classes, every pair
+of its members in different classes is tested, unless one of two exact bounds rules a link out:
+of u and v with leader l, at most min(|u & l|, |v & l|) + min(|u - l|, |v - l|) is common; and
+they differ in at least as many elements as their parities (of the elements hashed to each of
+``PARITIES`` places) differ in places. So no two similar documents of a bucket end in different
+classes.
+A test computes the exact weighted Jaccard similarity; links of at least ``SIMILAR`` join
+classes (connected components by alternating large and small stars).
 
 With 24 bands of 5 rows, two documents of similarity 0.8 meet with probability 0.9999.
 
 Scale: documents with the same words are one node from the start, so copies cost a row each.
 Leaders and star centres are found by grouped minima that combine before the shuffle and are
 written as tables, so that the joins with them are plain ones, whose hot keys Spark can split.
+The members left in several classes are dealt to blocks of about ``BLOCK``, and each pair of
+blocks is a key of its own, so that no task gets all pairs of a large bucket. Their number can
+grow with the square of a family of documents that are all nearly similar, and so must the tests.
 Links, components and signatures stay in tables of the shared folder.
 
 Nulls, ties and odd rows: a null text is empty; texts without words are copies of each other;
@@ -38,7 +46,7 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import BinaryType, DoubleType
+from pyspark.sql.types import BinaryType, LongType
 
 from sparkgate.llm.common import map_rows, slices
 from sparkgate.session import materialize
@@ -51,8 +59,12 @@ COORDINATES = BANDS * ROWS
 NODES_BROADCAST = 500_000
 #: Elements and darts of documents whose signatures are made at once.
 BATCH = 300_000
-#: Later rounds at most; each ends earlier if the round before joined nothing.
+#: Rounds of leaders of other classes; pairs that they leave are tested afterwards.
 LATER_ROUNDS = 2
+#: Members of a bucket in a block, of which pairs are formed together.
+BLOCK = 32
+#: Places of which the parities bound how much two sets differ.
+PARITIES = 2048
 
 _SEED = np.uint64(0x9E3779B97F4A7C15)
 _ODD = np.uint64(0xD6E8FEB86659FD93)
@@ -162,10 +174,15 @@ def band_keys(sig: np.ndarray) -> np.ndarray:
 
 def similarity(a: bytes, b: bytes) -> float:
     """Weighted Jaccard similarity of two packed sets."""
+    both, total = overlap(a, b), int(_unpack(a)[1].sum()) + int(_unpack(b)[1].sum())
+    return both / (total - both) if total else 1.0
+
+
+def overlap(a: bytes, b: bytes) -> int:
+    """Weight that two packed sets have in common."""
     (ea, wa), (eb, wb) = _unpack(a), _unpack(b)
     _, i, j = np.intersect1d(ea, eb, assume_unique=True, return_indices=True)
-    both = int(np.minimum(wa[i], wb[j]).sum())
-    return both / (int(wa.sum()) + int(wb.sum()) - both) if len(ea) or len(eb) else 1.0
+    return int(np.minimum(wa[i], wb[j]).sum())
 
 
 def _pack(elements: np.ndarray, weights: np.ndarray) -> bytes:
@@ -199,15 +216,31 @@ def _sketch(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         yield pd.DataFrame({"doc_id": frame["doc_id"].to_numpy(), "node": [_digest(w) for w in words], "bands": bands})
 
 
+def parities(elements: np.ndarray, weights: np.ndarray) -> bytes:
+    """Bits of the parities of a set's elements (each occurrence is one) by their places."""
+    each = np.repeat(elements, weights)
+    turn = np.arange(len(each)) - np.repeat(np.cumsum(weights) - weights, weights)
+    place = mix(mix(each) + turn.astype(np.uint64) * _ODD) % np.uint64(PARITIES)
+    odd = np.bincount(place.astype(np.int64), minlength=PARITIES) & 1
+    return np.packbits(odd.astype(np.uint8)).tobytes()
+
+
 def _sets(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """The sets of the texts that have their node's words (ids may repeat)."""
     for frame in slices(frames, "text", 2_000_000):
-        yield pd.DataFrame({"node": frame["node"].to_numpy(),
-                            "packed": [_pack(*shingles(_words(t))) for t in frame["text"]]})
+        words = [(n, w) for n, t in zip(frame["node"], frame["text"]) if _digest(w := _words(t)) == n]
+        sets = [shingles(w) for _, w in words]
+        yield pd.DataFrame({"node": [n for n, _ in words], "packed": [_pack(*x) for x in sets],
+                            "size": np.array([w.sum() for _, w in sets], np.int64), "odd": [parities(*x) for x in sets]})
 
 
-@F.pandas_udf(DoubleType())
-def _similar(a: pd.Series, b: pd.Series) -> pd.Series:
-    return pd.Series([similarity(x, y) for x, y in zip(a, b)], dtype=float)
+@F.pandas_udf(LongType())
+def _overlap(a: pd.Series, b: pd.Series) -> pd.Series:
+    return pd.Series([overlap(x, y) for x, y in zip(a, b)], dtype="int64")
+
+
+def _similar(both: Column, total: Column) -> Column:
+    return both / (total - both) >= SIMILAR
 
 
 #: Called once for each row: the optimizer copies deterministic functions into filters.
@@ -239,14 +272,12 @@ def components(links: DataFrame) -> DataFrame:
 
 
 def _texts(docs: DataFrame, nodes: DataFrame) -> DataFrame:
-    """``node, packed`` of the asked nodes (``node, doc_id`` of one document each)."""
+    """``node, packed, size, odd`` of the asked nodes (``node, doc_id`` of one document each)."""
     wanted = nodes.select("node", F.col("doc_id").alias("_id"))
     if nodes.count() <= NODES_BROADCAST:
         wanted = F.broadcast(wanted)
     found = docs.join(wanted, docs["doc_id"].eqNullSafe(wanted["_id"])).select("node", "text")
-    # ids may repeat: only the text that has the node's words
-    right = found.where(_own_node("text") == F.col("node"))
-    return right.mapInPandas(_sets, "node binary, packed binary").dropDuplicates(["node"])
+    return found.mapInPandas(_sets, "node binary, packed binary, size bigint, odd binary").dropDuplicates(["node"])
 
 
 def _pair(node: Column, doc_id: Column, other: Column, other_id: Column) -> list[Column]:
@@ -256,16 +287,22 @@ def _pair(node: Column, doc_id: Column, other: Column, other_id: Column) -> list
             F.when(up, doc_id).otherwise(other_id).alias("u_id"), F.when(up, other_id).otherwise(doc_id).alias("v_id")]
 
 
-def _similar_pairs(pairs: DataFrame, docs: DataFrame) -> DataFrame:
-    """The pairs ``u, v`` that are similar."""
+def _tested(pairs: DataFrame, docs: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """The pairs ``u, v`` with their sizes ``u_size, v_size`` and what they have in ``both``;
+    and the sets of their nodes."""
     pairs = materialize(pairs.dropDuplicates(["u", "v"]), "dart-pairs")
     asked = materialize(pairs.select(F.col("u").alias("node"), F.col("u_id").alias("doc_id")).union(
         pairs.select("v", "v_id")).dropDuplicates(["node"]), "dart-asked")
     sets = materialize(_texts(docs, asked), "dart-sets")
-    a = sets.select(F.col("node").alias("u"), F.col("packed").alias("a"))
-    b = sets.select(F.col("node").alias("v"), F.col("packed").alias("b"))
-    tested = pairs.select("u", "v").join(a, "u").join(b, "v")
-    return materialize(tested.where(_similar("a", "b") >= SIMILAR).select("u", "v"), "dart-similar")
+    a = sets.select(F.col("node").alias("u"), F.col("packed").alias("a"), F.col("size").alias("u_size"))
+    b = sets.select(F.col("node").alias("v"), F.col("packed").alias("b"), F.col("size").alias("v_size"))
+    met = pairs.select("u", "v").join(a, "u").join(b, "v")
+    return materialize(met.select("u", "v", "u_size", "v_size", _overlap("a", "b").alias("both")), "dart-tested"), sets
+
+
+def _links(tested: DataFrame) -> DataFrame:
+    """The pairs ``u, v`` that are similar."""
+    return tested.where(_similar(F.col("both"), F.col("u_size") + F.col("v_size"))).select("u", "v")
 
 
 def classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -284,26 +321,36 @@ def classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
     at = F.col("leader")
     pairs = members.where(F.col("node") != at["node"]).select(
         *_pair(F.col("node"), F.col("doc_id"), at["node"], at["doc_id"]))
-    links = _similar_pairs(pairs, docs)
-    roots = components(links)
+    tested, sets = _tested(pairs, docs)
+    roots = components(_links(tested))
     for turn in range(LATER_ROUNDS):
-        found = _similar_pairs(_across(members, roots, turn), docs)
+        found = _links(_tested(_across(members, roots, turn), docs)[0])
         if not found.take(1):
             break
-        roots = components(roots.select(F.col("node").alias("u"), F.col("root").alias("v")).union(found))
+        roots = _joined(roots, found)
+    found = _links(_tested(_left(members, roots, tested, sets), docs)[0])
+    if found.take(1):
+        roots = _joined(roots, found)
     rooted = materialize(rows.select("doc_id", "node").join(roots, "node", "left").select(
         "doc_id", "node", F.coalesce("root", "node").alias("root")), "dart-rooted")
     smallest = materialize(rooted.groupBy("root").agg(F.min("doc_id").alias("class_id")), "dart-classes")
     return rooted.join(smallest, "root").select("doc_id", "node", "root", "class_id")
 
 
+def _joined(roots: DataFrame, found: DataFrame) -> DataFrame:
+    return components(roots.select(F.col("node").alias("u"), F.col("root").alias("v")).union(found))
+
+
+def _placed(members: DataFrame, roots: DataFrame) -> DataFrame:
+    return members.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
+
+
 def _across(members: DataFrame, roots: DataFrame, turn: int) -> DataFrame:
     """Pairs of members and leaders of another class in their bucket.
 
     The leaders are members of the bucket's first and last class, others in each turn.
     """
-    placed = materialize(members.select("bucket", "node", "doc_id").join(roots, "node", "left").select(
-        "bucket", "node", "doc_id", F.coalesce("root", "node").alias("root")), "dart-placed")
+    placed = materialize(_placed(members, roots).select("bucket", "node", "doc_id", "root"), "dart-placed")
     one = F.struct("root", F.xxhash64("node", F.lit(turn)).alias("o"), "node", "doc_id")
     ends = materialize(placed.groupBy("bucket").agg(F.min(one).alias("low"), F.max(one).alias("high")).where(
         "low.root != high.root"), "dart-ends")
@@ -317,6 +364,50 @@ def _across(members: DataFrame, roots: DataFrame, turn: int) -> DataFrame:
     return pairs
 
 
+def _left(members: DataFrame, roots: DataFrame, tested: DataFrame, sets: DataFrame) -> DataFrame:
+    """All pairs of members that share a bucket but no class and may be similar by what they
+    have in common with the bucket's leader (which was tested with all) and by their parities."""
+    placed = materialize(_placed(members, roots).select("bucket", "node", "doc_id", "leader.node", "root").toDF(
+        "bucket", "node", "doc_id", "leader", "root").where("node != leader"), "dart-placed")
+    mixed = placed.groupBy("bucket").agg(F.count("*").alias("n"), F.min("root").alias("low"),
+                                         F.max("root").alias("high")).where("low != high")
+    mixed = materialize(mixed.select("bucket", F.ceil(F.col("n") / BLOCK).cast("int").alias("blocks")), "dart-mixed")
+    some = placed.join(mixed, "bucket").select(
+        "*", F.greatest("node", "leader").alias("u"), F.least("node", "leader").alias("v"))
+    some = materialize(some.join(tested.select("u", "v", "both"), ["u", "v"]).join(
+        sets.select("node", "size", "odd"), "node").select(
+        "bucket", "node", "doc_id", "root", "blocks", F.pmod(F.xxhash64("node"), "blocks").cast("int").alias("block"),
+        "size", "both", "odd"), "dart-left")
+    row = F.struct("node", F.col("doc_id").cast("string").alias("doc_id"), "root", "size", "both", "odd")
+    block = some.groupBy("bucket", "blocks", "block").agg(F.collect_list(row).alias("x"))
+    part = lambda x: [F.col("x")[c].alias(f"{c}_{x}") for c in ("node", "doc_id", "root", "size", "both", "odd")]
+    a = block.select("bucket", F.col("block").alias("i"), F.explode(F.expr("sequence(block, blocks - 1)")).alias("j"), *part("a"))
+    b = block.select("bucket", F.explode(F.expr("sequence(0, block)")).alias("i"), F.col("block").alias("j"), *part("b"))
+    met = a.join(b, ["bucket", "i", "j"]).drop("bucket").mapInPandas(
+        _possible, "node binary, doc_id string, other binary, other_id string")
+    return met.select(*_pair(F.col("node"), F.col("doc_id").cast("bigint"), F.col("other"), F.col("other_id").cast("bigint")))
+
+
+def _possible(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """Pairs of members of two blocks (or of one) in different classes that no bound rules out."""
+    for frame in frames:
+        out: list[tuple] = []
+        for r in frame.itertuples(index=False):
+            root = pd.factorize(np.concatenate([r.root_a, r.root_b]))[0]
+            n = len(r.node_a)
+            size, other = np.asarray(r.size_a)[:, None], np.asarray(r.size_b)[None, :]
+            both, also = np.asarray(r.both_a)[:, None], np.asarray(r.both_b)[None, :]
+            most = np.minimum(both, also) + np.minimum(size - both, other - also)
+            may = (most >= SIMILAR * (size + other - most) - 1e-6) & (root[:n, None] != root[None, n:])
+            x, y = np.nonzero(np.triu(may) if r.i == r.j else may)
+            odd = [np.frombuffer(b"".join(o), np.uint64).reshape(len(o), -1) for o in (r.odd_a, r.odd_b)]
+            differ = np.bitwise_count(odd[0][x] ^ odd[1][y]).sum(axis=1, dtype=np.int64)
+            total = size[x, 0] + other[0, y]
+            near = (total - differ) >= SIMILAR * (total + differ) - 1e-6
+            out += [(r.node_a[u], r.doc_id_a[u], r.node_b[v], r.doc_id_b[v]) for u, v in zip(x[near], y[near])]
+        yield pd.DataFrame(out, columns=["node", "doc_id", "other", "other_id"])
+
+
 def first_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The rows of ``docs``, whole, of the smallest doc_id in each class (one row of it)."""
     first = classes(docs, id_col, text_col).where(F.col("doc_id").eqNullSafe(F.col("class_id"))) \

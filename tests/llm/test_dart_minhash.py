@@ -67,6 +67,17 @@ def test_classes_equal_all_pairs(spark):
     assert {r.doc_id for r in kept.collect() if r.doc_id is not None} == ids
 
 
+def test_links_inside_a_family_around_one_passage(spark):
+    """All share a passage (0.78) and so their buckets; only partners are more alike (0.88)."""
+    passage = [f"p{i}" for i in range(74)]
+    rows = [(2 * k + side, " ".join(passage + [f"x{k}y{i}" for i in range(5)] + [f"z{k}s{side}y{i}" for i in range(5)]))
+            for k in range(200) for side in range(2)]
+    want = brute(rows)
+    assert len({c for _, c in want}) == 200
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    assert sorted((str(r.doc_id), str(r.class_id)) for r in D.classes(docs).collect()) == want
+
+
 def test_empty_and_shuffle_join(spark, monkeypatch):
     docs = spark.createDataFrame([(1, "a b c d e f g"), (2, "a b c d e f g "), (3, "x y")], "doc_id long, text string")
     assert D.classes(docs.limit(0)).collect() == [] and D.first_of_each(docs.limit(0)).collect() == []
@@ -89,6 +100,15 @@ def test_signatures_estimate_weighted_similarity():
         assert abs(np.mean(error)) < 0.04
 
 
+def test_parities_bound_the_difference():
+    rng = np.random.default_rng(9)
+    for n in (1, 60, 3000):
+        e = np.unique(rng.integers(0, 2**63, n, dtype=np.uint64))
+        wa, wb = rng.integers(1, 4, n), rng.integers(1, 4, n)
+        bits = [np.unpackbits(np.frombuffer(D.parities(e, w), np.uint8)) for w in (wa, wb)]
+        assert (bits[0] != bits[1]).sum() <= np.abs(wa - wb).sum() and (D.parities(e, wa) == D.parities(e, wa.copy()))
+
+
 def test_signature_depends_on_the_set_alone():
     rng = np.random.default_rng(8)
     sets = [(np.unique(rng.integers(0, 2**63, n, dtype=np.uint64)), np.ones(n, np.int64)) for n in (1, 5, 300, 2000)]
