@@ -7,7 +7,10 @@ valid octets, a phone number its country code, a person the gender of the title
 script of the name. The draw depends on the entity alone, so all its mentions, in any writing
 and any document, get the same replacement (coreference). A collision check over all
 entities draws again where two would get the same replacement, or one equals a real entity,
-until all are distinct.
+until all are distinct. Names get a further syllable every second draw; what still clashes
+after ``IN_FORM`` draws (the form has too few values, as that of ``1@a.de``) gets one more
+character in each further draw, so that the rounds end for any number of entities. Secrets of
+symbols alone, masks like ``********`` among them, get other symbols.
 
 Entities are a small share of the texts. They are written to a table, with one row for texts
 that are equal; the replacements are joined back by the text's digest, broadcast only up to
@@ -36,8 +39,8 @@ from sparkgate.session import materialize
 
 #: Texts with entities of which the replacements are broadcast.
 TEXTS_BROADCAST = 100_000
-#: Draws for one entity; the space of each kind is so large that a few suffice.
-MAX_DRAWS = 64
+#: Draws of an entity's own length; later ones are longer by one more character each.
+IN_FORM = 8
 FOUND = "digest string, found array<struct<start: int, stop: int, kind: string, canon: string, written: string>>"
 
 OCTET = r"(?:25[0-5]|2[0-4]\d|1\d\d|[1-9]?\d)"
@@ -140,6 +143,9 @@ SYLLABLES = {"latin": "ba bel car dan der el fen gar hol in ka lan mar nor os pe
              "greek": "βα γεν δω ερ ζα θε κα λου μα νικ ου πα ρω στα τρι φω χα".split()}
 
 
+SYMBOLS = "!#$%&()*+-./:=?@[]^_{|}~"
+
+
 def script(name: str) -> str:
     for c in name:
         if "Ѐ" <= c <= "ԯ":
@@ -157,43 +163,46 @@ def _shape(draw: _Draw, text: str, letters: str = "abcdefghijklmnopqrstuvwxyz")
 def surrogate(key: bytes, kind: str, canon: str, turn: int) -> str:
     """The replacement of an entity in its canonical form."""
     draw = _Draw(key, kind, canon, turn)
+    more = max(0, turn + 1 - IN_FORM)
     if kind == "ip":
-        return ".".join(str(1 + draw.below(254)) for _ in range(4))
+        return ".".join(str(1 + draw.below(254)) for _ in range(4 + more))
     if kind == "card":
-        body = canon[0] + _shape(draw, canon[1:-1])
+        body = canon[0] + _shape(draw, canon[1:-1] + "0" * more)
         ends = [d for d in "0123456789" if luhn(body + d) == luhn(canon)]
         return body + draw.of(ends)
     if kind == "ssn":
-        return f"{1 + draw.below(665):03d}{1 + draw.below(99):02d}{1 + draw.below(9999):04d}"
+        return f"{1 + draw.below(665):03d}{1 + draw.below(99):02d}{1 + draw.below(9999):04d}" + _shape(draw, "0" * more)
     if kind == "phone":
         keep = max(0, len(canon) - 10)
-        return canon[:keep] + str(2 + draw.below(8)) + _shape(draw, canon[keep + 1:])
+        return canon[:keep] + str(2 + draw.below(8)) + _shape(draw, canon[keep + 1:] + "0" * more)
     if kind == "email":
         local, host = canon.rsplit("@", 1)
         labels = host.split(".")
-        return _shape(draw, local) + "@" + ".".join([_shape(draw, x) for x in labels[:-1]] + labels[-1:])
+        return _shape(draw, local + "a" * more) + "@" + ".".join([_shape(draw, x) for x in labels[:-1]] + labels[-1:])
     if kind in PERSON:
         form = script(canon)
         words = canon.split(" ")
-        last = "".join(draw.of(SYLLABLES[form]) for _ in range(4)).capitalize()
+        last = "".join(draw.of(SYLLABLES[form]) for _ in range(4 + turn // 2)).capitalize()
         return draw.of(GIVEN[kind, form]) + " " + last if len(words) > 1 else last
     if kind in ("key", "iban"):
-        return canon[:4] + _shape(draw, canon[4:])
+        return canon[:4] + _shape(draw, canon[4:] + "0" * more)
+    if not any(c.isalnum() for c in canon):
+        return "".join(draw.of(SYMBOLS) for _ in range(len(canon) + more))
     hexadecimal = re.fullmatch(r"[0-9a-f]+|[0-9A-F]+", canon)
     if not hexadecimal:
-        return _shape(draw, canon)
+        return _shape(draw, canon + "a" * more)
     alphabet = "0123456789" + ("ABCDEF" if canon != canon.lower() else "abcdef")
-    return "".join(draw.of(alphabet) for _ in canon)
+    return "".join(draw.of(alphabet) for _ in range(len(canon) + more))
 
 
 def rendered(kind: str, written: str, new: str) -> str:
     """A canonical replacement in the writing of one mention."""
     if kind in DIGITS:
         rest = iter(new)
-        return "".join(next(rest) if c.isdigit() else c for c in written)
+        return "".join(next(rest) if c.isdigit() else c for c in written) + "".join(rest)
     if kind == "iban" and " " in written:
         rest = iter(new)
-        return "".join(" " if c == " " else next(rest) for c in written)
+        return "".join(" " if c == " " else next(rest) for c in written) + "".join(rest)
     if kind in (*PERSON, "email") and written.isupper():
         return new.upper()
     return new
@@ -220,7 +229,7 @@ def assign(entities: DataFrame, key: bytes) -> DataFrame:
     drawn = F.pandas_udf(lambda kind, canon, turn: pd.Series(
         [surrogate(key, k, c, t) for k, c, t in zip(kind, canon, turn)], dtype=object), StringType())
     now = entities.select("kind", "canon", F.lit(0).alias("turn"))
-    for _ in range(MAX_DRAWS):
+    while True:
         now = materialize(now.withColumn("new", drawn("kind", "canon", "turn")), "pii-draw")
         first = now.groupBy("kind", "new").agg(F.min("canon").alias("first"))
         real = now.select("kind", F.col("canon").alias("new"), F.lit(True).alias("real"))
@@ -229,7 +238,6 @@ def assign(entities: DataFrame, key: bytes) -> DataFrame:
         if not checked.where("clash").take(1):
             return now.drop("turn")
         now = checked.select("kind", "canon", (F.col("turn") + F.col("clash").cast("int")).alias("turn"))
-    raise ValueError(f"no distinct replacements after {MAX_DRAWS} draws")
 
 
 def replacements(found: DataFrame, key: bytes) -> DataFrame:

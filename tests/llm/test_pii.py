@@ -83,6 +83,33 @@ def test_collisions_are_drawn_again(spark, monkeypatch):
     assert len(got) == 8 and len(set(got.values())) == 8 and not set(got) & set(got.values())
 
 
+def test_masked_secrets_lose_no_row(spark):
+    masks = ["********", "------", "......", "a-----", "%%%%%%%%"]
+    rows = [(i, f"password: {m} and 10.0.0.{i}") for i, m in enumerate(masks)]
+    got = {r.doc_id: r.text for r in pii.pseudonymize(spark.createDataFrame(rows, "doc_id long, text string"), KEY).collect()}
+    assert len(got) == len(rows) and len({t.split()[1] for t in got.values()}) == len(masks)
+    for i, text in rows:
+        assert got[i].split()[0::2] == ["password:", "and"] and got[i].split()[1] not in masks
+        assert not set(got[i].split()[1:]) & set(text.split()[1::2])
+
+
+def test_more_entities_than_values_of_their_form(spark):
+    entities = [("email", f"{d}@{a}.de") for d in range(10) for a in "abcdefghijklmnopqrstuvwxyz"]   # all there are
+    got = {r.canon: r.new for r in pii.assign(spark.createDataFrame(entities, "kind string, canon string"), KEY).collect()}
+    assert got.keys() == {c for _, c in entities} and len(set(got.values())) == 260 and not set(got) & set(got.values())
+    assert all(kinds(new) == [("email", new)] for new in got.values())
+
+
+@pytest.mark.parametrize("turn", [0, 7, 8, 20])
+def test_later_draws_grow_and_fit_every_writing(turn):
+    for _, _, kind, canon, written in pii.detect(TEXT):
+        new = pii.surrogate(KEY, kind, canon, turn)
+        out = pii.rendered(kind, written, new)
+        assert pii.canonical(kind, out) == (new.title() if kind in pii.PERSON else new)
+        if kind not in ("female", "male", "ip"):
+            assert len(out) == len(written) + max(0, turn + 1 - pii.IN_FORM)
+
+
 def test_query_hides_every_entity_and_leaves_the_rest(spark):
     from sparkgate.llm.queries import op7_pii
     texts = {r.doc_id: r.text for r in spark.read.parquet(f"{SF_SMALL}/documents.parquet").collect()}
