@@ -11,6 +11,8 @@ Each page is one row and its work is proportional to its length; there is no shu
 
 Text: character references decoded, white space inside a block one space, trimmed, blocks in
 page order joined by one space. Scripts, styles, templates, the head and comments have no text.
+An end tag ends the innermost open element of its name, however many were opened since;
+self-closed elements of svg and math content and self-closed custom elements end at once.
 
 Nulls, ties and odd rows: a null or empty page has the empty text; null ids and urls stay
 null; every input row gives one output row, repeated rows included; a marginal of exactly one
@@ -42,7 +44,10 @@ HIDDEN = frozenset("head script style template noscript iframe object svg math s
 IN_HEAD = frozenset("title meta link script style base noscript template".split())
 #: Open elements that a start tag ends, up to the element that holds them.
 ENDS = {"li": ({"li"}, {"ul", "ol", "menu"}), "dt": ({"dt", "dd"}, {"dl"}), "dd": ({"dt", "dd"}, {"dl"}),
+        "option": ({"option"}, {"select", "optgroup", "datalist"}), "optgroup": ({"optgroup"}, {"select"}),
         "tr": ({"tr"}, {"table"}), "td": ({"td", "th"}, {"tr", "table"}), "th": ({"td", "th"}, {"tr", "table"})}
+#: Elements with content of their own, in which only tags of ``KNOWN_TAGS`` end a paragraph.
+FOREIGN = ("svg", "math")
 KNOWN_TAGS = frozenset("html body nav ul ol li div p h1 h2 h3 h4 article main section aside header footer form "
                        "table tr td blockquote pre dl dt dd figure figcaption label".split())
 #: Tags that say what they hold.
@@ -75,6 +80,7 @@ class Reader(HTMLParser):
         super().__init__(convert_charrefs=True)
         self.page = Page()
         self.open: list[tuple[str, int]] = [("#page", 0)]   # tag and block of open elements
+        self.places: dict[str, list[int]] = {}   # of open elements by tag, outermost first
         self.hidden = 0
         self.link = self.fresh = False
 
@@ -87,10 +93,13 @@ class Reader(HTMLParser):
         if tag in VOID:
             self.fresh = True
             return
-        if tag not in IN_HEAD and len(self.open) > 1 and any(t == "head" for t, _ in self.open):
+        if tag not in IN_HEAD and len(self.open) > 1 and self.places.get("head"):
             self._end("head")
         if tag not in HIDDEN:
-            self._end("p", "td", "th", "li", "dd", "div", "section", "article", "table")
+            if tag == "optgroup":
+                self._end("option", "select", "optgroup")
+            elif tag != "option" and (tag in KNOWN_TAGS or not self._foreign()):
+                self._end("p", "td", "th", "li", "dd", "div", "section", "article", "table")
             closed, within = ENDS.get(tag, ((), ()))
             if closed:
                 self._end_any(closed, within)
@@ -102,12 +111,18 @@ class Reader(HTMLParser):
         page.label.append(int(mark) if mark in ("0", "1") else None)
         page.chars.append(0)
         page.linked.append(0)
+        self.places.setdefault(tag, []).append(len(self.open))
         self.open.append((tag, len(page.tag) - 1))
         self.hidden += tag in HIDDEN
         self.fresh = True
 
     def handle_startendtag(self, tag: str, attrs: list) -> None:
         self.handle_starttag(tag, attrs)
+        if tag in FOREIGN or "-" in tag or self._foreign():
+            self.handle_endtag(tag)
+
+    def _foreign(self) -> bool:
+        return any(self.places.get(t) for t in FOREIGN)
 
     def handle_endtag(self, tag: str) -> None:
         if tag == "a":
@@ -121,15 +136,14 @@ class Reader(HTMLParser):
 
     def _end_any(self, tags, within) -> None:
         """End the innermost open element of ``tags``, unless one of ``within`` is inside it."""
-        for i in range(len(self.open) - 1, max(0, len(self.open) - 200), -1):
-            name = self.open[i][0]
-            if name in tags:
-                self.hidden -= sum(t in HIDDEN for t, _ in self.open[i:])
-                del self.open[i:]
-                self.link = False
-                return
-            if name in within:
-                return
+        last = lambda names: max((at[-1] for t in names if (at := self.places.get(t))), default=0)
+        i = last(tags)
+        if i and i >= last(within):
+            for name, _ in self.open[i:]:
+                self.places[name].pop()
+                self.hidden -= name in HIDDEN
+            del self.open[i:]
+            self.link = False
 
     def handle_data(self, data: str) -> None:
         if self.hidden:

@@ -55,6 +55,25 @@ def test_odd_pages(model):
                                 for _ in range(60)))
 
 
+@pytest.mark.parametrize("before", [
+    "<header><svg>" + "<path d='M0 0'/>" * 300 + "</svg></header>",
+    "<form><select>" + "<option>Land" * 250 + "</select></form>",
+    "<form><p><select>" + "<optgroup label=x><option>Land" * 250 + "</select></p></form>",
+    "<aside><math>" + "<mi>x" * 300 + "</math></aside>",
+    "<aside>" + "<my-icon>" * 300 + "</aside>", "<aside>" + "<my-icon/>" * 300 + "</aside>", "<svg/>"])
+def test_many_open_elements_before_the_article(model, before):
+    assert model.main_text(f"<body>{before}<article><p>{LONG}</p></article></body>") == LONG
+
+
+def test_self_closed_and_implied_ends():
+    page = H.read("<div><svg><g/><g/></svg><select><option>a<option>b<optgroup><option>c<optgroup></select><x-y/>t</div>")
+    up = [page.tag[p] for p in page.parent[1:]]
+    assert list(zip(page.tag[1:], up)) == [
+        ("div", "#page"), ("svg", "div"), ("g", "svg"), ("g", "svg"), ("select", "div"), ("option", "select"),
+        ("option", "select"), ("optgroup", "select"), ("option", "optgroup"), ("optgroup", "select"), ("x-y", "div")]
+    assert page.texts == [(1, ["t"])]
+
+
 def test_rows(spark, model):
     rows = [(1, "u", "<article><p>" + LONG + "</p></article>", "x"), (1, "u", None, "x"), (None, None, "", "x")]
     pages = spark.createDataFrame(rows, "page_id long, url string, html string, text string")
