@@ -6,6 +6,10 @@ shrinks toward its host and a host toward all documents, the more the fewer docu
 with strengths estimated from the spread between groups. A document's log odds is its own
 evidence plus what its path adds to the global prior; its own share in the path is left out.
 
+``documents`` has no url: the registered query and the pipeline take its source for the host and
+its language as a stand-in for the path, a hierarchy of source and language. ``classify`` takes
+the names of real host and path columns.
+
 Sums are combined before the shuffle, so a host with a third of all rows costs no more than
 another. The path posteriors are broadcast only up to ``SITES_BROADCAST`` rows (they are
 counted first) and joined by shuffle beyond that.
