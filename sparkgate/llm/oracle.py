@@ -55,4 +55,43 @@ SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words,
 FROM failing
 """
 
-ORACLE: dict[str, str] = {"op1_chat": CHAT, "op9_rules": RULES}
+FILTER_AUDIT = r"""
+WITH words AS (
+  SELECT doc_id, coalesce(lang, '') AS part, coalesce(text, '') AS t,
+    regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents),
+says AS (
+  SELECT doc_id, coalesce(bool_or(quality = 1), false) AS good, coalesce(bool_or(toxic = 1), false) AS toxic
+  FROM labels GROUP BY doc_id),
+masks AS (
+  SELECT part, coalesce(good, false) AS good, coalesce(toxic, false) AS toxic,
+    (len(w) < 200)::INT
+    + 2 * (100 * len(list_distinct(w)) < 50 * len(w))::INT
+    + 4 * (100 * length(regexp_replace(t, '[^A-Z]', '', 'g')) > 3 * length(t))::INT
+    + 8 * regexp_matches(t, '[#$%&*|]')::INT
+    + 16 * coalesce(min(doc_id) OVER (PARTITION BY t) < doc_id, false)::INT AS mask
+  FROM words LEFT JOIN says USING (doc_id)),
+cells AS (SELECT part, mask, good, toxic, count(*) AS n FROM masks GROUP BY ALL),
+letter AS (SELECT chr(65 + i) AS c, 1 << i AS bit FROM (SELECT unnest(range(5))::INT AS i)),
+orders AS (
+  SELECT a.c || b.c || c.c || d.c || e.c AS filter_order,
+    unnest([a.c, b.c, c.c, d.c, e.c]) AS c,
+    unnest([a.bit, b.bit, c.bit, d.bit, e.bit]) AS bit,
+    unnest([0, a.bit, a.bit + b.bit, a.bit + b.bit + c.bit, a.bit + b.bit + c.bit + d.bit]) AS before,
+    unnest([1, 2, 3, 4, 5])::INT AS step
+  FROM letter a, letter b, letter c, letter d, letter e
+  WHERE a.bit + b.bit + c.bit + d.bit + e.bit = 31 AND a.bit | b.bit | c.bit | d.bit | e.bit = 31),
+steps AS (
+  SELECT part, filter_order, step, c,
+    coalesce(sum(n) FILTER (mask & (before | bit) = 0), 0)::BIGINT AS kept,
+    coalesce(sum(n) FILTER (mask & bit <> 0 AND mask & before = 0), 0)::BIGINT AS removed,
+    coalesce(sum(n) FILTER (mask & bit <> 0 AND mask & before <> 0), 0)::BIGINT AS redundant,
+    coalesce(sum(n) FILTER (mask = bit), 0)::BIGINT AS unique_fails,
+    coalesce(sum(n) FILTER (mask & bit <> 0 AND mask & before = 0 AND good), 0)::BIGINT AS good_lost,
+    coalesce(sum(n) FILTER (mask & bit <> 0 AND mask & before = 0 AND toxic), 0)::BIGINT AS toxic_lost
+  FROM cells, orders GROUP BY ALL)
+SELECT part, filter_order, step, kept, removed, redundant, unique_fails, good_lost, toxic_lost,
+  (sum(removed) OVER (PARTITION BY part, c))::BIGINT AS shapley
+FROM steps
+"""
+
+ORACLE: dict[str, str] = {"op1_chat": CHAT, "op9_rules": RULES, "op11_filter_audit": FILTER_AUDIT}

@@ -8,7 +8,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from sparkgate.llm import bpe, chat, dart_minhash, decontaminate, html_extract, pii, quality, rules, suffix_dedup, tokencount
+from sparkgate.llm import (
+    bpe, chat, dart_minhash, decontaminate, filter_audit, html_extract, pii, quality, rules,
+    suffix_dedup, tokencount,
+)
 from sparkgate.llm.common import table
 from sparkgate.llm.oracle import ORACLE  # noqa: F401  (registered with the queries)
 
@@ -85,6 +88,11 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tokencount.count_tokens(table(spark, sf_dir, "documents"), cost, public_tokenizers.PATTERN)
 
 
+def op11_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What each of five filters removes in each of their 120 orders, per language."""
+    return filter_audit.audit(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_chat": op1_chat,
     "op2_decontaminate": op2_decontaminate,
@@ -96,5 +104,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_near_duplicates": op8_near_duplicates,
     "op9_rules": op9_rules,
     "op10_token_counts": op10_token_counts,
+    "op11_filter_audit": op11_filter_audit,
     "pipeline": corpus_pipeline.run,
 }
