@@ -94,4 +94,23 @@ SELECT part, filter_order, step, kept, removed, redundant, unique_fails, good_lo
 FROM steps
 """
 
-ORACLE: dict[str, str] = {"op1_chat": CHAT, "op9_rules": RULES, "op11_filter_audit": FILTER_AUDIT}
+EXACT_TOPK = r"""
+WITH ints AS (
+  SELECT vec_id, list_transform(embedding, lambda x: floor(64 * x::DOUBLE)) AS v FROM embeddings
+  WHERE embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+scored AS (
+  SELECT q.vec_id AS query_id, c.vec_id, list_inner_product(q.v, c.v)::BIGINT AS score
+  FROM ints q, ints c WHERE q.vec_id % 20 = 0 AND c.vec_id <> q.vec_id),
+ranked AS (
+  SELECT query_id, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id)::INT AS rank, vec_id, score
+  FROM scored)
+SELECT * FROM ranked WHERE rank <= 20
+"""
+
+ORACLE: dict[str, str] = {
+    "op1_chat": CHAT,
+    "op9_rules": RULES,
+    "op11_filter_audit": FILTER_AUDIT,
+    "op13_exact_topk": EXACT_TOPK,
+}

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 import corpus_pipeline
 from sparkgate.llm import (
-    bpe, chat, dart_minhash, decontaminate, filter_audit, html_extract, pii, quality, rules,
+    bpe, chat, dart_minhash, decontaminate, exact_topk, filter_audit, html_extract, pii, quality, rules,
     suffix_dedup, tokencount,
 )
 from sparkgate.llm.common import table
@@ -93,6 +93,12 @@ def op11_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
     return filter_audit.audit(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op13_exact_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 20 highest scores of every twentieth vector against all others."""
+    vectors = table(spark, sf_dir, "embeddings")
+    return exact_topk.top_k(vectors.where("vec_id % 20 = 0"), vectors, 20)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_chat": op1_chat,
     "op2_decontaminate": op2_decontaminate,
@@ -105,5 +111,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_rules": op9_rules,
     "op10_token_counts": op10_token_counts,
     "op11_filter_audit": op11_filter_audit,
+    "op13_exact_topk": op13_exact_topk,
     "pipeline": corpus_pipeline.run,
 }
