@@ -108,9 +108,52 @@ ranked AS (
 SELECT * FROM ranked WHERE rank <= 20
 """
 
+#: crc32 is folded over the bytes of the text: letters are ASCII or U+00C0 to U+00FF.
+SPELLING = r"""
+WITH RECURSIVE crc AS (
+  SELECT list_transform(range(256), lambda i: list_reduce([i] || range(8), lambda c, k:
+    CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END)) AS t),
+runs AS (
+  SELECT coalesce(doc_id::VARCHAR, '') AS id,
+    translate(unnest(regexp_extract_all(text, '[A-Za-zÀ-ÿ]+')),
+      'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS run FROM documents),
+counted AS (SELECT id, run, count(*) AS n FROM runs WHERE length(run) >= 7 GROUP BY ALL),
+hashed AS (
+  SELECT run, n, xor(4294967295, list_reduce([4294967295] || flatten(list_transform(
+      string_split(id || ':' || run, ''),
+      lambda c: CASE WHEN ord(c) < 128 THEN [ord(c)::BIGINT] ELSE [195, ord(c)::BIGINT - 64] END)),
+    lambda a, b: xor(a >> 8, t[(xor(a, b) & 255) + 1]))) AS h
+  FROM counted, crc),
+written AS (
+  SELECT CASE WHEN h % 31 = 0 THEN substr(run, 1, (h % length(run))::INT) || substr(run, (h % length(run))::INT + 2)
+    ELSE run END AS word, n FROM hashed),
+vocabulary AS (
+  SELECT word, sum(n)::BIGINT AS n FROM written WHERE length(word) >= 7 GROUP BY word HAVING sum(n) >= 2),
+places AS (SELECT word, n, unnest(range(length(word)))::INT AS i FROM vocabulary),
+holes AS (SELECT word, n, i, substr(word, 1, i) || '?' || substr(word, i + 2) AS rest FROM places),
+shorter AS (SELECT DISTINCT word, n, substr(word, 1, i) || substr(word, i + 2) AS rest FROM places),
+near AS (
+  SELECT a.word, b.word AS near, b.n FROM holes a JOIN holes b ON a.rest = b.rest AND a.i = b.i AND a.word <> b.word
+  UNION ALL SELECT s.word, v.word, v.n FROM shorter s JOIN vocabulary v ON s.rest = v.word
+  UNION ALL SELECT v.word, s.word, s.n FROM shorter s JOIN vocabulary v ON s.rest = v.word),
+best AS (
+  SELECT word, count(*) AS n_near, first(near ORDER BY n DESC, near) AS near, max(n) AS near_n FROM near GROUP BY word),
+forms AS (
+  SELECT v.word, v.n, coalesce(n_near, 0) AS n_near,
+    CASE WHEN near_n >= 10 * v.n THEN near END AS form, CASE WHEN near_n >= 10 * v.n THEN near_n END AS form_n
+  FROM vocabulary v LEFT JOIN best USING (word)),
+chain AS (
+  SELECT word, form AS root, 1 AS steps FROM forms WHERE form IS NOT NULL
+  UNION ALL
+  SELECT c.word, f.form, c.steps + 1 FROM chain c JOIN forms f ON f.word = c.root WHERE f.form IS NOT NULL),
+ends AS (SELECT word, arg_max(root, steps) AS root FROM chain GROUP BY word)
+SELECT f.word, form, coalesce(root, f.word) AS root, n, n_near, form_n FROM forms f LEFT JOIN ends USING (word)
+"""
+
 ORACLE: dict[str, str] = {
     "op1_chat": CHAT,
     "op9_rules": RULES,
     "op11_filter_audit": FILTER_AUDIT,
+    "op12_spelling": SPELLING,
     "op13_exact_topk": EXACT_TOPK,
 }

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 import corpus_pipeline
 from sparkgate.llm import (
     bpe, chat, dart_minhash, decontaminate, exact_topk, filter_audit, html_extract, pii, quality, rules,
-    suffix_dedup, tokencount,
+    spelling, suffix_dedup, tokencount,
 )
 from sparkgate.llm.common import table
 from sparkgate.llm.oracle import ORACLE  # noqa: F401  (registered with the queries)
@@ -93,6 +93,11 @@ def op11_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
     return filter_audit.audit(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op12_spelling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every word with its near words, its form and its root."""
+    return spelling.group_variants(spelling.word_counts(table(spark, sf_dir, "documents")))
+
+
 def op13_exact_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The 20 highest scores of every twentieth vector against all others."""
     vectors = table(spark, sf_dir, "embeddings")
@@ -111,6 +116,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_rules": op9_rules,
     "op10_token_counts": op10_token_counts,
     "op11_filter_audit": op11_filter_audit,
+    "op12_spelling": op12_spelling,
     "op13_exact_topk": op13_exact_topk,
     "pipeline": corpus_pipeline.run,
 }
