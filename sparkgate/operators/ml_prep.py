@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from ..functions.vectors import standardize
 from .features import mode_smallest
-from .quantiles import grouped_exact_quantiles
+from .selection import grouped_exact_quantiles
 
 # The columns a recommendation model must never see (same-source leaks).
 TRANSACTION_LEAK_COLS = ["total_spent", "average_spent", "purchase_count",

@@ -1,14 +1,9 @@
 """A5: global quantiles with linear interpolation, computed without a single-task merge.
 
 ``percentile(c, q)`` in Spark merges one map of every distinct value in a single
-final task. Here the exact order statistics are found in a distributed way:
-``(key, value) -> count`` with map-side combine (a hot value collapses early),
-then ``rows_before`` (bucketed running counts) gives every distinct
-value its rank interval, and the values covering the wanted ranks are reduced to
-one row per key.
-
-The interpolation equals ``percentile`` / DuckDB ``quantile_cont``:
-``v[floor(p)] + (v[ceil(p)] - v[floor(p)]) * (p - floor(p))`` with ``p = q * (n - 1)``.
+final task. Here the exact order statistics are found by band selection
+(``selection``): a sketch brackets each wanted rank and only the rows of the narrow
+bands between are counted by value.
 """
 
 from __future__ import annotations
@@ -16,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .ranking import rows_before
+from .selection import grouped_exact_quantiles
 
 
 def _stacked(df: DataFrame, cols: list[str], key: str = "k") -> DataFrame:
@@ -26,29 +21,6 @@ def _stacked(df: DataFrame, cols: list[str], key: str = "k") -> DataFrame:
         F.col("v").isNotNull())
 
 
-def grouped_exact_quantiles(df: DataFrame, keys: list[str], value: str,
-                            qs: list[float]) -> DataFrame:
-    """Exact interpolated quantiles of ``value`` per group: ``(*keys, q0, q1, ...)``."""
-    vc = (df.where(F.col(value).isNotNull()).groupBy(*keys, F.col(value).cast("double")
-                                                      .alias("v"))
-          .agg(F.count(F.lit(1)).alias("c")))
-    g = rows_before(vc, keys, "v", "c")
-    aggs = []
-    for i, q in enumerate(qs):
-        pos = F.lit(float(q)) * (F.col("_group_total") - 1)
-        lo, hi = F.col("_before"), F.col("_before") + F.col("c")
-        for side, rank in (("a", F.floor(pos)), ("b", F.ceil(pos))):
-            aggs.append(F.max(F.when((lo <= rank) & (rank < hi), F.col("v")))
-                        .alias(f"_{side}{i}"))
-        aggs.append(F.max(pos - F.floor(pos)).alias(f"_f{i}"))
-    red = g.groupBy(*keys).agg(*aggs)
-    out = [F.col(k) for k in keys]
-    for i in range(len(qs)):
-        a, b, f = F.col(f"_a{i}"), F.col(f"_b{i}"), F.col(f"_f{i}")
-        out.append((a + (b - a) * f).alias(f"q{i}"))
-    return red.select(*out)
-
-
 def exact_quantiles(df: DataFrame, cols: list[str] | str, qs: list[float]) -> DataFrame:
     """One row per column: ``(k, q0, q1, ...)`` exact interpolated quantiles."""
     cols = [cols] if isinstance(cols, str) else list(cols)

@@ -170,7 +170,7 @@ def rejects_by_reason(spark, sf):
 
 @query
 def winsorized_orders(spark, sf):
-    v = tx_valid(spark, sf)
+    v = materialize(tx_valid(spark, sf), "transactions-valid")   # the distinct runs once
     lo, hi = C.winsor_bounds(v, "amount")
     w = C.winsorize(v.withColumn("amount_raw", F.col("amount")), "amount", lo, hi, "was_clipped")
     return round_doubles(w.select("transaction_id", "customer_id", "amount_raw", "amount",
