@@ -27,7 +27,7 @@ from ..operators import ml_split as SP
 from ..operators import ml_train as MT
 from ..operators import quality as Q
 from ..operators import verify as V
-from ..session import checkpoint_dir
+from ..session import checkpoint_dir, materialize
 from ..streaming import fsm_stream as FS
 from . import roles as R
 
@@ -525,6 +525,19 @@ def fsm_allowed_events(spark, sf):
     return FSM.allowed_events(fsm_sessions(spark, sf).select("user_id", "day", "final_state"))
 
 
+@query
+def fsm_moves(spark, sf):
+    """V9 by rows: every transition that the sessions made."""
+    return FSM.moves(R.fsm_events(spark, sf), ["user_id", "day"], ["ts", "event_id"])
+
+
+@query
+def fsm_retry_users(spark, sf):
+    """V9 on a cyclic table: a user's whole history, in which each end may be followed by a start."""
+    return FSM.replay(R.fsm_events(spark, sf), ["user_id"], ["ts", "event_id"], transitions=FSM.RETRY_TRANSITIONS,
+                      terminal=()).select("user_id", "final_state", "n_events", "n_transitions", "n_illegal")
+
+
 # ---------------------------------------------------------------- model training (rows-only)
 
 PRODUCT_NUMERIC = ["engagement_score", "purchase_interest_score", "average_engagement",

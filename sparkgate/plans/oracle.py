@@ -593,6 +593,32 @@ SELECT s.final_state, s.user_id, s.day, t.event AS allowed_event,
 FROM sess s LEFT JOIN trans t ON t.state = s.final_state
 """)
 
+sql_rec("fsm_moves", _FSM + """
+, numbered AS (
+  SELECT user_id, day, ts, event_id, event,
+         row_number() OVER (PARTITION BY user_id, day ORDER BY ts, event_id) AS rn FROM fsm_ev),
+steps AS (
+  SELECT *, n_tr > lag(n_tr) OVER (PARTITION BY user_id, day ORDER BY rn) AS moved FROM walk)
+SELECT s.user_id, s.day, n.ts, n.event_id, s.prev_state AS from_state, n.event, s.state AS to_state
+FROM steps s JOIN numbered n ON n.user_id = s.user_id AND n.day = s.day AND n.rn = s.rn WHERE s.moved
+""")
+sql_rec("fsm_retry_users", """
+, ev AS (
+  SELECT user_id, event, row_number() OVER (PARTITION BY user_id ORDER BY ts, event_id) AS rn FROM fsm_ev),
+again AS (
+  SELECT state, event, nxt FROM trans
+  UNION ALL VALUES ('ACCESS_DENIED', 'START', 'FACE_VERIFICATION'), ('COMPLETED', 'START', 'FACE_VERIFICATION')),
+walk AS (
+  SELECT DISTINCT user_id, CAST(0 AS BIGINT) AS rn, 'IDLE' AS state, 0 AS n_tr FROM ev
+  UNION ALL
+  SELECT w.user_id, e.rn, coalesce(t.nxt, w.state), w.n_tr + CASE WHEN t.nxt IS NULL THEN 0 ELSE 1 END
+  FROM walk w JOIN ev e ON e.user_id = w.user_id AND e.rn = w.rn + 1
+       LEFT JOIN again t ON t.state = w.state AND t.event = e.event)
+SELECT user_id, arg_max(state, rn) AS final_state, max(rn) AS n_events,
+       CAST(max(n_tr) AS BIGINT) AS n_transitions, CAST(max(rn) - max(n_tr) AS BIGINT) AS n_illegal
+FROM walk GROUP BY user_id
+""")
+
 sql("sample_triage", """
 , pg AS (
   SELECT page_id, regexp_replace(url, '[?#].*$', '')

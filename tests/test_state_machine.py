@@ -179,3 +179,80 @@ def test_replay_plan_does_not_grow_with_rounds(spark):
     out = fsm.replay(_events(spark, {"a": ["START"]}), ["sid"], ["ts", "ord"])
     plan = out._jdf.queryExecution().optimizedPlan().toString()
     assert plan.count("Join") <= 2
+
+
+def _fold(seq, transitions, initial, terminal=()):
+    """State, moves and illegal events of one session, event by event."""
+    table = {(s, e): t for s, e, t in transitions if s not in terminal}
+    state, made, bad = initial, [], 0
+    for i, e in enumerate(seq):
+        to = table.get((state, e))
+        if to is None:
+            bad += 1
+        else:
+            made.append((i, state, e, to))
+            state = to
+    return state, made, bad
+
+
+def _random_table(rnd, states=5, events=4):
+    """A random table with cycles: about half of the (state, event) pairs are legal."""
+    out = [(f"S{s}", f"E{e}", f"S{rnd.randrange(states)}") for s in range(states) for e in range(events)
+           if rnd.random() < 0.5]
+    return [("S0", "E0", "S1"), ("S1", "E0", "S0")] + [t for t in out if t[:2] not in (("S0", "E0"), ("S1", "E0"))]
+
+
+def test_cyclic_tables_and_hot_sessions_equal_the_fold(spark, monkeypatch):
+    """Runs, spans and chunks of a few events each; one session has 90 % of the rows."""
+    import random
+    monkeypatch.setattr(fsm, "MAX_RUN", 40)
+    monkeypatch.setattr(fsm, "SPAN", 3)
+    monkeypatch.setattr(fsm, "CHUNK", 7)
+    rnd = random.Random(3)
+    t = _random_table(rnd)
+    seqs = {f"s{i}": [f"E{rnd.randrange(6)}" for _ in range(rnd.randrange(1, 20))] for i in range(12)}
+    seqs["hot"] = [f"E{rnd.randrange(5)}" for _ in range(1_100)]
+    seqs["idle"] = ["E9"] * 100
+    seqs[None] = ["E0"] * 45
+    ev = _events(spark, seqs)
+    got = {r.sid: r for r in fsm.replay(ev, ["sid"], ["ts", "ord"], transitions=t, initial="S0", terminal=()).collect()}
+    made = {}
+    for r in fsm.moves(ev, ["sid"], ["ts", "ord"], transitions=t, initial="S0", terminal=()).collect():
+        made.setdefault(r.sid, []).append((r.ord, r.from_state, r.event, r.to_state))
+    assert got.keys() == seqs.keys()
+    for sid, seq in seqs.items():
+        state, want, bad = _fold(seq, t, "S0")
+        r = got[sid]
+        assert (r.final_state, r.n_events, r.n_transitions, r.n_illegal) == (state, len(seq), len(want), bad), sid
+        assert r.history is None and sorted(made.get(sid, [])) == want, sid
+
+
+def test_hot_session_of_the_workflow_keeps_its_history(spark, monkeypatch):
+    import random
+    monkeypatch.setattr(fsm, "MAX_RUN", 10)
+    rnd = random.Random(11)
+    evs = ["VERIFICATION_PASSED", "RECOMMENDATION_READY", "VERIFICATION_PASSED", "CLICK"]
+    seqs = {"hot": [rnd.choice(evs) for _ in range(200)] + ["START"] + [rnd.choice(evs) for _ in range(100)],
+            "cold": ["START", "VERIFICATION_FAILED", "START"]}
+    got = _replay(spark, seqs)
+    for sid, seq in seqs.items():
+        state, made, bad = _fold(seq, fsm.TRANSITIONS, fsm.IDLE, fsm.TERMINAL_STATES)
+        assert got[sid].history == ">".join([fsm.IDLE, *(m[3] for m in made)])
+        assert (got[sid].final_state, got[sid].n_illegal) == (state, bad)
+    assert got["hot"].stage == "complete" and got["cold"].stage == "face"
+
+
+def test_no_row_holds_a_hot_session(spark, monkeypatch):
+    """The events folded in a row stay near MAX_RUN when a session grows."""
+    from pyspark.sql import functions as F
+    monkeypatch.setattr(fsm, "MAX_RUN", 100)
+    ev = spark.range(20_000).select(F.lit("hot").alias("sid"), F.col("id").alias("ord"), F.lit("START").alias("event"))
+    m = fsm.Machine(fsm.TRANSITIONS, fsm.IDLE)
+    short, runs = fsm._cut(fsm._coded(ev, ["sid"], ["ord"], "event", m), ["sid"])
+    assert short.count() == 0 and runs.count() == 20_000
+    assert runs.groupBy("_run").count().agg(F.max("count")).first()[0] <= 300
+
+
+def test_cycles_are_told_from_long_paths():
+    assert fsm.longest_path([("a", "x", "b"), ("b", "x", "c"), ("a", "y", "c")], "a") == 2
+    assert fsm.longest_path([("a", "x", "b"), ("b", "x", "a")], "a") is None
