@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.columns import first_present, percent_text, sentiment_ordinal
+from .ranking import join_apart
 
 # Fixed values of the risk heuristic (V7/V8).
 RISK_BASE = 0.15
@@ -122,11 +123,8 @@ def attempt_decisions(face: DataFrame, voice: DataFrame, ident: DataFrame,
         j = j.join(claims.select("attempt_id", "claimed_person"), "attempt_id", "left")
     # The identity map is a people dimension; AQE broadcasts it when its measured
     # size is under the threshold and keeps a shuffle join otherwise.
-    # Rejected faces have no person; they bypass the join, where their NULL keys would meet.
-    link = ident.select(F.col("person").alias("face_person"), "customer_id")
-    known = F.col("face_person").isNotNull()
-    j = j.where(known).join(link, "face_person", "left").unionByName(
-        j.where(~known).withColumn("customer_id", F.lit(None).cast(link.schema["customer_id"].dataType)))
+    # Rejected faces have no person; a stand-in spreads them over the tasks of the join.
+    j = join_apart(j, ident.select(F.col("person").alias("face_person"), "customer_id"), "face_person")
     fp, vp = F.col("face_person"), F.col("voice_person")
     outcome = (F.when(fp.isNull(), F.lit(DENIED_FACE))
                .when(vp.isNull(), F.lit(DENIED_VOICE))
@@ -154,12 +152,9 @@ def attempt_samples(attempts: DataFrame, gate: DataFrame, vec_col: str) -> DataF
 
 
 def with_customer(decisions: DataFrame, customers: DataFrame) -> DataFrame:
-    """Decisions with the customer's columns. Only those with a customer are joined: the NULL
-    keys of the others would all meet in one task."""
-    known = F.col("customer_id").isNotNull()
-    joined = decisions.where(known).join(customers, "customer_id", "left")
-    none = [F.lit(None).cast(f.dataType).alias(f.name) for f in customers.schema if f.name != "customer_id"]
-    return joined.unionByName(decisions.where(~known).select("*", *none))
+    """Decisions with the customer's columns, NULL for those without a customer."""
+    return join_apart(decisions, customers, "customer_id").select(
+        *decisions.columns, *[c for c in customers.columns if c != "customer_id"])
 
 
 def denial_audit(decisions: DataFrame) -> DataFrame:

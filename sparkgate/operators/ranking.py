@@ -46,6 +46,16 @@ def join_by_keys(left: DataFrame, right: DataFrame, keys: list[str], how: str =
     return left.join(F.broadcast(r) if small else r, on, how).drop(*[f"_r_{k}" for k in keys])
 
 
+def join_apart(left: DataFrame, right: DataFrame, key: str) -> DataFrame:
+    """Left join with the unique ``key`` of a table, in one pass over ``left``: rows without a
+    key match nothing and go by a hash of the row, or they would all meet in one task."""
+    stand_in = F.when(F.col(key).isNull(), F.xxhash64(*left.columns)).otherwise(F.lit(0))
+    # always 0, but not a literal, which the optimizer would take out of the keys
+    zero = F.pmod(F.xxhash64(key), F.lit(1)).cast("bigint")
+    return left.withColumn("_apart", stand_in).join(right.withColumn("_apart", zero), [key, "_apart"], "left").drop(
+        "_apart")
+
+
 def _cut_points(base: DataFrame, keys: list[str], n: int, side: int) -> DataFrame:
     """Per group, of the cut points of ``n`` buckets: ``_coarse``, every ``side``-th, and
     ``_fine``, those between."""

@@ -405,8 +405,9 @@ def scaled_samples(spark, sf, modality: str) -> DataFrame:
     return ML.apply_scaler(s, modality, mean, std, "x")
 
 
-def fitted_profile(scaled: DataFrame):
-    return V.load_profile(V.class_profile(scaled, "person", "x"), "person")
+def fitted_profile(scaled: DataFrame) -> DataFrame:
+    """The class profile, written once: it is measured, packed and joined."""
+    return materialize(V.class_profile(scaled, "person", "x"), "class-profile")
 
 
 @query
@@ -653,12 +654,8 @@ def open_set_identify_lr(spark, sf):
     df = scaled_samples(spark, sf, "face").checkpoint(eager=True)
     lm = MT.label_indexer(df, "person")
     model = MT.fit_identity_model(df, "x", "person", lm)
-    prof = fitted_profile(df)
-    order = [p[0] for p in prof]
-    if order != list(lm.labels):
-        raise ValueError("label order of the model and the profile differ")
-    scored = model.transform(df.withColumn("features", MT.array_to_vector("x")))
-    g = V.open_set_gate(scored, "x", prof, proba=MT.vector_to_array("probability"))
+    scored = MT.predict_labels(model, df.withColumn("features", MT.array_to_vector("x")), lm.labels)
+    g = V.gate_predictions(scored.drop("person"), "x", fitted_profile(df))
     return round_doubles(g.select("vec_id", "predicted", "confidence", "distance", "person",
                                   "reject_reason"))
 

@@ -154,8 +154,8 @@ def model_gate(spark, sf, modality: str) -> DataFrame:
     """V4 with the trained classifier's probabilities and the distance rule."""
     df, lm, fitted = _fitted_identity(spark, sf, modality)
     profile = Q.fitted_profile(fitted.scaled(df, modality))
-    scored = fitted.predict(df, modality, lm.labels).drop("predicted", "confidence")
-    return V.open_set_gate(scored, "x", profile, proba=F.col("proba")).select("vec_id", "person", "confidence")
+    scored = fitted.predict(df, modality, lm.labels).drop("person")
+    return V.gate_predictions(scored, "x", profile).select("vec_id", "person", "confidence")
 
 
 def model_decisions(spark, sf) -> DataFrame:

@@ -84,12 +84,80 @@ def test_decisions_keep_rows_without_a_customer(spark):
     assert got == {1: 5.0, 2: None, 3: None}
 
 
-def test_profile_is_measured_before_it_is_collected(spark, monkeypatch):
-    monkeypatch.setattr(V, "MAX_PROFILE_CELLS", 3)
-    df = spark.createDataFrame([("p", [1.0, 2.0], 0.5), ("q", [1.0, 2.0], 0.5)],
-                               "person string, centroid array<double>, max_intra_class_distance double")
-    with pytest.raises(ValueError):
-        V.load_profile(df, "person")
+def _profile_rows(k, d, seed=2):
+    import random
+    rnd = random.Random(seed)
+    return [(f"c{i:05d}", [rnd.gauss(0, 1) for _ in range(d)], 0.5 + rnd.random()) for i in range(k)]
+
+
+@pytest.mark.parametrize("block, broadcast", [(10**6, 8 * 10**6), (300, 8 * 10**6), (300, 0)])
+def test_gate_in_blocks_equals_all_classes_at_once(spark, monkeypatch, block, broadcast):
+    """One block, many broadcast, many by shuffle: the same as a dense softmax in numpy."""
+    import numpy as np
+    monkeypatch.setattr(V, "BLOCK_BYTES", block)
+    monkeypatch.setattr(V, "BROADCAST_BYTES", broadcast)
+    prof = _profile_rows(40, 4) + [("a-twin", [9.0] * 4, 1.0), ("b-twin", [9.0] * 4, 1.0)]
+    rng = np.random.default_rng(1)
+    pts = [(i, (np.array(prof[i % 42][1]) + rng.normal(0, .4, 4)).tolist()) for i in range(60)]
+    pts += [(90, [9.0] * 4), (91, None), (92, [1e3] * 4)]
+    df = spark.createDataFrame(pts, "id long, x array<double>")
+    got = {r.id: r for r in V.open_set_gate(df, "x", prof, threshold=0.3).collect()}
+    assert len(got) == len(pts) and got[91].reject_reason == V.REASON_NO_SAMPLE and got[91].predicted is None
+    names = sorted(range(len(prof)), key=lambda i: prof[i][0])
+    for i, x in pts:
+        if x is None:
+            continue
+        d2 = np.array([((np.array(x) - prof[j][1]) ** 2).sum() for j in names])
+        best = int(d2.argmin())
+        p = 1 / np.exp(d2.min() - d2).sum()
+        assert got[i].predicted == prof[names[best]][0], i
+        assert abs(got[i].confidence - p) < 1e-9 and abs(got[i].distance - np.sqrt(d2.min())) < 1e-9
+        ok = p >= 0.3 and np.sqrt(d2.min()) <= 1.5 * prof[names[best]][2]
+        assert (got[i].person == got[i].predicted) if ok else got[i].person is None
+
+
+def test_fifty_thousand_classes(spark):
+    """A profile that would not fit a plan literal: every sample finds its own class."""
+    k, d = 50_000, 16
+    prof = spark.range(k).select(
+        F.concat(F.lit("c"), F.col("id")).alias("person"), F.transform(F.sequence(F.lit(1), F.lit(d)), lambda i: (
+            F.pmod(F.xxhash64("id", i), F.lit(1_000)) / 10).cast("double")).alias("centroid"),
+        F.lit(1.0).alias("max_intra_class_distance"))
+    df = prof.where("person IN ('c7', 'c123', 'c49999', 'c25000')").select(
+        F.col("person").alias("truth"), F.transform("centroid", lambda v: v + 0.01).alias("x"))
+    _, blocks, size = V.class_blocks(V._profile(prof))
+    assert blocks > 5 and size > V.BLOCK_BYTES
+    got = V.open_set_gate(df, "x", prof).collect()
+    assert len(got) == 4 and all(r.person == r.truth and abs(r.distance - 0.04) < 1e-9 for r in got)
+
+
+def test_predictions_of_any_model_meet_the_distance_rule(spark):
+    prof = [("p", [0.0, 0.0], 1.0), ("q", [5.0, 5.0], 1.0)]
+    rows = [(1, [0.5, 0.0], "p", 0.9), (2, [2.0, 0.0], "p", 0.9), (3, [5.0, 5.0], "q", 0.5), (4, None, None, None),
+            (5, [0.0, 0.0], "unheard", 0.9)]
+    df = spark.createDataFrame(rows, "id long, x array<double>, predicted string, confidence double")
+    got = {r.id: (r.person, r.reject_reason, r.confidence) for r in V.gate_predictions(df, "x", prof).collect()}
+    assert got == {1: ("p", None, 0.9), 2: (None, V.REASON_TOO_FAR, 0.9), 3: (None, V.REASON_LOW_CONFIDENCE, 0.5),
+                   4: (None, V.REASON_NO_SAMPLE, 0.0), 5: ("unheard", None, 0.9)}
+
+
+def test_rows_without_a_key_are_joined_in_one_pass(spark):
+    """NULL keys are spread over the tasks of the join, and the left side is planned once."""
+    from sparkgate.operators.ranking import join_apart
+    left = spark.range(1_000).select("id", F.when(F.col("id") % 10 == 0, F.concat(F.lit("k"), F.col("id"))).alias("key"))
+    right = spark.range(0, 1_000, 20).select(F.concat(F.lit("k"), F.col("id")).alias("key"), F.col("id").alias("v"))
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        out = join_apart(left, right, "key")
+        parts = out.where("key IS NULL").groupBy(F.spark_partition_id().alias("p")).count().collect()
+        assert len(parts) == 4 and max(r["count"] for r in parts) < 450
+        assert {r.id: r.v for r in out.collect()} == {i: i if i % 20 == 0 else None for i in range(1_000)}
+        assert out._jdf.queryExecution().optimizedPlan().toString().count("Range") == 2
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
 
 
 def test_hot_customer_rows_can_be_split(spark):
