@@ -1,13 +1,16 @@
 """The authentication state machine over a live event stream.
 
-``groupBy(session).applyInPandasWithState`` keeps one small state per session (current
-state, counters, history, events that wait). Every event yields one output row (the
-transition taken, or an illegal event). The events of a session are applied in the order of
-(ts, event_id), across micro-batches too: an event waits in the state until the watermark
-has passed it, and is then applied with all that came before it, however late they arrived
-within the watermark. A session that reached a terminal state keeps refusing events until its
-event-time timeout, then its state is dropped, so the result equals the batch replay on the
-same events while state stays bounded.
+``groupBy(session).transformWithStateInPandas`` on a RocksDB store keeps, per session, a value
+(current state, counters, history) and a list of events that wait. Every event yields one
+output row (the transition taken, or an illegal event). The events of a session are applied in
+the order of (ts, event_id), across micro-batches too: an event is appended to the list, and a
+timer wakes the session when the watermark has passed the earliest one; all events passed by
+then are applied in order, however late they arrived within the watermark. A micro-batch only
+appends: the list is read and rewritten when a timer fires. An event that arrives after the
+watermark has passed it comes out at once, marked ``late`` and not applied, so none goes
+unseen (``late_events`` counts them). A session that reached a terminal state keeps refusing
+events until a timer one day past its last event, then its state is cleared, so the result
+equals the batch replay on the same events while state stays bounded.
 
 A bounded replay (``run_events_stream``) reads its whole table in one micro-batch, in which
 nothing is late, and applies every event at once. A session's events of one micro-batch meet
@@ -16,75 +19,127 @@ in one task (three columns of them), as the state of a session does.
 
 from __future__ import annotations
 
-import bisect
-import json
 import os
 import uuid
 
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.streaming.state import GroupStateTimeout
+from pyspark.sql.streaming.stateful_processor import StatefulProcessor, StatefulProcessorHandle
 
 from ..operators import fsm
 from ..session import checkpoint_dir, register_cleanup
 
 OUTPUT_SCHEMA = ("user_id long, day date, ts timestamp_ntz, event_id long, event string, "
-                 "from_state string, to_state string, legal boolean, n_events long")
-STATE_SCHEMA = "state string, n_events long, n_illegal long, history string, waiting string"
+                 "from_state string, to_state string, legal boolean, n_events long, late boolean")
+MACHINE_SCHEMA = "state string, n_events long, n_illegal long, history string, last long"
+WAITING_SCHEMA = "us long, event_id long, event string"
 WATERMARK = "10 minutes"
 SESSION_TIMEOUT_MS = 24 * 3600 * 1000   # keep a session one day past its last event
+STORE_KEY = "spark.sql.streaming.stateStore.providerClass"
+ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
 
-def _transition_fn(bounded: bool, transitions=fsm.TRANSITIONS, initial: str = fsm.IDLE):
-    table = {(s, e): t for s, e, t in transitions}
-    terminal = set(fsm.TERMINAL_STATES)
+class SessionMachine(StatefulProcessor):
+    """The state machine of one session; times are microseconds, timers milliseconds."""
 
-    def step(key, pdfs, state):
-        cur, n, bad, hist, held = state.get if state.exists else (initial, 0, 0, initial, "[]")
-        waiting = [tuple(x) for x in json.loads(held)]
-        passed = state.getCurrentWatermarkMs()
-        if state.hasTimedOut:
-            if not waiting:
-                state.remove()
-                return
+    def __init__(self, bounded: bool, transitions=fsm.TRANSITIONS, initial: str = fsm.IDLE,
+                 terminal=fsm.TERMINAL_STATES):
+        self.bounded = bounded
+        self.table = {(s, e): t for s, e, t in transitions if s not in terminal}
+        self.initial = initial
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.handle = handle
+        self.machine = handle.getValueState("machine", MACHINE_SCHEMA)
+        self.waiting = handle.getListState("waiting", WAITING_SCHEMA)
+
+    def handleInputRows(self, key, rows, timerValues):
+        fresh = [x for p in rows for x in zip(p["ts"].astype("datetime64[us]").astype("int64").tolist(),
+                                              p["event_id"].tolist(), p["event"].tolist())]
+        if self.bounded:
+            yield self._applied(key, sorted(fresh))
+            return
+        passed = timerValues.getCurrentWatermarkInMs() * 1000
+        late = sorted(x for x in fresh if x[0] < passed)
+        held = [x for x in fresh if x[0] >= passed]
+        if held:
+            self.waiting.appendList(held)
+            self.handle.registerTimer(min(held)[0] // 1000 + 1)
+        if late:
+            state, n, *_ = self._at()
+            yield self._frame([(*key, _time(us), i, e, state, state, False, n, True) for us, i, e in late])
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo):
+        passed = timerValues.getCurrentWatermarkInMs() * 1000
+        held = sorted(self.waiting.get()) if self.waiting.exists() else []
+        ready = [tuple(x) for x in held if x[0] < passed]
+        left = [tuple(x) for x in held if x[0] >= passed]
+        if ready:
+            yield self._applied(key, ready)
+            if left:
+                self.waiting.put(left)
+            else:
+                self.waiting.clear()
+        if left:
+            self.handle.registerTimer(left[0][0] // 1000 + 1)
+            return
+        over = self._at()[4] // 1000 + SESSION_TIMEOUT_MS
+        if over * 1000 > passed:
+            self.handle.registerTimer(over)
         else:
-            for p in pdfs:
-                waiting += zip(p["ts"].astype("datetime64[us]").astype("int64").tolist(),
-                               p["event_id"].tolist(), p["event"].tolist())
-        waiting.sort()
-        # all events of the bounded replay are here; else those that the watermark has passed
-        ready = len(waiting) if bounded else bisect.bisect_left(waiting, (passed * 1000,))
+            self.machine.clear()
+
+    def _at(self) -> tuple:
+        return self.machine.get() if self.machine.exists() else (self.initial, 0, 0, self.initial, 0)
+
+    def _applied(self, key, events) -> pd.DataFrame:
+        """The rows of events in order, with the session moved on."""
+        state, n, bad, history, last = self._at()
         out = []
-        for us, event_id, event in waiting[:ready]:
-            nxt = None if cur in terminal else table.get((cur, event))
+        for us, event_id, event in events:
+            to = self.table.get((state, event))
             n += 1
-            out.append((*key, pd.Timestamp(us, unit="us"), event_id, event, cur, nxt or cur, nxt is not None, n))
-            if nxt is None:
+            out.append((*key, _time(us), event_id, event, state, to or state, to is not None, n, False))
+            if to is None:
                 bad += 1
             else:
-                cur, hist = nxt, hist + ">" + nxt
-        last = waiting[-1][0] // 1000 if waiting else passed
-        waiting = waiting[ready:]
-        state.update((cur, int(n), int(bad), hist, json.dumps(waiting)))
-        wake = waiting[0][0] // 1000 + 1 if waiting else last + SESSION_TIMEOUT_MS
-        state.setTimeoutTimestamp(max(wake, passed + 1))
-        if out:
-            yield pd.DataFrame(out, columns=["user_id", "day", "ts", "event_id", "event",
-                                             "from_state", "to_state", "legal", "n_events"])
-    return step
+                state, history = to, history + ">" + to
+            last = max(last, us)
+        self.machine.update((state, int(n), int(bad), history, int(last)))
+        return self._frame(out)
+
+    @staticmethod
+    def _frame(rows: list[tuple]) -> pd.DataFrame:
+        return pd.DataFrame(rows, columns=[c.split()[0] for c in OUTPUT_SCHEMA.split(", ")])
+
+    def close(self) -> None:
+        pass
+
+
+def _time(us: int) -> pd.Timestamp:
+    return pd.Timestamp(us, unit="us")
 
 
 def transitions_stream(events: DataFrame, lateness: str = WATERMARK, bounded: bool = False) -> DataFrame:
     """Streaming (or batch) events ``(user_id, day, ts, event_id, event)`` -> one row per
-    event with the transition it caused. ``bounded``: all events come in one micro-batch."""
+    event with the transition it caused. ``bounded``: all events come in one micro-batch.
+
+    The state API needs a RocksDB store, which is set for the session. Input rows carry no
+    watermarked column: Spark would drop late rows before the session could report them."""
+    events.sparkSession.conf.set(STORE_KEY, ROCKSDB)
     # the watermark needs an instant type; the session time zone is UTC, so the
     # NTZ wall-clock value maps to the same instant
     return (events.withColumn("event_time", F.col("ts").cast("timestamp"))
             .withWatermark("event_time", lateness)
+            .select("user_id", "day", "ts", "event_id", "event")
             .groupBy("user_id", "day")
-            .applyInPandasWithState(_transition_fn(bounded), OUTPUT_SCHEMA, STATE_SCHEMA, "append",
-                                    GroupStateTimeout.EventTimeTimeout))
+            .transformWithStateInPandas(SessionMachine(bounded), OUTPUT_SCHEMA, "append", "EventTime"))
+
+
+def late_events(out: DataFrame) -> DataFrame:
+    """``event, n``: the events that came after the watermark had passed them."""
+    return out.where("late").groupBy("event").agg(F.count("*").alias("n"))
 
 
 def run_events_stream(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -175,6 +175,72 @@ def test_live_stream_orders_events_across_micro_batches(spark, tmp_path):
     assert got[-1].to_state == "COMPLETED" and [r.legal for r in got].count(False) == 3
 
 
+def _put_file(spark, tmp_path, k, rows):
+    """One more input file for a stream that reads one file in a micro-batch."""
+    import os
+    schema = "user_id long, day date, ts timestamp_ntz, event_id long, event string"
+    path = tmp_path / f"b{k}"
+    spark.createDataFrame(rows, schema).coalesce(1).write.parquet(str(path))
+    part = next(f for f in os.listdir(path) if f.endswith(".parquet"))
+    (tmp_path / "in").mkdir(exist_ok=True)
+    os.rename(path / part, tmp_path / "in" / f"{k}.parquet")
+    os.utime(tmp_path / "in" / f"{k}.parquet", (1_700_000_000 + k * 1000,) * 2)
+    return schema
+
+
+def _run_live(spark, tmp_path, schema, out, state, lateness="10 minutes"):
+    from sparkgate.streaming.fsm_stream import OUTPUT_SCHEMA, transitions_stream
+    stream = spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(str(tmp_path / "in"))
+    (transitions_stream(stream, lateness=lateness).writeStream.format("parquet").option("path", str(tmp_path / out))
+     .option("checkpointLocation", str(tmp_path / state)).outputMode("append")
+     .trigger(availableNow=True).start()).awaitTermination()
+    return spark.read.schema(OUTPUT_SCHEMA).parquet(str(tmp_path / out))
+
+
+def test_late_events_come_out_marked_and_counted(spark, tmp_path):
+    import datetime as dt
+
+    from sparkgate.streaming.fsm_stream import late_events
+    day, base = dt.date(2025, 1, 1), dt.datetime(2025, 1, 1)
+    at = lambda m: base + dt.timedelta(minutes=m)
+    schema = _put_file(spark, tmp_path, 0, [(1, day, at(0), 0, "START"), (1, day, at(30), 3, "VERIFICATION_PASSED")])
+    _put_file(spark, tmp_path, 1, [(2, day, at(200), 9, "START")])                    # the watermark passes 30
+    _put_file(spark, tmp_path, 2, [(1, day, at(5), 1, "CLICK"), (1, day, at(195), 4, "VERIFICATION_FAILED")])
+    _put_file(spark, tmp_path, 3, [(2, day, at(9_000), 10, "CLICK")])
+    out = _run_live(spark, tmp_path, schema, "out", "state")
+    rows = {r.event_id: r for r in out.where("user_id = 1").collect()}
+    assert {r.event: r.n for r in late_events(out).collect()} == {"CLICK": 1}
+    assert rows[1].late and rows[1].from_state == rows[1].to_state and not rows[1].legal
+    assert [rows[i].to_state for i in (0, 3, 4)] == ["FACE_VERIFICATION", "VOICE_VERIFICATION", "ACCESS_DENIED"]
+    assert not any(rows[i].late for i in (0, 3, 4)) and rows[4].n_events == 3
+
+
+def test_restart_from_the_checkpoint_gives_the_same_rows(spark, tmp_path):
+    """The stream stops after each file and starts again from its checkpoint."""
+    import datetime as dt
+    import random
+    rnd = random.Random(2)
+    day, base = dt.date(2025, 1, 1), dt.datetime(2025, 1, 1)
+    evs = ["START", "VERIFICATION_PASSED", "VERIFICATION_FAILED", "RECOMMENDATION_READY", "CLICK"]
+    rows = [(u, day, base + dt.timedelta(seconds=rnd.randrange(4_000)), u * 100 + i, rnd.choice(evs))
+            for u in range(6) for i in range(12)]
+    rnd.shuffle(rows)
+    files = [rows[:30], rows[30:60], rows[60:], [(99, day, base + dt.timedelta(days=2), 9_999, "START")]]
+    got = []
+    for k, part in enumerate(files):
+        schema = _put_file(spark, tmp_path, k, part)
+        got = _run_live(spark, tmp_path, schema, "out", "state", "3 hours")
+    stopped = sorted(map(str, got.collect()))
+    whole = sorted(map(str, _run_live(spark, tmp_path, schema, "out2", "state2", "3 hours").collect()))
+    assert stopped == whole and len(whole) == 72
+    by_user = {u: [r for r in sorted(rows, key=lambda r: (r[2], r[3])) if r[0] == u] for u in range(6)}
+    for u, seq in by_user.items():
+        state, _, bad = _fold([r[4] for r in seq], fsm.TRANSITIONS, fsm.IDLE, fsm.TERMINAL_STATES)
+        mine = [r for r in got.where(f"user_id = {u}").orderBy("n_events").collect()]
+        assert [r.event_id for r in mine] == [r[3] for r in seq] and mine[-1].to_state == state
+        assert sum(not r.legal for r in mine) == bad
+
+
 def test_replay_plan_does_not_grow_with_rounds(spark):
     out = fsm.replay(_events(spark, {"a": ["START"]}), ["sid"], ["ts", "ord"])
     plan = out._jdf.queryExecution().optimizedPlan().toString()
