@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from ..functions.columns import (normalize_category, normalize_key, strip_lower, to_double,
                                  to_timestamp_ntz)
 from ..session import materialize
+from .observed import written
 from .quantiles import quantile_values
 
 
@@ -39,19 +40,27 @@ def normalize_profiles(raw: DataFrame) -> DataFrame:
         F.col("src_ord").cast("bigint").alias("src_ord"))
 
 
+def distinct_profiles(raw: DataFrame) -> DataFrame:
+    """Normalised, distinct rows with the categories filled; numbers keep their NULLs. What
+    counts rows, keys or categories needs no more."""
+    d = distinct_keep_first(normalize_profiles(raw))
+    return d.withColumns({c: normalize_category(c) for c in ("social_media_platform", "review_sentiment")})
+
+
 def clean_profiles(raw: DataFrame, exact: bool = True) -> DataFrame:
     """Normalise -> distinct -> fill: categoricals ``unknown``, numerics with the median
-    of the deduplicated table (P6). The medians are two scalars (bounded)."""
-    d = materialize(distinct_keep_first(normalize_profiles(raw)), "profiles-dedup")
-    med = median_fill_values(d, ["engagement_score", "purchase_interest_score"], exact)
+    of the deduplicated table (P6). The medians are two scalars (bounded); NULLs are counted
+    while the table is written, and only a column that has one costs a median."""
+    cols = ["engagement_score", "purchase_interest_score"]
+    d, nulls = written(distinct_keep_first(normalize_profiles(raw)), "profiles-dedup",
+                       {c: F.count_if(F.col(c).isNull()) for c in cols})
+    need = [c for c in cols if nulls[c]]
+    med = quantile_values(d, need, [0.5], exact) if need else {}
+    fill = {c: F.coalesce(c, F.lit(med.get(c, [None])[0]).cast("double")).alias(c) for c in cols}
     return d.select(
         "customer_id",
         normalize_category("social_media_platform").alias("social_media_platform"),
-        F.coalesce("engagement_score", F.lit(med["engagement_score"][0]).cast("double"))
-        .alias("engagement_score"),
-        F.coalesce("purchase_interest_score",
-                   F.lit(med["purchase_interest_score"][0]).cast("double"))
-        .alias("purchase_interest_score"),
+        fill["engagement_score"], fill["purchase_interest_score"],
         normalize_category("review_sentiment").alias("review_sentiment"),
         "src_ord")
 
@@ -112,12 +121,29 @@ def winsorize(df: DataFrame, col: str, lo: float, hi: float,
         F.greatest(F.least(c, F.lit(hi)), F.lit(lo))))
 
 
+#: Q3 on valid transactions: rows that must not be.
+TRANSACTION_FAULTS = {
+    "tx_customer_id_not_null": "customer_id IS NULL",
+    "tx_amount_positive": "amount IS NULL OR amount <= 0",
+    "tx_timestamp_not_null": "timestamp IS NULL",
+}
+
+
+def written_transactions(raw: DataFrame) -> tuple[DataFrame, dict]:
+    """The valid transactions, written once, with the number of rows at fault per check."""
+    return written(valid_transactions(raw), "transactions-valid",
+                   {k: F.count_if(F.expr(bad)) for k, bad in TRANSACTION_FAULTS.items()})
+
+
+def winsorized(valid: DataFrame, exact: bool = True) -> DataFrame:
+    lo, hi = winsor_bounds(valid, "amount", exact=exact)
+    return winsorize(valid, "amount", lo, hi)
+
+
 def clean_transactions(raw: DataFrame, exact: bool = True) -> DataFrame:
     """Distinct -> coerce -> filter -> winsorize on the survivors only. The survivors are
-    written once; the two order-statistic passes then read only ``amount``."""
-    v = materialize(valid_transactions(raw), "transactions-valid")
-    lo, hi = winsor_bounds(v, "amount", exact=exact)
-    return winsorize(v, "amount", lo, hi)
+    written once; the order-statistic passes then read only ``amount``."""
+    return winsorized(materialize(valid_transactions(raw), "transactions-valid"), exact)
 
 
 def fill_typed_defaults(df: DataFrame, numeric=0, text: str = "Unknown") -> DataFrame:

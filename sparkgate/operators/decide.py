@@ -118,7 +118,24 @@ def attempt_decisions(face: DataFrame, voice: DataFrame, ident: DataFrame,
                     F.col("confidence").alias("face_confidence"))
     v = voice.select("attempt_id", F.col("person").alias("voice_person"),
                      F.col("confidence").alias("voice_confidence"))
-    j = f.join(v, "attempt_id", "full")
+    return decide(f.join(v, "attempt_id", "full"), ident, claims)
+
+
+def scored_attempts(attempts: DataFrame, face_gate: DataFrame, voice_gate: DataFrame) -> DataFrame:
+    """Attempts ``(attempt_id, face_vec, voice_vec)`` with what the gates say of their samples,
+    in one pass: a sample without a row, or no sample, is rejected with confidence 0."""
+    out = attempts.select("attempt_id", "face_vec", "voice_vec")
+    for gate, of in ((face_gate, "face"), (voice_gate, "voice")):
+        out = join_apart(out, gate.select(F.col("vec_id").alias(f"{of}_vec"), F.col("person").alias(f"{of}_person"),
+                                          F.col("confidence").alias(f"{of}_confidence")), f"{of}_vec")
+    return out.select("attempt_id", "face_person", F.coalesce("face_confidence", F.lit(0.0)).alias("face_confidence"),
+                      "voice_person", F.coalesce("voice_confidence", F.lit(0.0)).alias("voice_confidence"))
+
+
+def decide(scored: DataFrame, ident: DataFrame, claims: DataFrame | None = None) -> DataFrame:
+    """V5 for attempts ``(attempt_id, face_person, face_confidence, voice_person,
+    voice_confidence)``; see ``attempt_decisions``."""
+    j = scored
     if claims is not None:
         j = j.join(claims.select("attempt_id", "claimed_person"), "attempt_id", "left")
     # The identity map is a people dimension; AQE broadcasts it when its measured

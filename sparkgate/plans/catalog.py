@@ -25,6 +25,7 @@ from ..operators import metrics as M
 from ..operators import ml_prep as ML
 from ..operators import ml_split as SP
 from ..operators import ml_train as MT
+from ..operators import observed as OB
 from ..operators import quality as Q
 from ..operators import verify as V
 from ..session import checkpoint_dir, materialize
@@ -111,7 +112,7 @@ def dq_profile_transactions(spark, sf):
 @query
 def dq_distribution(spark, sf):
     """Q2: platform value counts after normalisation."""
-    return Q.value_counts(profiles_clean(spark, sf), "social_media_platform")
+    return Q.value_counts(C.distinct_profiles(R.profiles_raw(spark, sf)), "social_media_platform")
 
 
 @query
@@ -122,28 +123,25 @@ def dq_category_distribution(spark, sf):
 
 @query
 def dq_expectations(spark, sf):
-    """Q3/Q4 expectations as rows (check, passed, observed)."""
-    tv = tx_valid(spark, sf)
-    prof = profiles_clean(spark, sf)
-    plat = platform_rows(spark, sf)
-    cust = customers(spark, sf)
-    return Q.expectations([
-        Q.expect_zero(tv, "tx_customer_id_not_null", F.col("customer_id").isNull()),
-        Q.expect_zero(tv, "tx_amount_positive",
-                      F.col("amount").isNull() | (F.col("amount") <= 0)),
-        Q.expect_zero(tv, "tx_timestamp_not_null", F.col("timestamp").isNull()),
-        Q.expect_no_nulls(prof, "profiles_no_nulls"),
-        Q.expect_zero(plat, "platform_ids_lowercase",
-                      F.col("customer_id") != F.lower("customer_id")),
-        Q.expect_unique(cust, "customer_table_unique_key", "customer_id"),
-        Q.expect_same_count(plat, prof, "platform_rows_preserved"),
-    ])
+    """Q3/Q4 expectations as rows (check, passed, observed): each table is written once at
+    most, and its metrics are collected on the way."""
+    prof, (valid, faults) = in_parallel(lambda: profiles_clean(spark, sf),
+                                        lambda: C.written_transactions(R.transactions_raw(spark, sf)))
+    txf = FE.transaction_features(C.winsorized(valid), R.ROLE_REFERENCE_DAY)
+    p = OB.seen(prof, {"rows": OB.rows(), "nulls": OB.null_cells(prof.columns)})
+    plat = OB.seen(FE.platform_table(prof, txf), {
+        "rows": OB.rows(), "upper": F.count_if(F.col("customer_id") != F.lower("customer_id"))})
+    unique = Q.expect_unique(FE.customer_table(prof, txf).select("customer_id"), "customer_table_unique_key",
+                             "customer_id")
+    return OB.findings(spark, {**faults, "profiles_no_nulls": p["nulls"], "platform_ids_lowercase": plat["upper"],
+                               "platform_rows_preserved": plat["rows"] - p["rows"]}).unionByName(unique)
 
 
 @query
 def dq_key_overlap(spark, sf):
     """Profile keys, transaction keys, and their intersection."""
-    return Q.key_overlap(profiles_clean(spark, sf), tx_valid(spark, sf), "customer_id")
+    # keys are the same before and after duplicate rows go
+    return Q.key_overlap(C.normalize_profiles(R.profiles_raw(spark, sf)), tx_valid(spark, sf), "customer_id")
 
 
 @query
@@ -199,7 +197,7 @@ def mode_category_first_seen(spark, sf):
 
 @query
 def mode_platform_alpha(spark, sf):
-    return FE.mode_smallest(profiles_clean(spark, sf), "customer_id", "social_media_platform",
+    return FE.mode_smallest(C.distinct_profiles(R.profiles_raw(spark, sf)), "customer_id", "social_media_platform",
                             out="primary_platform")
 
 
@@ -223,7 +221,7 @@ def customer_table(spark, sf):
 def legacy_row_join(spark, sf):
     """J4 re-aimed: the grain of the legacy many-to-many join per customer (pairs are
     counted, never emitted)."""
-    return FE.legacy_join_grain(profiles_clean(spark, sf), tx_valid(spark, sf))
+    return FE.legacy_join_grain(C.distinct_profiles(R.profiles_raw(spark, sf)), tx_valid(spark, sf))
 
 
 @query
@@ -268,14 +266,24 @@ def risk_decision(spark, sf):
 
 
 # ---------------------------------------------------------------- model preparation
+def customer_classes(spark, sf) -> DataFrame:
+    """The customers' classes, written once: ranking reads them for sizes, cuts and ranks."""
+    return materialize(customers(spark, sf).select("customer_id", "product_category"), "customer-classes")
+
+
+def class_split(spark, sf) -> DataFrame:
+    return SP.stratified_holdout(customer_classes(spark, sf), "product_category", "customer_id")
+
+
 def customers_split(spark, sf) -> DataFrame:
-    return SP.stratified_holdout(customers(spark, sf), "product_category", "customer_id")
+    """The whole customer rows, written once, with their part of the holdout."""
+    return SP.stratified_holdout(materialize(customers(spark, sf), "customers"), "product_category", "customer_id")
 
 
 @query
 def class_weights(spark, sf):
     """A9 on the training part of the stratified holdout."""
-    train = customers_split(spark, sf).where(F.col("split") == "train")
+    train = class_split(spark, sf).where(F.col("split") == "train")
     return round_doubles(ML.class_weights(train, "product_category"))
 
 
@@ -306,12 +314,12 @@ def impute_median_mode(spark, sf):
 
 @query
 def stratified_holdout(spark, sf):
-    return customers_split(spark, sf).select("customer_id", "product_category", "split")
+    return class_split(spark, sf).select("customer_id", "product_category", "split")
 
 
 @query
 def stratified_folds(spark, sf):
-    f = SP.stratified_folds(customers(spark, sf), "product_category", "customer_id", k=2)
+    f = SP.stratified_folds(customer_classes(spark, sf), "product_category", "customer_id", k=2)
     return f.select("customer_id", "product_category", "fold")
 
 
@@ -333,7 +341,7 @@ def split_leakage(spark, sf):
 @query
 def missing_classes(spark, sf):
     """Classes of the customer table absent from the holdout part."""
-    s = customers_split(spark, sf)
+    s = class_split(spark, sf)
     allc = s.select("product_category").distinct()
     test = s.where(F.col("split") == "test").select("product_category").distinct()
     return allc.join(test, "product_category", "left_anti")
@@ -457,13 +465,11 @@ def decisions(spark, sf) -> DataFrame:
         return V.open_set_gate(sc, "x", fitted_profile(sc))
     att, fgate, vgate = in_parallel(lambda: R.attempts(spark, sf), lambda: gate("face"),
                                     lambda: gate("voice"))
-    face, voice = (D.attempt_samples(att, g, vec) for g, vec in (
-        (fgate, "face_vec"), (vgate, "voice_vec")))
     # the customer keys of the feature table are the normalised profile keys
     keys = R.profiles_raw(spark, sf).select(
         normalize_key("customer_id").alias("customer_id")).distinct()
     ident = R.identity_map(spark, sf, keys)
-    return D.attempt_decisions(face, voice, ident)
+    return D.decide(D.scored_attempts(att, fgate, vgate), ident)
 
 
 @query
@@ -605,7 +611,7 @@ def cv_rf_category(spark, sf):
     """M10 + M12: stratified 2-fold cross-validation of the product forest (accuracy and
     macro F1 over the labels present in each fold)."""
     checkpoint_dir(spark)
-    f = SP.stratified_folds(customers(spark, sf), "product_category", "customer_id", k=2)
+    f = SP.stratified_folds(materialize(customers(spark, sf), "customers"), "product_category", "customer_id", k=2)
     feats = C.drop_if_present(f, ML.TRANSACTION_LEAK_COLS).checkpoint(eager=True)
     lm = MT.label_indexer(feats, "product_category")
 
@@ -755,7 +761,7 @@ def dq_model_inputs(spark, sf):
 @query
 def distinct_counts(spark, sf):
     """Exact distinct counts of the cleaned profile columns."""
-    p = profiles_clean(spark, sf)
+    p = C.distinct_profiles(R.profiles_raw(spark, sf))
     return Q.distinct_counts(p, ["customer_id", "social_media_platform", "review_sentiment"])
 
 

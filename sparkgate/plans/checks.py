@@ -161,10 +161,9 @@ def model_gate(spark, sf, modality: str) -> DataFrame:
 def model_decisions(spark, sf) -> DataFrame:
     """V5 with trained face and voice models: every attempt gets a decision."""
     att = R.attempts(spark, sf)
-    face, voice = (D.attempt_samples(att, model_gate(spark, sf, m), v)
-                   for m, v in (("face", "face_vec"), ("voice", "voice_vec")))
+    face, voice = (model_gate(spark, sf, m) for m in ("face", "voice"))
     keys = R.profiles_raw(spark, sf).select(Q.normalize_key("customer_id").alias("customer_id")).distinct()
-    return D.attempt_decisions(face, voice, R.identity_map(spark, sf, keys))
+    return D.decide(D.scored_attempts(att, face, voice), R.identity_map(spark, sf, keys))
 
 
 @query
