@@ -66,9 +66,8 @@ def _first_bands(base: DataFrame, keys: list[str], qs: list[float]) -> DataFrame
     return materialize(s.select(*keys, "_n", F.array(*bands).alias("_bands")), "selection-bands")
 
 
-def _cells(base: DataFrame, keys: list[str], bands: DataFrame, which: Column | None = None) -> DataFrame:
+def _cells(base: DataFrame, keys: list[str], bands: DataFrame, small: bool, which=None) -> DataFrame:
     """``*keys, _i, _x``: the rows below a band (``_x`` NULL) and inside it (their value)."""
-    small = bands.count() <= MAX_BAND_ROWS
     wanted = F.col("_bands") if which is None else F.filter("_bands", lambda b: which(b))
     j = join_by_keys(base, bands.select(*keys, wanted.alias("_bands")), keys, small=small)
     v = F.col("_v")
@@ -83,10 +82,10 @@ def _wide(b: Column) -> Column:
     return (b["size"] > BAND_ROWS) & ~F.coalesce(b["lo"] == b["hi"], F.lit(False))
 
 
-def _narrowed(base: DataFrame, keys: list[str], bands: DataFrame, slack: float) -> DataFrame:
+def _narrowed(base: DataFrame, keys: list[str], bands: DataFrame, small: bool, slack: float) -> DataFrame:
     """The wide bands cut down to the grid cells that hold their ranks, and ``slack`` more."""
     grid = [g / GRID for g in range(GRID + 1)]
-    s = _cells(base, keys, bands, _wide).groupBy(*keys, "_i").agg(
+    s = _cells(base, keys, bands, small, _wide).groupBy(*keys, "_i").agg(
         F.count_if(F.col("_x").isNull()).alias("below"), F.count("_x").alias("n"),
         F.percentile_approx("_x", grid, ACCURACY).alias("grid"))
     found = s.groupBy(*keys).agg(F.map_from_entries(F.collect_list(F.struct(
@@ -110,36 +109,42 @@ def _narrowed(base: DataFrame, keys: list[str], bands: DataFrame, slack: float)
     return materialize(joined.select(*keys, "_n", cutting.alias("_bands")), "selection-bands")
 
 
-def _counted(base: DataFrame, keys: list[str], bands: DataFrame) -> DataFrame:
-    """``*keys, _i, _first, _last, _below, _values``: every band's rows as sorted values, each
-    with the rows up to it; at most a band's rows meet."""
-    cells = _cells(base, keys, bands).groupBy(*keys, "_i", "_x").agg(F.count("*").alias("_c"))
+def _found(base: DataFrame, keys: list[str], bands: DataFrame, small: bool) -> DataFrame:
+    """``*keys, _n, _i, _a, _b``: the values at the ranks of every band, from its rows as
+    sorted values, each with the rows up to it (at most a band's rows meet); NULL structs
+    where a band does not hold its ranks."""
+    cells = _cells(base, keys, bands, small).groupBy(*keys, "_i", "_x").agg(F.count("*").alias("_c"))
     up = Window.partitionBy(*keys, "_i").orderBy(F.asc_nulls_first("_x"))
     upto = cells.withColumn("_upto", F.sum("_c").over(up))
-    ranks = bands.select(*keys, F.explode("_bands").alias("b")).select(
-        *keys, F.col("b.i").alias("_i"), F.col("b.first").alias("_first"), F.col("b.last").alias("_last"))
-    j = join_by_keys(upto, ranks, [*keys, "_i"], small=ranks.count() <= MAX_BAND_ROWS)
+    every = bands.select(*keys, "_n", F.explode("_bands").alias("b")).select(
+        *keys, "_n", F.col("b.i").alias("_i"), F.col("b.first").alias("_first"), F.col("b.last").alias("_last"))
+    j = join_by_keys(every, upto, [*keys, "_i"], "left")
     at = lambda r: F.max(F.when(F.col("_x").isNotNull() & (F.col("_upto") - F.col("_c") <= r)
                                 & (r < F.col("_upto")), F.struct("_x")))
-    return materialize(j.groupBy(*keys, "_i").agg(
+    return materialize(j.groupBy(*keys, "_n", "_i").agg(
         at(F.col("_first")).alias("_a"), at(F.col("_last")).alias("_b")), "selection-found")
 
 
+def _state_of(bands: DataFrame) -> tuple[bool, bool]:
+    """Whether the bands are few enough to be broadcast, and whether one is wide."""
+    s = bands.agg(F.count("*").alias("n"), F.max(F.exists("_bands", _wide)).alias("wide")).first()
+    return s.n <= MAX_BAND_ROWS, bool(s.wide)
+
+
 def order_statistics(df: DataFrame, keys: list[str], value: str, qs: list[float]) -> DataFrame:
     """``*keys, _n, _i, _a, _b``: per group and quantile, the two values it lies between."""
     base = df.where(F.col(value).isNotNull()).select(*keys, F.col(value).cast("double").alias("_v"))
     bands = _first_bands(base, keys, qs)
     slack = 2 / ACCURACY
     while True:
-        while bands.where(F.exists("_bands", _wide)).take(1):
-            bands = _narrowed(base, keys, bands, slack)
+        small, wide = _state_of(bands)
+        while wide:
+            bands = _narrowed(base, keys, bands, small, slack)
+            wide = _state_of(bands)[1]
             slack *= 2      # a sketch that keeps missing its ranks is trusted less and less
-        found = _counted(base, keys, bands)
-        every = bands.select(*keys, "_n", F.explode("_bands").alias("b")).select(
-            *keys, "_n", F.col("b.i").alias("_i"))
-        out = join_by_keys(every, found, [*keys, "_i"], "left")
-        if not out.where("_a IS NULL OR _b IS NULL").take(1):
-            return out.select(*keys, "_n", "_i", F.col("_a._x").alias("_a"), F.col("_b._x").alias("_b"))
+        found = _found(base, keys, bands, small)
+        if not found.where("_a IS NULL OR _b IS NULL").take(1):
+            return found.select(*keys, "_n", "_i", F.col("_a._x").alias("_a"), F.col("_b._x").alias("_b"))
         bands = _opened(bands, found, keys)
 
 

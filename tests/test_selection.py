@@ -102,9 +102,9 @@ def test_bytes_shuffled_do_not_grow_with_rows(spark, monkeypatch):
         base = df.select("g", F.col("v").alias("_v"))
         bands = S._first_bands(base, ["g"], [0.01, 0.99])
         while bands.where(F.exists("_bands", S._wide)).take(1):
-            bands = S._narrowed(base, ["g"], bands, 2 / S.ACCURACY)
+            bands = S._narrowed(base, ["g"], bands, True, 2 / S.ACCURACY)
         assert bands.select(F.max(F.element_at("_bands", 1)["size"])).first()[0] <= 200
-        return shuffled_bytes(S._cells(base, ["g"], bands).groupBy("g", "_i", "_x").count())
+        return shuffled_bytes(S._cells(base, ["g"], bands, True).groupBy("g", "_i", "_x").count())
     small, large = moved(100_000), moved(1_000_000)
     plain = shuffled_bytes(spark.range(1_000_000, numPartitions=4).select(F.rand(1).alias("v")).groupBy("v").count())
     assert large < 1.5 * small + 20_000 and large < plain / 50
