@@ -90,15 +90,18 @@ def fill_tx_defaults(df: DataFrame) -> DataFrame:
 
 
 def platform_table(profiles: DataFrame, tx_features: DataFrame,
-                   keep_match_flag: bool = False) -> DataFrame:
-    """Every cleaned profile row with the customer aggregates (platform grain)."""
+                   keep_match_flag: bool = False, write: bool = True) -> DataFrame:
+    """Every cleaned profile row with the customer aggregates (platform grain).
+
+    ``write=False`` is for inputs in buckets of the customer, where no join needs an exchange."""
     soc = social_aggregates(profiles).drop("average_purchase_interest")
     main = mode_first_seen(profiles, "customer_id", "social_media_platform",
                            out="main_platform")
     # written once (a row per customer): joined as a plain table, a hot customer's profile
     # rows can be split by skew-join handling, which a chain of joins on the right prevents
-    cust = materialize(soc.join(main, "customer_id", "left").join(tx_features, "customer_id", "left"),
-                       "customer-aggregate")
+    cust = soc.join(main, "customer_id", "left").join(tx_features, "customer_id", "left")
+    if write:
+        cust = materialize(cust, "customer-aggregate")
     joined = profiles.join(cust, "customer_id", "left").withColumn(
         "_tx_matched", F.col("total_spent").isNotNull())
     out = fill_tx_defaults(joined).select(*PLATFORM_COLUMNS, "src_ord", "_tx_matched")

@@ -169,6 +169,7 @@ SELECT customer_id, social_media_platform, round(engagement_score, 6) AS engagem
 FROM platform_tbl
 """
 sql("platform_table", _PLATFORM_SELECT)
+sql("platform_table_bucketed", _PLATFORM_SELECT)
 
 sql("customer_table", """
 SELECT customer_id, round(engagement_score, 6) AS engagement_score,
