@@ -30,6 +30,7 @@ from ..operators import quality as Q
 from ..operators import verify as V
 from ..session import checkpoint_dir, materialize, register_cleanup, scratch_path
 from ..sources import bucketed as BK
+from ..sources import export as EX
 from ..streaming import fsm_stream as FS
 from . import roles as R
 
@@ -800,14 +801,9 @@ def risk_first_row(spark, sf):
 
 @query
 def export_readback(spark, sf):
-    """S8 + S9: write the customer table (CSV with header, overwrite) to the shared
-    checkpoint folder, read it back and check columns, spend, key and row count."""
-    from ..session import register_cleanup, scratch_path
-    from ..sources.tables import readback_checks, write_table
-    cu = customers(spark, sf)
+    """S8 + S9: the customer table is exported (CSV with header, overwrite) to the shared
+    checkpoint folder and read back: rows by their fingerprint, columns, spend and key."""
     path = scratch_path(spark, "customer-export")
-    write_table(cu, path, fmt="csv")
     register_cleanup(spark, path)
-    n = cu.select("customer_id").distinct().count()   # one scalar
-    return readback_checks(spark, path, cu.columns, "customer_id", fmt="csv",
-                           expected_rows=n)
+    EX.export(customers(spark, sf), path, fmt="csv")
+    return EX.check_export(spark, path, "customer_id", "total_spent")

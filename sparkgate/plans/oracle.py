@@ -696,6 +696,7 @@ UNION ALL SELECT 'spend_not_null', count(*) FILTER (WHERE total_spent IS NULL) =
 UNION ALL SELECT 'spend_non_negative', count(*) FILTER (WHERE total_spent < 0) = 0,
                  CAST(count(*) FILTER (WHERE total_spent < 0) AS BIGINT) FROM customer_tbl
 UNION ALL SELECT 'row_count', true, CAST(count(*) AS BIGINT) FROM customer_tbl
+UNION ALL SELECT 'same_rows', true, CAST(count(*) AS BIGINT) FROM customer_tbl
 """)
 
 # The stream's last state per session equals the sequential fold of the events.
