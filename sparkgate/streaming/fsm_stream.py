@@ -1,6 +1,7 @@
 """The authentication state machine over a live event stream.
 
-``groupBy(session).transformWithStateInPandas`` on a RocksDB store keeps, per session, a value
+``groupBy(session).transformWithState`` (rows: a frame for each session takes several times as
+long) on a RocksDB store keeps, per session, a value
 (current state, counters, history) and a list of events that wait. Every event yields one
 output row (the transition taken, or an illegal event). The events of a session are applied in
 the order of (ts, event_id), across micro-batches too: an event is appended to the list, and a
@@ -19,11 +20,11 @@ in one task (three columns of them), as the state of a session does.
 
 from __future__ import annotations
 
+import datetime as dt
 import os
 import uuid
 
-import pandas as pd
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming.stateful_processor import StatefulProcessor, StatefulProcessorHandle
 
@@ -32,6 +33,7 @@ from ..session import checkpoint_dir, register_cleanup
 
 OUTPUT_SCHEMA = ("user_id long, day date, ts timestamp_ntz, event_id long, event string, "
                  "from_state string, to_state string, legal boolean, n_events long, late boolean")
+OUT = Row(*[c.split()[0] for c in OUTPUT_SCHEMA.split(", ")])
 MACHINE_SCHEMA = "state string, n_events long, n_illegal long, history string, last long"
 WAITING_SCHEMA = "us long, event_id long, event string"
 WATERMARK = "10 minutes"
@@ -55,10 +57,9 @@ class SessionMachine(StatefulProcessor):
         self.waiting = handle.getListState("waiting", WAITING_SCHEMA)
 
     def handleInputRows(self, key, rows, timerValues):
-        fresh = [x for p in rows for x in zip(p["ts"].astype("datetime64[us]").astype("int64").tolist(),
-                                              p["event_id"].tolist(), p["event"].tolist())]
+        fresh = [(_micros(r.ts), r.event_id, r.event) for r in rows]
         if self.bounded:
-            yield self._applied(key, sorted(fresh))
+            yield from self._applied(key, sorted(fresh))
             return
         passed = timerValues.getCurrentWatermarkInMs() * 1000
         late = sorted(x for x in fresh if x[0] < passed)
@@ -68,7 +69,8 @@ class SessionMachine(StatefulProcessor):
             self.handle.registerTimer(min(held)[0] // 1000 + 1)
         if late:
             state, n, *_ = self._at()
-            yield self._frame([(*key, _time(us), i, e, state, state, False, n, True) for us, i, e in late])
+            for us, event_id, event in late:
+                yield OUT(*key, _time(us), event_id, event, state, state, False, n, True)
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo):
         passed = timerValues.getCurrentWatermarkInMs() * 1000
@@ -76,7 +78,7 @@ class SessionMachine(StatefulProcessor):
         ready = [tuple(x) for x in held if x[0] < passed]
         left = [tuple(x) for x in held if x[0] >= passed]
         if ready:
-            yield self._applied(key, ready)
+            yield from self._applied(key, ready)
             if left:
                 self.waiting.put(left)
             else:
@@ -93,32 +95,35 @@ class SessionMachine(StatefulProcessor):
     def _at(self) -> tuple:
         return self.machine.get() if self.machine.exists() else (self.initial, 0, 0, self.initial, 0)
 
-    def _applied(self, key, events) -> pd.DataFrame:
+    def _applied(self, key, events) -> list[Row]:
         """The rows of events in order, with the session moved on."""
         state, n, bad, history, last = self._at()
         out = []
         for us, event_id, event in events:
             to = self.table.get((state, event))
             n += 1
-            out.append((*key, _time(us), event_id, event, state, to or state, to is not None, n, False))
+            out.append(OUT(*key, _time(us), event_id, event, state, to or state, to is not None, n, False))
             if to is None:
                 bad += 1
             else:
                 state, history = to, history + ">" + to
             last = max(last, us)
         self.machine.update((state, int(n), int(bad), history, int(last)))
-        return self._frame(out)
-
-    @staticmethod
-    def _frame(rows: list[tuple]) -> pd.DataFrame:
-        return pd.DataFrame(rows, columns=[c.split()[0] for c in OUTPUT_SCHEMA.split(", ")])
+        return out
 
     def close(self) -> None:
         pass
 
 
-def _time(us: int) -> pd.Timestamp:
-    return pd.Timestamp(us, unit="us")
+EPOCH = dt.datetime(1970, 1, 1)
+
+
+def _time(us: int) -> dt.datetime:
+    return EPOCH + dt.timedelta(microseconds=us)
+
+
+def _micros(ts: dt.datetime) -> int:
+    return (ts - EPOCH) // dt.timedelta(microseconds=1)
 
 
 def transitions_stream(events: DataFrame, lateness: str = WATERMARK, bounded: bool = False) -> DataFrame:
@@ -134,7 +139,7 @@ def transitions_stream(events: DataFrame, lateness: str = WATERMARK, bounded: bo
             .withWatermark("event_time", lateness)
             .select("user_id", "day", "ts", "event_id", "event")
             .groupBy("user_id", "day")
-            .transformWithStateInPandas(SessionMachine(bounded), OUTPUT_SCHEMA, "append", "EventTime"))
+            .transformWithState(SessionMachine(bounded), OUTPUT_SCHEMA, "append", "EventTime"))
 
 
 def late_events(out: DataFrame) -> DataFrame:
