@@ -7,8 +7,8 @@ their order, each run is folded apart into its function (an array with one entry
 where it ends, after how many transitions, by which path), and the functions of a session are
 composed in order, ``SPAN`` at a time. Any transition table will do, with cycles or without.
 
-Sessions of up to ``MAX_RUN`` legal events are one run, folded from the initial state; no
-rows of theirs are written. Events that do not move the machine are the illegal ones (the
+Sessions of up to ``MAX_RUN`` legal events are one run, a sorted array folded from the initial
+state; their events are not written. Where each session ends is written, a row per session. Events that do not move the machine are the illegal ones (the
 reference raises on them; the state stays unchanged). Ties in the order go by the event; a NULL
 session key is a session of its own, and an event in no transition only counts.
 """
@@ -231,6 +231,7 @@ def replay(events: DataFrame, session: list[str], order: list[str], event_col: s
         counts = events.groupBy(*session).agg(F.count("*").alias("n_events")).where(F.col("n_events") > MAX_RUN)
         ends = _ends(_folded(runs, session, m), session, m, m.at(0))
         done = done.unionByName(join_by_keys(counts, ends, session).select(*done.columns))
+    done = materialize(done, "fsm-ends")      # a row per session, read by every report on them
     x = F.col("_x")
     stage_map = F.create_map(*[x for k, v in FAIL_STAGE.items() for x in (F.lit(k), F.lit(v))])
     state, before_last = m.name(x["s"]), F.when(x["prev"] >= 0, m.name(x["prev"]))

@@ -72,13 +72,14 @@ def _profile(profile, spark=None, label: str = "person") -> DataFrame:
 
 
 def class_blocks(profile: DataFrame, block_bytes: int | None = None) -> tuple[DataFrame, int, int]:
-    """``_block, _classes`` (by label) with the number of blocks and their bytes."""
+    """``_block, _classes`` (by label), written once, with the number of blocks and their bytes."""
     size = profile.agg(F.count("*").alias("n"), F.max(F.size("centroid")).alias("d")).first()
     of_class = 8 * (size.d or 0) + 64
     blocks = max(1, -(-size.n * of_class // (block_bytes or BLOCK_BYTES)))
     rows = profile.withColumn("_block", F.pmod(F.xxhash64("label"), F.lit(blocks)).cast("int"))
-    return rows.groupBy("_block").agg(F.array_sort(F.collect_list(F.struct("label", "centroid", "max_dist")))
-                                      .alias("_classes")), blocks, size.n * of_class
+    packed = rows.groupBy("_block").agg(F.array_sort(F.collect_list(F.struct("label", "centroid", "max_dist")))
+                                        .alias("_classes"))
+    return materialize(packed, "class-blocks"), blocks, size.n * of_class
 
 
 def _state(d2: Column, label: Column, max_dist: Column, mass: Column) -> Column:
