@@ -50,7 +50,7 @@ def distinct_profiles(raw: DataFrame) -> DataFrame:
 def clean_profiles(raw: DataFrame, exact: bool = True) -> DataFrame:
     """Normalise -> distinct -> fill: categoricals ``unknown``, numerics with the median
     of the deduplicated table (P6). The medians are two scalars (bounded); NULLs are counted
-    while the table is written, and only a column that has one costs a median."""
+    in the written table, and only a column that has one costs a median."""
     cols = ["engagement_score", "purchase_interest_score"]
     d, nulls = written(distinct_keep_first(normalize_profiles(raw)), "profiles-dedup",
                        {c: F.count_if(F.col(c).isNull()) for c in cols})

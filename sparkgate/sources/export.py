@@ -2,9 +2,9 @@
 
 The fingerprint is the number of rows and two sums of independent 64-bit hashes of each row. Sums
 do not depend on order, files or tasks, and a row that changes, is lost or comes twice changes
-them (each sum alone stays equal by chance once in 2**64). It is collected while the table is
-written (an observation, no pass of its own) and stored beside it; the check reads the export
-once. NULLs are hashed as themselves, so a value can't move to a neighbouring NULL column.
+them (each sum alone stays equal by chance once in 2**64). The rows are computed once, into a
+scratch table from which both the fingerprint and the export are made; the fingerprint is stored
+beside the export, and the check reads the export once. NULLs are hashed as themselves, so a value can't move to a neighbouring NULL column.
 Every column counts, by position; the export is read with the schema it was written from, and
 what a format can't hold exactly (a CSV timestamp's last digits) counts as a change.
 """
@@ -14,10 +14,11 @@ from __future__ import annotations
 import json
 import os
 
-from pyspark.sql import Column, DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
+from ..session import materialize
 from .tables import write_table
 
 SIDECAR = "_fingerprint"
@@ -42,12 +43,13 @@ def fingerprint(df: DataFrame) -> dict:
 
 def export(df: DataFrame, path: str, fmt: str = "parquet") -> dict:
     """Write ``df`` to ``path`` and its schema and fingerprint beside it; the fingerprint."""
-    o = Observation()
-    write_table(df.observe(o, *_metrics(df)), os.path.join(path, "rows"), fmt=fmt)
-    told = {**o.get, "schema": json.loads(df.schema.json()), "format": fmt}
+    rows = materialize(df, "export-rows")
+    print_of = fingerprint(rows)
+    write_table(rows, os.path.join(path, "rows"), fmt=fmt)
+    told = {**print_of, "schema": json.loads(df.schema.json()), "format": fmt}
     df.sparkSession.createDataFrame([(json.dumps(told),)], "value string").coalesce(1).write.mode("overwrite").text(
         os.path.join(path, SIDECAR))
-    return o.get
+    return print_of
 
 
 def _told(spark: SparkSession, path: str) -> dict:

@@ -1,4 +1,4 @@
-"""Expectations collected while tables are written (Q3, Q4), and how often queries write."""
+"""Expectations in one pass over written tables (Q3, Q4), and how often queries write."""
 
 import pytest
 from pyspark.sql import functions as F
@@ -28,7 +28,7 @@ def writes(monkeypatch):
     return names
 
 
-def test_metrics_come_from_the_write_itself(spark):
+def test_metrics_of_a_written_table(spark):
     df = spark.range(1_000, numPartitions=7).select("id", F.when(F.col("id") % 4 != 0, F.col("id")).alias("v"))
     out, got = OB.written(df, "observed-test", {"rows": OB.rows(), "nulls": OB.null_cells(["id", "v"])})
     assert got == {"rows": 1_000, "nulls": 250} and out.count() == 1_000
