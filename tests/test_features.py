@@ -185,3 +185,15 @@ def test_cleaning_empty_inputs(spark):
     assert C.clean_profiles(prof).count() == 0
     tx = spark.createDataFrame([], TX_SCHEMA)
     assert C.clean_transactions(tx).count() == 0
+
+
+def test_value_counts_reach_the_lambda_in_batches_of_groups(spark):
+    """Ties by first ordinal (none: last), null keys a group, null values none; no frame per group."""
+    rows = [("a", "x", 5), ("a", "y", 3), ("a", "z", None), ("b", "y", 9), ("b", "x", 2), ("b", "y", 1),
+            (None, "q", 4), ("c", None, 7)]
+    df = spark.createDataFrame(rows, "k string, v string, src_ord long")
+    got = FE.value_count_aggregate(df, "k", "v", lambda vc: ",".join(f"{i}{n}" for i, n in vc.items()))
+    assert {r["k"]: r["result"] for r in got.collect()} == {"a": "y1,x1,z1", "b": "y2,x1", None: "q1"}
+    assert "FlatMapGroupsInPandas" not in got._jdf.queryExecution().toString()
+    top = FE.value_count_aggregate(df, "k", "src_ord", lambda vc: vc.index.max() if len(vc) > 1 else None, "long")
+    assert {r["k"]: r["result"] for r in top.collect()} == {"a": 5, "b": 9, None: None, "c": None}
