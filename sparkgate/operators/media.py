@@ -11,6 +11,7 @@ bit-identical.
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from functools import lru_cache
 
 import numpy as np
@@ -32,16 +33,22 @@ NOISE_SCALE = 0.005
 AUDIO_VARIANTS = ["", "_pitch", "_stretch", "_noise"]
 IMAGE_VARIANTS = ["", "_gray", "_flip", "_rotate"]
 GRAY_WEIGHTS_BGR = (0.114, 0.587, 0.299)
+MEL_BAND = 16     # filters that are applied together
+CLIP_BATCH = 64   # clips of which the samples are handed over at once
 FEATURE_COLUMNS = [f"MFCC_{i}" for i in range(1, N_MFCC + 1)] + [
     "SpectralRolloff", "SpectralCentroid", "RMSEnergy", "ZeroCrossingRate"]
 
 
 # ---------------------------------------------------------------- audio (numpy helpers)
-def _frames(y: np.ndarray, n: int = N_FFT, hop: int = HOP) -> np.ndarray:
-    y = np.pad(y, (n // 2, n // 2), mode="constant")
-    count = 1 + (len(y) - n) // hop
-    idx = np.arange(n)[None, :] + hop * np.arange(count)[:, None]
-    return y[idx]
+def _padded(y: np.ndarray, n: int = N_FFT) -> np.ndarray:
+    out = np.zeros(len(y) + 2 * (n // 2))
+    out[n // 2:n // 2 + len(y)] = y
+    return out
+
+
+def _frames(padded: np.ndarray, n: int = N_FFT, hop: int = HOP) -> np.ndarray:
+    """The frames as a read-only view of the padded signal."""
+    return np.lib.stride_tricks.sliding_window_view(padded, n)[::hop]
 
 
 def _hz_to_mel(f):
@@ -72,6 +79,32 @@ def mel_filters(sr: int = SAMPLE_RATE, n_fft: int = N_FFT, n_mels: int = N_MELS)
     return w * (2.0 / (mel_f[2:n_mels + 2] - mel_f[:n_mels]))[:, None]
 
 
+@lru_cache(maxsize=8)
+def _mel_bands(sr: int) -> list[tuple[slice, slice, np.ndarray]]:
+    """The filters in bands of MEL_BAND: filters, the bins they see, and their weights there
+    (a filter covers few of the bins)."""
+    w = mel_filters(sr)
+    out = []
+    for at in range(0, len(w), MEL_BAND):
+        part = w[at:at + MEL_BAND]
+        seen = np.flatnonzero(part.any(axis=0))
+        bins = slice(int(seen[0]), int(seen[-1]) + 1) if len(seen) else slice(0, 1)
+        out.append((slice(at, at + len(part)), bins, np.ascontiguousarray(part[:, bins])))
+    return out
+
+
+def _mel(power: np.ndarray, sr: int) -> np.ndarray:
+    out = np.empty((N_MELS, power.shape[1]))
+    for filters, bins, w in _mel_bands(sr):
+        np.matmul(w, power[bins], out=out[filters])
+    return out
+
+
+@lru_cache(maxsize=8)
+def _bin_freqs(sr: int) -> np.ndarray:
+    return np.linspace(0, sr / 2, 1 + N_FFT // 2)
+
+
 @lru_cache(maxsize=4)
 def _hann(n: int) -> np.ndarray:
     """Periodic Hann window."""
@@ -96,21 +129,22 @@ def audio_features(y: np.ndarray, sr: int = SAMPLE_RATE) -> dict[str, float]:
     y = np.asarray(y, dtype=np.float64)
     if y.size == 0:
         raise ValueError("empty audio clip")
-    fr = _frames(y)
+    padded = _padded(y)
     win = _hann(N_FFT)
-    mag = np.abs(np.fft.rfft(fr * win, axis=1)).T            # bins x frames
+    mag = np.abs(np.fft.rfft(_frames(padded) * win, axis=1)).T            # bins x frames
     power = mag ** 2
-    mel = mel_filters(sr) @ power
+    mel = _mel(power, sr)
     db = 10.0 * np.log10(np.maximum(mel, 1e-10))
     db = np.maximum(db, db.max() - TOP_DB)
     mfcc = _dct_ortho(db, N_MFCC).mean(axis=1)
-    freqs = np.linspace(0, sr / 2, mag.shape[0])
+    freqs = _bin_freqs(sr)
     tot = mag.sum(axis=0)
-    centroid = np.where(tot > 0, (freqs[:, None] * mag).sum(axis=0) / np.maximum(tot, 1e-20), 0)
+    centroid = np.where(tot > 0, (freqs @ mag) / np.maximum(tot, 1e-20), 0)
     cum = np.cumsum(mag, axis=0)
     roll = freqs[np.argmax(cum >= ROLLOFF * np.maximum(cum[-1:], 1e-20), axis=0)]
-    rms = np.sqrt(np.mean(np.abs(fr) ** 2, axis=1))
-    zc = np.abs(np.diff(np.signbit(fr).astype(np.int8), axis=1)).sum(axis=1) / N_FFT
+    rms = np.sqrt(np.mean(_frames(padded ** 2), axis=1))
+    neg = np.signbit(padded)
+    zc = np.count_nonzero(_frames(neg[1:] != neg[:-1], N_FFT - 1), axis=1) / N_FFT
     out = {f"MFCC_{i + 1}": float(v) for i, v in enumerate(mfcc)}
     out.update(SpectralRolloff=float(roll.mean()), SpectralCentroid=float(centroid.mean()),
                RMSEnergy=float(rms.mean()), ZeroCrossingRate=float(zc.mean()))
@@ -165,22 +199,32 @@ def audio_feature_table(clips: DataFrame) -> DataFrame:
 
 def tone_clips(df: DataFrame, vec_col: str, seconds: float = 0.5,
                sr: int = SAMPLE_RATE, partials: int = 8) -> Column:
-    """A waveform per row derived in Spark from a feature vector: ``partials`` sines
-    whose frequencies and amplitudes come from the vector's values."""
+    """A waveform per row derived from a feature vector: ``partials`` sines whose
+    frequencies and amplitudes come from the vector's values. Spark derives the sines;
+    their samples are computed per clip in numpy, as a lambda over an array evaluates
+    every sample and sine as an object."""
     n = int(seconds * sr)
     v = F.col(vec_col)
-    terms = []
-    for k in range(partials):
-        f = F.lit(110.0 * (k + 1)) + F.abs(F.element_at(v, k + 1)) * F.lit(2000.0)
-        a = F.lit(0.05) + F.abs(F.element_at(v, partials + k + 1))
-        terms.append((f, a))
-
-    def sample(t):
-        acc = F.lit(0.0)
-        for f, a in terms:
-            acc = acc + a * F.sin(F.lit(2 * np.pi) * f * t / F.lit(float(sr)))
-        return acc.cast("float")
-    return F.transform(F.sequence(F.lit(0), F.lit(n - 1)), sample)
+    freqs = F.array(*[F.lit(110.0 * (k + 1)) + F.abs(F.element_at(v, k + 1)) * F.lit(2000.0)
+                      for k in range(partials)])
+    amps = F.array(*[F.lit(0.05) + F.abs(F.element_at(v, partials + k + 1)) for k in range(partials)])
+
+    def run(it: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.Series]:
+        t = np.arange(n, dtype=np.float64)
+        for fs, ams in it:
+            for at in range(0, len(fs), CLIP_BATCH):
+                yield pd.Series([_tone(f, a, t, sr) for f, a in zip(
+                    fs.iloc[at:at + CLIP_BATCH], ams.iloc[at:at + CLIP_BATCH])], dtype=object)
+    return F.pandas_udf(run, "array<float>")(freqs, amps)
+
+
+def _tone(freqs: np.ndarray, amps: np.ndarray, t: np.ndarray, sr: int) -> np.ndarray:
+    """The sum of sines at the sample numbers ``t``; no frequency or amplitude: NaN samples."""
+    acc = np.zeros(len(t))
+    with np.errstate(invalid="ignore", over="ignore"):
+        for f, a in zip(np.asarray(freqs, dtype=np.float64), np.asarray(amps, dtype=np.float64)):
+            acc += a * np.sin(2 * np.pi * f * t / float(sr))
+        return acc.astype(np.float32)
 
 
 # ---------------------------------------------------------------- images

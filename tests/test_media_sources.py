@@ -214,3 +214,27 @@ def test_checkpoint_folder_must_be_shared_on_a_cluster():
 
     with pytest.raises(ValueError):
         checkpoint_dir(_Session())
+
+
+def test_tone_clips_sample_in_numpy(spark):
+    """The samples equal the sum of sines that Spark's own sine gives; a missing value: no number."""
+    from pyspark.sql import functions as F
+    vecs = [[0.1 * i - 0.7 for i in range(16)], [0.0] * 15 + [None]]
+    df = spark.createDataFrame([(i, v) for i, v in enumerate(vecs)], "id int, v array<double>")
+    clips = df.select("id", "v", MD.tone_clips(df, "v", seconds=0.01).alias("samples"))
+    assert "lambdafunction" not in clips._jdf.queryExecution().toString()
+    t = F.col("t")
+    terms = [(0.05 + F.abs(F.col("v")[8 + k])) * F.sin(
+        F.lit(2 * np.pi) * (110.0 * (k + 1) + F.abs(F.col("v")[k]) * 2000.0) * t / float(MD.SAMPLE_RATE))
+        for k in range(8)]
+    want = df.select("id", "v", F.explode(F.sequence(F.lit(0), F.lit(219))).alias("t")).select(
+        "id", "t", sum(terms, F.lit(0.0)).cast("float").alias("s")).orderBy("id", "t").collect()
+    got = {r.id: r.samples for r in clips.collect()}
+    assert np.allclose(got[0], [r.s for r in want if r.id == 0], rtol=1e-6, atol=1e-7) and len(got[0]) == 220
+    assert np.isnan(got[1]).all() and len(got[1]) == 220
+
+
+def test_mel_bands_equal_the_whole_filters():
+    power = np.random.default_rng(3).random((1 + MD.N_FFT // 2, 5))
+    for sr in (8000, MD.SAMPLE_RATE):
+        assert np.allclose(MD._mel(power, sr), MD.mel_filters(sr) @ power, rtol=1e-12, atol=0)
