@@ -14,8 +14,10 @@ events until a timer one day past its last event, then its state is cleared, so
 equals the batch replay on the same events while state stays bounded.
 
 A bounded replay (``run_events_stream``) reads its whole table in one micro-batch, in which
-nothing is late, and applies every event at once. A session's events of one micro-batch meet
-in one task (three columns of them), as the state of a session does.
+nothing is late, and applies every event at once. Its sessions are dealt to buckets
+(``BucketMachine``), which keep the state of their sessions together: a session has few events,
+and calls to the store for each took most of the time. A session's events of one micro-batch
+meet in one task (three columns of them), as the state of a session does.
 """
 
 from __future__ import annotations
@@ -23,6 +25,7 @@ from __future__ import annotations
 import datetime as dt
 import os
 import uuid
+from collections import defaultdict
 
 from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
@@ -35,6 +38,8 @@ OUTPUT_SCHEMA = ("user_id long, day date, ts timestamp_ntz, event_id long, event
                  "from_state string, to_state string, legal boolean, n_events long, late boolean")
 OUT = Row(*[c.split()[0] for c in OUTPUT_SCHEMA.split(", ")])
 MACHINE_SCHEMA = "state string, n_events long, n_illegal long, history string, last long"
+BUCKET_SCHEMA = "user_id long, day date, " + MACHINE_SCHEMA
+BUCKET_EVENTS = 2000   # events of a bucket of a bounded replay, on average
 WAITING_SCHEMA = "us long, event_id long, event string"
 WATERMARK = "10 minutes"
 SESSION_TIMEOUT_MS = 24 * 3600 * 1000   # keep a session one day past its last event
@@ -97,7 +102,13 @@ class SessionMachine(StatefulProcessor):
 
     def _applied(self, key, events) -> list[Row]:
         """The rows of events in order, with the session moved on."""
-        state, n, bad, history, last = self._at()
+        out, machine = self._moved(key, events, self._at())
+        self.machine.update(machine)
+        return out
+
+    def _moved(self, key, events, machine: tuple) -> tuple[list[Row], tuple]:
+        """The rows of events in order and the machine after them."""
+        state, n, bad, history, last = machine
         out = []
         for us, event_id, event in events:
             to = self.table.get((state, event))
@@ -108,13 +119,32 @@ class SessionMachine(StatefulProcessor):
             else:
                 state, history = to, history + ">" + to
             last = max(last, us)
-        self.machine.update((state, int(n), int(bad), history, int(last)))
-        return out
+        return out, (state, int(n), int(bad), history, int(last))
 
     def close(self) -> None:
         pass
 
 
+class BucketMachine(SessionMachine):
+    """The state machines of a bucket's sessions, for a bounded replay: the machines are read and
+    written as one list, since each call to the store costs as much as many events."""
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.handle = handle
+        self.machines = handle.getListState("machines", BUCKET_SCHEMA)
+
+    def handleInputRows(self, key, rows, timerValues):
+        machines = {tuple(x[:2]): tuple(x[2:]) for x in self.machines.get()}
+        fresh = defaultdict(list)
+        for r in rows:
+            fresh[(r.user_id, r.day)].append((_micros(r.ts), r.event_id, r.event))
+        for session, events in fresh.items():
+            out, machines[session] = self._moved(
+                session, sorted(events), machines.get(session, (self.initial, 0, 0, self.initial, 0)))
+            yield from out
+        self.machines.put([(*session, *machine) for session, machine in machines.items()])
+
+
 EPOCH = dt.datetime(1970, 1, 1)
 
 
@@ -126,20 +156,25 @@ def _micros(ts: dt.datetime) -> int:
     return (ts - EPOCH) // dt.timedelta(microseconds=1)
 
 
-def transitions_stream(events: DataFrame, lateness: str = WATERMARK, bounded: bool = False) -> DataFrame:
+def transitions_stream(events: DataFrame, lateness: str = WATERMARK, bounded: bool = False,
+                       buckets: int | None = None) -> DataFrame:
     """Streaming (or batch) events ``(user_id, day, ts, event_id, event)`` -> one row per
-    event with the transition it caused. ``bounded``: all events come in one micro-batch.
+    event with the transition it caused. ``bounded``: all events come in one micro-batch;
+    the sessions may then be dealt to ``buckets``, each of which keeps the state of its sessions.
 
     The state API needs a RocksDB store, which is set for the session. Input rows carry no
     watermarked column: Spark would drop late rows before the session could report them."""
     events.sparkSession.conf.set(STORE_KEY, ROCKSDB)
     # the watermark needs an instant type; the session time zone is UTC, so the
     # NTZ wall-clock value maps to the same instant
-    return (events.withColumn("event_time", F.col("ts").cast("timestamp"))
-            .withWatermark("event_time", lateness)
-            .select("user_id", "day", "ts", "event_id", "event")
-            .groupBy("user_id", "day")
-            .transformWithState(SessionMachine(bounded), OUTPUT_SCHEMA, "append", "EventTime"))
+    marked = (events.withColumn("event_time", F.col("ts").cast("timestamp"))
+              .withWatermark("event_time", lateness)
+              .select("user_id", "day", "ts", "event_id", "event"))
+    if bounded and buckets:
+        return (marked.withColumn("bucket", F.pmod(F.xxhash64("user_id", "day"), F.lit(buckets)))
+                .groupBy("bucket").transformWithState(BucketMachine(True), OUTPUT_SCHEMA, "append", "EventTime"))
+    return marked.groupBy("user_id", "day").transformWithState(
+        SessionMachine(bounded), OUTPUT_SCHEMA, "append", "EventTime")
 
 
 def late_events(out: DataFrame) -> DataFrame:
@@ -156,11 +191,14 @@ def run_events_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = os.path.join(sf_dir, "events.parquet")
     m = F.create_map(*[x for k, v in FSM_EVENT_OF.items() for x in (F.lit(k), F.lit(v))])
     # as a pattern, a path may name one file as well as a folder of files
-    stream = spark.readStream.schema(spark.read.parquet(path).schema).parquet(path[:-1] + "[t]")
+    table = spark.read.parquet(path)
+    stream = spark.readStream.schema(table.schema).parquet(path[:-1] + "[t]")
     ev = stream.select(
         "user_id", F.to_date("ts").alias("day"), "ts", "event_id",
         F.coalesce(F.element_at(m, F.col("event_type")), F.upper("event_type")).alias("event"))
-    q = (transitions_stream(ev, bounded=True).writeStream.format("parquet")
+    # by the number of events (from the footers), so that a bucket does not grow with the table
+    buckets = max(table.count() // BUCKET_EVENTS, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    q = (transitions_stream(ev, bounded=True, buckets=buckets).writeStream.format("parquet")
          .option("path", os.path.join(base, "out"))
          .option("checkpointLocation", os.path.join(base, "state"))
          .outputMode("append").trigger(availableNow=True).start())

@@ -322,3 +322,25 @@ def test_no_row_holds_a_hot_session(spark, monkeypatch):
 def test_cycles_are_told_from_long_paths():
     assert fsm.longest_path([("a", "x", "b"), ("b", "x", "c"), ("a", "y", "c")], "a") == 2
     assert fsm.longest_path([("a", "x", "b"), ("b", "x", "a")], "a") is None
+
+
+def test_buckets_keep_the_state_of_their_sessions(spark, tmp_path):
+    """Sessions in buckets give the rows of sessions by themselves; a later micro-batch goes on from the list."""
+    import datetime as dt
+
+    from sparkgate.streaming.fsm_stream import OUTPUT_SCHEMA, transitions_stream
+    day, base = dt.date(2025, 1, 1), dt.datetime(2025, 1, 1)
+    seq = ["START", "CLICK", "VERIFICATION_PASSED", "VERIFICATION_PASSED", "RECOMMENDATION_READY"]
+    rows = [(u, day, base + dt.timedelta(minutes=i), 100 * u + i, e)
+            for u in range(1, 8) for i, e in enumerate(seq[:u])]
+    schema = _put_file(spark, tmp_path, 0, [r for r in rows if r[3] % 100 < 2])
+    _put_file(spark, tmp_path, 1, [r for r in rows if r[3] % 100 >= 2])
+    got = {}
+    for buckets in (None, 2):
+        out = str(tmp_path / f"out{buckets}")
+        stream = spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(str(tmp_path / "in"))
+        (transitions_stream(stream, bounded=True, buckets=buckets).writeStream.format("parquet").option("path", out)
+         .option("checkpointLocation", out + "-state").outputMode("append").trigger(availableNow=True)
+         .start()).awaitTermination()
+        got[buckets] = sorted(map(str, spark.read.schema(OUTPUT_SCHEMA).parquet(out).collect()))
+    assert got[2] == got[None] and len(got[2]) == len(rows)
