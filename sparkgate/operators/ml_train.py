@@ -16,6 +16,7 @@ from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..session import checkpoint_dir
 from . import metrics as M
 from .ml_prep import apply_scaler, scaler_arrays, scaler_stats, with_class_weights
 from .quantiles import quantile_values
@@ -24,6 +25,9 @@ from .quantiles import quantile_values
 RF_TREES = 200
 RF_SEED = 42
 RF_MAX_DEPTH = 30   # no limit in the rules of the model; the deepest that Spark's trees go
+# Training rows of a task: fewer are not worth one, more (with a counter and a node for each
+# tree, under 2 KB a row) do not fit its memory.
+MIN_TASK_ROWS, MAX_TASK_ROWS = 500, 100_000
 LR_MAX_ITER = 2000
 LR_TOL = 1e-9
 LR_C = 1.0
@@ -78,18 +82,33 @@ def feature_stages(numeric: list[str], categorical: list[str]):
 
 
 def random_forest(weight_col: str = "weight", seed: int = RF_SEED) -> RandomForestClassifier:
-    """M7: 200 trees, sqrt features, gini, balanced weights."""
+    """M7: 200 trees, sqrt features, gini, balanced weights. The node that each row has reached
+    in each tree is kept: a pass over the rows for a group of deep nodes walks no tree again."""
     return RandomForestClassifier(featuresCol="features", labelCol="label",
                                   weightCol=weight_col, numTrees=RF_TREES, seed=seed,
                                   featureSubsetStrategy="sqrt", impurity="gini",
-                                  maxDepth=RF_MAX_DEPTH)
+                                  maxDepth=RF_MAX_DEPTH, cacheNodeIds=True)
+
+
+def spread(train: DataFrame) -> DataFrame:
+    """Training rows dealt over the cores. A customer table is small in bytes, so its partitions
+    come out coalesced to one or few, which grow all trees alone; and each partition sends
+    counts for every node of a group, so partitions beyond the cores only add to that. Up to
+    MIN_TASK_ROWS rows stay as they are."""
+    spark = train.sparkSession
+    checkpoint_dir(spark)   # kept node ids are checkpointed too
+    n = train.count()
+    if n <= MIN_TASK_ROWS:
+        return train
+    parts = max(min(spark.sparkContext.defaultParallelism, -(-n // MIN_TASK_ROWS)), -(-n // MAX_TASK_ROWS))
+    return train.repartition(parts).checkpoint(eager=True)
 
 
 def fit_product_model(train: DataFrame, label: str, numeric: list[str],
                       categorical: list[str], label_model=None) -> PipelineModel:
     """M5 + M7 (+ M9 weights on the training part only)."""
     lm = label_model or label_indexer(train, label)
-    w = with_class_weights(train, label)
+    w = with_class_weights(spread(train), label)
     pipe = Pipeline(stages=[lm, *feature_stages(numeric, categorical), random_forest()])
     return pipe.fit(w)
 

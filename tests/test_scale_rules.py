@@ -186,3 +186,15 @@ def test_hot_customer_rows_can_be_split(spark):
     finally:
         for k, v in before.items():
             spark.conf.set(k, v) if v is not None else spark.conf.unset(k)
+
+
+def test_forest_rows_are_dealt_over_the_cores(spark):
+    """A table that is small in bytes comes in one partition, which would grow all trees alone."""
+    from sparkgate.operators import ml_train as MT
+    one = spark.range(3 * MT.MIN_TASK_ROWS).withColumn("x", F.col("id") * 2).coalesce(1)
+    dealt = MT.spread(one)
+    assert dealt.rdd.getNumPartitions() == min(3, spark.sparkContext.defaultParallelism)
+    assert dealt.count() == one.count() and dealt.exceptAll(one).isEmpty()
+    few = one.limit(MT.MIN_TASK_ROWS)
+    assert MT.spread(few) is few
+    assert MT.random_forest().getCacheNodeIds()
